@@ -5,8 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.scalar import (
@@ -19,7 +18,7 @@ from lectern.operators.aggregates import count_if, min_date, minute_counts, safe
 from lectern.operators.joins import chain, latest_per_key, missing, with_key
 from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
-from lectern.sources.sinks import counted_write, current, publish, replace_days, replace_window
+from lectern.sources.sinks import counted_write, current, publish, replace_window
 
 Tables = dict[str, DataFrame]
 
@@ -187,10 +186,15 @@ def _kpi(days: DataFrame, per_day: DataFrame, spec, value, d0: dt.date, d1: dt.d
     )
 
 
-def _key_range(fact: DataFrame, d0: dt.date, d1: dt.date) -> DataFrame:
-    """Bound the fact by its own day key, which prunes its partitions."""
+def _inside(columns: Sequence[str], d0: dt.date, d1: dt.date) -> Column:
+    """Day key within the range; where the month partition is there, it is bounded too and prunes files."""
     low, high = (int(d.strftime("%Y%m%d")) for d in (d0, d1))
-    return fact.filter(F.col("TempoKey").between(low, high))
+    inside = F.col("TempoKey").between(low, high)
+    return inside & F.col(MONTH).between(low // 100, high // 100) if MONTH in columns else inside
+
+
+def _key_range(fact: DataFrame, d0: dt.date, d1: dt.date) -> DataFrame:
+    return fact.filter(_inside(fact.columns, d0, d1))
 
 
 def kpi_active_students(days: DataFrame, fact: DataFrame, d0, d1) -> DataFrame:
@@ -227,6 +231,9 @@ def kpi_daily(days: DataFrame, academic: DataFrame, finance: DataFrame, telemetr
 
 
 # ---- jobs -------------------------------------------------------------------
+# Facts are stored by month: a day alone would leave small files in small
+# warehouses, and inside a month the sorted day key still prunes row groups.
+MONTH = "AnoMes"
 FACTS = ("FatoAcademico", "FatoFinanceiro", "FatoTelemetria")
 
 
@@ -260,11 +267,14 @@ def build_facts(src: Tables, dims: Tables, d0, d1, as_of: dt.date) -> Tables:
     }
 
 
-def _save(tables: Tables, root: str, counts: dict[str, int], by: Sequence[str]) -> Tables:
+def _save(tables: Tables, root: str, counts: dict[str, int], by_month: bool = False) -> Tables:
     """Write each table, note its row count, and hand back the written files."""
     written = {}
     for name, df in tables.items():
-        counts[name] = counted_write(df, f"{root}/{name}", by).get["rows"]
+        if by_month:
+            df = df.withColumn(MONTH, F.floor(F.col("TempoKey") / 100).cast("int"))
+        by = [MONTH] if by_month else []
+        counts[name] = counted_write(df, f"{root}/{name}", by, ["TempoKey"] if by_month else []).get["rows"]
         written[name] = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
     return written
 
@@ -281,12 +291,9 @@ def rebuild_warehouse(
     d0, d1 = window_defaults(src, d0, d1, as_of)
     root, counts = f"{out}/run={run}", {}
 
-    def save(tables: Tables, by: Sequence[str] = ()) -> Tables:
-        return _save(tables, root, counts, by)
-
-    dims = save(build_dims(spark, src, d0, d1, as_of))
-    facts = save(build_facts(src, dims, d0, d1, as_of), ["TempoKey"])
-    save({"KPI_Diario": kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)})
+    dims = _save(build_dims(spark, src, d0, d1, as_of), root, counts)
+    facts = _save(build_facts(src, dims, d0, d1, as_of), root, counts, by_month=True)
+    _save({"KPI_Diario": kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)}, root, counts)
     return publish(spark, out, run, counts)
 
 
@@ -311,13 +318,13 @@ def refresh_window(
     dims = save(build_dims(spark, src, d0, d1, as_of, {n: old[n] for n in names}))
     fresh = build_facts(src, dims, d0, d1, as_of)
     merged = {
-        name: old[name].filter(~F.col("TempoKey").between(low, high)).select(*df.columns).unionByName(df)
+        name: old[name].filter(~_inside(old[name].columns, d0, d1)).select(*df.columns).unionByName(df)
         for name, df in fresh.items()
     }
-    facts = save(merged, ["TempoKey"])
+    facts = _save(merged, root, counts, by_month=True)
     kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
     kept = old["KPI_Diario"].filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
-    save({"KPI_Diario": kept.select(*kpis.columns).unionByName(kpis)})
+    _save({"KPI_Diario": kept.select(*kpis.columns).unionByName(kpis)}, root, counts)
     return publish(spark, out, run, counts)
 
 
@@ -334,12 +341,4 @@ def rebuild_minute_metric(
     last_minute = (t1 or as_of).replace(second=0, microsecond=0)
     t1 = last_minute + dt.timedelta(minutes=1, microseconds=-1)
     fresh = minute_counts(events, types, t0, t1, metric).withColumn("DataRef", F.to_date("MetricMinute"))
-    spark = events.sparkSession
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:  # first build: nothing to replace
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        replace_days(fresh, path, "DataRef")
-        return
     replace_window(fresh, path, "DataRef", "MetricMinute", t0, t1, F.col("MetricName") == metric)

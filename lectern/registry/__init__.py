@@ -1,6 +1,6 @@
 """Every runnable query, with the SQL it is checked against."""
 
-from lectern.registry import columns, grouped  # noqa: F401  (registration)
+from lectern.registry import changes, columns, flows, grouped, warehouse  # noqa: F401  (registration)
 from lectern.registry.core import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -12,7 +12,7 @@ from lectern.operators.joins import update_from
 from lectern.session import stage
 
 __all__ = [
-    "append", "merge_add", "update_from", "replace_days", "replace_window", "full_reload", "current",
+    "append", "ensure", "merge_add", "update_from", "replace_days", "replace_window", "full_reload", "current",
     "latest_version", "write_batch", "counted_write",
 ]
 
@@ -21,6 +21,12 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def ensure(like: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The table at ``path``, created without rows if it is not there yet."""
+    append(like.limit(0), path, partition_by)
+    return like.sparkSession.read.schema(like.schema).parquet(path)
+
+
 def merge_add(target: DataFrame, delta: DataFrame, keys: Sequence[str], value: str, text_keys: Sequence[str] = ()) -> DataFrame:
     """Keyed upsert in which matched values add up; in ``text_keys`` NULL equals the empty string."""
     same = {k: F.coalesce(F.col(k), F.lit("")) for k in text_keys}
@@ -52,8 +58,7 @@ def replace_window(
     the window, and those not matching ``drop``, are kept.  A day left without
     rows is overwritten by an empty file, one small job per such day.
     """
-    spark = df.sparkSession
-    old = spark.read.parquet(path).filter(F.col(day).between(F.lit(t0.date()), F.lit(t1.date())))
+    old = ensure(df, path, [day]).filter(F.col(day).between(F.lit(t0.date()), F.lit(t1.date())))
     kind = old.schema[ts].dataType.typeName()
     goes = F.col(ts).between(F.lit(t0).cast(kind), F.lit(t1).cast(kind))
     if drop is not None:
@@ -67,12 +72,14 @@ def replace_window(
         merged.drop(day).limit(0).write.mode("overwrite").parquet(f"{path}/{day}={row[0].isoformat()}")
 
 
-def counted_write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Observation:
+def counted_write(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> Observation:
     """Write once and count the rows on the way."""
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        out = out.hint("rebalance", *partition_by)
+        out = out.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return seen
 

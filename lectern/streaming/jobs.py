@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +20,7 @@ from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key, update_from
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.sources.scan import fill_defaults
-from lectern.sources.sinks import latest_version, merge_add, write_batch
+from lectern.sources.sinks import ensure, latest_version, merge_add, write_batch
 
 METRIC_KEYS = ("MetricName", "MetricMinute", "Dimension1", "Dimension2")
 
@@ -36,15 +35,9 @@ def _run(df: DataFrame, step: Callable[[DataFrame, int], None], ckpt: str, mode:
     )
 
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Rows of all micro-batch folders with their batch_id, None before the first one."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return rows if before is None else rows.filter(F.col("batch_id") < before)
+def read_batches(like: DataFrame, path: str) -> DataFrame:
+    """Rows of all micro-batch folders with their batch_id; no rows before the first one."""
+    return ensure(like.withColumn("batch_id", F.lit(0)), path, ["batch_id"])
 
 
 # ---- minute metric ----------------------------------------------------------
@@ -163,15 +156,12 @@ def stream_grade_derive(
     grades_path, changed_path = f"{out}/grades", f"{out}/enrolments"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         bad = limit.violations(batch, {"limits": assessments}).select("AvaliacaoID", "MatriculaID").distinct()
         accepted = batch.join(bad, ["AvaliacaoID", "MatriculaID"], "left_anti").select(*cols)
-        write_batch(accepted.withColumn("bucket", bucket), grades_path, batch_id, ["bucket"])
+        accepted = accepted.withColumn("bucket", bucket)
+        write_batch(accepted, grades_path, batch_id, ["bucket"])
 
-        log = read_batches(spark, grades_path)
-        if log is None:
-            return
-        log = log.filter(F.col("batch_id") <= batch_id)
+        log = read_batches(accepted, grades_path).filter(F.col("batch_id") <= batch_id)
         touched = log.filter(F.col("batch_id") == batch_id).select("bucket", "MatriculaID").distinct()
         known = having_key(log.select(*cols, "bucket", "batch_id"), touched, ["bucket", "MatriculaID"])
         if history is not None:
@@ -182,12 +172,11 @@ def stream_grade_derive(
         ).select("MatriculaID", "AvaliacaoID", F.col("_v.NotaObtida").alias("NotaObtida"))
 
         now = having_key(enrolments, touched, "MatriculaID")
-        earlier = read_batches(spark, changed_path, before=batch_id)
-        if earlier is not None:
-            earlier = having_key(earlier, touched, "MatriculaID")
-            now = latest_version(now, earlier, "MatriculaID", ["NotaFinal", "StatusMatricula"])
+        result = ["MatriculaID", "NotaFinal", "StatusMatricula"]
+        earlier = read_batches(enrolments.select(*result), changed_path).filter(F.col("batch_id") < batch_id)
+        now = latest_version(now, having_key(earlier, touched, "MatriculaID"), "MatriculaID", result[1:])
         changed = derive_grades(now, final_grades(newest, assessments))
-        write_batch(changed.select("MatriculaID", "NotaFinal", "StatusMatricula"), changed_path, batch_id)
+        write_batch(changed.select(*result), changed_path, batch_id)
 
     return _run(src, step, ckpt, "append", trigger or {"availableNow": True})
 
