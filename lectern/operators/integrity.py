@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scalar import is_json
 from lectern.operators.joins import exceeds
-from lectern.operators.skew import same_key
+from lectern.operators.skew import null_safe_join
 
 
 class RowRule:
@@ -109,8 +109,7 @@ class Unique:
         return counts.filter(F.col("Copias") > 1)
 
     def violations(self, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-        twice = self.duplicate_keys(df)
-        return df.join(twice, same_key(df, twice, self.cols), "left_semi")
+        return null_safe_join(df, self.duplicate_keys(df), self.cols, "left_semi")
 
 
 @dataclass(frozen=True)
@@ -182,5 +181,6 @@ def validate(
     violations = reduce(DataFrame.unionByName, found)
     if relational:
         bad_keys = reduce(DataFrame.unionByName, found[1:] if row_rules else found).select("key").distinct()
-        good = good.join(bad_keys, good[key].cast("string").eqNullSafe(bad_keys["key"]), "left_anti")
+        bad_keys = bad_keys.withColumnRenamed("key", "_bad")
+        good = good.join(bad_keys, F.col(key).cast("string").eqNullSafe(F.col("_bad")), "left_anti")
     return good, violations

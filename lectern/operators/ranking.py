@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import HOT_ROWS, same_key, split_hot, spread_position
+from lectern.operators.skew import HOT_ROWS, null_safe_join, split_hot, spread_position
 
 # Output names of the six measures.
 ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD = (
@@ -64,20 +64,17 @@ def _by_ranges(df: DataFrame, key: str, value: str, ties: Sequence[str], tiles:
             F.lead(value).over(scale).alias("_lower"),
         )
     )
-    joined = numbered.join(hist, same_key(numbered, hist, [key, value]))
-    place = numbered[ROW_NUMBER]
-    first_of_tie, last_of_tie = place == hist["_ahead"] + 1, place == hist["_ahead"] + hist["_n"]
+    joined = null_safe_join(numbered, hist, [key, value])
+    place, ahead_of = F.col(ROW_NUMBER), F.col("_ahead")
     measures = {
         ROW_NUMBER: place,
-        RANK: (hist["_ahead"] + 1).cast("int"),
-        DENSE_RANK: hist["_dense"],
-        NTILE: _tile(place, hist["_total"], tiles),
-        LAG: F.when(first_of_tie, hist["_higher"]).otherwise(numbered[value]),
-        LEAD: F.when(last_of_tie, hist["_lower"]).otherwise(numbered[value]),
+        RANK: (ahead_of + 1).cast("int"),
+        DENSE_RANK: F.col("_dense"),
+        NTILE: _tile(place, F.col("_total"), tiles),
+        LAG: F.when(place == ahead_of + 1, F.col("_higher")).otherwise(F.col(value)),
+        LEAD: F.when(place == ahead_of + F.col("_n"), F.col("_lower")).otherwise(F.col(value)),
     }
-    return joined.select(
-        *[numbered[c] for c in df.columns], *[measures[name].alias(name) for name in ALL if name in want]
-    )
+    return joined.select(*df.columns, *[measures[name].alias(name) for name in ALL if name in want])
 
 
 def rank_within(
@@ -88,9 +85,10 @@ def rank_within(
     tiles: int = 4,
     want: Sequence[str] = ALL,
     hot_rows: int = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Add the wanted measures per ``key``, highest ``value`` first, ``ties`` making the order total."""
-    ordinary, hot = split_hot(df, [key], hot_rows)
+    ordinary, hot = split_hot(df, [key], hot_rows, probe)
     done = _by_windows(ordinary, key, value, ties, tiles, want)
     if hot is None:
         return done
@@ -113,7 +111,11 @@ def class_ranking(
         people.select("PessoaID", F.col("NomeExibicao").alias("NomeAluno")), "PessoaID"
     )
     rows = graded.join(names.drop("PessoaID"), "AlunoID").join(classes.select("TurmaID", "CodigoTurma"), "TurmaID")
-    ranked = rank_within(rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"], want=want, hot_rows=hot_rows)
+    # The heat check counts enrolments alone; the joins can only drop rows.
+    ranked = rank_within(
+        rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"],
+        want=want, hot_rows=hot_rows, probe=graded.select("TurmaID"),
+    )
     return ranked.select(
         "TurmaID", "CodigoTurma", "MatriculaID", "AlunoID", "RA", "NomeAluno", "NotaFinal",
         "FrequenciaPercentual", "StatusMatricula", *[m for m in ALL if m in want],

@@ -14,9 +14,11 @@ from lectern.session import stage
 HOT_ROWS = 5_000_000
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition that lets NULL keys meet each other."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which NULL keys meet each other; the right key columns are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
@@ -46,20 +48,24 @@ def spread_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     runs = runs.select(
         "_part", *keys, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    on = same_key(placed, runs, ["_part", *keys])
-    position = (runs["_before"] + placed["_idx"] - runs["_first"] + 1).cast("int").alias(out)
-    if not keys:
-        position = position.cast("long").alias(out)
-    return placed.join(runs, on).select(*[placed[c] for c in df.columns], position)
+    position = F.col("_before") + F.col("_idx") - F.col("_first") + 1
+    joined = null_safe_join(placed, runs, ["_part", *keys])
+    return joined.select(*df.columns, position.cast("int" if keys else "long").alias(out))
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups or None when there are none)."""
-    hot = stage(hot_keys(df, keys, limit), "hot-keys")
+def split_hot(
+    df: DataFrame, keys: Sequence[str], limit: int, probe: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups or None when there are none).
+
+    ``probe`` may be a cheaper table with at least the same rows per key, such as
+    the input of a join; it is counted once.
+    """
+    hot = hot_keys(df if probe is None else probe, keys, limit)
     if hot.isEmpty():
         return df, None
-    on = same_key(df, hot, keys)
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+    hot = stage(hot, "hot-keys")
+    return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi")
 
 
 def row_position(

@@ -2,7 +2,8 @@
 
 Each job takes requests and the current tables and returns accepted rows,
 rejected rows with the code of the first failing check, and the telemetry events
-the accepted rows cause.
+the accepted rows cause.  Where these results need joins, the checked requests are
+written once to the shared folder and all results read them from there.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from lectern.operators.aggregates import payments_rollup, seat_occupancy
 from lectern.operators.joins import attach_lookup, having_key, update_from
 from lectern.operators.skew import first_n_per_key
 from lectern.schema.constraints import METHODS, ORIGINS, PLATFORMS
+from lectern.session import stage
 from lectern.sources.scan import fill_defaults
 
 # Rejection codes.
@@ -128,7 +130,7 @@ def bulk_enrol(
         .when(F.col("_winner").isNull(), NO_SEATS)
         .when(F.col("_winner") != F.col("RequestID"), ALREADY_ENROLLED),
     ).select(*requests.columns, "Codigo")
-    accepted, rejected = _split(coded)
+    accepted, rejected = _split(stage(coded, "enrol"))
     accepted = accepted.select(
         F.col("RequestID").alias("MatriculaID"), *pair, "OrigemMatricula",
         F.lit(as_of).cast("timestamp_ntz").alias("DataMatricula"),
@@ -163,7 +165,7 @@ def bulk_post_grade(
             ]
         ),
     ).drop("_status")
-    accepted, rejected = _split(coded)
+    accepted, rejected = _split(stage(coded, "grade"))
     last = accepted.groupBy("MatriculaID").agg(
         F.max(F.struct("RequestedAt", "RequestID", grade.alias("g"), freq.alias("f"))).alias("_v")
     ).select("MatriculaID", F.col("_v.g").alias("_grade"), F.col("_v.f").alias("_freq"))
@@ -199,7 +201,7 @@ def bulk_pay(
             ]
         ),
     ).drop("_status")
-    accepted, rejected = _split(coded)
+    accepted, rejected = _split(stage(coded, "pay"))
     new = accepted.select(
         "ParcelaID", "DataPagamento", "ValorPagamento", "MeioPagamento", F.lit("CONFIRMED").alias("GatewayStatus")
     )

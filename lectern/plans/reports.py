@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.status import CONCLUDED, is_pending, trailing
-from lectern.operators.aggregates import balance_measures, count_if, weighted_mean
-from lectern.operators.joins import agg_per_key, chain, mode_per_key
+from lectern.operators.aggregates import balance_summary, count_if, weighted_mean
+from lectern.operators.joins import agg_per_key, chain
 from lectern.operators.sets import topk
 from lectern.plans.warehouse import Tables, class_courses
 
@@ -24,50 +24,63 @@ def gpa(enrolments: DataFrame, classes: DataFrame, subjects: DataFrame, students
     )
 
 
-def student_360(t: Tables, as_of: dt.date) -> DataFrame:
-    """One row per student, 19 columns.
+def _enrolment_summary(t: Tables) -> DataFrame:
+    """Per student: counts, credit-weighted mean, most frequent course, latest class.
 
-    Enrolments are reduced to one row per student in a single pass for counts,
-    grade mean and latest class; the remaining facts are reduced likewise before
-    any join, so every join is one row to one row on the student.
+    One pass over the enrolments: rows are reduced to (student, course) with all
+    partial measures, and those to the student.
     """
-    classes = class_courses(t["Turma"], t["Disciplina"], ["Creditos"])
-    named = classes.join(
+    classes = class_courses(t["Turma"], t["Disciplina"], ["Creditos"]).join(
         t["Curso"].select("CursoID", F.col("Codigo").alias("CursoCodigo"), F.col("Nome").alias("CursoNome")), "CursoID"
-    )
-    enrolled = (
-        t["Matricula"]
-        .select("AlunoID", "TurmaID", "MatriculaID", "StatusMatricula", "NotaFinal", "DataMatricula")
-        .join(named, "TurmaID")
-        .join(t["Turma"].select("TurmaID", "CodigoTurma"), "TurmaID")
-    )
+    ).join(t["Turma"].select("TurmaID", "CodigoTurma"), "TurmaID")
+    rows = t["Matricula"].select(
+        "AlunoID", "TurmaID", "MatriculaID", "StatusMatricula", "NotaFinal", "DataMatricula"
+    ).join(classes, "TurmaID")
     status, grade = F.col("StatusMatricula"), F.coalesce(F.col("NotaFinal"), F.lit(0))
     concluded = status.isin(*CONCLUDED)
-    points = F.sum(F.when(concluded, grade * F.col("Creditos")))
-    credits = F.sum(F.when(concluded, F.col("Creditos")))
+    per_course = rows.groupBy("AlunoID", "CursoID", "CursoCodigo", "CursoNome").agg(
+        F.count("*").alias("_n"),
+        count_if(status == "APROVADA").alias("_passed"),
+        count_if(status == "REPROVADA").alias("_failed"),
+        F.sum(F.when(concluded, grade * F.col("Creditos"))).alias("_points"),
+        F.sum(F.when(concluded, F.col("Creditos"))).alias("_credits"),
+        F.max(F.struct("DataMatricula", "MatriculaID", "CodigoTurma", "StatusMatricula")).alias("_last"),
+    )
+    mean = F.sum("_points").cast("decimal(24,2)") / F.nullif(F.sum("_credits"), F.lit(0)).cast("decimal(12,0)")
+    top = F.min(F.struct((-F.col("_n")).alias("_neg"), "CursoNome", "CursoID", "CursoCodigo"))
+    return per_course.groupBy("AlunoID").agg(
+        F.sum("_n").alias("TotalMatriculas"),
+        F.sum("_passed").alias("Aprovacoes"),
+        F.sum("_failed").alias("Reprovacoes"),
+        F.round(mean, 2).cast("decimal(5,2)").alias("CRA"),
+        top.alias("_top"),
+        F.max("_last").alias("_last"),
+    )
 
+
+def student_360(t: Tables, as_of: dt.date) -> DataFrame:
+    """One row per student, 19 columns.
+
+    Enrolments, instalments and events are each reduced to one row per student
+    before any join, so every join is one row to one row.
+    """
     people = t["Aluno"].select("AlunoID", "PessoaID", "RA", "StatusAcademico").join(
         t["Pessoa"].select("PessoaID", "NomeExibicao", "Email"), "PessoaID"
     )
-    out = mode_per_key(people, enrolled, "AlunoID", ["CursoID", "CursoCodigo", "CursoNome"], ["CursoNome", "CursoID"])
-    out = agg_per_key(out, t["ParcelaFinanceira"], "AlunoID", {"ParcelasTotal": F.count("*")}, {
-        n: c for n, c in balance_measures().items() if n != "ParcelasTotal"
-    })
-    out = agg_per_key(out, enrolled, "AlunoID", {"TotalMatriculas": F.count("*")}, {
-        "Aprovacoes": count_if(status == "APROVADA"),
-        "Reprovacoes": count_if(status == "REPROVADA"),
-        "CRA": F.round(points / F.nullif(credits, F.lit(0)), 2).cast("decimal(5,2)"),
-        "_last": F.max(F.struct("DataMatricula", "MatriculaID", "CodigoTurma", "StatusMatricula")),
-    })
+    out = people.join(_enrolment_summary(t), "AlunoID", "left")
+    out = out.join(balance_summary(t["ParcelaFinanceira"]), "AlunoID", "left")
     out = agg_per_key(
         out, trailing(t["EventStream"], "OccurredAt", 30, as_of), "AlunoID",
         {"Eventos30Dias": F.count("*")}, {"UltimoEventoEm": F.max("OccurredAt")},
     )
     return out.select(
-        "AlunoID", "RA", "NomeExibicao", "Email", "StatusAcademico", "CursoCodigo", "CursoNome",
+        "AlunoID", "RA", "NomeExibicao", "Email", "StatusAcademico",
+        F.col("_top.CursoCodigo").alias("CursoCodigo"),
+        F.col("_top.CursoNome").alias("CursoNome"),
         F.coalesce("CRA", F.lit(0).cast("decimal(5,2)")).alias("CRA"),
-        "ParcelasPendentes", "ValorEmAberto", "ValorPago", "TotalMatriculas", "Aprovacoes", "Reprovacoes",
-        "Eventos30Dias", "UltimoEventoEm",
+        "ParcelasPendentes", "ValorEmAberto", "ValorPago",
+        F.coalesce("TotalMatriculas", F.lit(0)).alias("TotalMatriculas"),
+        "Aprovacoes", "Reprovacoes", "Eventos30Dias", "UltimoEventoEm",
         F.col("_last.CodigoTurma").alias("UltimaTurma"),
         F.col("_last.StatusMatricula").alias("UltimoStatusMatricula"),
         F.col("_last.DataMatricula").alias("UltimaMovimentacao"),

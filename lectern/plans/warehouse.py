@@ -18,7 +18,8 @@ from lectern.operators.aggregates import count_if, min_date, minute_counts, safe
 from lectern.operators.joins import chain, latest_per_key, missing, with_key
 from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
-from lectern.sources.sinks import counted_write, current, publish, replace_window
+from lectern.session import stage
+from lectern.sources.sinks import counted_write, publish, replace_where, replace_window
 
 Tables = dict[str, DataFrame]
 
@@ -267,14 +268,16 @@ def build_facts(src: Tables, dims: Tables, d0, d1, as_of: dt.date) -> Tables:
     }
 
 
-def _save(tables: Tables, root: str, counts: dict[str, int], by_month: bool = False) -> Tables:
+def _by_month(df: DataFrame, key: Column | None = None) -> DataFrame:
+    return df.withColumn(MONTH, F.floor((F.col("TempoKey") if key is None else key) / 100).cast("int"))
+
+
+def _save(tables: Tables, root: str, counts: dict[str, int], day: str | None = None) -> Tables:
     """Write each table, note its row count, and hand back the written files."""
     written = {}
     for name, df in tables.items():
-        if by_month:
-            df = df.withColumn(MONTH, F.floor(F.col("TempoKey") / 100).cast("int"))
-        by = [MONTH] if by_month else []
-        counts[name] = counted_write(df, f"{root}/{name}", by, ["TempoKey"] if by_month else []).get["rows"]
+        by = [MONTH] if day else []
+        counts[name] = counted_write(df, f"{root}/{name}", by, [day] if day else []).get["rows"]
         written[name] = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
     return written
 
@@ -292,40 +295,36 @@ def rebuild_warehouse(
     root, counts = f"{out}/run={run}", {}
 
     dims = _save(build_dims(spark, src, d0, d1, as_of), root, counts)
-    facts = _save(build_facts(src, dims, d0, d1, as_of), root, counts, by_month=True)
-    _save({"KPI_Diario": kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)}, root, counts)
+    facts = {name: _by_month(df) for name, df in build_facts(src, dims, d0, d1, as_of).items()}
+    facts = _save(facts, root, counts, "TempoKey")
+    kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
+    _save({"KPI_Diario": _by_month(kpis, date_key("DataRef"))}, root, counts, "DataRef")
     return publish(spark, out, run, counts)
 
 
 def refresh_window(
-    spark: SparkSession, src: Tables, out: str, run: str, as_of: dt.date, d0: dt.date, d1: dt.date
-) -> DataFrame:
-    """Rebuild only the facts and KPIs of a window; everything outside stays.
+    spark: SparkSession, src: Tables, root: str, as_of: dt.date, d0: dt.date, d1: dt.date
+) -> None:
+    """Rebuild the facts and KPIs of a window inside a built warehouse at ``root``.
 
-    Known dimension rows keep their surrogate keys, so older facts stay valid.
-    The new run holds the untouched days too and is published as a whole.
+    Known dimension rows keep their surrogate keys, so older facts stay valid,
+    and only the months the window touches are read and rewritten.
     """
     names = ("DimTempo", "DimCurso", "DimAluno", "DimTurma")
-    old = {name: current(spark, out, name) for name in (*names, *FACTS, "KPI_Diario")}
-    root, counts = f"{out}/run={run}", {}
+    old = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    dims = {}
+    for name, df in build_dims(spark, src, d0, d1, as_of, old).items():
+        dims[name] = stage(df, name)
+        dims[name].write.mode("overwrite").parquet(f"{root}/{name}")
     low, high = (int(d.strftime("%Y%m%d")) for d in (d0, d1))
-
-    def save(tables: Tables, by: Sequence[str] = ()) -> Tables:
-        for name, df in tables.items():
-            counts[name] = counted_write(df, f"{root}/{name}", by).get["rows"]
-        return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
-
-    dims = save(build_dims(spark, src, d0, d1, as_of, {n: old[n] for n in names}))
-    fresh = build_facts(src, dims, d0, d1, as_of)
-    merged = {
-        name: old[name].filter(~_inside(old[name].columns, d0, d1)).select(*df.columns).unionByName(df)
-        for name, df in fresh.items()
-    }
-    facts = _save(merged, root, counts, by_month=True)
-    kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
-    kept = old["KPI_Diario"].filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
-    _save({"KPI_Diario": kept.select(*kpis.columns).unionByName(kpis)}, root, counts)
-    return publish(spark, out, run, counts)
+    months = F.col(MONTH).between(low // 100, high // 100)
+    for name, df in build_facts(src, dims, d0, d1, as_of).items():
+        goes = F.col("TempoKey").between(low, high)
+        replace_where(_by_month(df), f"{root}/{name}", MONTH, months, goes, ["TempoKey"])
+    facts = [spark.read.parquet(f"{root}/{name}") for name in FACTS]
+    kpis = kpi_daily(dims["DimTempo"], *facts, d0, d1)
+    goes = F.col("DataRef").between(F.lit(d0), F.lit(d1))
+    replace_where(_by_month(kpis, date_key("DataRef")), f"{root}/KPI_Diario", MONTH, months, goes, ["DataRef"])
 
 
 def rebuild_minute_metric(

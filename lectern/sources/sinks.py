@@ -12,7 +12,7 @@ from lectern.operators.joins import update_from
 from lectern.session import stage
 
 __all__ = [
-    "append", "ensure", "merge_add", "update_from", "replace_days", "replace_window", "full_reload", "current",
+    "append", "ensure", "merge_add", "update_from", "overwrite_parts", "replace_where", "replace_window", "full_reload", "current",
     "latest_version", "write_batch", "counted_write",
 ]
 
@@ -35,41 +35,50 @@ def merge_add(target: DataFrame, delta: DataFrame, keys: Sequence[str], value: s
     return both.groupBy(*keys).agg(F.sum(value).cast(kind).alias(value))
 
 
-def replace_days(df: DataFrame, path: str, day: str) -> None:
-    """Overwrite only the day partitions that occur in ``df``.
+def overwrite_parts(df: DataFrame, path: str, part: str, sort_by: Sequence[str] = ()) -> None:
+    """Overwrite only the partitions that occur in ``df``.
 
-    ``rebalance`` splits big days over several writers and merges small ones.
+    ``rebalance`` splits big partitions over several writers and merges small ones.
     """
     (
-        df.hint("rebalance", day)
+        df.hint("rebalance", part)
+        .sortWithinPartitions(part, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
+        .partitionBy(part)
         .parquet(path)
     )
 
 
+def replace_where(
+    df: DataFrame, path: str, part: str, touched: Column, goes: Column, sort_by: Sequence[str] = ()
+) -> None:
+    """Delete stored rows that meet ``goes``, insert ``df``.
+
+    Only the partitions selected by ``touched`` are read and rewritten.  A
+    partition left without rows is overwritten by an empty file.
+    """
+    old = ensure(df, path, [part]).filter(touched)
+    kept = old.filter(~F.coalesce(goes, F.lit(False)))
+    merged = stage(kept.unionByName(df), "replace")
+    # Decided before the overwrite removes the files; at most one row per touched partition.
+    emptied = old.select(part).distinct().join(merged.select(part).distinct(), part, "left_anti").collect()
+    overwrite_parts(merged, path, part, sort_by)
+    for row in emptied:
+        merged.drop(part).limit(0).write.mode("overwrite").parquet(f"{path}/{part}={row[0]}")
+
+
 def replace_window(
     df: DataFrame, path: str, day: str, ts: str, t0: dt.datetime, t1: dt.datetime, drop: Column | None = None
 ) -> None:
-    """Delete rows with ``ts`` in the closed window, insert ``df``.
+    """Replace the rows with ``ts`` in the closed window of a table stored by day.
 
-    Only the partitions of the window's days are read and rewritten; rows outside
-    the window, and those not matching ``drop``, are kept.  A day left without
-    rows is overwritten by an empty file, one small job per such day.
+    Rows not matching ``drop`` are kept.
     """
-    old = ensure(df, path, [day]).filter(F.col(day).between(F.lit(t0.date()), F.lit(t1.date())))
-    kind = old.schema[ts].dataType.typeName()
+    kind = df.schema[ts].dataType.typeName()
     goes = F.col(ts).between(F.lit(t0).cast(kind), F.lit(t1).cast(kind))
-    if drop is not None:
-        goes = goes & drop
-    kept = old.filter(~F.coalesce(goes, F.lit(False)))
-    merged = stage(kept.select(*df.columns).unionByName(df), "window")
-    # Decided before the overwrite removes the files; at most one row per day of the window.
-    emptied = old.select(day).distinct().join(merged.select(day).distinct(), day, "left_anti").collect()
-    replace_days(merged, path, day)
-    for row in emptied:
-        merged.drop(day).limit(0).write.mode("overwrite").parquet(f"{path}/{day}={row[0].isoformat()}")
+    touched = F.col(day).between(F.lit(t0.date()), F.lit(t1.date()))
+    replace_where(df, path, day, touched, goes if drop is None else goes & drop, [ts])
 
 
 def counted_write(
