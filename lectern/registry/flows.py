@@ -92,7 +92,7 @@ def _(c):
 
 
 @query("io_merge_add", """
-    SELECT CAST(OccurredAt AS DATE) AS DataRef, coalesce(Dim, '') AS Dim, CAST(count(*) AS DECIMAL(18,4)) AS MetricValue
+    SELECT CAST(OccurredAt AS DATE) AS DataRef, Dim, CAST(count(*) AS DECIMAL(18,4)) AS MetricValue
     FROM (SELECT OccurredAt, nullif(SourceSystem, 'BATCH') AS Dim FROM EventStream) GROUP BY ALL""")
 def _(c):
     dim = F.nullif(F.col("SourceSystem"), F.lit("BATCH")).alias("Dim")

@@ -19,6 +19,17 @@ RUNTIME_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int = 1) -> int:
+    """Starting number of shuffle partitions: about 128 MB each, at least one per core.
+
+    AQE merges what turns out small, so this only has to be high enough.
+    """
+    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+
+
 def session(app: str = "lectern", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -28,11 +28,25 @@ def ensure(like: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Data
 
 
 def merge_add(target: DataFrame, delta: DataFrame, keys: Sequence[str], value: str, text_keys: Sequence[str] = ()) -> DataFrame:
-    """Keyed upsert in which matched values add up; in ``text_keys`` NULL equals the empty string."""
-    same = {k: F.coalesce(F.col(k), F.lit("")) for k in text_keys}
-    both = target.select(*keys, value).unionByName(delta.select(*keys, value)).withColumns(same)
-    kind = target.schema[value].dataType
-    return both.groupBy(*keys).agg(F.sum(value).cast(kind).alias(value))
+    """Keyed upsert in which matched values add up.
+
+    In ``text_keys`` NULL equals the empty string; a matched row keeps the
+    spelling of the target.
+    """
+    sides = [df.select(*keys, value, F.lit(own).alias("_own")) for df, own in ((target, True), (delta, False))]
+    both = sides[0].unionByName(sides[1])
+    rest = [k for k in keys if k not in text_keys]
+    by = [F.coalesce(F.col(k), F.lit("")).alias(f"_{k}") for k in text_keys]
+    was_null = {k: F.col(k).isNull().cast("int") for k in text_keys}
+    merged = both.groupBy(*rest, *by).agg(
+        F.sum(value).cast(target.schema[value].dataType).alias(value),
+        *[
+            F.coalesce(F.max(F.when(F.col("_own"), is_null)), F.max(is_null)).alias(f"_null_{k}")
+            for k, is_null in was_null.items()
+        ],
+    )
+    text = {k: F.when(F.col(f"_null_{k}") == 0, F.col(f"_{k}")) for k in text_keys}
+    return merged.select(*[text[k].alias(k) if k in text else F.col(k) for k in keys], value)
 
 
 def overwrite_parts(df: DataFrame, path: str, part: str, sort_by: Sequence[str] = ()) -> None:

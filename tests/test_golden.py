@@ -149,3 +149,18 @@ def test_balance_of_unknown_student(spark, campus):
     name = register_balance(campus["ParcelaFinanceira"], "seed_balance")
     r = spark.sql(f"SELECT b.* FROM VALUES (77) AS s(id) LEFT JOIN LATERAL {name}(s.id) b").first()
     assert r["ParcelasTotal"] == 0 and r["ValorEmAberto"] is None
+
+
+def test_named_views(spark, campus):
+    from lectern.plans.views import register_views
+
+    assert len(register_views(spark, campus, AS_OF)) == 5
+    top = spark.sql(
+        "SELECT NomeExibicao, fn_TempoKey(DATE '2026-03-20') AS k FROM vw_VisaoUnica"
+        " ORDER BY ValorEmAberto DESC, CRA DESC, NomeExibicao LIMIT 1"
+    ).first()
+    assert (top["NomeExibicao"], top["k"]) == ("Aluno Seed 20260002", 20260320)
+    open_ = spark.sql(
+        "SELECT a.CRA, s.ValorEmAberto FROM vw_CRA a LEFT JOIN LATERAL fn_SaldoAluno(a.AlunoID) s WHERE a.AlunoID = 1"
+    ).first()
+    assert (open_["CRA"], open_["ValorEmAberto"]) == (D("8.70"), D("810.00"))

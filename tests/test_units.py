@@ -63,7 +63,7 @@ def test_merge_add(spark):
     target = spark.createDataFrame([("a", None, D(1)), ("b", "x", D(2))], "m string, d string, v decimal(18,4)")
     delta = spark.createDataFrame([("a", "", D(5)), ("c", None, D(3))], "m string, d string, v decimal(18,4)")
     got = {(r["m"], r["d"]): r["v"] for r in sinks.merge_add(target, delta, ["m", "d"], "v", ["d"]).collect()}
-    assert got == {("a", ""): D(6), ("b", "x"): D(2), ("c", ""): D(3)}
+    assert got == {("a", None): D(6), ("b", "x"): D(2), ("c", None): D(3)}
 
 
 def test_replace_window_empties_days_and_keeps_the_rest(spark):
