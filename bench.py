@@ -1,7 +1,7 @@
 """Time the headline queries: one JSON line on standard output.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all cores) and
-BENCH_RUNS (default 3, after one warm-up) set the scale.
+BENCH_RUNS (default 2, after one warm-up) set the scale.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session(
         "lectern-bench", master=f"local[{cpus}]",
         **{

@@ -114,6 +114,7 @@ def bulk_enrol(
         )
         .select(*pair, "_at", "_id", "_free", "_code")
     )
+    checked = stage(checked, "pairs")
     seated = first_n_per_key(checked.filter(F.col("_code").isNull()), "TurmaID", ["_at", "_id"], "_free")
     refused = checked.filter(F.col("_code").isNotNull()).select(*pair, "_code")
     winners = seated.select(*pair, F.col("_id").alias("_winner"))

@@ -268,8 +268,8 @@ def build_facts(src: Tables, dims: Tables, d0, d1, as_of: dt.date) -> Tables:
     }
 
 
-def _by_month(df: DataFrame, key: Column | None = None) -> DataFrame:
-    return df.withColumn(MONTH, F.floor((F.col("TempoKey") if key is None else key) / 100).cast("int"))
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(MONTH, F.floor(F.col("TempoKey") / 100).cast("int"))
 
 
 def _save(tables: Tables, root: str, counts: dict[str, int], day: str | None = None) -> Tables:
@@ -298,7 +298,7 @@ def rebuild_warehouse(
     facts = {name: _by_month(df) for name, df in build_facts(src, dims, d0, d1, as_of).items()}
     facts = _save(facts, root, counts, "TempoKey")
     kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
-    _save({"KPI_Diario": _by_month(kpis, date_key("DataRef"))}, root, counts, "DataRef")
+    _save({"KPI_Diario": kpis}, root, counts)
     return publish(spark, out, run, counts)
 
 
@@ -323,8 +323,9 @@ def refresh_window(
         replace_where(_by_month(df), f"{root}/{name}", MONTH, months, goes, ["TempoKey"])
     facts = [spark.read.parquet(f"{root}/{name}") for name in FACTS]
     kpis = kpi_daily(dims["DimTempo"], *facts, d0, d1)
-    goes = F.col("DataRef").between(F.lit(d0), F.lit(d1))
-    replace_where(_by_month(kpis, date_key("DataRef")), f"{root}/KPI_Diario", MONTH, months, goes, ["DataRef"])
+    # Four rows a day: the whole table is rewritten.
+    kept = spark.read.parquet(f"{root}/KPI_Diario").filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
+    stage(kept.unionByName(kpis), "kpi").write.mode("overwrite").parquet(f"{root}/KPI_Diario")
 
 
 def rebuild_minute_metric(

@@ -24,10 +24,10 @@ def verdicts(out: b.Outcome, key: str, accepted_key: str | None = None) -> DataF
 # ---- bulk jobs --------------------------------------------------------------
 # Every pair of an order and a part in it is one request.
 ENROL_REQUESTS = """
-    SELECT concat(CAST(o_orderkey AS STRING), '-', CAST(l_partkey AS STRING)) AS RequestID, o_custkey AS AlunoID,
-        l_partkey AS TurmaID, max(o_orderdate) AS RequestedAt,
-        CASE WHEN max(o_orderpriority) = '5-LOW' THEN 'FAX' ELSE 'PORTAL' END AS OrigemMatricula
-    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, l_partkey"""
+    SELECT DISTINCT concat(CAST(o_orderkey AS STRING), '-', CAST(l_partkey AS STRING)) AS RequestID, o_custkey AS AlunoID,
+        l_partkey AS TurmaID, o_orderdate AS RequestedAt,
+        CASE WHEN o_orderpriority = '5-LOW' THEN 'FAX' ELSE 'PORTAL' END AS OrigemMatricula
+    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
 
 
 def sql_of(text: str) -> str:

@@ -20,7 +20,7 @@ from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key, update_from
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.sources.scan import fill_defaults
-from lectern.sources.sinks import ensure, latest_version, merge_add, write_batch
+from lectern.sources.sinks import current, ensure, full_reload, latest_version, merge_add, write_batch
 
 METRIC_KEYS = ("MetricName", "MetricMinute", "Dimension1", "Dimension2")
 
@@ -50,11 +50,41 @@ def stream_minute_counts(src: DataFrame, types: DataFrame, out: str, ckpt: str,
     return _run(src, step, ckpt, "append", trigger or {"availableNow": True})
 
 
-def read_minute_metric(spark: SparkSession, out: str, base: DataFrame | None = None) -> DataFrame:
-    """The increments added up, on top of an earlier metric table if given."""
-    parts = spark.read.parquet(out).drop("batch_id")
-    empty = parts.limit(0) if base is None else base
-    return merge_add(empty, parts, METRIC_KEYS, "MetricValue", ["Dimension1", "Dimension2"])
+def read_minute_metric(
+    spark: SparkSession, out: str, base: DataFrame | None = None, after: int = -1, upto: int | None = None
+) -> DataFrame:
+    """The increments of batches in (after, upto] added up, on top of an earlier metric table if given."""
+    parts = spark.read.parquet(out).filter(F.col("batch_id") > after)
+    if upto is not None:
+        parts = parts.filter(F.col("batch_id") <= upto)
+    start = parts.limit(0) if base is None else base
+    return merge_add(start, parts, METRIC_KEYS, "MetricValue", ["Dimension1", "Dimension2"])
+
+
+def fold_minute_metric(spark: SparkSession, out: str, store: str) -> int:
+    """Add the increments so far to the published table in ``store``; returns the last batch folded.
+
+    Run it now and then while the stream goes on: the published run is named by
+    its last batch, so later readers add only what came after.
+    """
+    upto = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
+    done = folded_upto(spark, store)
+    if done < upto:
+        base = None if done < 0 else current(spark, store, "MetricMinute")
+        metric = read_minute_metric(spark, out, base, done, upto)
+        full_reload({"MetricMinute": metric}, store, f"{upto:012d}")
+    return upto
+
+
+def folded_upto(spark: SparkSession, store: str) -> int:
+    published = ensure(spark.createDataFrame([], "run string, table string, rows long"), f"{store}/published")
+    last = published.agg(F.max("run")).first()[0]
+    return -1 if last is None else int(last)
+
+
+def folded_minute_metric(spark: SparkSession, out: str, store: str) -> DataFrame:
+    """Published table plus the increments that came later."""
+    return read_minute_metric(spark, out, current(spark, store, "MetricMinute"), folded_upto(spark, store))
 
 
 def windowed_counts(events: DataFrame, types: DataFrame, delay: str) -> DataFrame:

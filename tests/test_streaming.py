@@ -51,8 +51,19 @@ def test_minute_counts_over_batches_and_replay(spark, campus, paths):
     arrive(late, src)
     jobs.stream_minute_counts(follow(spark, events, src), types, out, ckpt).awaitTermination()
     assert table(jobs.read_minute_metric(spark, out)) == table(minute_counts(events.unionByName(late), types))
+    every = table(minute_counts(events.unionByName(late), types))
+    store = f"{out}-store"
+    assert jobs.fold_minute_metric(spark, out, store) == 2 == jobs.fold_minute_metric(spark, out, store)
+    assert table(jobs.folded_minute_metric(spark, out, store)) == every
+    arrive(late, src)
+    jobs.stream_minute_counts(follow(spark, events, src), types, out, ckpt).awaitTermination()
+    more = table(jobs.read_minute_metric(spark, out))
+    assert more != every and table(jobs.folded_minute_metric(spark, out, store)) == more
+    assert jobs.fold_minute_metric(spark, out, store) == 3
+    assert table(jobs.folded_minute_metric(spark, out, store)) == more
+
     base = jobs.read_minute_metric(spark, out)
-    assert jobs.read_minute_metric(spark, out, base).agg(F.sum("MetricValue")).first()[0] == 16
+    assert jobs.read_minute_metric(spark, out, base).agg(F.sum("MetricValue")).first()[0] == 18
 
 
 def test_windowed_counts_emit_closed_windows_and_drop_late_rows(spark, campus, paths):
