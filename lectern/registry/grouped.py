@@ -19,12 +19,13 @@ from lectern.registry.core import half_up, mean2, query, units
     FROM Matricula m JOIN Turma t ON t.TurmaID = m.TurmaID JOIN Disciplina d ON d.DisciplinaID = t.DisciplinaID
     JOIN Curso c ON c.CursoID = d.CursoID""")
 def _(c):
+    # The small tables meet first, so the enrolments are moved at most once.
     steps = [
-        (c.Turma.select("TurmaID", "DisciplinaID", "CodigoTurma"), "TurmaID"),
         (c.Disciplina.select("DisciplinaID", "CursoID", F.col("Codigo").alias("DisciplinaCodigo")), "DisciplinaID"),
         (c.Curso.select("CursoID", F.col("Nome").alias("CursoNome")), "CursoID"),
     ]
-    out = j.chain(c.Matricula.select("MatriculaID", "TurmaID"), steps)
+    classes = j.chain(c.Turma.select("TurmaID", "DisciplinaID", "CodigoTurma"), steps)
+    out = j.chain(c.Matricula.select("MatriculaID", "TurmaID"), [(classes, "TurmaID")])
     return out.select("MatriculaID", "CodigoTurma", "DisciplinaCodigo", "CursoNome")
 
 

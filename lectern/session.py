@@ -62,7 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lectern/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, under one folder per application so it can be removed afterwards."""
+    return f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
