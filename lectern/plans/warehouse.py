@@ -20,8 +20,7 @@ from lectern.operators.aggregates import count_if, min_date, minute_counts, safe
 from lectern.operators.joins import chain, latest_per_key, missing, with_key
 from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
-from lectern.session import stage
-from lectern.sources.sinks import counted_write, publish, replace_where, replace_window
+from lectern.sources.sinks import counted_write, current, current_path, publish, replace_where, replace_window
 
 Tables = dict[str, DataFrame]
 
@@ -281,10 +280,15 @@ def _save(tables: Tables, root: str, counts: dict[str, int], day: str | None = N
     the cluster busy through the tail of each.
     """
     by, within = ([MONTH], [day]) if day else ([], [])
-    write = inheritable_thread_target(lambda name: counted_write(tables[name], f"{root}/{name}", by, within).get["rows"])
+    spark = next(iter(tables.values())).sparkSession
+
+    @inheritable_thread_target(spark)
+    def write(name: str) -> int:
+        return counted_write(tables[name], f"{root}/{name}", by, within).get["rows"]
+
     with ThreadPoolExecutor(len(tables)) as pool:
         counts.update(zip(tables, pool.map(write, tables)))
-    return {name: df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in tables.items()}
+    return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in tables.items()}
 
 
 def rebuild_warehouse(
@@ -308,29 +312,31 @@ def rebuild_warehouse(
 
 
 def refresh_window(
-    spark: SparkSession, src: Tables, root: str, as_of: dt.date, d0: dt.date, d1: dt.date
-) -> None:
-    """Rebuild the facts and KPIs of a window inside a built warehouse at ``root``.
+    spark: SparkSession, src: Tables, out: str, run: str, as_of: dt.date, d0: dt.date, d1: dt.date
+) -> DataFrame:
+    """Rebuild the facts and KPIs of a window of a built warehouse; everything outside stays.
 
-    Known dimension rows keep their surrogate keys, so older facts stay valid,
-    and only the months the window touches are read and rewritten.
+    Known dimension rows keep their surrogate keys, so older facts stay valid.
+    Dimensions and KPIs, which are small, are published as a new run; of the facts
+    only the months the window touches are read and rewritten in place.
     """
-    names = ("DimTempo", "DimCurso", "DimAluno", "DimTurma")
-    old = {name: spark.read.parquet(f"{root}/{name}") for name in names}
-    dims = {}
-    for name, df in build_dims(spark, src, d0, d1, as_of, old).items():
-        dims[name] = stage(df, name)
-        dims[name].write.mode("overwrite").parquet(f"{root}/{name}")
+    root, counts = f"{out}/run={run}", {}
+    old = {name: current(spark, out, name) for name in ("DimTempo", "DimCurso", "DimAluno", "DimTurma")}
+    dims = _save(build_dims(spark, src, d0, d1, as_of, old), root, counts)
+    publish(spark, out, run, counts)
     low, high = (int(d.strftime("%Y%m%d")) for d in (d0, d1))
-    months = F.col(MONTH).between(low // 100, high // 100)
+    months, goes = F.col(MONTH).between(low // 100, high // 100), F.col("TempoKey").between(low, high)
+    facts = []
     for name, df in build_facts(src, dims, d0, d1, as_of).items():
-        goes = F.col("TempoKey").between(low, high)
-        replace_where(_by_month(df), f"{root}/{name}", MONTH, months, goes, ["TempoKey"])
-    facts = [spark.read.parquet(f"{root}/{name}") for name in FACTS]
+        path = current_path(spark, out, name)
+        replace_where(_by_month(df), path, MONTH, months, goes, ["TempoKey"])
+        facts.append(spark.read.parquet(path))
     kpis = kpi_daily(dims["DimTempo"], *facts, d0, d1)
-    # Four rows a day: the whole table is rewritten.
-    kept = spark.read.parquet(f"{root}/KPI_Diario").filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
-    stage(kept.unionByName(kpis), "kpi").write.mode("overwrite").parquet(f"{root}/KPI_Diario")
+    kept = current(spark, out, "KPI_Diario").filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
+    last: dict[str, int] = {}
+    _save({"KPI_Diario": kept.unionByName(kpis)}, root, last)
+    publish(spark, out, run, last)
+    return spark.createDataFrame(list({**counts, **last}.items()), "table string, rows long")
 
 
 def rebuild_minute_metric(

@@ -12,7 +12,7 @@ from lectern.operators.joins import update_from
 from lectern.session import stage
 
 __all__ = [
-    "append", "ensure", "merge_add", "update_from", "overwrite_parts", "replace_where", "replace_window", "full_reload", "current",
+    "append", "ensure", "merge_add", "update_from", "overwrite_parts", "replace_where", "replace_window", "full_reload", "current", "current_path",
     "latest_version", "write_batch", "counted_write",
 ]
 
@@ -129,10 +129,14 @@ def publish(spark: SparkSession, out: str, run: str, counts: dict[str, int]) ->
     return done.select("table", "rows")
 
 
+def current_path(spark: SparkSession, out: str, table: str) -> str:
+    """Where the newest published run of the table lies."""
+    done = spark.read.parquet(f"{out}/published").filter(F.col("table") == table)
+    return f"{out}/run={done.agg(F.max('run')).first()[0]}/{table}"
+
+
 def current(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """The table of the newest published run."""
-    run = spark.read.parquet(f"{out}/published").agg(F.max("run")).first()[0]
-    return spark.read.parquet(f"{out}/run={run}/{table}")
+    return spark.read.parquet(current_path(spark, out, table))
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:

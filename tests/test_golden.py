@@ -114,22 +114,22 @@ def test_warehouse(spark, campus):
 def test_refresh_window_keeps_keys_and_other_days(spark, campus):
     out = work_path(spark, "test-refresh")
     w.rebuild_warehouse(spark, campus, out, "a", AS_OF)
-    root = f"{out}/run=a"
-    keys = dict(rows(spark.read.parquet(f"{root}/DimAluno"), "AlunoID", "AlunoKey"))
-    before = rows(spark.read.parquet(f"{root}/FatoFinanceiro").filter("TempoKey < 20260305"), "ParcelaID")
-    # A student with a smaller id joins, and every event and instalment of 10 March disappears.
+    keys = dict(rows(current(spark, out, "DimAluno"), "AlunoID", "AlunoKey"))
+    before = rows(current(spark, out, "FatoFinanceiro").filter("TempoKey < 20260305"), "ParcelaID")
+    # A student with a smaller id joins, and the instalments of 10 March disappear.
     extra = campus["Aluno"].filter("AlunoID = 1").withColumn("AlunoID", F.lit(0))
     src = dict(
         campus,
         Aluno=campus["Aluno"].unionByName(extra),
         ParcelaFinanceira=campus["ParcelaFinanceira"].filter("DataVencimento <> DATE '2026-03-10'"),
     )
-    w.refresh_window(spark, src, root, AS_OF, dt.date(2026, 3, 5), dt.date(2026, 3, 15))
-    now = dict(rows(spark.read.parquet(f"{root}/DimAluno"), "AlunoID", "AlunoKey"))
+    out_rows = w.refresh_window(spark, src, out, "b", AS_OF, dt.date(2026, 3, 5), dt.date(2026, 3, 15))
+    assert dict(rows(out_rows, "table", "rows"))["DimAluno"] == 6
+    now = dict(rows(current(spark, out, "DimAluno"), "AlunoID", "AlunoKey"))
     assert now.pop(0) == 6 and now == keys
-    assert rows(spark.read.parquet(f"{root}/FatoFinanceiro"), "ParcelaID") == before
-    assert spark.read.parquet(f"{root}/FatoAcademico").count() == 6
-    kpi = spark.read.parquet(f"{root}/KPI_Diario")
+    assert rows(current(spark, out, "FatoFinanceiro"), "ParcelaID") == before
+    assert current(spark, out, "FatoAcademico").count() == 6
+    kpi = current(spark, out, "KPI_Diario")
     assert kpi.count() == 80
     assert kpi.filter("DataRef = DATE '2026-03-10' AND KPIName = 'INADIMPLENCIA_VALOR'").first()["KPIValue"] == 0
 

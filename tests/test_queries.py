@@ -1,6 +1,8 @@
 """Every registered query against its SQL in DuckDB, whole tables, smallest data set."""
 
 import collections
+import contextlib
+import io
 import os
 
 import duckdb
@@ -23,6 +25,21 @@ def duck():
     return con
 
 
+def plan_text(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def test_windows_and_columns_reach_the_scan(spark):
+    plan = plan_text(entry_module.queries()["date_window_filter"](spark, FOLDER))
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    plan = plan_text(entry_module.queries()["seat_occupancy"](spark, FOLDER))
+    assert "l_extendedprice" not in plan and "o_totalprice" not in plan
+
+
 def test_every_query_has_a_check():
     assert set(entry_module.oracle_sql()) == set(entry_module.queries())
 
@@ -30,6 +47,8 @@ def test_every_query_has_a_check():
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query(spark, duck, name):
     df = entry_module.queries()[name](spark, FOLDER)
+    plan = plan_text(df)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "BatchEvalPython" not in plan
     want = duck.sql(entry_module.oracle_sql()[name])
     kinds = {c: str(t) for c, t in zip(want.columns, want.types)}
     assert dict(df.dtypes) == {c: KINDS.get(t, t.lower()) for c, t in kinds.items()}
