@@ -59,7 +59,8 @@ def _(c):
 
 GRADE_REQUESTS = """
     SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_suppkey AS STRING)) AS RequestID,
-        CASE WHEN l_linenumber = 7 THEN 'none' ELSE concat(CAST(o_custkey AS STRING), '-', CAST(l_partkey AS STRING)) END AS MatriculaID,
+        CASE WHEN l_linenumber = 7 THEN 'none' ELSE concat(CAST(o_custkey AS STRING), '-', CAST(l_partkey AS STRING))
+        END AS MatriculaID,
         l_shipdate AS RequestedAt, CAST(l_quantity * 0.22 AS DECIMAL(5,2)) AS NotaFinal,
         CAST(l_discount * 1100 AS DECIMAL(5,2)) AS FrequenciaPercentual
     FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
@@ -283,7 +284,8 @@ def _(c):
 
 @query("rule_unique", rows_sql("ParcelaFinanceira", "ParcelaID", [
     ("ParcelaFinanceira.AlunoID_Competencia.unique", "Unique",
-     "(AlunoID, Competencia) IN (SELECT (AlunoID, Competencia) FROM ParcelaFinanceira GROUP BY AlunoID, Competencia HAVING count(*) > 1)")]))
+     "(AlunoID, Competencia) IN (SELECT (AlunoID, Competencia) FROM ParcelaFinanceira"
+     " GROUP BY AlunoID, Competencia HAVING count(*) > 1)")]))
 def _(c):
     return validate(c.ParcelaFinanceira, k.unique_rules("ParcelaFinanceira"), "ParcelaID")[1]
 

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from lectern.operators.joins import update_from
 from lectern.session import stage
 
-__all__ = [
-    "append", "ensure", "merge_add", "update_from", "overwrite_parts", "replace_where", "replace_window", "full_reload", "current", "current_path",
-    "latest_version", "write_batch", "counted_write",
-]
-
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)

@@ -60,3 +60,35 @@ def test_first_n_per_key(spark):
     w = Window.partitionBy("k").orderBy("name", "id")
     want = df.withColumn("p", F.row_number().over(w)).filter("p <= free").drop("p")
     assert same(first_n_per_key(df, "k", ["name", "id"], "free", spread=5), want)
+
+
+def test_skewed_joins_are_split(spark):
+    """The session settings let AQE split a hot join key, also where a grouping on that key follows."""
+    import contextlib
+    import io
+
+    small = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        fact = spark.range(1_500_000, numPartitions=12).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50_000).alias("k"), F.col("id").alias("v")
+        )
+        dim = spark.range(50_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+        for how in ("inner", "left", "left_semi"):
+            out = fact.join(dim, "k", how).groupBy("k").agg(F.sum("v").alias("s"))
+            assert out.collect()
+            plan = io.StringIO()
+            with contextlib.redirect_stdout(plan):
+                out.explain()
+            assert "skew=true" in plan.getvalue(), how
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v in (None, "<undefined>") else spark.conf.set(k, v)
