@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import HOT_ROWS, null_safe_join, split_hot, spread_position
+from lectern.operators.skew import HOT_ROWS, null_safe_join, row_position, split_hot, spread_position
+from lectern.session import stage
 
 # Output names of the six measures.
 ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD = (
@@ -21,12 +22,12 @@ def _by_windows(df: DataFrame, key: str, value: str, ties: Sequence[str], tiles:
     full = Window.partitionBy(key).orderBy(F.col(value).desc(), *ties)
     plain = Window.partitionBy(key).orderBy(F.col(value).desc())
     measures = {
-        ROW_NUMBER: F.row_number().over(full),
-        NTILE: F.ntile(tiles).over(full),
+        ROW_NUMBER: F.row_number().over(full).cast("long"),
+        NTILE: F.ntile(tiles).over(full).cast("long"),
         LAG: F.lag(value).over(full),
         LEAD: F.lead(value).over(full),
-        RANK: F.rank().over(plain),
-        DENSE_RANK: F.dense_rank().over(plain),
+        RANK: F.rank().over(plain).cast("long"),
+        DENSE_RANK: F.dense_rank().over(plain).cast("long"),
     }
     return df.withColumns({name: measures[name] for name in measures if name in want})
 
@@ -38,37 +39,33 @@ def _tile(position: Column, total: Column, tiles: int) -> Column:
     in_long = extra * (size + 1)
     long_tile = F.floor((position - 1) / (size + 1)) + 1
     short_tile = extra + F.floor((position - 1 - in_long) / F.nullif(size, F.lit(0))) + 1
-    return F.when(position <= in_long, long_tile).otherwise(short_tile).cast("int")
+    return F.when(position <= in_long, long_tile).otherwise(short_tile).cast("long")
 
 
-def _by_ranges(df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int, want: Sequence[str]) -> DataFrame:
+def _by_ranges(
+    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int, want: Sequence[str], hot_rows: int
+) -> DataFrame:
     """Same measures for groups too big for one task.
 
     The position comes from range partitions.  Everything else follows from it
-    and from the histogram of values, which a grade scale keeps short.
+    and from one row per (key, value): how many rows are ahead, how many share
+    the value, its place among the distinct values, and its two neighbours there.
     """
     numbered = spread_position(df, [key], [F.col(value).desc(), *[F.col(t) for t in ties]], ROW_NUMBER)
-    scale = Window.partitionBy(key).orderBy(F.col(value).desc())
-    ahead = scale.rowsBetween(Window.unboundedPreceding, -1)
-    hist = (
-        df.groupBy(key, value)
-        .agg(F.count("*").alias("_n"))
-        .select(
-            key,
-            value,
-            "_n",
-            F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"),
-            F.sum("_n").over(Window.partitionBy(key)).alias("_total"),
-            F.row_number().over(scale).alias("_dense"),
-            F.lag(value).over(scale).alias("_higher"),
-            F.lead(value).over(scale).alias("_lower"),
-        )
+    levels = numbered.groupBy(key, value).agg(
+        F.count("*").alias("_n"), (F.min(ROW_NUMBER) - 1).alias("_ahead")
     )
+    levels = stage(row_position(levels, [key], [F.col(value).desc()], "_dense", hot_rows), "levels")
+    higher = levels.select(key, (F.col("_dense") + 1).alias("_dense"), F.col(value).alias("_higher"))
+    lower = levels.select(key, (F.col("_dense") - 1).alias("_dense"), F.col(value).alias("_lower"))
+    hist = null_safe_join(levels, higher, [key, "_dense"], "left")
+    hist = null_safe_join(hist, lower, [key, "_dense"], "left")
+    hist = null_safe_join(hist, levels.groupBy(key).agg(F.sum("_n").alias("_total")), [key])
     joined = null_safe_join(numbered, hist, [key, value])
     place, ahead_of = F.col(ROW_NUMBER), F.col("_ahead")
     measures = {
         ROW_NUMBER: place,
-        RANK: (ahead_of + 1).cast("int"),
+        RANK: ahead_of + 1,
         DENSE_RANK: F.col("_dense"),
         NTILE: _tile(place, F.col("_total"), tiles),
         LAG: F.when(place == ahead_of + 1, F.col("_higher")).otherwise(F.col(value)),
@@ -92,7 +89,7 @@ def rank_within(
     done = _by_windows(ordinary, key, value, ties, tiles, want)
     if hot is None:
         return done
-    return done.unionByName(_by_ranges(hot, key, value, ties, tiles, want))
+    return done.unionByName(_by_ranges(hot, key, value, ties, tiles, want, hot_rows))
 
 
 def class_ranking(

@@ -50,7 +50,7 @@ def spread_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     )
     position = F.col("_before") + F.col("_idx") - F.col("_first") + 1
     joined = null_safe_join(placed, runs, ["_part", *keys])
-    return joined.select(*df.columns, position.cast("int" if keys else "long").alias(out))
+    return joined.select(*df.columns, position.cast("long").alias(out))
 
 
 def split_hot(
@@ -74,7 +74,7 @@ def row_position(
     """``row_number`` by one window for ordinary groups, by ranges for hot ones."""
     ordinary, hot = split_hot(df, keys, limit)
     window = Window.partitionBy(*keys).orderBy(*order)
-    done = ordinary.withColumn(out, F.row_number().over(window))
+    done = ordinary.withColumn(out, F.row_number().over(window).cast("long"))
     return done if hot is None else done.unionByName(spread_position(hot, keys, order, out))
 
 

@@ -168,7 +168,7 @@ def fact_telemetry(events: DataFrame, dim_student_: DataFrame, d0: dt.date, d1:
     keyed = with_key(part, dim_student_, "AlunoID", "AlunoKey", "left")
     mean = (F.sum("_ms") / F.nullif(F.sum("_timed"), F.lit(0))).cast("decimal(22,6)").cast("decimal(18,2)")
     return keyed.groupBy(date_key("_day").alias("TempoKey"), "EventTypeID", "AlunoKey", "SessionID").agg(
-        F.sum("_n").cast("int").alias("Eventos"),
+        F.sum("_n").alias("Eventos"),
         mean.alias("DuracaoMediaMs"),
         F.sum("_value").cast("decimal(18,4)").alias("ValorNumericoSoma"),
     )

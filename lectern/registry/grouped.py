@@ -301,10 +301,10 @@ def _(c):
 FULL = "OVER (PARTITION BY TurmaID ORDER BY NotaFinal DESC NULLS LAST, NomeAluno ASC NULLS FIRST, MatriculaID ASC NULLS FIRST)"
 PLAIN = "OVER (PARTITION BY TurmaID ORDER BY NotaFinal DESC NULLS LAST)"
 MEASURE_SQL = {
-    r.ROW_NUMBER: f"CAST(row_number() {FULL} AS INTEGER)",
-    r.RANK: f"CAST(rank() {PLAIN} AS INTEGER)",
-    r.DENSE_RANK: f"CAST(dense_rank() {PLAIN} AS INTEGER)",
-    r.NTILE: f"CAST(ntile(4) {FULL} AS INTEGER)",
+    r.ROW_NUMBER: f"row_number() {FULL}",
+    r.RANK: f"rank() {PLAIN}",
+    r.DENSE_RANK: f"dense_rank() {PLAIN}",
+    r.NTILE: f"ntile(4) {FULL}",
     r.LAG: f"lag(NotaFinal) {FULL}",
     r.LEAD: f"lead(NotaFinal) {FULL}",
 }

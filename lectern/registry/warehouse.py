@@ -100,7 +100,7 @@ def finance_sql(d0: dt.date, d1: dt.date, as_of: dt.date) -> str:
 
 def telemetry_sql(d0: dt.date, d1: dt.date) -> str:
     return f"""SELECT {key_sql('e.OccurredAt')} AS TempoKey, e.EventTypeID, da.AlunoKey, e.SessionID,
-        CAST(count(*) AS INTEGER) AS Eventos,
+        count(*) AS Eventos,
         {mean2('sum(e.DurationMs)', 'count(e.DurationMs)', 'DECIMAL(18,2)', 0)} AS DuracaoMediaMs,
         CAST(sum(coalesce(e.NumericValue, 0)) AS DECIMAL(18,4)) AS ValorNumericoSoma
     FROM EventStream e LEFT JOIN da ON da.AlunoID = e.AlunoID

@@ -220,7 +220,7 @@ _table("analytics", "FatoFinanceiro", "ParcelaID", """
 """, AtualizadoEm=NOW)
 
 _table("analytics", "FatoTelemetria", "TempoKey", """
-    TempoKey INT NOT NULL, EventTypeID INT NOT NULL, AlunoKey INT, SessionID BIGINT, Eventos INT NOT NULL,
+    TempoKey INT NOT NULL, EventTypeID INT NOT NULL, AlunoKey INT, SessionID BIGINT, Eventos BIGINT NOT NULL,
     DuracaoMediaMs DECIMAL(18,2), ValorNumericoSoma DECIMAL(18,4), CriadoEm TIMESTAMP_NTZ NOT NULL
 """, CriadoEm=NOW)
 

@@ -41,6 +41,11 @@ def test_ranking_split_equals_window(spark):
     assert same(few, whole.drop(*[m for m in ALL if m != "Quartil"]))
 
 
+def test_ranking_split_with_many_distinct_and_null_values(spark):
+    df = skewed(spark).withColumn("v", F.when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 1999).cast("int"))
+    assert same(rank_within(df, "k", "v", ["id"], hot_rows=150), rank_within(df, "k", "v", ["id"]))
+
+
 def test_tiles_with_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(1, 5, i) for i in range(3)] + [(2, 1, 9)], "k int, v int, id int")
     assert same(rank_within(df, "k", "v", ["id"], hot_rows=0), rank_within(df, "k", "v", ["id"]))
