@@ -106,17 +106,27 @@ def default_uuid(c) -> Column:
     return F.coalesce(_c(c), F.uuid())
 
 
-def _loads_as_document(text) -> bool:
-    try:
-        return isinstance(json.loads(text), (dict, list))
-    except ValueError:
-        return False
+def _strict_json_udf():
+    # Nested, so the function travels to the workers by value: they need not
+    # have this package installed.
+    def check(texts: pd.Series) -> pd.Series:
+        def is_document(text):
+            try:
+                return isinstance(json.loads(text), (dict, list))
+            except ValueError:
+                return False
 
+        return texts.map(lambda t: None if t is None else is_document(t)).astype("object")
 
-@F.pandas_udf(BooleanType())
-def is_json_strict(texts: pd.Series) -> pd.Series:
+    return F.pandas_udf(check, BooleanType())
+
+
+_STRICT_JSON = _strict_json_udf()
+
+
+def is_json_strict(c) -> Column:
     """Whole-text JSON check: no trailing text, no bare scalars; NULL stays NULL."""
-    return texts.map(lambda t: None if t is None else _loads_as_document(t)).astype("object")
+    return _STRICT_JSON(_c(c))
 
 
 def is_json(c, strict: bool = False) -> Column:
