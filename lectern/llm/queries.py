@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.packing import pack
 from lectern.llm.token_counts import token_count
 from lectern.session import configure
 
@@ -37,3 +38,12 @@ def op4_token_counts(spark, folder):
         token_count(F.col("text"), public_tokenizers.path("piece_bpe_32k.model")).alias("n_tokens"),
     )
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op8_packing(spark, folder):
+    docs = table(spark, folder, "documents")
+    pieces = pack(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
