@@ -20,8 +20,10 @@ A retried task reads the same split in the same order and gives the same pieces.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ from lectern.llm.text import LOWER, SPACE, Run, hash_ranges, runs
 WINDOW_IDS = 2_000_000
 RESERVE = 64
 CACHE = 600_000
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # composed letters whose lower case is one letter
 
 
 class WordIds:
@@ -43,7 +46,7 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
         letters = [*range(0x41, 0x5B), *range(0x61, 0x7B)]
@@ -52,6 +55,8 @@ class WordIds:
         cut[np.ix_(letters, marks)] = cut[np.ix_(marks, letters)] = True
         cut |= SPACE[:, None] ^ SPACE[None, :]
         self.cut = cut
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self._clear()
 
     def _clear(self):
@@ -90,12 +95,10 @@ class WordIds:
         new = [k for k, v in enumerate(got) if v is None]
         if new:
             raw = run.data.tobytes()
-            made = self.model.encode_batch_fast(
-                [raw[starts[k] : ends[k]].decode() for k in new], add_special_tokens=False
-            )
-            lists = [x.ids for x in made]
+            where = zip(starts[new].tolist(), ends[new].tolist())
+            lists = self._encode([raw[a:b].decode() for a, b in where])
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
             at = len(self.index)
             self.flat = _grown(self.flat, self.used + len(flat))
             self.start, self.size = _grown(self.start, at + len(new)), _grown(self.size, at + len(new))
@@ -103,10 +106,23 @@ class WordIds:
             self.start[at : at + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.size[at : at + len(new)] = sizes
             self.used += len(flat)
-            for n, k in enumerate(new):
-                got[k] = self.index[int(hashes[k])] = at + n
+            self.index.update(zip(hashes[new].tolist(), range(at, at + len(new))))
+            for n, k in enumerate(new, at):
+                got[k] = n
         return np.array(got, np.int64)
 
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word; one of plain Latin letters is a single pre-token and goes straight to the merges."""
+        split, letters, tokenize = PLAIN.fullmatch, self.letters, self.model.model.tokenize
+        lists = [
+            [t.id for t in tokenize(w.lower().translate(letters))] if split(w) else None for w in words
+        ]
+        other = [n for n, x in enumerate(lists) if x is None]
+        made = self.model.encode_batch_fast([words[n] for n in other], add_special_tokens=False)
+        for n, x in zip(other, made):
+            lists[n] = x.ids
+        return lists
+
 
 def _grown(a: np.ndarray, n: int) -> np.ndarray:
     return a if len(a) >= n else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])

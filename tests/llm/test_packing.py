@@ -22,7 +22,7 @@ def library(texts):
 
 def test_ids_are_the_librarys():
     rng = random.Random(2)
-    alphabet = ["a", "The", " ", "  ", "\n", "'s", "'LL", "é", "é", "́", "Σ", "漢", "😀", "<|endoftext|>", "<|EndOfText|>",
+    alphabet = ["a", "The", "É", "ñ", "ÿ", "ç", "Ü", " ", "  ", "\n", "'s", "'LL", "é", "é", "́", "Σ", "漢", "😀", "<|endoftext|>", "<|EndOfText|>",
                 "»", ".", "...", ",", "1", "23", " ", "\x00", "-", "|", "İ", "ß"]
     texts = ["", None, " ", "x" * 3000, "it's, isn't. it"] + ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(4000)]
     words, got = packing.WordIds(PATH), []
