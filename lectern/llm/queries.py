@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm import quality
 from lectern.llm.packing import pack
 from lectern.llm.token_counts import token_count
-from lectern.session import configure
+from lectern.operators.skew import null_safe_join
+from lectern.session import configure, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
+# Quality: a line in more than so many documents of a source goes; a document must keep this part of its words.
+LINE_LIMIT, LEAST_KEPT = 20, 0.5
+
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,3 +52,18 @@ def op8_packing(spark, folder):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op7_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    rows = stage(quality.measured(docs, "doc_id", "text", "source"), "lines")
+    depleted = quality.verdicts(rows, quality.frequent_lines(rows, LINE_LIMIT), LEAST_KEPT)
+    joined = null_safe_join(rows.drop("host", "lines"), depleted, ["key"], "left")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return joined.select(
+        F.col("key").alias("doc_id"), *quality.MEASURES, failed.alias("base_failed"),
+        (~failed & ~F.coalesce("depleted", F.lit(False))).alias("kept"),
+        F.coalesce("lines_removed", F.lit(0)).alias("lines_removed"),
+        F.coalesce("words_removed", F.lit(0)).alias("words_removed"),
+    )

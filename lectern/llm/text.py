@@ -112,13 +112,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
     """64-bit hash of each byte range, equal for equal bytes (after ``table``) wherever they stand."""
-    values = (data if table is None else table[data]).astype(np.uint64)
-    values += np.uint64(1)
-    values *= _power("up", _BASE, len(data) + 1)[: len(data)]
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values, out=total[1:])
+    return hash_sequences((data if table is None else table[data]).astype(np.uint64), starts, ends)
+
+
+def hash_sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of 64-bit values."""
+    n = len(values)
+    terms = (values + np.uint64(1)) * _power("up", _BASE, n + 1)[:n]
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(terms, out=total[1:])
     h = total[ends] - total[starts]
-    h *= _power("down", _INVERSE, len(data) + 1)[starts]
+    h *= _power("down", _INVERSE, n + 1)[starts]
     return mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
