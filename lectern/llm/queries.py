@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import quality
+from lectern.llm.jaccard import jaccard_components
 from lectern.llm.packing import pack
 from lectern.llm.token_counts import token_count
 from lectern.operators.skew import null_safe_join
@@ -67,3 +68,9 @@ def op7_quality(spark, folder):
         F.coalesce("lines_removed", F.lit(0)).alias("lines_removed"),
         F.coalesce("words_removed", F.lit(0)).alias("words_removed"),
     )
+
+
+@query
+def op6_ngram_jaccard(spark, folder):
+    found = jaccard_components(table(spark, folder, "documents"), "doc_id", "text", width=4, percent=85)
+    return found.toDF("doc_id", "n_shingles", "component_id")
