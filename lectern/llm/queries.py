@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import quality
 from lectern.llm.jaccard import jaccard_components
+from lectern.llm.language import fit, language
 from lectern.llm.packing import pack
 from lectern.llm.token_counts import token_count
 from lectern.operators.skew import null_safe_join
@@ -74,3 +75,16 @@ def op7_quality(spark, folder):
 def op6_ngram_jaccard(spark, folder):
     found = jaccard_components(table(spark, folder, "documents"), "doc_id", "text", width=4, percent=85)
     return found.toDF("doc_id", "n_shingles", "component_id")
+
+
+def held_out():
+    """Rows never learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+@query
+def op2_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = fit(docs.filter(~held_out()), "doc_id", "text", "lang")
+    found = docs.select("doc_id", held_out().alias("held_out"), language(model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
