@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import quality
+from lectern.llm import quality, toxicity
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
 from lectern.llm.packing import pack
@@ -88,3 +88,21 @@ def op2_language(spark, folder):
     model = fit(docs.filter(~held_out()), "doc_id", "text", "lang")
     found = docs.select("doc_id", held_out().alias("held_out"), language(model, F.col("text")).alias("p"))
     return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+# A document with this score or more counts as toxic.
+TOXIC_FROM = 0.3
+
+
+def toxic_model(docs, labels):
+    """Learn from the labelled rows that are not held out."""
+    labelled = docs.filter(~held_out()).join(labels.select("doc_id", "toxic"), "doc_id")
+    return toxicity.fit(labelled, "doc_id", "text", "toxic")
+
+
+@query
+def op3_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxic_model(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.toxicity(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
