@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import quality, toxicity
+from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
 from lectern.llm.packing import pack
@@ -106,3 +107,10 @@ def op3_toxicity(spark, folder):
     model = toxic_model(docs, table(spark, folder, "labels"))
     scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.toxicity(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+@query
+def op9_embeddings(spark, folder):
+    found = near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", 0.93)
+    found = found.toDF("vec_id", "n_links", "component_id")
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
