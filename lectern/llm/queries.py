@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import quality, toxicity
+from lectern.llm import chat, quality, toxicity
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -114,3 +114,12 @@ def op9_embeddings(spark, folder):
     found = near_duplicates(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", 0.93)
     found = found.toDF("vec_id", "n_links", "component_id")
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query
+def op1_chat(spark, folder):
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], conversations.schema)
+    pieces = chat.format_conversations(conversations.unionByName(added), "conv_id", "turn", "role", "text")
+    return chat.digests(pieces).withColumnRenamed("conversation", "conv_id")
