@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, quality, toxicity
+from lectern.llm import chat, quality, toxicity, warc
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -123,3 +123,18 @@ def op1_chat(spark, folder):
     added = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], conversations.schema)
     pieces = chat.format_conversations(conversations.unionByName(added), "conv_id", "turn", "role", "text")
     return chat.digests(pieces).withColumnRenamed("conversation", "conv_id")
+
+
+@query
+def op10_warc(spark, folder):
+    read = warc.round_trip(table(spark, folder, "pages"), "page_id", "url", "html")
+    return read.withColumnsRenamed({"page": "page_id", "type": "record_type"})
+
+
+CHECKS["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload) ELSE page_id END AS least FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, nullif(least, page_id) AS refers_to
+FROM f
+"""
