@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, quality, toxicity, warc
+from lectern.llm import chat, pieces, quality, toxicity, warc
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -138,3 +138,17 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, d AS payload_d
        CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, nullif(least, page_id) AS refers_to
 FROM f
 """
+
+
+@query
+def op5_pieces(spark, folder):
+    """Two sampled segmentations of each text, and whether they decode to it."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("own", F.xxhash64(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))))
+    made = pieces.sampled(docs, "doc_id", "text", model, k=2, keep=["own"])
+    return made.select(
+        "doc_id", "sample", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+        "log_prob", "perturbed", F.exp("log_inclusion").alias("inclusion"), "log_inclusion",
+        (F.xxhash64(pieces.decode(F.col("ids"), model)) == F.col("own")).alias("decoded"),
+    )
