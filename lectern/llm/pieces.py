@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.text import Run, hash_ranges, mix, runs
+from lectern.llm.text import Run, hash_ranges, hash_sequences, mix, runs
 from lectern.llm.token_counts import MARK, PieceMerges
 
 MOST_EDGES = 3_000_000
@@ -64,9 +64,17 @@ class Lattices:
         self.longest = max(map(len, self.weight))
         self.byte = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.fallback = -alpha * math.log(n + 1)
+        # The pieces by the hash of their characters.
+        code, starts, ends = _characters(list(self.weight))
+        hashes = hash_sequences(code, starts, ends)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.weights = np.array(list(self.weight.values()))[order]
+        self.numbers = np.array(list(self.number.values()), np.int32)[order]
+        # Characters without a piece are numbered from first_extra on, with the ids of their bytes.
         self.first_extra = n
-        self.extra: dict[str, int] = {}  # characters without a piece, as numbers from first_extra on
-        self.extra_ids: list[list[int]] = []
+        self.extra: dict[int, int] = {}
+        self.extra_at, self.extra_ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
         self._clear()
 
     def _clear(self):
@@ -74,28 +82,17 @@ class Lattices:
         self.cum, self.logp, self.piece, self.step, self.end = (np.zeros(0, t) for t in "f8 f8 i4 i4 ?".split())
         self.edges_at = np.zeros(1, np.int64)
 
-    def _edges(self, part: str, rows: list) -> None:
-        """Append (node edges) of a part, first node first: lists of (log probability, piece, length)."""
-        weight, number, n = self.weight, self.number, len(part)
-        beta, made = [0.0] * (n + 1), [None] * n
-        for i in range(n - 1, -1, -1):
-            own = []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                w = weight.get(part[i:j])
-                if w is not None:
-                    own.append((w + beta[j], number[part[i:j]], j - i))
-            if part[i] not in weight:
-                own.append((self.fallback * len(part[i].encode()) + beta[i + 1], self._extra(part[i]), 1))
-            top = max(own)[0]
-            beta[i] = total = top + math.log(sum([math.exp(x[0] - top) for x in own]))
-            made[i] = [(x - total, p, k) for x, p, k in own]
-        rows.append(made)
-
-    def _extra(self, c: str) -> int:
-        if c not in self.extra:
-            self.extra[c] = self.first_extra + len(self.extra)
-            self.extra_ids.append([self.byte[b] for b in c.encode()])
-        return self.extra[c]
+    def _extras(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of characters that are no piece."""
+        for c in np.unique(codes).tolist():
+            if c not in self.extra:
+                ids = [self.byte[b] for b in chr(c).encode()]
+                self.extra[c] = self.first_extra + len(self.extra)
+                self.extra_ids = np.append(self.extra_ids, np.array(ids, "<u4"))
+                self.extra_at = np.append(self.extra_at, len(self.extra_ids))
+        number = np.array([self.extra[c] for c in codes.tolist()], np.int64)
+        size = np.diff(self.extra_at)[number - self.first_extra]
+        return number, self.fallback * size
 
     def entries(self, run: Run, starts, ends) -> np.ndarray:
         """First node of each part of a run."""
@@ -106,32 +103,64 @@ class Lattices:
         names = distinct.tolist()
         new = [k for k, h in enumerate(names) if h not in self.entry]
         if new:
-            raw, rows = run.data.tobytes(), []
-            for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist()):
-                self._edges(raw[a:b].decode().replace(" ", MARK), rows)
-            self._append([names[k] for k in new], rows)
+            raw = run.data.tobytes()
+            where = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._append([names[k] for k in new], [raw[a:b].decode().replace(" ", MARK) for a, b in where])
         return np.fromiter(map(self.entry.__getitem__, names), np.int64, len(names))[back]
 
-    def _append(self, names: list, rows: list) -> None:
-        node = len(self.edges_at) - 1
-        for name, made in zip(names, rows):
-            self.entry[name] = node
-            node += len(made)
-        nodes = [(own, len(made) - i) for made in rows for i, own in enumerate(made)]
-        size = np.fromiter((len(own) for own, _ in nodes), np.int64, len(nodes))
-        flat = np.array([edge for own, _ in nodes for edge in own])
-        logp, piece, step = flat[:, 0], flat[:, 1].astype(np.int32), flat[:, 2].astype(np.int32)
-        owner = np.repeat(np.arange(len(nodes)), size)
-        edges_at = np.concatenate([[0], np.cumsum(size)])
-        running = np.cumsum(np.exp(logp))
-        running -= (running - np.exp(logp))[edges_at[:-1]][owner]
-        number = len(self.edges_at) - 1 + owner
-        cum = number + np.minimum(running, 1.0)
-        cum[edges_at[1:] - 1] = number[edges_at[1:] - 1] + 1.0
-        left = np.fromiter((rest for _, rest in nodes), np.int64, len(nodes))
+    def _append(self, names: list, parts: list[str]) -> None:
+        """Add the lattices of new parts: a node for each character, its edges in order of length."""
+        code, starts, ends = _characters(parts)
+        n = len(code)
+        left = np.repeat(ends, ends - starts) - np.arange(n)  # characters to the part's end
+        node, length, piece, weight = [], [], [], []
+        for k in range(1, self.longest + 1):
+            at = np.flatnonzero(left >= k)
+            if not len(at):
+                break
+            h = hash_sequences(code, at, at + k)
+            found = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = self.hashes[found] == h
+            node.append(at[hit])
+            piece.append(self.numbers[found[hit]])
+            weight.append(self.weights[found[hit]])
+            if k == 1 and not hit.all():
+                number, penalty = self._extras(code[at[~hit]])
+                node.append(at[~hit])
+                piece.append(number)
+                weight.append(penalty)
+            length += [np.full(len(x), k) for x in node[len(length) :]]
+        node, length, piece, weight = (np.concatenate(x) for x in (node, length, piece, weight))
+        # Sums of weights to the end, nodes nearest to an end first.
+        order = np.lexsort((length, node, left[node]))
+        node, length, piece, weight = node[order], length[order], piece[order], weight[order]
+        beta, value = np.zeros(n), np.empty(len(node))
+        edges = np.searchsorted(left[node], np.arange(1, int(left.max()) + 2))
+        for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if low == high:
+                continue
+            own = node[low:high]
+            v = weight[low:high] + np.where(length[low:high] < left[own], beta[np.minimum(own + length[low:high], n - 1)], 0.0)
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            top = np.maximum.reduceat(v, first)
+            size = np.diff(np.append(first, high - low))
+            beta[own[first]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, size)), first))
+            value[low:high] = v
+        logp = value - beta[node]
+        order = np.lexsort((length, node))
+        node, length, piece, logp = node[order], length[order], piece[order], logp[order]
+        edges_at = np.searchsorted(node, np.arange(n + 1))
+        share = np.exp(logp)
+        running = np.cumsum(share)
+        running -= (running - share)[edges_at[:-1]][node]
+        base = len(self.edges_at) - 1
+        cum = base + node + np.minimum(running, 1.0)
+        cum[edges_at[1:] - 1] = base + np.arange(n) + 1.0
+        self.entry.update(zip(names, (base + starts).tolist()))
         self.edges_at = np.concatenate([self.edges_at, self.edges_at[-1] + edges_at[1:]])
-        for name, new in (("cum", cum), ("logp", logp), ("piece", piece), ("step", step), ("end", step == left[owner])):
-            setattr(self, name, np.concatenate([getattr(self, name), new]))
+        for name, new in (("cum", cum), ("logp", logp), ("piece", piece), ("step", length), ("end", length == left[node])):
+            have = getattr(self, name)
+            setattr(self, name, np.concatenate([have, new.astype(have.dtype)]))
 
     def walk(self, node: np.ndarray, seed: np.ndarray, place: np.ndarray):
         """Draw a path from each node to its part's end: (walker, edge, place) of all steps, by walker."""
@@ -139,7 +168,11 @@ class Lattices:
         taken = [(np.zeros(0, np.int64),) * 3]
         while len(walker):
             value = np.minimum(node + _uniform(seed, place), node + (1 - 1e-9))
-            edge = np.searchsorted(self.cum, value, "right")
+            edge = self.edges_at[node]  # then on to the first edge above the value: few edges leave a node
+            on = np.flatnonzero(self.cum[edge] <= value)
+            while len(on):
+                edge[on] += 1
+                on = on[self.cum[edge[on]] <= value[on]]
             taken.append((walker, edge, place))
             on = ~self.end[edge]
             step = self.step[edge][on]
@@ -154,10 +187,27 @@ class Lattices:
     def ids(self, edge: np.ndarray) -> np.ndarray:
         """Model ids of the pieces of edges; a character without a piece gives those of its bytes."""
         piece = self.piece[edge]
-        if not len(piece) or piece.max() < self.first_extra:
+        other = np.flatnonzero(piece >= self.first_extra)
+        if not len(other):
             return piece.astype("<u4")
-        lists = [[p] if p < self.first_extra else self.extra_ids[p - self.first_extra] for p in piece.tolist()]
-        return np.array([i for x in lists for i in x], "<u4")
+        number = piece[other] - self.first_extra
+        size = np.ones(len(piece), np.int64)
+        size[other] = np.diff(self.extra_at)[number]
+        last = np.cumsum(size)
+        out = np.empty(last[-1], "<u4")
+        out[last - size] = np.minimum(piece, self.first_extra)
+        spread = np.arange(size[other].sum()) - np.repeat(np.cumsum(size[other]) - size[other], size[other])
+        out[np.repeat((last - size)[other], size[other]) + spread] = self.extra_ids[
+            np.repeat(self.extra_at[number], size[other]) + spread
+        ]
+        return out
+
+
+def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts in a row, and each one's start and end."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(size)
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64), ends - size, ends
 
 
 def _left_behind(lattices: Lattices, edge, place, seed, start: float, bound: float):
