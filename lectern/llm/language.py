@@ -267,8 +267,8 @@ def fit(
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     ids = usable.filter(F.col("label").isin(names)).select("key", "label")
     ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language).select("key").distinct()
-    # At most per_language * MOST_LANGUAGES keys: the bound of what is gathered here.
-    sample = usable.join(ids, "key", "left_semi").orderBy("key", "label", "text").limit(per_language * MOST_LANGUAGES)
+    # At most per_language * MOST_LANGUAGES keys: the bound of what is broadcast and gathered here.
+    sample = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(per_language * MOST_LANGUAGES)
     rows = sample.select("text", "label").collect()
     return learn([r.text for r in rows], [r.label for r in rows])
 

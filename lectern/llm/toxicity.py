@@ -225,8 +225,8 @@ def fit(
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     ids = usable.select("key", "label").withColumn("place", F.row_number().over(order))
     ids = ids.filter(F.col("place") <= per_class).select("key").distinct()
-    # At most 2 * per_class keys of bounded texts are gathered here.
-    rows = usable.join(ids, "key", "left_semi").orderBy("key", "label", "text").limit(2 * per_class)
+    # At most 2 * per_class keys: the bound of what is broadcast and gathered here.
+    rows = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(2 * per_class)
     rows = rows.select("text", "label").toArrow()
     return learn(rows["text"].to_pylist(), rows["label"].to_pylist(), prior)
 
