@@ -23,6 +23,7 @@ fixed weight.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,28 +118,31 @@ def _find_voters(texts: pa.Array, toxic: np.ndarray, precision: float = 0.9) ->
 
     The least support is such that chance would give a hundredth of a feature.
     """
-    pairs = []
-    for run in runs(texts, 1 << 22):
-        text, feature = _features(run)
-        order = np.lexsort((feature, text))
-        text, feature = text[order], feature[order]
-        fresh = np.ones(len(text), bool)
-        fresh[1:] = (text[1:] != text[:-1]) | (feature[1:] != feature[:-1])
-        pairs.append((text[fresh] + run.first, feature[fresh]))
-    text, feature = (np.concatenate(x) for x in zip(*pairs))
-    bad = toxic[text]
-    names, back, support = np.unique(feature[bad], return_inverse=True, return_counts=True)
-    at = np.minimum(np.searchsorted(names, feature[~bad]), len(names) - 1)
-    clean = np.bincount(at[names[at] == feature[~bad]], minlength=len(names))
-    least = max(4, math.ceil(math.log(100 * len(names)) / -math.log(toxic.mean())))
+    # How many toxic texts have a feature of each bucket; a feature of a rare bucket is rare itself.
+    bucket = np.zeros(1 << 22, np.int64)
+    bad = texts.filter(pa.array(toxic))
+    for _, feature in _distinct_pairs(bad):
+        bucket += np.bincount((feature >> np.uint64(42)).astype(np.int64), minlength=len(bucket))
+    least = max(4, math.ceil(math.log(100 * max(np.count_nonzero(bucket), 1)) / -math.log(toxic.mean())))
+    kept = [
+        (text[often], feature[often]) for text, feature in _distinct_pairs(bad)
+        for often in [bucket[(feature >> np.uint64(42)).astype(np.int64)] >= least]
+    ]
+    holders, features = (np.concatenate(x) for x in zip(*kept))
+    names, back, support = np.unique(features, return_inverse=True, return_counts=True)
+    if not len(names):
+        return names
+    clean = np.zeros(len(names), np.int64)
+    for _, feature in _distinct_pairs(texts.filter(pa.array(~toxic))):
+        at = np.minimum(np.searchsorted(names, feature), len(names) - 1)
+        clean += np.bincount(at[names[at] == feature], minlength=len(names))
     good = (support >= least) & (support >= precision * (support + clean))
-    holders = text[bad]
     keep = good[back]
     back, holders = back[keep], holders[keep]
     order = np.argsort(back, kind="stable")
     back, holders = back[order], holders[order]
     edges = np.searchsorted(back, np.arange(len(names) + 1))
-    explained = np.zeros(len(toxic), np.int64)
+    explained = np.zeros(len(bad), np.int64)
     chosen = []
     # Wide support first; of equal support the one with fewer clean texts.
     for k in sorted(np.flatnonzero(good).tolist(), key=lambda k: (-support[k], clean[k], int(names[k]))):
@@ -151,6 +155,17 @@ def _find_voters(texts: pa.Array, toxic: np.ndarray, precision: float = 0.9) ->
     return np.array(chosen, np.uint64)
 
 
+def _distinct_pairs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, feature) without repeats, a run of texts at a time."""
+    for run in runs(texts):
+        text, feature = _features(run)
+        order = np.lexsort((feature, text))
+        text, feature = text[order], feature[order]
+        fresh = np.ones(len(text), bool)
+        fresh[1:] = (text[1:] != text[:-1]) | (feature[1:] != feature[:-1])
+        yield text[fresh] + run.first, feature[fresh]
+
+
 def label_model(voted: np.ndarray, given: np.ndarray, prior: float, rounds: int = 15, trust: float = 0.95) -> np.ndarray:
     """Probability that each row is toxic, from votes (row x voter) and noisy given labels (nan: none)."""
     n, m = voted.shape
@@ -192,16 +207,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 15
     return w, b
 
 
-def learn(texts: list[str], labels: list[int], prior: float) -> Model:
+def learn(texts: pa.Array, labels: np.ndarray, prior: float) -> Model:
     """Fit on whole texts with labels 0 and 1; ``prior`` is the share of 1 among all labelled rows."""
     fixed = lexicon_features()
-    toxic = np.array(labels) == 1
+    toxic = np.asarray(labels) == 1
     if not toxic.any() or toxic.all():
         return Model(fixed, np.full(len(fixed), 3.0), np.zeros(len(PATTERNS)), -3.0)
-    array = pa.array(texts, pa.large_string())
-    known = np.unique(np.concatenate([fixed, _find_voters(array, toxic)]))
+    known = np.unique(np.concatenate([fixed, _find_voters(texts, toxic)]))
     voted = np.zeros((len(texts), len(known) + len(PATTERNS)), np.float32)
-    for run in runs(array, 1 << 22):
+    for run in runs(texts):
         text, k = votes(run, known)
         voted[run.first + text, k] = 1
         voted[run.first : run.first + run.n, len(known) :] = _patterns(run)
@@ -228,7 +242,7 @@ def fit(
     # At most 2 * per_class keys: the bound of what is broadcast and gathered here.
     rows = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(2 * per_class)
     rows = rows.select("text", "label").toArrow()
-    return learn(rows["text"].to_pylist(), rows["label"].to_pylist(), prior)
+    return learn(rows["text"].combine_chunks(), rows["label"].to_numpy(), prior)
 
 
 def toxicity(model: Model, text: Column) -> Column:

@@ -42,7 +42,7 @@ def made(rng, n):
 
 def test_beginnings_are_learned_and_unseen_endings_found():
     texts, labels = made(np.random.default_rng(1), 600)
-    model = tox.learn(texts, labels, 1 / 3)
+    model = tox.learn(pa.array(texts), np.array(labels), 1 / 3)
     run = next(runs(pa.array(["a grumplixy here", "a Zorkish one", "a plain text", "", None, "you idiot"])))
     score = model.score(run)
     assert (score[:2] > 0.5).all() and (score[2:5] < 0.3).all()
