@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -106,37 +104,22 @@ def default_uuid(c) -> Column:
     return F.coalesce(_c(c), F.uuid())
 
 
-def _strict_json_udf():
-    # Nested, so the function travels to the workers by value: they need not
-    # have this package installed.
-    def check(texts: pd.Series) -> pd.Series:
-        def is_document(text):
-            try:
-                return isinstance(json.loads(text), (dict, list))
-            except ValueError:
-                return False
+def is_json(c) -> Column:
+    """Is the whole text one JSON object or array?  NULL stays NULL.
 
-        return texts.map(lambda t: None if t is None else is_document(t)).astype("object")
-
-    return F.pandas_udf(check, BooleanType())
-
-
-_STRICT_JSON = _strict_json_udf()
-
-
-def is_json_strict(c) -> Column:
-    """Whole-text JSON check: no trailing text, no bare scalars; NULL stays NULL."""
-    return _STRICT_JSON(_c(c))
-
-
-def is_json(c, strict: bool = False) -> Column:
-    """JSON object or array.  The built-in form stays in the JVM but tolerates trailing text."""
+    The parser reads the first value of a text and leaves the rest.  So the text is
+    read as the first element of an array whose second is the text's own hash:
+    only if the hash is found there has the first element ended where the text does.
+    A text nested too deeply for the parser counts as no JSON.  Repeated names are
+    allowed (``session.RUNTIME_CONF``).
+    """
     col = _c(c)
-    if strict:
-        return is_json_strict(col)
-    return F.when(
-        col.isNotNull(), F.json_object_keys(col).isNotNull() | F.json_array_length(col).isNotNull()
-    )
+    digest = F.sha2(col, 256)
+    pair = F.try_parse_json(F.concat(F.lit("["), col, F.lit(',"'), digest, F.lit('"]')))
+    first = F.schema_of_variant(F.try_variant_get(pair, "$[0]", "variant"))
+    whole = F.try_variant_get(pair, "$[1]", "string") == digest
+    valid = whole & (first.startswith("OBJECT") | first.startswith("ARRAY"))
+    return F.when(col.isNotNull(), F.coalesce(valid, F.lit(False)))
 
 
 def json_obj(fields: dict[str, Column | str]) -> Column:

@@ -52,8 +52,8 @@ def balance_measures() -> dict[str, Column]:
     return {
         "ParcelasTotal": F.count("*"),
         "ParcelasPendentes": count_if(pending),
-        "ValorEmAberto": F.sum(open_part).cast("decimal(12,2)"),
-        "ValorPago": F.sum(paid).cast("decimal(12,2)"),
+        "ValorEmAberto": F.sum(open_part).cast("decimal(38,2)"),
+        "ValorPago": F.sum(paid).cast("decimal(38,2)"),
     }
 
 

@@ -82,10 +82,9 @@ class Pattern(RowRule):
 class Json(RowRule):
     name: str
     col: str
-    strict: bool = False
 
     def holds(self) -> Column:
-        return is_json(self.col, self.strict)
+        return is_json(self.col)
 
 
 @dataclass(frozen=True)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import HOT_ROWS, null_safe_join, row_position, split_hot, spread_position
+from lectern.operators.skew import null_safe_join, spread_position
 from lectern.session import stage
 
 # Output names of the six measures.
@@ -17,7 +17,10 @@ ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD = (
 ALL = (ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD)
 
 
-def _by_windows(df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int, want: Sequence[str]) -> DataFrame:
+def windows_within(
+    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int = 4, want: Sequence[str] = ALL
+) -> DataFrame:
+    """The measures of ``rank_within`` as plain windows: lazy, but each group is sorted in one task."""
     # The full order comes first: its sort also serves the order by value alone.
     full = Window.partitionBy(key).orderBy(F.col(value).desc(), *ties)
     plain = Window.partitionBy(key).orderBy(F.col(value).desc())
@@ -42,20 +45,22 @@ def _tile(position: Column, total: Column, tiles: int) -> Column:
     return F.when(position <= in_long, long_tile).otherwise(short_tile).cast("long")
 
 
-def _by_ranges(
-    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int, want: Sequence[str], hot_rows: int
+def rank_within(
+    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int = 4, want: Sequence[str] = ALL
 ) -> DataFrame:
-    """Same measures for groups too big for one task.
+    """Add the wanted measures per ``key``, highest ``value`` first, ``ties`` making the order total.
 
-    The position comes from range partitions.  Everything else follows from it
+    Groups of any size take the same way.  The rows are written once; the position comes from
+    range partitions, so a big group spans many tasks.  Everything else follows from it
     and from one row per (key, value): how many rows are ahead, how many share
     the value, its place among the distinct values, and its two neighbours there.
     """
+    df = stage(df, "to-rank")
     numbered = spread_position(df, [key], [F.col(value).desc(), *[F.col(t) for t in ties]], ROW_NUMBER)
     levels = numbered.groupBy(key, value).agg(
         F.count("*").alias("_n"), (F.min(ROW_NUMBER) - 1).alias("_ahead")
     )
-    levels = stage(row_position(levels, [key], [F.col(value).desc()], "_dense", hot_rows), "levels")
+    levels = stage(spread_position(levels, [key], [F.col(value).desc()], "_dense"), "levels")
     higher = levels.select(key, (F.col("_dense") + 1).alias("_dense"), F.col(value).alias("_higher"))
     lower = levels.select(key, (F.col("_dense") - 1).alias("_dense"), F.col(value).alias("_lower"))
     hist = null_safe_join(levels, higher, [key, "_dense"], "left")
@@ -74,32 +79,14 @@ def _by_ranges(
     return joined.select(*df.columns, *[measures[name].alias(name) for name in ALL if name in want])
 
 
-def rank_within(
-    df: DataFrame,
-    key: str,
-    value: str,
-    ties: Sequence[str],
-    tiles: int = 4,
-    want: Sequence[str] = ALL,
-    hot_rows: int = HOT_ROWS,
-    probe: DataFrame | None = None,
-) -> DataFrame:
-    """Add the wanted measures per ``key``, highest ``value`` first, ``ties`` making the order total."""
-    ordinary, hot = split_hot(df, [key], hot_rows, probe)
-    done = _by_windows(ordinary, key, value, ties, tiles, want)
-    if hot is None:
-        return done
-    return done.unionByName(_by_ranges(hot, key, value, ties, tiles, want, hot_rows))
-
-
 def class_ranking(
     enrolments: DataFrame, classes: DataFrame, students: DataFrame, people: DataFrame,
-    want: Sequence[str] = ALL, hot_rows: int = HOT_ROWS,
+    want: Sequence[str] = ALL, rank: Callable[..., DataFrame] = rank_within,
 ) -> DataFrame:
     """Graded enrolments with their place in the class.
 
-    The name is the tie-break, so it is joined before the ranking; the class
-    code is joined after it.
+    The name is the tie-break, so it is joined before the ranking.  ``rank`` is
+    ``rank_within``, or ``windows_within`` for a plan that is evaluated on every use.
     """
     graded = enrolments.filter(F.col("NotaFinal").isNotNull()).select(
         "TurmaID", "MatriculaID", "AlunoID", "NotaFinal", "FrequenciaPercentual", "StatusMatricula"
@@ -108,11 +95,7 @@ def class_ranking(
         people.select("PessoaID", F.col("NomeExibicao").alias("NomeAluno")), "PessoaID"
     )
     rows = graded.join(names.drop("PessoaID"), "AlunoID").join(classes.select("TurmaID", "CodigoTurma"), "TurmaID")
-    # The heat check counts enrolments alone; the joins can only drop rows.
-    ranked = rank_within(
-        rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"],
-        want=want, hot_rows=hot_rows, probe=graded.select("TurmaID"),
-    )
+    ranked = rank(rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"], want=want)
     return ranked.select(
         "TurmaID", "CodigoTurma", "MatriculaID", "AlunoID", "RA", "NomeAluno", "NotaFinal",
         "FrequenciaPercentual", "StatusMatricula", *[m for m in ALL if m in want],

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from lectern.session import stage
 
-# Rows one task may be given for a single group before the group is split.
-HOT_ROWS = 5_000_000
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join in which NULL keys meet each other; the right key columns are dropped."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -21,11 +17,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most ``rows / limit`` of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(*keys)
-
-
 def spread_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """``row_number`` over (keys; order) computed on range partitions.
 
@@ -53,38 +44,14 @@ def spread_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return joined.select(*df.columns, position.cast("long").alias(out))
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], limit: int, probe: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups or None when there are none).
-
-    ``probe`` may be a cheaper table with at least the same rows per key, such as
-    the input of a join; it is counted once.
-    """
-    hot = hot_keys(df if probe is None else probe, keys, limit)
-    if hot.isEmpty():
-        return df, None
-    hot = stage(hot, "hot-keys")
-    return null_safe_join(df, hot, keys, "left_anti"), null_safe_join(df, hot, keys, "left_semi")
-
-
-def row_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, limit: int = HOT_ROWS
-) -> DataFrame:
-    """``row_number`` by one window for ordinary groups, by ranges for hot ones."""
-    ordinary, hot = split_hot(df, keys, limit)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    done = ordinary.withColumn(out, F.row_number().over(window).cast("long"))
-    return done if hot is None else done.unionByName(spread_position(hot, keys, order, out))
-
-
 def surrogate_key(
     df: DataFrame, natural: str, out: str, existing: DataFrame | None = None
 ) -> DataFrame:
     """Dense keys 1..n in natural-key order, without one task seeing the whole table.
 
-    With ``existing`` (natural, out) known rows keep their key and new ones
-    continue after the highest.
+    ``existing`` (natural, out) holds every key ever given: known rows keep theirs,
+    also if they had gone meanwhile, and new ones continue after the highest, so no
+    key is given twice.
     """
     if existing is None:
         return spread_position(df, [], [F.col(natural)], out)
@@ -97,24 +64,26 @@ def surrogate_key(
 
 
 def first_n_per_key(
-    df: DataFrame, key: str, order: Sequence[str], allowance: str, spread: int = 64
+    df: DataFrame, key: str, order: Sequence[str], allowance: str, part_rows: int = 100_000
 ) -> DataFrame:
     """The first ``allowance`` rows of each key, where the allowance is a column of the row.
 
-    Each key is cut into ``spread`` parts by a hash of the order columns.  A row
-    that is not among the first n of its part cannot be among the first n of its
-    key, so only the leaders of each part meet in the second step.
+    The rows of a key are counted first, and a hash of the order columns cuts it into
+    parts of about ``part_rows``.  A row that is not among the first n of its part cannot
+    be among the first n of its key, so only the leaders of each part meet in the
+    second step: at most the allowance times the number of parts.
     """
-    salt = F.pmod(F.xxhash64(*order), F.lit(spread))
+    parts = df.groupBy(key).agg(F.ceil(F.count("*") / part_rows).alias("_parts"))
     local = Window.partitionBy(key, "_salt").orderBy(*order)
     final = Window.partitionBy(key).orderBy(*order)
     leaders = (
-        df.withColumn("_salt", salt)
+        null_safe_join(df, parts, [key])
+        .withColumn("_salt", F.pmod(F.xxhash64(*order), F.col("_parts")))
         .withColumn("_place", F.row_number().over(local))
         .filter(F.col("_place") <= F.col(allowance))
     )
     return (
         leaders.withColumn("_place", F.row_number().over(final))
         .filter(F.col("_place") <= F.col(allowance))
-        .drop("_salt", "_place")
+        .drop("_salt", "_place", "_parts")
     )

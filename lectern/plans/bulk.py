@@ -249,19 +249,17 @@ def bulk_start_session(requests: DataFrame, types: DataFrame, as_of: dt.datetime
     return Outcome(accepted, rejected, events)
 
 
-def code_events(requests: DataFrame, types: DataFrame, strict_json: bool = False) -> DataFrame:
+def code_events(requests: DataFrame, types: DataFrame) -> DataFrame:
     """Requests with EventTypeID and Codigo (NULL when they may be stored)."""
     active = types.filter("Ativo").select("EventCode", "EventTypeID")
-    bad_json = F.col("PayloadJson").isNotNull() & ~is_json("PayloadJson", strict_json)
+    bad_json = F.col("PayloadJson").isNotNull() & ~is_json("PayloadJson")
     return requests.join(active, "EventCode", "left").withColumn(
         "Codigo", first_code([(F.col("EventTypeID").isNull(), UNKNOWN_EVENT), (bad_json, BAD_PAYLOAD)])
     )
 
 
-def bulk_ingest_event(
-    requests: DataFrame, types: DataFrame, as_of: dt.datetime, strict_json: bool = False
-) -> Outcome:
+def bulk_ingest_event(requests: DataFrame, types: DataFrame, as_of: dt.datetime) -> Outcome:
     """Requests (EventCode, SourceSystem, OccurredAt, PayloadJson, …) with defaults filled for time and correlation."""
-    accepted, rejected = _split(code_events(requests, types, strict_json))
+    accepted, rejected = _split(code_events(requests, types))
     defaults = {"OccurredAt": "@now", "IngestedAt": "@now", "CorrelationID": "@uuid", "ProcessingStatus": "N"}
     return Outcome(fill_defaults(accepted, defaults, as_of), rejected.drop("EventTypeID"))

@@ -117,11 +117,12 @@ def _panel(t: Tables, fan_out: bool) -> DataFrame:
     of that product is a product of two sums: an enrolment counts once per
     instalment of its student (at least once), an instalment once per enrolment.
     Multiplying the sums gives the same numbers without building the product.
-    Classes are counted from the class table, where each stands once.
+    Classes are counted from the class table, where each stands once.  Sums grow with
+    the table and have 38 digits.
     """
     pairs = _course_students(t).join(_student_money(t["ParcelaFinanceira"]), "AlunoID", "left")
-    times = (F.coalesce(F.col("_instalments"), F.lit(1)) if fan_out else F.lit(1)).cast("decimal(10,0)")
-    per_money = (F.col("_enrolments") if fan_out else F.lit(1)).cast("decimal(10,0)")
+    times = (F.coalesce(F.col("_instalments"), F.lit(1)) if fan_out else F.lit(1)).cast("decimal(18,0)")
+    per_money = (F.col("_enrolments") if fan_out else F.lit(1)).cast("decimal(18,0)")
     measures = pairs.groupBy("CursoID").agg(
         F.count("*").alias("Alunos"),
         F.sum(F.col("_points") * times).alias("_points"),
@@ -134,17 +135,17 @@ def _panel(t: Tables, fan_out: bool) -> DataFrame:
     courses = t["Curso"].select("CursoID", F.col("Codigo").alias("CursoCodigo"), F.col("Nome").alias("CursoNome"))
     joined = chain(courses, [(measures, "CursoID"), (taught, "CursoID")], "left")
     zero = F.lit(0)
-    # Narrow operands leave the division enough decimals; then as avg() rounds.
-    graded = F.nullif(F.col("_graded").cast("decimal(14,0)"), zero.cast("decimal(14,0)"))
-    mean = (F.col("_points").cast("decimal(20,4)") / graded).cast("decimal(14,8)").cast("decimal(10,2)")
+    # 10^24 points over 10^18 grades leave the division 14 decimals; then as avg() rounds.
+    graded = F.nullif(F.col("_graded").cast("decimal(18,0)"), zero.cast("decimal(18,0)"))
+    mean = (F.col("_points").cast("decimal(28,4)") / graded).cast("decimal(14,8)").cast("decimal(10,2)")
     return joined.select(
         "CursoCodigo", "CursoNome",
         F.coalesce("Alunos", zero).alias("Alunos"),
         F.coalesce("Turmas", zero).alias("Turmas"),
         mean.alias("MediaNotas"),
-        F.coalesce("_open", zero).cast("decimal(14,2)").alias("Inadimplencia"),
-        F.coalesce("_paid", zero).cast("decimal(14,2)").alias("ReceitaRealizada"),
-        F.coalesce("_passed", zero).cast("decimal(14,2)").alias("MatriculasAprovadas"),
+        F.coalesce("_open", zero).cast("decimal(38,2)").alias("Inadimplencia"),
+        F.coalesce("_paid", zero).cast("decimal(38,2)").alias("ReceitaRealizada"),
+        F.coalesce("_passed", zero).cast("decimal(38,2)").alias("MatriculasAprovadas"),
     )
 
 
@@ -158,30 +159,6 @@ def course_panel_exact(t: Tables) -> DataFrame:
     return _panel(t, fan_out=False)
 
 
-def course_panel_joined(t: Tables) -> DataFrame:
-    """The definition spelled out as an outer join chain; its output grows with the product."""
-    fan = chain(
-        t["Curso"].select("CursoID", F.col("Codigo").alias("CursoCodigo"), F.col("Nome").alias("CursoNome")),
-        [
-            (t["Disciplina"].select("CursoID", "DisciplinaID"), "CursoID"),
-            (t["Turma"].select("DisciplinaID", "TurmaID"), "DisciplinaID"),
-            (t["Matricula"].select("TurmaID", "AlunoID", "NotaFinal", "StatusMatricula"), "TurmaID"),
-            (t["ParcelaFinanceira"].select("AlunoID", "ValorLiquido", "ValorPago", "StatusParcela"), "AlunoID"),
-        ],
-        "left",
-    )
-    paid = F.coalesce(F.col("ValorPago"), F.lit(0))
-    open_part = F.when(is_pending(), F.col("ValorLiquido") - paid).otherwise(0)
-    return fan.groupBy("CursoCodigo", "CursoNome").agg(
-        F.count_distinct("AlunoID").alias("Alunos"),
-        F.count_distinct("TurmaID").alias("Turmas"),
-        F.avg(F.col("NotaFinal").cast("decimal(10,4)")).cast("decimal(10,2)").alias("MediaNotas"),
-        F.sum(open_part).cast("decimal(14,2)").alias("Inadimplencia"),
-        F.sum(paid).cast("decimal(14,2)").alias("ReceitaRealizada"),
-        count_if(F.col("StatusMatricula") == "APROVADA").cast("decimal(14,2)").alias("MatriculasAprovadas"),
-    )
-
-
 def recent_audit(audit: DataFrame, as_of: dt.date, days: int = 15) -> DataFrame:
     return trailing(audit, "EventTime", days, as_of).select(
         "AuditID", "EventTime", "OrigemSchema", "OrigemObjeto", "Operacao", "ChaveRegistro", "AppUser", "HostName",

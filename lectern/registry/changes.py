@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.operators import audit as au
 from lectern.operators.integrity import NotNull, row_violations, validate
 from lectern.plans import bulk as b
-from lectern.registry.core import query
+from lectern.registry.core import json_sql, query
 from lectern.schema import constraints as k
 
 NOW = dt.datetime(2001, 8, 2)
@@ -36,8 +36,9 @@ def sql_of(text: str) -> str:
 
 @query("bulk_enrol", f"""
     WITH req AS ({sql_of(ENROL_REQUESTS)}), there AS (SELECT * FROM Matricula WHERE StatusMatricula = 'REPROVADA'),
-    seats AS (SELECT t.TurmaID, t.Vagas - (SELECT count(*) FROM there e WHERE e.TurmaID = t.TurmaID) AS free
-        FROM Turma t WHERE NOT t.Encerrada),
+    taken AS (SELECT TurmaID, count(*) AS n FROM there GROUP BY TurmaID),
+    seats AS (SELECT t.TurmaID, t.Vagas - coalesce(k.n, 0) AS free FROM Turma t LEFT JOIN taken k ON k.TurmaID = t.TurmaID
+        WHERE NOT t.Encerrada),
     checked AS (SELECT r.*, CASE WHEN r.OrigemMatricula NOT IN ('PORTAL','SECRETARIA','API','BATCH') THEN 51000
             WHEN a.AlunoID IS NULL THEN 51001 WHEN s.TurmaID IS NULL THEN 51002
             WHEN e.MatriculaID IS NOT NULL THEN 51003 END AS code, s.free
@@ -50,7 +51,7 @@ def sql_of(text: str) -> str:
         FROM copies WHERE copy = 1)
     SELECT c.RequestID, CAST(CASE WHEN c.code IS NOT NULL THEN c.code
         WHEN p.place > p.free THEN 51004 WHEN p.RequestID <> c.RequestID THEN 51003 END AS INTEGER) AS Codigo
-    FROM checked c LEFT JOIN placed p ON c.code IS NULL AND p.AlunoID = c.AlunoID AND p.TurmaID = c.TurmaID""")
+    FROM checked c LEFT JOIN placed p ON p.AlunoID = c.AlunoID AND p.TurmaID = c.TurmaID""")
 def _(c):
     there = c.Matricula.filter("StatusMatricula = 'REPROVADA'")
     out = b.bulk_enrol(c.sql(ENROL_REQUESTS), c.Aluno, c.Turma, there, NOW)
@@ -156,14 +157,16 @@ EVENT_REQUESTS = """
     SELECT event_id AS EventID, CASE event_type WHEN 'view' THEN 'PAGE_VIEW' WHEN 'click' THEN 'API_CALL'
             WHEN 'signup' THEN 'SESSION_START' WHEN 'error' THEN 'LOGIN_FAILED' ELSE 'UNHEARD_OF' END AS EventCode,
         'GATEWAY' AS SourceSystem, CASE WHEN value > 20 THEN ts END AS OccurredAt,
-        CASE WHEN value > 60 THEN concat('[', props) WHEN value > 10 THEN props END AS PayloadJson
+        CASE WHEN value > 60 THEN concat('[', props) WHEN value > 55 THEN concat(props, ' x')
+            WHEN value > 50 THEN replace(props, '"', '''') WHEN value > 45 THEN concat('[', props, '] ]')
+            WHEN value > 40 THEN concat(props, props) WHEN value > 10 THEN props END AS PayloadJson
     FROM {events}"""
 
 
 @query("bulk_ingest_event", f"""
     WITH req AS ({sql_of(EVENT_REQUESTS)}),
     coded AS (SELECT r.*, t.EventTypeID, CASE WHEN t.EventTypeID IS NULL THEN 51041
-        WHEN r.PayloadJson IS NOT NULL AND NOT json_valid(r.PayloadJson) THEN 51042 END AS code
+        WHEN r.PayloadJson IS NOT NULL AND NOT {json_sql('r.PayloadJson')} THEN 51042 END AS code
         FROM req r LEFT JOIN EventType t ON t.EventCode = r.EventCode AND t.Ativo)
     SELECT EventID, CAST(code AS INTEGER) AS Codigo, CASE WHEN code IS NULL THEN EventTypeID END AS EventTypeID,
         CASE WHEN code IS NULL THEN coalesce(OccurredAt, TIMESTAMP '2001-08-02 00:00:00') END AS OccurredAt,
@@ -276,7 +279,7 @@ def _(c):
 
 
 @query("rule_json", rows_sql("EventStream", "EventID", [
-    ("EventStream.PayloadJson.json", "Json", "NOT json_valid(PayloadJson)")]))
+    ("EventStream.PayloadJson.json", "Json", f"NOT {json_sql('PayloadJson')}")]))
 def _(c):
     rules = [r for r in k.rules_for("EventStream") if r.name.endswith(".json")]
     return row_violations(c.EventStream, rules, "EventID")
@@ -317,8 +320,8 @@ def _(c):
     return validate(c.Nota, [k.grade_limit()], "NotaID", c.tables("Avaliacao"))[1]
 
 
-@query("rules_good_rows", """
-    SELECT EventID FROM EventStream WHERE coalesce(json_valid(PayloadJson), true) AND DurationMs >= 0
+@query("rules_good_rows", f"""
+    SELECT EventID FROM EventStream WHERE coalesce({json_sql('PayloadJson')}, true) AND DurationMs >= 0
         AND ProcessingStatus IN ('N','P','E','D') AND AlunoID IS NOT NULL""")
 def _(c):
     rules = [r for r in k.rules_for("EventStream") if r.name.split(".")[1] in ("PayloadJson", "DurationMs", "ProcessingStatus")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import scalar as s
 from lectern.functions import status as st
-from lectern.registry.core import query
+from lectern.registry.core import json_sql, query
 
 DUE = dt.date(2001, 8, 2)
 
@@ -201,7 +201,7 @@ def _(c):
     return filled.select("event_id", F.col("given").alias("Dado"), (kept | fresh).alias("Preenchido"))
 
 
-@query("fn_is_json", "SELECT EventID, json_valid(PayloadJson) AS Valido FROM EventStream")
+@query("fn_is_json", f"SELECT EventID, {json_sql('PayloadJson')} AS Valido FROM EventStream")
 def _(c):
     return c.EventStream.select("EventID", s.is_json("PayloadJson").alias("Valido"))
 
@@ -219,13 +219,12 @@ def _(c):
 
 
 # ---- user-defined functions -------------------------------------------------
-@query("udf_strict_json", """
-    SELECT EventID, json_valid(PayloadJson) AS Estrito, false AS ComSobra, false AS Escalar FROM EventStream""")
+@query("udf_strict_json", f"""
+    SELECT EventID, {json_sql('PayloadJson')} AS Estrito, false AS ComSobra, false AS Escalar FROM EventStream""")
 def _(c):
-    strict = s.is_json_strict
     return c.EventStream.select(
         "EventID",
-        strict("PayloadJson").alias("Estrito"),
-        strict(F.concat("PayloadJson", F.lit(" x"))).alias("ComSobra"),
-        strict(F.col("EventID").cast("string")).alias("Escalar"),
+        s.is_json("PayloadJson").alias("Estrito"),
+        s.is_json(F.concat("PayloadJson", F.lit(" x"))).alias("ComSobra"),
+        s.is_json(F.col("EventID").cast("string")).alias("Escalar"),
     )

@@ -29,6 +29,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def json_sql(x: str) -> str:
+    """SQL for "one whole JSON object or array"; the engine's own check also takes scalars and NaN."""
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN NOT json_valid({x}) OR contains({x}, 'NaN') THEN false"
+            f" ELSE json_type({x}) IN ('OBJECT', 'ARRAY') END")
+
+
 def half_up(num: str, den: str, digits: int) -> str:
     """SQL for num/den rounded half up to ``digits`` decimals, on non-negative integers only.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.operators.aggregates import payments_rollup
 from lectern.plans.bulk import apply_payments
 from lectern.registry.changes import EVENT_REQUESTS, PAID_SQL, sql_of
-from lectern.registry.core import half_up, query, units
+from lectern.registry.core import half_up, json_sql, query, units
 from lectern.registry.grouped import MINUTE_SQL
 from lectern.session import work_path
 from lectern.sources import scan, sinks
@@ -194,7 +194,7 @@ def _(c):
 @query("stream_event_ingest", f"""
     WITH req AS ({sql_of(EVENT_REQUESTS)}),
     coded AS (SELECT r.*, t.EventTypeID, CASE WHEN t.EventTypeID IS NULL THEN 51041
-        WHEN r.PayloadJson IS NOT NULL AND NOT json_valid(r.PayloadJson) THEN 51042 END AS code
+        WHEN r.PayloadJson IS NOT NULL AND NOT {json_sql('r.PayloadJson')} THEN 51042 END AS code
         FROM req r LEFT JOIN EventType t ON t.EventCode = r.EventCode AND t.Ativo)
     SELECT EventID, EventCode, CAST(code AS INTEGER) AS Codigo,
         coalesce(OccurredAt, TIMESTAMP '2024-01-31 00:00:00') AS OccurredAt,

@@ -11,9 +11,14 @@ from lectern.operators import joins as j
 from lectern.operators import ranking as r
 from lectern.operators import sets
 from lectern.plans.reports import gpa
-from lectern.plans.warehouse import class_courses
+from lectern.plans.warehouse import class_courses, dim_student
 from lectern.registry.core import half_up, mean2, query, units
 
+def _more_students(c):
+    """Every student and as many keys without any rows."""
+    return c.Aluno.select("AlunoID").unionByName(c.Aluno.select((-F.col("AlunoID")).alias("AlunoID")))
+
+
 # ---- joins ------------------------------------------------------------------
 @query("join_inner_chain", """
     SELECT m.MatriculaID, t.CodigoTurma, d.Codigo AS DisciplinaCodigo, c.Nome AS CursoNome
@@ -31,62 +36,65 @@ def _(c):
 
 
 @query("join_left_chain", """
-    SELECT c.CursoID, d.DisciplinaID, m.MatriculaID, e.AlunoID
-    FROM Curso c LEFT JOIN Disciplina d ON d.CursoID = c.CursoID AND d.Creditos > 25
-    LEFT JOIN Matricula m ON m.TurmaID = d.DisciplinaID AND m.StatusMatricula = 'TRANCADA'
-    LEFT JOIN Aluno e ON e.AlunoID = m.AlunoID AND e.StatusAcademico = 'TRANCADO'""")
+    SELECT k.CursoID, d.DisciplinaID, t.TurmaID, m.MatriculaID, m.AlunoID,
+        (SELECT count(*) FROM ParcelaFinanceira p WHERE p.AlunoID = m.AlunoID) AS Parcelas
+    FROM (SELECT CursoID FROM Curso UNION ALL SELECT -1) k LEFT JOIN Disciplina d ON d.CursoID = k.CursoID
+    LEFT JOIN Turma t ON t.DisciplinaID = d.DisciplinaID LEFT JOIN Matricula m ON m.TurmaID = t.TurmaID""")
 def _(c):
-    held = c.Matricula.filter("StatusMatricula = 'TRANCADA'")
+    """Course to instalments through every hop; the last is counted per student, not multiplied out."""
+    owed = c.ParcelaFinanceira.groupBy("AlunoID").agg(F.count("*").alias("Parcelas"))
     steps = [
-        (c.Disciplina.filter("Creditos > 25").select("CursoID", "DisciplinaID"), "CursoID"),
-        (held.select(F.col("TurmaID").alias("DisciplinaID"), "MatriculaID", F.col("AlunoID").alias("_aluno")), "DisciplinaID"),
-        (c.Aluno.filter("StatusAcademico = 'TRANCADO'").select(F.col("AlunoID").alias("_aluno"), "AlunoID"), "_aluno"),
+        (c.Disciplina.select("CursoID", "DisciplinaID"), "CursoID"),
+        (c.Turma.select("DisciplinaID", "TurmaID"), "DisciplinaID"),
+        (c.Matricula.select("TurmaID", "MatriculaID", "AlunoID"), "TurmaID"),
+        (owed, "AlunoID"),
     ]
-    return j.chain(c.Curso.select("CursoID"), steps, "left").select("CursoID", "DisciplinaID", "MatriculaID", "AlunoID")
+    keys = c.Curso.select("CursoID").unionByName(c.spark.sql("SELECT -1 AS CursoID"))
+    return j.chain(keys, steps, "left").select(
+        "CursoID", "DisciplinaID", "TurmaID", "MatriculaID", "AlunoID", F.coalesce("Parcelas", F.lit(0)).alias("Parcelas")
+    )
 
 
 @query("join_current_dim", """
-    SELECT EventID, CASE WHEN a.StatusAcademico = 'ATIVO' THEN e.AlunoID * 2 END AS AlunoKey
-    FROM EventStream e LEFT JOIN Aluno a ON a.AlunoID = e.AlunoID""")
+    SELECT EventID, CASE WHEN k.StatusAcademico = 'ATIVO' THEN k.AlunoKey END AS AlunoKey
+    FROM EventStream e LEFT JOIN (SELECT AlunoID, StatusAcademico, row_number() OVER (ORDER BY AlunoID) AS AlunoKey
+        FROM Aluno) k ON k.AlunoID = e.AlunoID""")
 def _(c):
-    dim = c.Aluno.select(
-        "AlunoID", (F.col("AlunoID") * 2).alias("AlunoKey"), (F.col("StatusAcademico") == "ATIVO").alias("IsCurrent")
-    )
+    # The built dimension; students who are not active count as no longer current.
+    dim = dim_student(c.Aluno, dt.date(2001, 8, 2)).withColumn("IsCurrent", F.col("StatusAcademico") == "ATIVO")
     return j.with_key(c.EventStream.select("EventID", "AlunoID"), dim, "AlunoID", "AlunoKey", "left").drop("AlunoID")
 
 
 @query("join_latest_lateral", """
     SELECT a.AlunoID, u.TurmaID, u.StatusMatricula, u.DataMatricula
-    FROM Aluno a LEFT JOIN (
+    FROM (SELECT AlunoID FROM Aluno UNION ALL SELECT -AlunoID FROM Aluno) a LEFT JOIN (
         SELECT *, row_number() OVER (PARTITION BY AlunoID
             ORDER BY DataMatricula DESC NULLS LAST, MatriculaID DESC NULLS LAST) AS rn
-        FROM Matricula WHERE StatusMatricula = 'CANCELADA') u ON u.AlunoID = a.AlunoID AND u.rn = 1""")
+        FROM Matricula) u ON u.AlunoID = a.AlunoID AND u.rn = 1""")
 def _(c):
-    rows = c.Matricula.filter("StatusMatricula = 'CANCELADA'")
     return j.latest_per_key(
-        c.Aluno.select("AlunoID"), rows, "AlunoID", ["DataMatricula", "MatriculaID"],
+        _more_students(c), c.Matricula, "AlunoID", ["DataMatricula", "MatriculaID"],
         ["TurmaID", "StatusMatricula", "DataMatricula"],
     )
 
 
 @query("join_mode_lateral", """
     WITH n AS (SELECT m.AlunoID, d.CursoID, count(*) AS n FROM Matricula m JOIN Disciplina d ON d.DisciplinaID = m.TurmaID
-        WHERE m.StatusMatricula = 'APROVADA' GROUP BY ALL),
+        GROUP BY ALL),
     t AS (SELECT *, row_number() OVER (PARTITION BY AlunoID ORDER BY n DESC NULLS LAST, CursoID ASC NULLS FIRST) AS rn FROM n)
-    SELECT a.AlunoID, t.CursoID FROM Aluno a LEFT JOIN t ON t.AlunoID = a.AlunoID AND t.rn = 1""")
+    SELECT a.AlunoID, t.CursoID FROM (SELECT AlunoID FROM Aluno UNION ALL SELECT -AlunoID FROM Aluno) a
+    LEFT JOIN t ON t.AlunoID = a.AlunoID AND t.rn = 1""")
 def _(c):
-    passed = c.Matricula.filter("StatusMatricula = 'APROVADA'").select("AlunoID", "TurmaID")
-    rows = passed.join(class_courses(c.Turma, c.Disciplina), "TurmaID")
-    return j.mode_per_key(c.Aluno.select("AlunoID"), rows, "AlunoID", ["CursoID"], ["CursoID"])
+    rows = c.Matricula.select("AlunoID", "TurmaID").join(class_courses(c.Turma, c.Disciplina), "TurmaID")
+    return j.mode_per_key(_more_students(c), rows, "AlunoID", ["CursoID"], ["CursoID"])
 
 
 @query("join_scalar_agg_lateral", """
     SELECT a.AlunoID, count(e.EventID) AS Eventos, max(e.OccurredAt) AS UltimoEvento, sum(e.NumericValue) AS Valor
-    FROM Aluno a LEFT JOIN EventStream e ON e.AlunoID = a.AlunoID AND e.SourceSystem = 'PORTAL' GROUP BY a.AlunoID""")
+    FROM Aluno a LEFT JOIN EventStream e ON e.AlunoID = a.AlunoID GROUP BY a.AlunoID""")
 def _(c):
-    rows = c.EventStream.filter("SourceSystem = 'PORTAL'")
     out = j.agg_per_key(
-        c.Aluno.select("AlunoID"), rows, "AlunoID", {"Eventos": F.count("*")},
+        c.Aluno.select("AlunoID"), c.EventStream, "AlunoID", {"Eventos": F.count("*")},
         {"UltimoEvento": F.max("OccurredAt"), "Valor": F.sum("NumericValue").cast("decimal(38,4)")},
     )
     return out
@@ -169,13 +177,14 @@ def _(c):
     return a.weighted_mean(rows, "MatriculaID", "NotaObtida", "Peso", "NotaFinal")
 
 
+# Independent of the operator: filtered aggregates over what each instalment owes.
 BALANCE_SQL = """
-    SELECT AlunoID, count(*) AS ParcelasTotal,
-        CAST(sum(CASE WHEN StatusParcela IN ('ABERTA','ATRASADA','NEGOCIADA') THEN 1 ELSE 0 END) AS BIGINT) AS ParcelasPendentes,
-        CAST(sum(CASE WHEN StatusParcela IN ('ABERTA','ATRASADA','NEGOCIADA') THEN ValorLiquido - coalesce(ValorPago, 0)
-            ELSE 0 END) AS DECIMAL(12,2)) AS ValorEmAberto,
-        CAST(sum(coalesce(ValorPago, 0)) AS DECIMAL(12,2)) AS ValorPago
-    FROM ParcelaFinanceira GROUP BY AlunoID"""
+    WITH owed AS (SELECT AlunoID, coalesce(ValorPago, 0) AS paid, ValorLiquido - coalesce(ValorPago, 0) AS rest,
+            list_contains(['ABERTA', 'ATRASADA', 'NEGOCIADA'], StatusParcela) AS open FROM ParcelaFinanceira)
+    SELECT AlunoID, count(paid) AS ParcelasTotal, count(*) FILTER (open) AS ParcelasPendentes,
+        CAST(coalesce(sum(rest) FILTER (open), 0) AS DECIMAL(38,2)) AS ValorEmAberto,
+        CAST(sum(paid) AS DECIMAL(38,2)) AS ValorPago
+    FROM owed GROUP BY AlunoID"""
 
 
 @query("balance_summary", BALANCE_SQL)
@@ -185,15 +194,10 @@ def _(c):
 
 @query("udtf_balance", f"""
     SELECT a.AlunoID, coalesce(b.ParcelasTotal, 0) AS ParcelasTotal, b.ParcelasPendentes, b.ValorEmAberto, b.ValorPago
-    FROM Aluno a LEFT JOIN (
-        {BALANCE_SQL.replace('FROM ParcelaFinanceira', "FROM ParcelaFinanceira WHERE DataVencimento < DATE '1995-07-01'")}
-    ) b ON b.AlunoID = a.AlunoID""")
+    FROM (SELECT AlunoID FROM Aluno UNION ALL SELECT -AlunoID FROM Aluno) a LEFT JOIN ({BALANCE_SQL}) b ON b.AlunoID = a.AlunoID""")
 def _(c):
-
-
-    early = c.ParcelaFinanceira.filter(F.col("DataVencimento") < F.lit(dt.date(1995, 7, 1)))
-    balance = register_balance(early, "campus_balance")
-    c.Aluno.select("AlunoID").createOrReplaceTempView("campus_balance_students")
+    balance = register_balance(c.ParcelaFinanceira, "campus_balance")
+    _more_students(c).createOrReplaceTempView("campus_balance_students")
     return c.spark.sql(
         "SELECT a.AlunoID, b.ParcelasTotal, b.ParcelasPendentes, b.ValorEmAberto, b.ValorPago"
         f" FROM campus_balance_students a LEFT JOIN LATERAL {balance}(a.AlunoID) b"

@@ -230,8 +230,8 @@ STUDENT_SQL = f"""WITH gpa AS ({GPA_SQL}),
     bal AS (SELECT AlunoID,
         CAST(sum(CASE WHEN StatusParcela IN ('ABERTA','ATRASADA','NEGOCIADA') THEN 1 ELSE 0 END) AS BIGINT) AS pend,
         CAST(sum(CASE WHEN StatusParcela IN ('ABERTA','ATRASADA','NEGOCIADA') THEN ValorLiquido - coalesce(ValorPago, 0)
-            ELSE 0 END) AS DECIMAL(12,2)) AS aberto,
-        CAST(sum(coalesce(ValorPago, 0)) AS DECIMAL(12,2)) AS pago FROM ParcelaFinanceira GROUP BY AlunoID),
+            ELSE 0 END) AS DECIMAL(38,2)) AS aberto,
+        CAST(sum(coalesce(ValorPago, 0)) AS DECIMAL(38,2)) AS pago FROM ParcelaFinanceira GROUP BY AlunoID),
     acad AS (SELECT AlunoID, count(*) AS n, CAST(sum(CASE WHEN StatusMatricula = 'APROVADA' THEN 1 ELSE 0 END) AS BIGINT) AS ok,
         CAST(sum(CASE WHEN StatusMatricula = 'REPROVADA' THEN 1 ELSE 0 END) AS BIGINT) AS nok FROM Matricula GROUP BY AlunoID),
     tel AS (SELECT AlunoID, count(*) AS n, max(OccurredAt) AS last FROM EventStream
@@ -269,15 +269,23 @@ def _(c):
 PANEL_SOURCES = ("Curso", "Disciplina", "Turma", "Matricula", "ParcelaFinanceira")
 OPEN = """CASE WHEN p.StatusParcela IN ('ABERTA','ATRASADA','NEGOCIADA') THEN p.ValorLiquido - coalesce(p.ValorPago, 0)
     ELSE 0 END"""
-PANEL_SQL = f"""WITH panel AS (SELECT c.Codigo AS CursoCodigo, c.Nome AS CursoNome, count(DISTINCT m.AlunoID) AS Alunos,
-        count(DISTINCT t.TurmaID) AS Turmas,
-        {mean2('CAST(sum(m.NotaFinal * 100) AS HUGEINT)', 'count(m.NotaFinal)', 'DECIMAL(10,2)', 2, 8)} AS MediaNotas,
-        CAST(sum({OPEN}) AS DECIMAL(14,2)) AS Inadimplencia,
-        CAST(sum(coalesce(p.ValorPago, 0)) AS DECIMAL(14,2)) AS ReceitaRealizada,
-        CAST(sum(CASE WHEN m.StatusMatricula = 'APROVADA' THEN 1 ELSE 0 END) AS DECIMAL(14,2)) AS MatriculasAprovadas
-    FROM Curso c LEFT JOIN Disciplina d ON d.CursoID = c.CursoID LEFT JOIN Turma t ON t.DisciplinaID = d.DisciplinaID
-    LEFT JOIN Matricula m ON m.TurmaID = t.TurmaID LEFT JOIN ParcelaFinanceira p ON p.AlunoID = m.AlunoID
-    GROUP BY c.Codigo, c.Nome)"""
+# A second derivation: enrolments and instalments meet per enrolment, the money of a student as one row.
+PANEL_SQL = f"""WITH purse AS (SELECT p.AlunoID, count(*) AS n, sum({OPEN}) AS rest, sum(coalesce(p.ValorPago, 0)) AS paid
+        FROM ParcelaFinanceira p GROUP BY p.AlunoID),
+    taught AS (SELECT t.TurmaID, d.CursoID FROM Turma t JOIN Disciplina d USING (DisciplinaID)),
+    fan AS (SELECT taught.CursoID, m.AlunoID, CAST(m.NotaFinal * 100 AS BIGINT) AS grade, greatest(coalesce(b.n, 1), 1) AS times,
+            m.StatusMatricula = 'APROVADA' AS passed, coalesce(b.rest, 0) AS rest, coalesce(b.paid, 0) AS paid
+        FROM Matricula m JOIN taught USING (TurmaID) LEFT JOIN purse b USING (AlunoID)),
+    sums AS (SELECT CursoID, count(DISTINCT AlunoID) AS students, CAST(sum(grade * times) AS HUGEINT) AS points,
+            CAST(sum(times) FILTER (grade IS NOT NULL) AS HUGEINT) AS graded, sum(rest) AS rest, sum(paid) AS paid,
+            sum(times) FILTER (passed) AS passed FROM fan GROUP BY CursoID),
+    panel AS (SELECT c.Codigo AS CursoCodigo, c.Nome AS CursoNome, coalesce(s.students, 0) AS Alunos,
+        (SELECT count(*) FROM taught x WHERE x.CursoID = c.CursoID) AS Turmas,
+        {mean2('s.points', 's.graded', 'DECIMAL(10,2)', 2, 8)} AS MediaNotas,
+        CAST(coalesce(s.rest, 0) AS DECIMAL(38,2)) AS Inadimplencia,
+        CAST(coalesce(s.paid, 0) AS DECIMAL(38,2)) AS ReceitaRealizada,
+        CAST(coalesce(s.passed, 0) AS DECIMAL(38,2)) AS MatriculasAprovadas
+    FROM Curso c LEFT JOIN sums s ON s.CursoID = c.CursoID)"""
 
 
 def panel(c):
@@ -306,9 +314,9 @@ def _(c):
         FROM (SELECT DISTINCT CursoID, AlunoID FROM e) s JOIN ParcelaFinanceira p ON p.AlunoID = s.AlunoID GROUP BY s.CursoID)
     SELECT c.Codigo AS CursoCodigo, c.Nome AS CursoNome, coalesce(acad.alunos, 0) AS Alunos,
         coalesce((SELECT count(*) FROM taught WHERE taught.CursoID = c.CursoID), 0) AS Turmas, acad.media AS MediaNotas,
-        CAST(coalesce(money.aberto, 0) AS DECIMAL(14,2)) AS Inadimplencia,
-        CAST(coalesce(money.pago, 0) AS DECIMAL(14,2)) AS ReceitaRealizada,
-        CAST(coalesce(acad.ok, 0) AS DECIMAL(14,2)) AS MatriculasAprovadas
+        CAST(coalesce(money.aberto, 0) AS DECIMAL(38,2)) AS Inadimplencia,
+        CAST(coalesce(money.pago, 0) AS DECIMAL(38,2)) AS ReceitaRealizada,
+        CAST(coalesce(acad.ok, 0) AS DECIMAL(38,2)) AS MatriculasAprovadas
     FROM Curso c LEFT JOIN acad ON acad.CursoID = c.CursoID LEFT JOIN money ON money.CursoID = c.CursoID""")
 def _(c):
     return rep.course_panel_exact(c.tables(*PANEL_SOURCES))

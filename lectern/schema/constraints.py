@@ -160,13 +160,13 @@ def grade_limit(reject: str = "row") -> CrossTable:
     return CrossTable("Nota.NotaMaxima.limit", "Avaliacao", "AvaliacaoID", "NotaObtida", "NotaMaxima", reject)
 
 
-def rules_for(table: str, strict_json: bool = False) -> list:
+def rules_for(table: str) -> list:
     """All rules of a table."""
     rules: list = [*required_rules(table), *domain_rules(table), *range_rules(table), *expression_rules(table)]
     if table == "ParcelaFinanceira":
         rules.append(Pattern("ParcelaFinanceira.Competencia.pattern", "Competencia", COMPETENCE_PATTERN))
     if table == "EventStream":
-        rules.append(Json("EventStream.PayloadJson.json", "PayloadJson", strict_json))
+        rules.append(Json("EventStream.PayloadJson.json", "PayloadJson"))
     if table == "Nota":
         rules.append(grade_limit())
     return [*rules, *unique_rules(table), *parent_rules(table)]

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A JSON object may repeat a name, as the JSON check accepts it.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Streaming state on local disk with change logs, not wholly in executor memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -5,7 +5,10 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from lectern.functions.status import is_pending
 from lectern.operators import aggregates as a
+from lectern.operators.aggregates import count_if
+from lectern.operators.joins import chain
 from lectern.operators.ranking import class_ranking
 from lectern.plans import reports as rep
 from lectern.plans import warehouse as w
@@ -54,6 +57,39 @@ def test_gpa_equals_report(campus):
     assert rows(gpa, "AlunoID", "CRA") == rows(rep.student_360(campus, AS_OF), "AlunoID", "CRA")
 
 
+def course_panel_joined(t):
+    """The definition spelled out as an outer join chain; its output grows with the product."""
+    fan = chain(
+        t["Curso"].select("CursoID", F.col("Codigo").alias("CursoCodigo"), F.col("Nome").alias("CursoNome")),
+        [
+            (t["Disciplina"].select("CursoID", "DisciplinaID"), "CursoID"),
+            (t["Turma"].select("DisciplinaID", "TurmaID"), "DisciplinaID"),
+            (t["Matricula"].select("TurmaID", "AlunoID", "NotaFinal", "StatusMatricula"), "TurmaID"),
+            (t["ParcelaFinanceira"].select("AlunoID", "ValorLiquido", "ValorPago", "StatusParcela"), "AlunoID"),
+        ],
+        "left",
+    )
+    paid = F.coalesce(F.col("ValorPago"), F.lit(0))
+    open_part = F.when(is_pending(), F.col("ValorLiquido") - paid).otherwise(0)
+    return fan.groupBy("CursoCodigo", "CursoNome").agg(
+        F.count_distinct("AlunoID").alias("Alunos"),
+        F.count_distinct("TurmaID").alias("Turmas"),
+        F.avg(F.col("NotaFinal").cast("decimal(10,4)")).cast("decimal(10,2)").alias("MediaNotas"),
+        F.sum(open_part).cast("decimal(38,2)").alias("Inadimplencia"),
+        F.sum(paid).cast("decimal(38,2)").alias("ReceitaRealizada"),
+        count_if(F.col("StatusMatricula") == "APROVADA").cast("decimal(38,2)").alias("MatriculasAprovadas"),
+    )
+
+
+def test_course_panel_sums_outgrow_fourteen_digits(campus):
+    rich = dict(campus)
+    rich["ParcelaFinanceira"] = campus["ParcelaFinanceira"].withColumns(
+        {c: F.lit(9_999_999_999).cast("decimal(12,2)") for c in ("ValorLiquido", "ValorPago")}
+    ).crossJoin(campus["ParcelaFinanceira"].sparkSession.range(500).select(F.col("id").alias("_n"))).drop("_n")
+    paid = rep.course_panel(rich).agg(F.max("ReceitaRealizada")).first()[0]
+    assert paid > 10**12 and paid % 9_999_999_999 == 0
+
+
 def test_course_panel(campus):
     cols = ["CursoCodigo", "Alunos", "Turmas", "MediaNotas", "Inadimplencia", "ReceitaRealizada", "MatriculasAprovadas"]
     want = [
@@ -62,7 +98,7 @@ def test_course_panel(campus):
         ("DPD", 1, 1, None, D("1280.00"), D("0.00"), D("0.00")),
     ]
     assert rows(rep.course_panel(campus), *cols) == want
-    assert rows(rep.course_panel_joined(campus), *cols) == want
+    assert rows(course_panel_joined(campus), *cols) == want
     exact = {r["CursoCodigo"]: r for r in rep.course_panel_exact(campus).collect()}["BSI"]
     assert (exact["Inadimplencia"], exact["ReceitaRealizada"]) == (D("2180.00"), D("2160.00"))
     assert (exact["MatriculasAprovadas"], exact["MediaNotas"]) == (D("2.00"), D("7.27"))

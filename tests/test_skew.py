@@ -3,8 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lectern.operators.ranking import ALL, rank_within
-from lectern.operators.skew import first_n_per_key, row_position, spread_position, surrogate_key
+from lectern.operators.ranking import ALL, rank_within, windows_within
+from lectern.operators.skew import first_n_per_key, spread_position, surrogate_key
 
 
 def skewed(spark, n=4000):
@@ -28,27 +28,24 @@ def test_spread_position(spark):
     order = [F.col("v").desc(), F.col("name"), F.col("id")]
     want = df.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert same(spread_position(df, ["k"], order, "p"), want)
-    assert same(row_position(df, ["k"], order, "p", limit=200), want)
-    assert same(row_position(df, ["k"], order, "p"), want)
 
 
 def test_ranking_split_equals_window(spark):
     df = skewed(spark)
-    whole = rank_within(df, "k", "v", ["name", "id"])
-    assert same(rank_within(df, "k", "v", ["name", "id"], hot_rows=200), whole)
-    assert same(rank_within(df, "k", "v", ["name", "id"], hot_rows=0), whole)
-    few = rank_within(df, "k", "v", ["name", "id"], want=["Quartil"], hot_rows=200)
+    whole = windows_within(df, "k", "v", ["name", "id"])
+    assert same(rank_within(df, "k", "v", ["name", "id"]), whole)
+    few = rank_within(df, "k", "v", ["name", "id"], want=["Quartil"])
     assert same(few, whole.drop(*[m for m in ALL if m != "Quartil"]))
 
 
 def test_ranking_split_with_many_distinct_and_null_values(spark):
     df = skewed(spark).withColumn("v", F.when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 1999).cast("int"))
-    assert same(rank_within(df, "k", "v", ["id"], hot_rows=150), rank_within(df, "k", "v", ["id"]))
+    assert same(rank_within(df, "k", "v", ["id"]), windows_within(df, "k", "v", ["id"]))
 
 
 def test_tiles_with_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(1, 5, i) for i in range(3)] + [(2, 1, 9)], "k int, v int, id int")
-    assert same(rank_within(df, "k", "v", ["id"], hot_rows=0), rank_within(df, "k", "v", ["id"]))
+    assert same(rank_within(df, "k", "v", ["id"]), windows_within(df, "k", "v", ["id"]))
 
 
 def test_surrogate_keys_are_dense_and_stable(spark):
@@ -64,7 +61,7 @@ def test_first_n_per_key(spark):
     df = skewed(spark).filter("k IS NOT NULL").withColumn("free", (F.col("k") % 7).cast("int") * 5)
     w = Window.partitionBy("k").orderBy("name", "id")
     want = df.withColumn("p", F.row_number().over(w)).filter("p <= free").drop("p")
-    assert same(first_n_per_key(df, "k", ["name", "id"], "free", spread=5), want)
+    assert same(first_n_per_key(df, "k", ["name", "id"], "free", part_rows=300), want)
 
 
 def test_skewed_joins_are_split(spark):
