@@ -20,7 +20,9 @@ from lectern.operators.aggregates import count_if, min_date, minute_counts, safe
 from lectern.operators.joins import chain, latest_per_key, missing, with_key
 from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
-from lectern.sources.sinks import counted_write, current, current_path, publish, replace_where, replace_window
+from lectern.schema.model import TABLES
+from lectern.sources.scan import with_defaults
+from lectern.sources.sinks import counted_write, current, publish, replace_window
 
 Tables = dict[str, DataFrame]
 
@@ -61,23 +63,45 @@ def _current(df: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+def _keyed(rows: DataFrame, natural: str, key: str, as_of: dt.date, existing: DataFrame | None) -> DataFrame:
+    """Rows with their surrogate key; of known ones the first start date stays, vanished ones end on ``as_of``.
+
+    Vanished rows keep their place and key, so facts of other days still find them.
+    """
+    if existing is None:
+        return surrogate_key(rows, natural, key)
+    dated = "EffectiveStartDate" in rows.columns
+    keyed = surrogate_key(rows, natural, key, existing)
+    gone = missing(existing.select(*keyed.columns), rows.select(natural), natural)
+    if dated:
+        known = existing.select(natural, F.col("EffectiveStartDate").alias("_since"))
+        keyed = keyed.join(known, natural, "left").withColumn(
+            "EffectiveStartDate", F.coalesce("_since", "EffectiveStartDate")
+        ).drop("_since")
+        gone = gone.withColumns({
+            "IsCurrent": F.lit(False), "EffectiveEndDate": F.coalesce("EffectiveEndDate", F.lit(as_of)),
+        })
+    return keyed.unionByName(gone)
+
+
 def dim_course(courses: DataFrame, departments: DataFrame, as_of: dt.date, existing: DataFrame | None = None) -> DataFrame:
     rows = courses.join(departments.select("DepartamentoID", "Sigla"), "DepartamentoID").select(
         "CursoID", F.col("Codigo").alias("CodigoCurso"), F.col("Nome").alias("NomeCurso"),
         F.col("Sigla").alias("DepartamentoSigla"), "Nivel", "Modalidade",
     )
-    return surrogate_key(_current(rows, as_of), "CursoID", "CursoKey", existing)
+    return _keyed(_current(rows, as_of), "CursoID", "CursoKey", as_of, existing)
 
 
 def dim_student(students: DataFrame, as_of: dt.date, existing: DataFrame | None = None) -> DataFrame:
     rows = students.select(
         "AlunoID", "RA", "StatusAcademico", "Bolsista", scholarship_band().alias("FaixaBolsa")
     )
-    return surrogate_key(_current(rows, as_of), "AlunoID", "AlunoKey", existing)
+    return _keyed(_current(rows, as_of), "AlunoID", "AlunoKey", as_of, existing)
 
 
 def dim_class(
-    classes: DataFrame, subjects: DataFrame, teachers: DataFrame, people: DataFrame, existing: DataFrame | None = None
+    classes: DataFrame, subjects: DataFrame, teachers: DataFrame, people: DataFrame, existing: DataFrame | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
     rows = chain(
         classes.select("TurmaID", "CodigoTurma", "Ano", "Periodo", "Turno", "Encerrada", "DisciplinaID", "ProfessorID"),
@@ -96,7 +120,7 @@ def dim_class(
         "TurmaID", "CodigoTurma", "Ano", "Periodo", "Turno", "DisciplinaCodigo", "DisciplinaNome",
         "CursoID", "ProfessorID", "ProfessorNome", "Encerrada",
     )
-    return surrogate_key(rows, "TurmaID", "TurmaKey", existing)
+    return _keyed(rows, "TurmaID", "TurmaKey", as_of, existing)
 
 
 # ---- facts ------------------------------------------------------------------
@@ -223,10 +247,32 @@ def kpi_events_total(days: DataFrame, fact: DataFrame, d0, d1) -> DataFrame:
     return _kpi(days, per_day, EVENTS_TOTAL, F.coalesce("v", F.lit(0)), d0, d1)
 
 
+def _kpi_academic(days: DataFrame, fact: DataFrame, d0, d1) -> DataFrame:
+    """Both KPIs of the academic fact from one pass over it."""
+    per_day = _key_range(fact, d0, d1).groupBy("TempoKey").agg(
+        F.count_distinct("AlunoKey").alias("students"),
+        count_if(F.col("StatusMatricula") == "APROVADA").alias("passed"),
+        count_if(F.col("StatusMatricula").isin(*CONCLUDED)).alias("concluded"),
+    )
+    spine = days.filter(F.col("DataCompleta").between(F.lit(d0), F.lit(d1))).select("TempoKey", "DataCompleta")
+    values = {
+        ACTIVE_STUDENTS: F.coalesce("students", F.lit(0)),
+        APPROVAL_RATE: safe_ratio_pct(F.col("passed"), F.col("concluded")),
+    }
+    rows = F.array(*[
+        F.struct(
+            F.lit(name).alias("KPIName"), value.cast("decimal(18,4)").alias("KPIValue"), F.lit(unit).alias("Unidade"),
+            F.lit(target).cast("decimal(18,4)").alias("MetaValor"),
+        )
+        for (name, unit, target), value in values.items()
+    ])
+    each = spine.join(per_day, "TempoKey", "left").select(F.col("DataCompleta").alias("DataRef"), F.explode(rows).alias("k"))
+    return each.select("DataRef", "k.*")
+
+
 def kpi_daily(days: DataFrame, academic: DataFrame, finance: DataFrame, telemetry: DataFrame, d0, d1) -> DataFrame:
     return union_all(
-        kpi_active_students(days, academic, d0, d1),
-        kpi_approval_rate(days, academic, d0, d1),
+        _kpi_academic(days, academic, d0, d1),
         kpi_overdue_value(days, finance, d0, d1),
         kpi_events_total(days, telemetry, d0, d1),
     )
@@ -251,12 +297,17 @@ def build_dims(spark: SparkSession, src: Tables, d0, d1, as_of: dt.date, old: Ta
     days = dim_date(spark, old.get("DimTempo"), d0, d1)
     if "DimTempo" in old:
         days = old["DimTempo"].select(*days.columns).unionByName(days)
-    return {
-        "DimTempo": days,
-        "DimCurso": dim_course(src["Curso"], src["Departamento"], as_of, old.get("DimCurso")),
-        "DimAluno": dim_student(src["Aluno"], as_of, old.get("DimAluno")),
-        "DimTurma": dim_class(src["Turma"], src["Disciplina"], src["Professor"], src["Pessoa"], old.get("DimTurma")),
+    # Keys are numbered on written rows; the three do not wait for each other.
+    builders = {
+        "DimCurso": lambda: dim_course(src["Curso"], src["Departamento"], as_of, old.get("DimCurso")),
+        "DimAluno": lambda: dim_student(src["Aluno"], as_of, old.get("DimAluno")),
+        "DimTurma": lambda: dim_class(
+            src["Turma"], src["Disciplina"], src["Professor"], src["Pessoa"], old.get("DimTurma"), as_of
+        ),
     }
+    run = inheritable_thread_target(spark)(lambda build: build())
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return {"DimTempo": days, **dict(zip(builders, pool.map(run, builders.values())))}
 
 
 def build_facts(src: Tables, dims: Tables, d0, d1, as_of: dt.date) -> Tables:
@@ -273,18 +324,33 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.floor(F.col("TempoKey") / 100).cast("int"))
 
 
-def _save(tables: Tables, root: str, counts: dict[str, int], day: str | None = None) -> Tables:
-    """Write the tables side by side, note their row counts, and hand back the written files.
+def _declared(df: DataFrame, name: str, as_of: dt.date) -> DataFrame:
+    """Columns and types of the declared table, stamps filled with ``as_of``.
+
+    An identity of another kind than declared, such as text for a number, keeps its kind.
+    """
+    kinds = {f.name: f.dataType for f in TABLES[name].struct.fields}
+    df = with_defaults(df, name, dt.datetime.combine(as_of, dt.time()))
+    kept = [
+        F.col(c) if kind.typeName() != "string" and df.schema[c].dataType.typeName() == "string" else F.col(c).cast(kind)
+        for c, kind in kinds.items()
+    ]
+    return df.select(*[c.alias(n) for c, n in zip(kept, kinds)], *[c for c in df.columns if c not in kinds])
+
+
+def _save(tables: Tables, root: str, counts: dict[str, int], as_of: dt.date, day: str | None = None) -> Tables:
+    """Write the tables as declared, side by side, note their row counts, and hand back the written files.
 
     The tables do not depend on each other; running their jobs together keeps
     the cluster busy through the tail of each.
     """
     by, within = ([MONTH], [day]) if day else ([], [])
+    tables = {name: _declared(df, name, as_of) for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
 
     @inheritable_thread_target(spark)
     def write(name: str) -> int:
-        return counted_write(tables[name], f"{root}/{name}", by, within).get["rows"]
+        return counted_write(tables[name], f"{root}/{name}", by, within)
 
     with ThreadPoolExecutor(len(tables)) as pool:
         counts.update(zip(tables, pool.map(write, tables)))
@@ -303,11 +369,11 @@ def rebuild_warehouse(
     d0, d1 = window_defaults(src, d0, d1, as_of)
     root, counts = f"{out}/run={run}", {}
 
-    dims = _save(build_dims(spark, src, d0, d1, as_of), root, counts)
+    dims = _save(build_dims(spark, src, d0, d1, as_of), root, counts, as_of)
     facts = {name: _by_month(df) for name, df in build_facts(src, dims, d0, d1, as_of).items()}
-    facts = _save(facts, root, counts, "TempoKey")
+    facts = _save(facts, root, counts, as_of, "TempoKey")
     kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
-    _save({"KPI_Diario": kpis}, root, counts)
+    _save({"KPI_Diario": kpis}, root, counts, as_of)
     return publish(spark, out, run, counts)
 
 
@@ -316,27 +382,28 @@ def refresh_window(
 ) -> DataFrame:
     """Rebuild the facts and KPIs of a window of a built warehouse; everything outside stays.
 
-    Known dimension rows keep their surrogate keys, so older facts stay valid.
-    Dimensions and KPIs, which are small, are published as a new run; of the facts
-    only the months the window touches are read and rewritten in place.
+    Known dimension rows keep their surrogate keys and vanished ones stay, so older facts
+    stay valid.  Of the facts, only the months that the window touches are read and written
+    anew.  Everything goes to a new run and is published by one commit at the end: a
+    failure before it leaves the previous warehouse whole.
     """
     root, counts = f"{out}/run={run}", {}
     old = {name: current(spark, out, name) for name in ("DimTempo", "DimCurso", "DimAluno", "DimTurma")}
-    dims = _save(build_dims(spark, src, d0, d1, as_of, old), root, counts)
-    publish(spark, out, run, counts)
+    dims = _save(build_dims(spark, src, d0, d1, as_of, old), root, counts, as_of)
     low, high = (int(d.strftime("%Y%m%d")) for d in (d0, d1))
-    months, goes = F.col(MONTH).between(low // 100, high // 100), F.col("TempoKey").between(low, high)
-    facts = []
+    months = [
+        y * 100 + m for y in range(d0.year, d1.year + 1) for m in range(1, 13) if low // 100 <= y * 100 + m <= high // 100
+    ]
+    facts = {}
     for name, df in build_facts(src, dims, d0, d1, as_of).items():
-        path = current_path(spark, out, name)
-        replace_where(_by_month(df), path, MONTH, months, goes, ["TempoKey"])
-        facts.append(spark.read.parquet(path))
-    kpis = kpi_daily(dims["DimTempo"], *facts, d0, d1)
+        before = current(spark, out, name).filter(F.col(MONTH).between(low // 100, high // 100))
+        kept = before.filter(~F.col("TempoKey").between(low, high))
+        facts[name] = kept.unionByName(_declared(_by_month(df), name, as_of).select(*kept.columns))
+    facts = _save(facts, root, counts, as_of, "TempoKey")
+    kpis = _declared(kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1), "KPI_Diario", as_of)
     kept = current(spark, out, "KPI_Diario").filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
-    last: dict[str, int] = {}
-    _save({"KPI_Diario": kept.unionByName(kpis)}, root, last)
-    publish(spark, out, run, last)
-    return spark.createDataFrame(list({**counts, **last}.items()), "table string, rows long")
+    _save({"KPI_Diario": kept.unionByName(kpis.select(*kept.columns))}, root, counts, as_of)
+    return publish(spark, out, run, counts, MONTH, dict.fromkeys(FACTS, months))
 
 
 def rebuild_minute_metric(

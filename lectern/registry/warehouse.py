@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from lectern.functions.scalar import date_key
 from lectern.operators.ranking import class_ranking
 from lectern.plans import reports as rep
 from lectern.plans import warehouse as w
@@ -9,6 +12,7 @@ from lectern.registry.columns import WEEK_SQL
 from lectern.registry.core import half_up, mean2, query, units
 from lectern.registry.grouped import GPA_SQL, MINUTE_SQL, RANKING_SQL
 from lectern.session import work_path
+from lectern.sources.sinks import current
 
 AS_OF = dt.date(2001, 8, 2)
 D0, D1 = dt.date(1996, 1, 1), dt.date(2000, 12, 31)
@@ -212,6 +216,42 @@ def _(c):
     return w.rebuild_warehouse(c.spark, c.tables(*SOURCES), work_path(c.spark, "warehouse"), "0001", A1)
 
 
+W0, W1 = dt.date(1998, 3, 10), dt.date(1998, 9, 20)
+
+
+@query("refresh_window", f"""
+    WITH a1 AS (SELECT AlunoID, row_number() OVER (ORDER BY AlunoID) AS AlunoKey FROM Aluno WHERE AlunoID % 10 <> 3),
+    a2 AS (SELECT * FROM a1 WHERE AlunoID % 10 <> 4 UNION ALL
+        SELECT AlunoID, (SELECT count(*) FROM a1) + row_number() OVER (ORDER BY AlunoID) FROM Aluno WHERE AlunoID % 10 = 3),
+    m AS (SELECT *, CAST(DataMatricula AS DATE) BETWEEN {_day(W0)} AND {_day(W1)} AS fresh FROM Matricula),
+    fact AS (SELECT {key_sql('DataMatricula')} AS TempoKey, coalesce(a2.AlunoKey, a1.AlunoKey) AS AlunoKey, MatriculaID,
+            StatusMatricula, CAST(DataMatricula AS DATE) AS DataRef
+        FROM m LEFT JOIN a1 ON NOT fresh AND a1.AlunoID = m.AlunoID LEFT JOIN a2 ON fresh AND a2.AlunoID = m.AlunoID
+        WHERE coalesce(a2.AlunoKey, a1.AlunoKey) IS NOT NULL)
+    SELECT 'fact' AS Origem, TempoKey, AlunoKey, MatriculaID, StatusMatricula FROM fact
+    UNION ALL SELECT 'kpi', {key_sql('d')}, (SELECT count(DISTINCT AlunoKey) FROM fact WHERE fact.DataRef = days.d), NULL, NULL
+        FROM (SELECT CAST(unnest(generate_series({_day(W0)}, {_day(W1)}, INTERVAL 1 DAY)) AS DATE) AS d) AS days
+    UNION ALL SELECT 'gone', NULL, AlunoKey, NULL, NULL FROM a1 WHERE AlunoID % 10 = 4""")
+def _(c):
+    """A warehouse without some students, refreshed for some months after others have left and those have joined."""
+    out, src = work_path(c.spark, "refresh"), c.tables(*SOURCES)
+    before = dict(src, Aluno=c.Aluno.filter("AlunoID % 10 <> 3"))
+    w.rebuild_warehouse(c.spark, before, out, "full", A1)
+    w.refresh_window(c.spark, dict(src, Aluno=c.Aluno.filter("AlunoID % 10 <> 4")), out, "a-later-run", A1, W0, W1)
+    fact, kpi, student = (current(c.spark, out, n) for n in ("FatoAcademico", "KPI_Diario", "DimAluno"))
+    kpi = kpi.filter(F.col("DataRef").between(F.lit(W0), F.lit(W1)) & (F.col("KPIName") == w.ACTIVE_STUDENTS[0]))
+    none = F.lit(None).cast("string")
+    return (
+        fact.select(F.lit("fact").alias("Origem"), "TempoKey", "AlunoKey", "MatriculaID", "StatusMatricula")
+        .unionByName(kpi.select(
+            F.lit("kpi").alias("Origem"), date_key("DataRef").alias("TempoKey"), F.col("KPIValue").cast("long").alias("AlunoKey"),
+            none.alias("MatriculaID"), none.alias("StatusMatricula")))
+        .unionByName(student.filter("NOT IsCurrent").select(
+            F.lit("gone").alias("Origem"), F.lit(None).cast("int").alias("TempoKey"), "AlunoKey", none.alias("MatriculaID"),
+            none.alias("StatusMatricula")))
+    )
+
+
 @query("rebuild_minute_metric", MINUTE_SQL.format(where=""))
 def _(c):
     path, as_of = work_path(c.spark, "minutes"), dt.datetime(2024, 1, 31)

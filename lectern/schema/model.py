@@ -187,40 +187,40 @@ _table("analytics", "DimTempo", "TempoKey", """
 """)
 
 _table("analytics", "DimCurso", "CursoKey", """
-    CursoKey INT NOT NULL, CursoID INT NOT NULL, CodigoCurso STRING NOT NULL, NomeCurso STRING NOT NULL,
+    CursoKey BIGINT NOT NULL, CursoID BIGINT NOT NULL, CodigoCurso STRING NOT NULL, NomeCurso STRING NOT NULL,
     DepartamentoSigla STRING NOT NULL, Nivel STRING NOT NULL, Modalidade STRING NOT NULL, IsCurrent BOOLEAN NOT NULL,
     EffectiveStartDate DATE NOT NULL, EffectiveEndDate DATE
 """, IsCurrent=True, EffectiveStartDate=TODAY)
 
 _table("analytics", "DimAluno", "AlunoKey", """
-    AlunoKey INT NOT NULL, AlunoID INT NOT NULL, RA STRING NOT NULL, StatusAcademico STRING NOT NULL,
+    AlunoKey BIGINT NOT NULL, AlunoID BIGINT NOT NULL, RA STRING NOT NULL, StatusAcademico STRING NOT NULL,
     Bolsista BOOLEAN NOT NULL, FaixaBolsa STRING NOT NULL, IsCurrent BOOLEAN NOT NULL,
     EffectiveStartDate DATE NOT NULL, EffectiveEndDate DATE
 """, IsCurrent=True, EffectiveStartDate=TODAY)
 
 _table("analytics", "DimTurma", "TurmaKey", """
-    TurmaKey INT NOT NULL, TurmaID INT NOT NULL, CodigoTurma STRING NOT NULL, Ano SMALLINT NOT NULL,
+    TurmaKey BIGINT NOT NULL, TurmaID BIGINT NOT NULL, CodigoTurma STRING NOT NULL, Ano SMALLINT NOT NULL,
     Periodo SMALLINT NOT NULL, Turno STRING NOT NULL, DisciplinaCodigo STRING NOT NULL,
-    DisciplinaNome STRING NOT NULL, CursoID INT NOT NULL, ProfessorID INT NOT NULL, ProfessorNome STRING NOT NULL,
+    DisciplinaNome STRING NOT NULL, CursoID BIGINT NOT NULL, ProfessorID BIGINT NOT NULL, ProfessorNome STRING NOT NULL,
     Encerrada BOOLEAN NOT NULL
 """)
 
 _table("analytics", "FatoAcademico", "MatriculaID", """
-    TempoKey INT NOT NULL, AlunoKey INT NOT NULL, CursoKey INT NOT NULL, TurmaKey INT NOT NULL,
+    TempoKey INT NOT NULL, AlunoKey BIGINT NOT NULL, CursoKey BIGINT NOT NULL, TurmaKey BIGINT NOT NULL,
     MatriculaID BIGINT NOT NULL, StatusMatricula STRING NOT NULL, FrequenciaPercentual DECIMAL(5,2) NOT NULL,
     NotaFinal DECIMAL(5,2), Aprovado BOOLEAN, CargaHoraria SMALLINT NOT NULL, Creditos SMALLINT NOT NULL,
     AtualizadoEm TIMESTAMP_NTZ NOT NULL
 """, AtualizadoEm=NOW)
 
 _table("analytics", "FatoFinanceiro", "ParcelaID", """
-    TempoKey INT NOT NULL, AlunoKey INT NOT NULL, CursoKey INT, ParcelaID BIGINT NOT NULL,
+    TempoKey INT NOT NULL, AlunoKey BIGINT NOT NULL, CursoKey BIGINT, ParcelaID BIGINT NOT NULL,
     Competencia STRING NOT NULL, StatusParcela STRING NOT NULL, ValorLiquido DECIMAL(12,2) NOT NULL,
     ValorPago DECIMAL(12,2) NOT NULL, SaldoAberto DECIMAL(12,2) NOT NULL, AtrasoDias INT NOT NULL,
     AtualizadoEm TIMESTAMP_NTZ NOT NULL
 """, AtualizadoEm=NOW)
 
 _table("analytics", "FatoTelemetria", "TempoKey", """
-    TempoKey INT NOT NULL, EventTypeID INT NOT NULL, AlunoKey INT, SessionID BIGINT, Eventos BIGINT NOT NULL,
+    TempoKey INT NOT NULL, EventTypeID INT NOT NULL, AlunoKey BIGINT, SessionID BIGINT, Eventos BIGINT NOT NULL,
     DuracaoMediaMs DECIMAL(18,2), ValorNumericoSoma DECIMAL(18,4), CriadoEm TIMESTAMP_NTZ NOT NULL
 """, CriadoEm=NOW)
 

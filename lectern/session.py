@@ -72,6 +72,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application has staged; call it when none of the results is read any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

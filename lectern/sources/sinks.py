@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.joins import update_from
@@ -64,8 +64,8 @@ def replace_where(
 ) -> None:
     """Delete stored rows that meet ``goes``, insert ``df``.
 
-    Only the partitions selected by ``touched`` are read and rewritten.  A
-    partition left without rows is overwritten by an empty file.
+    Only the partitions selected by ``touched`` are read and rewritten, in place; the
+    folder of a partition left without rows is removed.
     """
     old = ensure(df, path, [part]).filter(touched)
     kept = old.filter(~F.coalesce(goes, F.lit(False)))
@@ -74,7 +74,7 @@ def replace_where(
     emptied = old.select(part).distinct().join(merged.select(part).distinct(), part, "left_anti").collect()
     overwrite_parts(merged, path, part, sort_by)
     for row in emptied:
-        merged.drop(part).limit(0).write.mode("overwrite").parquet(f"{path}/{part}={row[0]}")
+        remove(df.sparkSession, f"{path}/{part}={row[0]}")
 
 
 def replace_window(
@@ -92,14 +92,11 @@ def replace_window(
 
 def counted_write(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
-) -> Observation:
-    """Write once and count the rows on the way."""
-    seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        out = out.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
+) -> int:
+    """Write once and count the rows from the files' footers."""
+    out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by) if partition_by else df
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return seen
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by: dict[str, str] | None = None) -> DataFrame:
@@ -112,26 +109,62 @@ def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by:
     counts = {}
     for name, df in tables.items():
         by = [partition_by[name]] if name in partition_by else []
-        counts[name] = counted_write(df, f"{out}/run={run}/{name}", by).get["rows"]
+        counts[name] = counted_write(df, f"{out}/run={run}/{name}", by)
     return publish(next(iter(tables.values())).sparkSession, out, run, counts)
 
 
-def publish(spark: SparkSession, out: str, run: str, counts: dict[str, int]) -> DataFrame:
-    done = spark.createDataFrame(
-        [(run, name, rows) for name, rows in counts.items()], "run string, table string, rows long"
-    )
-    done.coalesce(1).write.mode("append").parquet(f"{out}/published")
-    return done.select("table", "rows")
+PUBLISHED = "seq long, run string, table string, rows long, part string, parts array<string>"
+
+
+def _published(spark: SparkSession, out: str) -> DataFrame:
+    spark.createDataFrame([], PUBLISHED).write.mode("append").parquet(f"{out}/published")
+    return spark.read.schema(PUBLISHED).parquet(f"{out}/published")
 
 
-def current_path(spark: SparkSession, out: str, table: str) -> str:
-    """Where the newest published run of the table lies."""
-    done = spark.read.parquet(f"{out}/published").filter(F.col("table") == table)
-    return f"{out}/run={done.agg(F.max('run')).first()[0]}/{table}"
+def publish(
+    spark: SparkSession, out: str, run: str, counts: dict[str, int], part: str | None = None,
+    parts: dict[str, Sequence[object]] | None = None,
+) -> DataFrame:
+    """Make the tables of a run the current ones, all with one commit; publications are numbered.
+
+    A table named in ``parts`` replaces only these values of its partition column
+    ``part``; its other partitions stay those of earlier runs.
+    """
+    seq = (_published(spark, out).agg(F.max("seq")).first()[0] or 0) + 1
+    parts = {name: [str(v) for v in values] for name, values in (parts or {}).items()}
+    rows = [(seq, run, name, n, part if name in parts else None, parts.get(name)) for name, n in counts.items()]
+    done = spark.createDataFrame(rows, PUBLISHED)
+    done.coalesce(1).write.mode("append").parquet(f"{out}/published")
+    return done.select("table", "rows")
 
 
 def current(spark: SparkSession, out: str, table: str) -> DataFrame:
-    return spark.read.parquet(current_path(spark, out, table))
+    """The table as last published: its newest whole run, and what later runs replaced of it."""
+    runs = _published(spark, out).filter(F.col("table") == table).orderBy(F.desc("seq")).collect()
+    replaced: dict[str, int] = {}  # partition to the newest run that holds it
+    kept = None
+    for r in runs:
+        if r.rows == 0 and r.part is not None:
+            by = r.part
+            replaced.update(dict.fromkeys(r.parts, r.seq))
+            continue
+        rows = spark.read.parquet(f"{out}/run={r.run}/{table}")
+        if r.part is not None or replaced:
+            part = F.col(r.part or by).cast("string")
+            own = [v for v in r.parts if v not in replaced] if r.parts is not None else None
+            rows = rows.filter(~part.isin(list(replaced)) if own is None else part.isin(own))
+        kept = rows if kept is None else kept.unionByName(rows)
+        if r.part is None:
+            return kept
+        by = r.part
+        replaced.update(dict.fromkeys(r.parts, r.seq))
+    raise ValueError(f"{table} has not been published whole")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the file system that Spark writes to, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:

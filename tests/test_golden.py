@@ -13,6 +13,7 @@ from lectern.operators.ranking import class_ranking
 from lectern.plans import reports as rep
 from lectern.plans import warehouse as w
 from lectern.schema.constraints import rules_for
+from lectern.schema.model import TABLES
 from lectern.session import work_path
 from lectern.operators.integrity import validate
 from lectern.sources.sinks import current
@@ -161,6 +162,12 @@ def test_refresh_window_keeps_keys_and_other_days(spark, campus):
     )
     out_rows = w.refresh_window(spark, src, out, "b", AS_OF, dt.date(2026, 3, 5), dt.date(2026, 3, 15))
     assert dict(rows(out_rows, "table", "rows"))["DimAluno"] == 6
+    from lectern.sources.scan import load
+
+    for run, tables in (("a", ["DimTempo", "DimCurso", "DimAluno", "DimTurma", *w.FACTS, "KPI_Diario"]), ("b", w.FACTS)):
+        for name in tables:
+            stored = load(spark, f"{out}/run={run}", name)
+            assert stored.count() == stored.dropna(subset=[f.name for f in TABLES[name].struct.fields if not f.nullable]).count()
     now = dict(rows(current(spark, out, "DimAluno"), "AlunoID", "AlunoKey"))
     assert now.pop(0) == 6 and now == keys
     assert rows(current(spark, out, "FatoFinanceiro"), "ParcelaID") == before
@@ -170,6 +177,22 @@ def test_refresh_window_keeps_keys_and_other_days(spark, campus):
     assert kpi.filter("DataRef = DATE '2026-03-10' AND KPIName = 'INADIMPLENCIA_VALOR'").first()["KPIValue"] == 0
 
 
+def test_keys_are_never_given_twice(spark, campus):
+    out = work_path(spark, "test-keys")
+    day = dt.date(2026, 3, 1)
+    w.rebuild_warehouse(spark, campus, out, "a", AS_OF)
+    last = max(r["AlunoID"] for r in campus["Aluno"].collect())
+    fewer = campus["Aluno"].filter(F.col("AlunoID") != last)
+    w.refresh_window(spark, dict(campus, Aluno=fewer), out, "b", AS_OF, day, day)
+    new = campus["Aluno"].filter("AlunoID = 1").withColumn("AlunoID", F.lit(99).cast("int"))
+    later = AS_OF + dt.timedelta(days=9)
+    w.refresh_window(spark, dict(campus, Aluno=fewer.unionByName(new)), out, "c", later, day, day)
+    dim = {r["AlunoID"]: r for r in current(spark, out, "DimAluno").collect()}
+    assert len({r["AlunoKey"] for r in dim.values()}) == len(dim) == 6
+    assert not dim[last]["IsCurrent"] and dim[last]["EffectiveEndDate"] == AS_OF
+    assert dim[1]["EffectiveStartDate"] == AS_OF and dim[99]["EffectiveStartDate"] == later
+
+
 def test_seed_meets_all_rules(campus):
     for table in ROWS:
         keys = {"DimTempo": "TempoKey"}
