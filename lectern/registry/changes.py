@@ -1,6 +1,7 @@
 """Bulk jobs, audit, integrity rules."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +10,10 @@ from lectern.operators import audit as au
 from lectern.operators.integrity import NotNull, row_violations, validate
 from lectern.plans import bulk as b
 from lectern.registry.core import json_sql, query
+from lectern.operators.sets import union_all
 from lectern.schema import constraints as k
+from lectern.schema.model import TABLES
+from lectern.sources.sales_model import VIEWS
 
 NOW = dt.datetime(2001, 8, 2)
 TODAY = NOW.date()
@@ -250,24 +254,81 @@ def rows_sql(table: str, key: str, cases: list[tuple[str, str, str]]) -> str:
     )
 
 
-@query("rule_domain", rows_sql("Pagamento", "PagamentoID", [
-    ("Pagamento.MeioPagamento.domain", "Domain", "MeioPagamento NOT IN ('PIX','CARTAO','BOLETO','TRANSFERENCIA','DINHEIRO')"),
-    ("Pagamento.GatewayStatus.domain", "Domain", "GatewayStatus NOT IN ('PENDING','CONFIRMED','FAILED','CHARGEBACK')")]))
+# Every declared rule runs over every model table that the campus maps.  Left out are rules of columns
+# that the campus views do not have, and foreign keys into tables that it does not map.
+MAPPED = [t for t in TABLES if t in VIEWS]
+
+
+def _has(table: str, *columns: str) -> bool:
+    return all(re.search(rf"\b{c}\b", VIEWS[table]) for c in columns)
+
+
+def _columns(rule) -> list[str]:
+    """Columns of a rule; an expression over a whole row names none."""
+    return list(getattr(rule, "cols", [rule.col] if hasattr(rule, "col") else []))
+
+
+def _every_row_rule(c, declared) -> DataFrame:
+    """Violations of ``declared(table)`` rules over all mapped tables."""
+    found = []
+    for table in MAPPED:
+        rules = [r for r in declared(table) if _has(table, *_columns(r))]
+        if rules:
+            found.append(row_violations(getattr(c, table), rules, TABLES[table].key))
+    return union_all(*found)
+
+
+def _every_relation(c, declared, kept=lambda rule: True) -> DataFrame:
+    found = []
+    for table in MAPPED:
+        rules = [r for r in declared(table) if kept(r) and _has(table, *_columns(r))]
+        if rules:
+            found.append(validate(getattr(c, table), rules, TABLES[table].key, c.tables(*MAPPED))[1])
+    return union_all(*found)
+
+
+def _declared_sql(cases: list[tuple[str, str, str, str]]) -> str:
+    """(table, rule, kind, SQL that holds for bad rows)."""
+    return " UNION ALL ".join(rows_sql(table, TABLES[table].key, [(rule, kind, bad)]) for table, rule, kind, bad in cases)
+
+
+DOMAIN_CASES = [
+    (t, f"{t}.{col}.domain", "Domain", f"{col} NOT IN ({', '.join(map(repr, values))})")
+    for t in MAPPED for col, values in k.DOMAINS.get(t, {}).items() if _has(t, col)
+]
+RANGE_CASES = [
+    (t, f"{t}.{col}.range", "Range",
+     f"{col} {'<=' if open_low else '<'} {low}" + (f" OR {col} > {high}" if high is not None else ""))
+    for t in MAPPED for col, (low, high, open_low) in k.RANGES.get(t, {}).items() if _has(t, col)
+]
+CHECK_CASES = [(t, f"{t}.{n}.check", "Expr", f"NOT ({text})") for t in MAPPED for n, text in k.EXPRESSIONS.get(t, {}).items()]
+UNIQUE_CASES = [
+    (t, f"{t}.{'_'.join(cols)}.unique", "Unique",
+     f"({', '.join(cols)}) IN (SELECT ({', '.join(cols)}) FROM {t} GROUP BY {', '.join(cols)} HAVING count(*) > 1)")
+    for t in MAPPED for cols in k.UNIQUE.get(t, ()) if _has(t, *cols)
+]
+PARENT_CASES = [
+    (t, f"{t}.{col}.parent", "ForeignKey", f"{col} NOT IN (SELECT {TABLES[parent].key} FROM {parent})")
+    for t in MAPPED for col, parent in k.PARENTS.get(t, {}).items() if _has(t, col) and parent in MAPPED
+]
+REQUIRED_CASES = [
+    (t, f"{t}.{col}.required", "NotNull", f"{col} IS NULL") for t in MAPPED for col in TABLES[t].required if _has(t, col)
+]
+
+
+@query("rule_domain", _declared_sql(DOMAIN_CASES))
 def _(c):
-    return row_violations(c.Pagamento, k.domain_rules("Pagamento"), "PagamentoID")
+    return _every_row_rule(c, k.domain_rules)
 
 
-@query("rule_range", rows_sql("Disciplina", "DisciplinaID", [
-    ("Disciplina.CargaHoraria.range", "Range", "CargaHoraria < 15 OR CargaHoraria > 400"),
-    ("Disciplina.Creditos.range", "Range", "Creditos < 1 OR Creditos > 20")]))
+@query("rule_range", _declared_sql(RANGE_CASES))
 def _(c):
-    rules = [r for r in k.range_rules("Disciplina") if r.col != "SemestreSugerido"]
-    return row_violations(c.Disciplina, rules, "DisciplinaID")
+    return _every_row_rule(c, k.range_rules)
 
 
-@query("rule_cross_column", rows_sql("Turma", "TurmaID", [("Turma.Datas.check", "Expr", "NOT (DataFim > DataInicio)")]))
+@query("rule_cross_column", _declared_sql(CHECK_CASES))
 def _(c):
-    return row_violations(c.Turma, k.expression_rules("Turma"), "TurmaID")
+    return _every_row_rule(c, k.expression_rules)
 
 
 @query("rule_pattern", rows_sql("ParcelaFinanceira", "ParcelaID", [
@@ -285,32 +346,26 @@ def _(c):
     return row_violations(c.EventStream, rules, "EventID")
 
 
-@query("rule_unique", rows_sql("ParcelaFinanceira", "ParcelaID", [
-    ("ParcelaFinanceira.AlunoID_Competencia.unique", "Unique",
-     "(AlunoID, Competencia) IN (SELECT (AlunoID, Competencia) FROM ParcelaFinanceira"
-     " GROUP BY AlunoID, Competencia HAVING count(*) > 1)")]))
+@query("rule_unique", _declared_sql(UNIQUE_CASES))
 def _(c):
-    return validate(c.ParcelaFinanceira, k.unique_rules("ParcelaFinanceira"), "ParcelaID")[1]
+    return _every_relation(c, k.unique_rules)
 
 
-@query("rule_foreign_key", rows_sql("ParcelaFinanceira", "ParcelaID", [
-    ("ParcelaFinanceira.AlunoID.parent", "ForeignKey", "AlunoID NOT IN (SELECT AlunoID FROM Aluno)"),
-    ("ParcelaFinanceira.PlanoFinanceiroID.parent", "ForeignKey",
-     "PlanoFinanceiroID NOT IN (SELECT PlanoFinanceiroID FROM PlanoFinanceiro)")]))
+@query("rule_foreign_key", _declared_sql(PARENT_CASES))
 def _(c):
-    tables = c.tables("Aluno", "PlanoFinanceiro")
-    return validate(c.ParcelaFinanceira, k.parent_rules("ParcelaFinanceira"), "ParcelaID", tables)[1]
+    return _every_relation(c, k.parent_rules, lambda rule: rule.parent in MAPPED)
 
 
-@query("rule_not_null", rows_sql("EventStream", "EventID", [
+@query("rule_not_null", _declared_sql(REQUIRED_CASES) + " UNION ALL " + rows_sql("EventStream", "EventID", [
     ("EventStream.SessionID.required", "NotNull", "SessionID IS NULL"),
     ("EventStream.Ator.required", "NotNull", "AlunoID IS NULL OR DurationMs IS NULL")]))
 def _(c):
-    rules = [
+    """The declared ones, which the campus meets, and two more that it does not."""
+    more = [
         NotNull("EventStream.SessionID.required", ("SessionID",)),
         NotNull("EventStream.Ator.required", ("AlunoID", "DurationMs")),
     ]
-    return row_violations(c.EventStream, rules, "EventID")
+    return _every_row_rule(c, lambda t: [*k.required_rules(t), *(more if t == "EventStream" else [])])
 
 
 @query("rule_cross_table", """

@@ -116,7 +116,7 @@ def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by:
 PUBLISHED = "seq long, run string, table string, rows long, part string, parts array<string>"
 
 
-def _published(spark: SparkSession, out: str) -> DataFrame:
+def published(spark: SparkSession, out: str) -> DataFrame:
     spark.createDataFrame([], PUBLISHED).write.mode("append").parquet(f"{out}/published")
     return spark.read.schema(PUBLISHED).parquet(f"{out}/published")
 
@@ -130,7 +130,7 @@ def publish(
     A table named in ``parts`` replaces only these values of its partition column
     ``part``; its other partitions stay those of earlier runs.
     """
-    seq = (_published(spark, out).agg(F.max("seq")).first()[0] or 0) + 1
+    seq = (published(spark, out).agg(F.max("seq")).first()[0] or 0) + 1
     parts = {name: [str(v) for v in values] for name, values in (parts or {}).items()}
     rows = [(seq, run, name, n, part if name in parts else None, parts.get(name)) for name, n in counts.items()]
     done = spark.createDataFrame(rows, PUBLISHED)
@@ -140,7 +140,7 @@ def publish(
 
 def current(spark: SparkSession, out: str, table: str) -> DataFrame:
     """The table as last published: its newest whole run, and what later runs replaced of it."""
-    runs = _published(spark, out).filter(F.col("table") == table).orderBy(F.desc("seq")).collect()
+    runs = published(spark, out).filter(F.col("table") == table).orderBy(F.desc("seq")).collect()
     replaced: dict[str, int] = {}  # partition to the newest run that holds it
     kept = None
     for r in runs:
@@ -172,6 +172,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[int]:
+    """Micro-batches whose folder is complete; one that is being written has no mark yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
 def latest_version(base: DataFrame, changes: DataFrame, key: str, assigned: Sequence[str]) -> DataFrame:
     """Base rows with the columns of their newest change; ``changes`` carries batch_id."""
     newest = changes.groupBy(key).agg(F.max(F.struct("batch_id", *assigned)).alias("_v"))

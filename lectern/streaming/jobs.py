@@ -20,7 +20,9 @@ from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key, update_from
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.sources.scan import fill_defaults
-from lectern.sources.sinks import current, ensure, full_reload, latest_version, merge_add, write_batch
+from lectern.sources.sinks import (
+    committed_batches, current, ensure, full_reload, latest_version, merge_add, published, write_batch,
+)
 
 METRIC_KEYS = ("MetricName", "MetricMinute", "Dimension1", "Dimension2")
 
@@ -62,12 +64,12 @@ def read_minute_metric(
 
 
 def fold_minute_metric(spark: SparkSession, out: str, store: str) -> int:
-    """Add the increments so far to the published table in ``store``; returns the last batch folded.
+    """Add the committed increments so far to the published table in ``store``; returns the last batch folded.
 
     Run it now and then while the stream goes on: the published run is named by
     its last batch, so later readers add only what came after.
     """
-    upto = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
+    upto = max(committed_batches(spark, out), default=-1)
     done = folded_upto(spark, store)
     if done < upto:
         base = None if done < 0 else current(spark, store, "MetricMinute")
@@ -77,8 +79,7 @@ def fold_minute_metric(spark: SparkSession, out: str, store: str) -> int:
 
 
 def folded_upto(spark: SparkSession, store: str) -> int:
-    published = ensure(spark.createDataFrame([], "run string, table string, rows long"), f"{store}/published")
-    last = published.agg(F.max("run")).first()[0]
+    last = published(spark, store).agg(F.max("run")).first()[0]
     return -1 if last is None else int(last)
 
 
