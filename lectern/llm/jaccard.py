@@ -9,11 +9,11 @@
    sets without near relatives mostly leave no rows at all.
 3. The list of a shingle is cut into blocks of like set sizes; pairs whose sizes or
    positions rule a link out are skipped.  Lists of up to ``SMALL`` sets give all
-   their pairs.  In a longer one, pivots are compared with all others, one pivot in the
-   first round, four times as many in each next.  A set's answers follow from those of
-   a pivot: with distances d(x), d(y) to it, x and y cannot link if the two differ by
-   more than 1 - t, and need no test if both are in one component already.
-   A list ends when all its sets are in one component or have been pivots.
+   their pairs.  In a longer one, a pivot (the entry nearest to what the list has in
+   common) is compared with all others, then the next ``PIVOTS``, then all that are left.  A set's
+   answers follow from those of a pivot: with distances d(x), d(y) to it, x and y cannot
+   link if the two differ by more than 1 - t, and need no test if both are in one
+   component already.  A list ends when all its sets are in one component.
 4. Every remaining pair is verified on its whole sets; components come from ``graph``.
 
 Nothing is capped: a list goes on until every pair is linked through others, ruled out
@@ -41,9 +41,10 @@ from lectern.llm.graph import stars
 from lectern.llm.text import LOWER, NOT_SPACE, Run, hash_ranges, mix, runs, shingles
 from lectern.session import stage
 
-BUCKET_BITS, RANGE_BITS = 28, 22
+BUCKET_BITS, RANGE_BITS = 27, 21
 BUCKETS = 1 << BUCKET_BITS
 SMALL = 16
+PIVOTS = (16, None)  # pivots of a list in the rounds after the first; None: every entry left
 FLUSH = 4_000_000
 SEEN = 500_000
 
@@ -154,7 +155,7 @@ def _grades(blobs: DataFrame) -> np.ndarray:
     parts = blobs.select("part", "blob").repartition(1 << (BUCKET_BITS - RANGE_BITS), "part")
     table = np.zeros(BUCKETS // 4, np.uint8)
     size = (1 << RANGE_BITS) // 4
-    for row in parts.mapInArrow(add, "part int, packed binary").toLocalIterator():
+    for row in parts.mapInArrow(add, "part int, packed binary").collect():
         table[row.part * size : (row.part + 1) * size] = np.frombuffer(row.packed, np.uint8)
     return table
 
@@ -233,7 +234,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _class_links(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes that give the components of all links."""
     block = F.floor(F.log("n") / (math.log(100 / percent) * 1.0001))
-    entry = F.struct("cls", "n", "pos")
+    # The entry with the fewest rarer shingles comes first: the text nearest to what all have in common.
+    entry = F.struct("pos", "cls", "n")
     unit = ["shingle", "block"]
     units = index.withColumn("block", F.explode(F.array(block, block - 1)))
     lists = units.groupBy(*unit).agg(F.count("*").alias("m"), F.min(entry).alias("pivot")).filter("m > 1")
@@ -249,32 +251,41 @@ def _class_links(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # Distance of each entry of a long list to the list's first pivot, where it is known.
     distance = (1 - F.col("common") / F.col("either")).alias("d")
-    keyed = large.filter("cls <> pivot.cls").select(*unit, "cls", "n", "pos", *_pair("x", "pivot"))
-    live = stage(keyed.join(answers.select("a", "b", distance), ["a", "b"], "left").drop("a", "b"), "live")
-    turn, slack = 1, 1 - percent / 100 + 1e-9
-    while True:
-        star = stars(links)
-        sizes = star.groupBy("b").agg((F.count("*") + 1).alias("size"))
-        named = star.join(sizes, "b").select(F.col("a").alias("cls"), F.col("b").alias("comp"), "size")
-        named = named.unionByName(sizes.select(F.col("b").alias("cls"), F.col("b").alias("comp"), "size"))
-        live = live.drop("comp", "size").join(named, "cls", "left")
-        live = live.withColumns({"comp": F.coalesce("comp", "cls"), "size": F.coalesce("size", F.lit(1))})
-        open_units = live.groupBy(*unit).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        live = stage(live.join(open_units.filter("lo <> hi").select(*unit), unit), "live")
+    live = large.filter("cls <> pivot.cls").select(*unit, "cls", "n", "pos", *_pair("x", "pivot"))
+    live = live.join(answers.select("a", "b", distance), ["a", "b"], "left").drop("a", "b")
+    slack = 1 - percent / 100 + 1e-9
+    labels = None
+    for pivots_now in PIVOTS:
+        if labels is None:
+            star = stage(stars(links), "labels")
+            least = star.select(F.col("b").alias("cls"), F.col("b").alias("comp")).distinct()
+            labels = star.select(F.col("a").alias("cls"), F.col("b").alias("comp")).unionByName(least)
+        live = live.drop("comp").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        live = stage(live, "live")
+        open_units = live.groupBy(*unit).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        live = stage(live.join(open_units.select(*unit), unit), "live")
         if live.isEmpty():
-            return links
-        order = Window.partitionBy(*unit).orderBy("size", "cls")
-        pivots = live.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 4**turn)
-        pivots = stage(pivots.drop("place"), "pivots")
+            break
+        if pivots_now is None:
+            pivots = live
+        else:
+            order = Window.partitionBy(*unit).orderBy("pos", "cls")
+            pivots = live.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= pivots_now)
+            pivots = stage(pivots.drop("place"), "pivots")
         met = live.alias("x").join(pivots.alias("y"), unit).filter("x.comp <> y.comp")
         met = met.filter(_may_link(percent, "x", "y"))
         met = met.filter(F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= slack, F.lit(True)))
+        if pivots_now is None:
+            met = met.filter("x.cls < y.cls")
         pairs = met.select(*_pair("x", "y")).distinct().join(answers.select("a", "b"), ["a", "b"], "left_anti")
         found = stage(_verified(pairs, sets, percent), "answers")
         answers = answers.unionByName(found)
-        links = links.unionByName(found.filter("linked").select("a", "b"))
-        live = stage(live.join(pivots.select(*unit, "cls"), [*unit, "cls"], "left_anti"), "live")
-        turn += 1
+        fresh = found.filter("linked").select("a", "b")
+        if not fresh.isEmpty():
+            links, labels = links.unionByName(fresh), None
+        if pivots_now is not None:
+            live = live.join(pivots.select(*unit, "cls"), [*unit, "cls"], "left_anti")
+    return links
 
 
 def jaccard_components(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
