@@ -151,12 +151,13 @@ def _(c):
 
 @query("stream_payment_rollup", f"""
     WITH totals AS (SELECT ParcelaID, sum(ValorPagamento) AS total, max(DataPagamento) AS last FROM Pagamento
-        GROUP BY ParcelaID) {PAID_SQL}""")
+        GROUP BY ParcelaID HAVING bool_or(GatewayStatus = 'CONFIRMED')) {PAID_SQL}""")
 def _(c):
     """Pending payments are the history, confirmed ones arrive; instalments without arrivals keep their row."""
     out, ckpt = _paths(c, "payments")
-    arriving = StreamCampus(c, "lineitem").Pagamento
-    jobs.stream_payment_rollup(arriving, None, c.ParcelaFinanceira, TODAY, out, ckpt).awaitTermination()
+    arriving = StreamCampus(c, "lineitem").Pagamento.filter("GatewayStatus = 'CONFIRMED'")
+    history = c.Pagamento.filter("GatewayStatus <> 'CONFIRMED'")
+    jobs.stream_payment_rollup(arriving, history, c.ParcelaFinanceira, TODAY, out, ckpt).awaitTermination()
     return jobs.read_instalments(c.spark, c.ParcelaFinanceira, out)
 
 

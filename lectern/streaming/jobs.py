@@ -19,6 +19,7 @@ from lectern.operators.aggregates import minute_counts, payments_rollup, weighte
 from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key, update_from
 from lectern.plans.bulk import apply_payments, code_events
+from lectern.session import stage
 from lectern.sources.scan import fill_defaults
 from lectern.sources.sinks import (
     committed_batches, current, ensure, full_reload, latest_version, merge_add, published, write_batch,
@@ -121,10 +122,11 @@ def stream_payment_rollup(
 
     The running sum and last time of each instalment live in the state store, so
     a batch costs its own payments and instalments, not a rescan of all payments.
-    ``history`` holds payments from before the stream.
+    ``history`` holds payments from before the stream; it is totalled once and written, so
+    no batch reads the payments themselves.
     """
     running = payments_rollup(src)
-    past = None if history is None else payments_rollup(history)
+    past = None if history is None else stage(payments_rollup(history), "payment-history")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         # Stored first: the state of the batch is then computed exactly once.
@@ -149,6 +151,7 @@ def read_instalments(spark: SparkSession, instalments: DataFrame, out: str) -> D
 
 # ---- grades -----------------------------------------------------------------
 GRADE_BUCKETS = 64
+UPDATED = "UltimaAtualizacao"
 
 
 def final_grades(grades: DataFrame, assessments: DataFrame) -> DataFrame:
@@ -164,10 +167,13 @@ def derive_grades(enrolments: DataFrame, finals: DataFrame) -> DataFrame:
     open_ = finals.join(
         enrolments.filter(~F.col("StatusMatricula").isin(*BLOCKED)).select("MatriculaID"), "MatriculaID", "left_semi"
     )
-    return update_from(enrolments, open_, "MatriculaID", {
+    assigned = {
         "NotaFinal": F.col("_final"),
         "StatusMatricula": grade_status_derived("_final", "FrequenciaPercentual", "StatusMatricula"),
-    })
+    }
+    if "_posted" in finals.columns:
+        assigned[UPDATED] = F.col("_posted")
+    return update_from(enrolments, open_, "MatriculaID", assigned)
 
 
 def stream_grade_derive(
@@ -180,11 +186,17 @@ def stream_grade_derive(
     changed enrolments to ``out/enrolments``.  Recomputing joins on the bucket as
     well, so only buckets of touched enrolments are read.  A grade above the
     assessment's maximum is left out, or its whole batch with ``reject="batch"``.
+    ``history`` is written into the same buckets once, as batch -1.  A recomputed
+    enrolment has the time of its newest grade as ``UltimaAtualizacao``.
     """
     limit = CrossTable("grade-limit", "limits", "AvaliacaoID", "NotaObtida", "NotaMaxima", reject)
     bucket = F.pmod(F.xxhash64("MatriculaID"), F.lit(GRADE_BUCKETS)).cast("int")
     cols = ["MatriculaID", "AvaliacaoID", "NotaObtida", "LancadaEm"]
     grades_path, changed_path = f"{out}/grades", f"{out}/enrolments"
+    if UPDATED not in enrolments.columns:
+        enrolments = enrolments.withColumn(UPDATED, F.lit(None).cast("timestamp_ntz"))
+    if history is not None and -1 not in committed_batches(history.sparkSession, grades_path):
+        write_batch(history.select(*cols).withColumn("bucket", bucket), grades_path, -1, ["bucket"])
 
     def step(batch: DataFrame, batch_id: int) -> None:
         bad = limit.violations(batch, {"limits": assessments}).select("AvaliacaoID", "MatriculaID").distinct()
@@ -195,18 +207,16 @@ def stream_grade_derive(
         log = read_batches(accepted, grades_path).filter(F.col("batch_id") <= batch_id)
         touched = log.filter(F.col("batch_id") == batch_id).select("bucket", "MatriculaID").distinct()
         known = having_key(log.select(*cols, "bucket", "batch_id"), touched, ["bucket", "MatriculaID"])
-        if history is not None:
-            old = history.select(*cols).withColumns({"bucket": bucket, "batch_id": F.lit(-1)})
-            known = known.unionByName(having_key(old, touched, ["bucket", "MatriculaID"]))
         newest = known.groupBy("MatriculaID", "AvaliacaoID").agg(
             F.max(F.struct("batch_id", "LancadaEm", "NotaObtida")).alias("_v")
-        ).select("MatriculaID", "AvaliacaoID", F.col("_v.NotaObtida").alias("NotaObtida"))
+        ).select("MatriculaID", "AvaliacaoID", "_v.NotaObtida", "_v.LancadaEm")
 
         now = having_key(enrolments, touched, "MatriculaID")
-        result = ["MatriculaID", "NotaFinal", "StatusMatricula"]
+        result = ["MatriculaID", "NotaFinal", "StatusMatricula", UPDATED]
         earlier = read_batches(enrolments.select(*result), changed_path).filter(F.col("batch_id") < batch_id)
         now = latest_version(now, having_key(earlier, touched, "MatriculaID"), "MatriculaID", result[1:])
-        changed = derive_grades(now, final_grades(newest, assessments))
+        posted = newest.groupBy("MatriculaID").agg(F.max("LancadaEm").cast("timestamp_ntz").alias("_posted"))
+        changed = derive_grades(now, final_grades(newest, assessments).join(posted, "MatriculaID"))
         write_batch(changed.select(*result), changed_path, batch_id)
 
     return _run(src, step, ckpt, "append", trigger or {"availableNow": True})
@@ -214,7 +224,8 @@ def stream_grade_derive(
 
 def read_enrolments(spark: SparkSession, enrolments: DataFrame, out: str) -> DataFrame:
     changes = spark.read.parquet(f"{out}/enrolments")
-    return latest_version(enrolments, changes, "MatriculaID", ["NotaFinal", "StatusMatricula"])
+    updated = [UPDATED] if UPDATED in enrolments.columns else []
+    return latest_version(enrolments, changes, "MatriculaID", ["NotaFinal", "StatusMatricula", *updated])
 
 
 # ---- events -----------------------------------------------------------------

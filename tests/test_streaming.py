@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lectern.operators.aggregates import minute_counts, payments_rollup
 from lectern.plans.bulk import apply_payments
 from lectern.session import work_path
+from lectern.sources.sinks import committed_batches, current, remove
 from lectern.streaming import jobs
 from tests.seed import AS_OF
 
@@ -66,6 +67,19 @@ def test_minute_counts_over_batches_and_replay(spark, campus, paths):
     assert jobs.read_minute_metric(spark, out, base).agg(F.sum("MetricValue")).first()[0] == 18
 
 
+def test_uncommitted_batch_is_not_folded(spark, campus, paths):
+    src, out, ckpt = paths
+    events, types = campus["EventStream"], campus["EventType"]
+    for n in (1, 2):
+        arrive(events.filter(F.col("EventID") == n), src)
+    jobs.stream_minute_counts(follow(spark, events, src), types, out, ckpt).awaitTermination()
+    last = max(committed_batches(spark, out))
+    remove(spark, f"{out}/batch_id={last}/_SUCCESS")  # as if its job were still committing files
+    store = out + "-store"
+    assert jobs.fold_minute_metric(spark, out, store) == last - 1
+    assert current(spark, store, "MetricMinute").agg(F.sum("MetricValue")).first()[0] == 1
+
+
 def test_windowed_counts_emit_closed_windows_and_drop_late_rows(spark, campus, paths):
     src, out, ckpt = paths
     events, types = campus["EventStream"], campus["EventType"]
@@ -119,6 +133,9 @@ def test_grades_over_batches(spark, campus, paths):
     assert got[2] == (D("4.72"), "REPROVADA")       # (7.30·40 + 3.00·60) / 100; 10.50 was refused
     assert got[4] == (D("7.00"), "APROVADA")
     assert got[1] == (D("8.70"), "APROVADA")        # untouched
+    stamped = enrol.withColumn("UltimaAtualizacao", F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz"))
+    stamps = {r["MatriculaID"]: r["UltimaAtualizacao"] for r in jobs.read_enrolments(spark, stamped, out).collect()}
+    assert stamps[3] == day and stamps[1] == dt.datetime(2026, 1, 1)
 
 
 def test_grade_batch_rejected_as_a_whole(spark, campus, paths):
