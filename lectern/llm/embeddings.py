@@ -38,7 +38,7 @@ CODES = 32
 SAMPLE = 8_000
 RECALL = 0.998
 MEMBERS, QUERIES = 4096, 16384
-PAIRS = 1 << 18
+PAIR_VALUES = 1 << 22  # components of the vectors of the pairs that are verified together
 
 
 @dataclass
@@ -188,44 +188,47 @@ def _linked(left: pa.Table, right: pa.Table, grid: Grid, least: float) -> pa.Tab
     who = np.repeat(np.arange(len(asks)), np.diff(visits.offsets.to_numpy()))
     count = edges[visited + 1] - edges[visited]
     total = np.concatenate([[0], np.cumsum(count)])
-    found = []
-    low = 0
+    # Links are counted and joined up block by block; the pairs themselves are not kept.
+    nodes = np.unique(np.concatenate([asks, name]))
+    node_q, node_m = np.searchsorted(nodes, asks), np.searchsorted(nodes, name)
+    links, root = np.zeros(len(nodes)), np.arange(len(nodes))
+    pairs, low = max(1, PAIR_VALUES // members.shape[1]), 0
     while low < len(visited):
-        high = max(low + 1, int(np.searchsorted(total, total[low] + PAIRS, "right")) - 1)
+        high = max(low + 1, int(np.searchsorted(total, total[low] + pairs, "right")) - 1)
         c = count[low:high]
         q = np.repeat(who[low:high], c)
         m = order[np.arange(len(q)) - np.repeat(total[low:high] - total[low], c) + np.repeat(edges[visited[low:high]], c)]
         near = np.einsum("ij,ij->i", queries[q], members[m]) >= least * norm[1][q] * norm[0][m]
         near &= asks[q] != name[m]
-        found.append((q[near], m[near]))
+        q, m = q[near], m[near]
+        if len(q):
+            back = grid.reaches(members[m], own_cell[q])  # then the member's own query counts the link for itself
+            links += np.bincount(node_q[q], weight[m], len(nodes))
+            links += np.bincount(node_m[m[~back]], own_weight[q[~back]], len(nodes))
+            root = _joined(root, node_q[q], node_m[m])
         low = high
-    q, m = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-    if not len(q):
-        return out.empty_table()
-    back = grid.reaches(members[m], own_cell[q])  # then the member's own query counts the link for itself
-    counted = np.concatenate([asks[q], name[m][~back]])
-    links = np.concatenate([weight[m], own_weight[q][~back]])
-    ids, at = np.unique(counted, return_inverse=True)
-    sums = np.bincount(at, links).astype(np.int64)
-    nodes, at = np.unique(np.concatenate([asks[q], name[m]]), return_inverse=True)
-    a, b = at[: len(q)], at[len(q) :]
-    root = np.arange(len(nodes))
-    while True:
-        before = root.copy()
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    tied = np.flatnonzero(root != np.arange(len(nodes)))
+    linked, tied = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(nodes)))
     return pa.table({
-        "cls": np.concatenate([ids, nodes[tied]]), "other": pa.array(
-            np.concatenate([ids, nodes[root[tied]]]), mask=np.arange(len(ids) + len(tied)) < len(ids)),
-        "links": np.concatenate([sums, np.zeros(len(tied), np.int64)]),
+        "cls": np.concatenate([nodes[linked], nodes[tied]]),
+        "other": pa.array(
+            np.concatenate([nodes[linked], nodes[root[tied]]]), mask=np.arange(len(linked) + len(tied)) < len(linked)),
+        "links": np.concatenate([links[linked].astype(np.int64), np.zeros(len(tied), np.int64)]),
     }).cast(out)
 
 
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least node of each component after adding the links (a, b)."""
+    while True:
+        ra, rb = root[a], root[b]
+        if (ra == rb).all():
+            return root
+        low = np.minimum(ra, rb)
+        np.minimum.at(root, ra, low)
+        np.minimum.at(root, rb, low)
+        while (root != root[root]).any():
+            root = root[root]
+
+
 def near_duplicates(df: DataFrame, key: str, vector: str, label: str, least: float) -> DataFrame:
     """(key, n_links, component) of each row: other rows linked directly, and the least key reachable by links."""
     spark = df.sparkSession
