@@ -19,6 +19,8 @@ Null texts, texts without letters, and all texts when nothing was learned, are
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -267,10 +269,15 @@ def fit(
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     ids = usable.filter(F.col("label").isin(names)).select("key", "label")
     ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language).select("key").distinct()
-    # At most per_language * MOST_LANGUAGES keys: the bound of what is broadcast and gathered here.
+    # At most per_language * MOST_LANGUAGES keys: the bound of what is broadcast, and of the one task that learns.
     sample = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(per_language * MOST_LANGUAGES)
-    rows = sample.select("text", "label").collect()
-    return learn([r.text for r in rows], [r.label for r in rows])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(text, name) for b in batches for text, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(learn([r[0] for r in rows], [r[1] for r in rows]))]})
+
+    made = sample.select("text", "label").coalesce(1).mapInArrow(train, "model binary").first()
+    return pickle.loads(made.model) if made else None
 
 
 def language(model: Model | None, text: Column, with_spans: bool = False) -> Column:

@@ -23,6 +23,7 @@ fixed weight.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -239,10 +240,17 @@ def fit(
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     ids = usable.select("key", "label").withColumn("place", F.row_number().over(order))
     ids = ids.filter(F.col("place") <= per_class).select("key").distinct()
-    # At most 2 * per_class keys: the bound of what is broadcast and gathered here.
+    # At most 2 * per_class keys: the bound of what is broadcast, and of the one task that learns.
     rows = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(2 * per_class)
-    rows = rows.select("text", "label").toArrow()
-    return learn(rows["text"].combine_chunks(), rows["label"].to_numpy(), prior)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([("text", pa.string()), ("label", pa.int32())])
+        table = pa.Table.from_batches([b.cast(kinds) for b in batches], kinds)
+        model = learn(table["text"].combine_chunks(), table["label"].to_numpy(), prior)
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    made = rows.select("text", "label").coalesce(1).mapInArrow(train, "model binary").first()
+    return pickle.loads(made.model) if made else learn(pa.array([], pa.string()), np.zeros(0), prior)
 
 
 def toxicity(model: Model, text: Column) -> Column:
