@@ -32,7 +32,7 @@ from lectern.llm.text import LETTER, LOWER, Run, hash_ranges, mix, runs
 
 SLOTS = 1 << 16
 MOST_LANGUAGES = 64
-RUN = 1 << 22
+RUN = 1 << 21
 NONE = "und"
 
 
@@ -104,10 +104,7 @@ class Model:
         """Score of each distinct word and language."""
         n, width = len(words.first), len(self.languages)
         word, slot = slots or _slots(words)
-        total = np.zeros((len(slot) + 1, width))
-        np.cumsum(self.weights[slot], axis=0, out=total[1:])
-        edges = np.searchsorted(word, np.arange(n + 1))
-        out = total[edges[1:]] - total[edges[:-1]]
+        out = np.stack([np.bincount(word, self.weights[slot, k], n) for k in range(width)], axis=1)
         member = self.members(words)
         hit = member >= 0
         out[hit] += self.bonus[member[hit]]
