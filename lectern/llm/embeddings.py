@@ -65,12 +65,12 @@ class Grid:
     def cell(self, d: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         return d[0].argmin(axis=1) * CODES + d[1].argmin(axis=1)
 
-    def reaches(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        """Does the query x[k] visit cell[k]?"""
+    def reaches(self, x: np.ndarray, own: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Does the query x[k], whose cell is own[k], visit cell[k]?  Its own cell it visits at any distance."""
         h = self.halves(x)
         i, j = cell // CODES, cell % CODES
         far = np.round(_squares(h[0] - self.codes[0][i]), 9) + np.round(_squares(h[1] - self.codes[1][j]), 9)
-        return far <= self.limit
+        return (far <= self.limit) | (cell == own)
 
 
 def _squares(d: np.ndarray) -> np.ndarray:
@@ -202,7 +202,7 @@ def _linked(left: pa.Table, right: pa.Table, grid: Grid, least: float) -> pa.Tab
         near &= asks[q] != name[m]
         q, m = q[near], m[near]
         if len(q):
-            back = grid.reaches(members[m], own_cell[q])  # then the member's own query counts the link for itself
+            back = grid.reaches(members[m], cell[m], own_cell[q])  # then the member's own query counts the link for itself
             links += np.bincount(node_q[q], weight[m], len(nodes))
             links += np.bincount(node_m[m[~back]], own_weight[q[~back]], len(nodes))
             root = _joined(root, node_q[q], node_m[m])

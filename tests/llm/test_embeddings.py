@@ -1,6 +1,8 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from lectern.llm import embeddings as emb
@@ -77,6 +79,28 @@ def test_cells_come_in_ascending_distance():
     assert cost == sorted(cost) and len(set(cells)) == len(cells) == int((a[:, None] + b[None] <= 0.8).sum())
 
 
+def test_links_in_a_cell_beyond_the_limit_count_once():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6, 16))[np.arange(120) % 6] + 0.05 * rng.normal(size=(120, 16))
+    grid = emb.fit(x[:30], 0.93)
+    d = grid.distances(x)
+    cell = grid.cell(d)
+    own = d[0].min(axis=1) + d[1].min(axis=1)
+    cos = x @ x.T / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None]
+    for limit in (-1.0, float(np.median(own))):  # all, and half, of the vectors are farther from their own cell
+        grid.limit = limit
+        visits = [list(dict.fromkeys([int(c), *emb.multi_sequence(a, b, limit)])) for c, a, b in zip(cell, *d)]
+        table = pa.table({
+            "cls": np.arange(120), "vec": x.tolist(), "w": np.ones(120, np.int64), "cell": pa.array(cell, pa.int32()),
+            "visits": pa.array(visits, pa.list_(pa.int32())),
+        })
+        meets = np.array([[c in v for c in cell] for v in visits])
+        want = ((cos >= 0.93) & (meets | meets.T) & ~np.eye(120, dtype=bool)).sum(axis=1)
+        found = emb._linked(table, table, grid, 0.93).filter(pa.compute.field("other").is_null())
+        got = dict(zip(found["cls"].to_pylist(), found["links"].to_pylist()))
+        assert sum(got.values()) > 0 and [got.get(k, 0) for k in range(120)] == want.tolist()
+
+
 @pytest.mark.parametrize("n", [1, 2, 50])
 def test_small_samples_fit(n):
     assert emb.fit(np.random.default_rng(3).normal(size=(n, 7)), 0.93).limit > 0
