@@ -1,6 +1,6 @@
 """Language of the words of a text, by a linear-chain conditional random field.
 
-A word is a run of letters.  Its features are prefixes and suffixes of one to three
+A word is a run of Unicode letters and their marks.  Its features are prefixes and suffixes of one to three
 bytes, inner pairs and triples of bytes, and the lexicon it belongs to (words that
 the sample has almost only in one language), hashed into ``SLOTS`` weights per
 language.  Weights and transitions between languages are learned together by
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.text import LETTER, LOWER, Run, hash_ranges, mix, runs
+from lectern.llm.text import LOWER, Run, hash_ranges, mix, runs
 
 SLOTS = 1 << 16
 MOST_LANGUAGES = 64
@@ -50,7 +50,7 @@ class Words:
 
     @classmethod
     def of(cls, run: Run) -> Words:
-        starts, ends = run.ranges(LETTER)
+        starts, ends = run.words()
         hashes = hash_ranges(run.data, starts, ends, LOWER)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         return cls(run, starts, ends, run.per_text(starts), first, back, distinct)
@@ -159,9 +159,11 @@ def learn(texts: list[str], labels: list[str], rounds: int = 25, penalty: float
     """Fit the field on whole texts, each with one language; None without any letters."""
     languages = sorted(set(labels))
     all_runs = list(runs(pa.array(texts, pa.large_string()), 1 << 62))
-    if not languages or not all_runs or not LETTER[all_runs[0].data].any():
+    if not languages or not all_runs:
         return None
     words = Words.of(all_runs[0])
+    if not len(words.back):
+        return None
     width, n_words = len(languages), len(words.back)
     text_label = np.array([languages.index(x) for x in labels])
     gold = np.repeat(text_label, np.diff(words.bounds))
@@ -214,12 +216,12 @@ def predict(model: Model | None, texts: pa.Array, with_spans: bool) -> pa.Array:
     names, scores, stretches, sizes = [], [], [], [np.zeros(1, np.int64)]
     for run in runs(texts, RUN):
         n = run.n
-        if model is None or not LETTER[run.data].any():
+        words = None if model is None else Words.of(run)
+        if words is None or not len(words.back):
             names += [NONE] * n
             scores.append(np.zeros(n))
             sizes.append(np.zeros(n, np.int64))
             continue
-        words = Words.of(run)
         p, _ = model.marginals(model.emissions(words)[words.back], words.bounds)
         total = np.zeros((len(p) + 1, p.shape[1]))
         np.cumsum(p, axis=0, out=total[1:])

@@ -8,8 +8,11 @@ table lookup per byte; their 64-bit hashes come from one running sum.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ NOT_SPACE = ~SPACE
 # Bytes of letters: ASCII letters and every byte of a longer UTF-8 sequence.
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+OTHER, MARK, UNICODE_LETTER = 0, 1, 2
 # A-Z to a-z, all else unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
@@ -50,6 +54,17 @@ class Run:
         mark = inside[self.data]
         return spans(mark, self.bounds)
 
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of every maximal range of Unicode letters with their marks, which begins with a letter."""
+        kind = characters(self.data)
+        starts, ends = spans(kind != OTHER, self.bounds)
+        odd = kind[starts] == MARK
+        if odd.any():
+            letters = np.append(np.flatnonzero(kind == UNICODE_LETTER), len(self.data))
+            starts[odd] = letters[np.searchsorted(letters, starts[odd])]
+            starts, ends = starts[starts < ends], ends[starts < ends]
+        return starts, ends
+
     def per_text(self, starts: np.ndarray) -> np.ndarray:
         """Bounds (n + 1) of each text's entries among ascending start positions."""
         return np.searchsorted(starts, self.bounds)
@@ -58,6 +73,38 @@ class Run:
         return self.data[start:end].tobytes()
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """Kind of each code point.  Joiners (U+200C, U+200D) go on with a word as marks do."""
+    kind = {"L": UNICODE_LETTER, "M": MARK}
+    out = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)], np.uint8)
+    out[[0x200C, 0x200D]] = MARK
+    return out
+
+
+def characters(data: np.ndarray) -> np.ndarray:
+    """Kind of the character that each byte of UTF-8 belongs to; broken sequences are no letters."""
+    kind = np.where(LETTER & (np.arange(256) < 0x80), UNICODE_LETTER, OTHER).astype(np.uint8)[data]
+    at = np.flatnonzero(data >= 0xC0)
+    if not len(at):
+        return kind
+    lead = data[at]
+    more = 1 + (lead >= 0xE0).astype(np.uint8) + (lead >= 0xF0)
+    code = (lead & (0x3F >> more)).astype(np.int32)
+    whole = at + more < len(data)
+    for k in (1, 2, 3):
+        use = more >= k
+        byte = data[np.minimum(at + k, len(data) - 1)]
+        whole &= ~use | (byte & 0xC0 == 0x80)
+        code = np.where(use, code << 6 | byte & 0x3F, code)
+    at, more = at[whole], more[whole]
+    found = _kinds()[np.minimum(code[whole], sys.maxunicode)]
+    kind[at] = found
+    for k in (1, 2, 3):
+        kind[at[more >= k] + k] = found[more >= k]
+    return kind
+
+
 def spans(mark: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(mark):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)

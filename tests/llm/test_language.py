@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from lectern.llm import language as lang
+from lectern.llm import text
 from lectern.llm.queries import QUERIES
 from lectern.llm.text import runs
 
@@ -62,6 +63,25 @@ def test_code_switching_and_odd_texts():
     assert lang.predict(None, pa.array(texts), True).to_pylist()[3] == {"lang": "und", "score": 0.0, "spans": []}
 
 
+def test_signs_beyond_ascii_are_no_words(model):
+    texts = ["20 € – 30", "★★★", "😀 👨‍👩‍👧", "⚠️", "—", "…", "“”", "٣٤", "\u0301", "der “Hund” – ist…", "naïve Größe été", "हिन्दी ❤️the"]
+    got = lang.predict(model, pa.array(texts), False).to_pylist()
+    assert [(g["lang"], g["score"]) for g in got[:9]] == [("und", 0.0)] * 9
+    assert all(g["lang"] != "und" and g["score"] > 0 for g in got[9:])
+    run = next(runs(pa.array(texts)))
+    starts, ends = run.words()
+    found = [run.piece(a, b).decode() for a, b in zip(starts, ends)]
+    assert found == ["der", "Hund", "ist", "naïve", "Größe", "été", "हिन्दी", "the"]
+    assert run.per_text(starts).tolist() == [0] * 10 + [3, 6, 8]
+    assert lang.learn(["★ – 20 €"], ["de"]) is None
+
+
+def test_broken_bytes_are_no_letters():
+    for raw, want in ((b"a\xc3", 1), (b"\xe2\x82", 0), (b"\xc3(b", 1), (b"\xf7\xbf\xbf\xbf", 0), (b"\x80\x81", 0)):
+        data = np.frombuffer(raw, np.uint8)
+        assert int((text.characters(data) == text.UNICODE_LETTER).sum()) == want
+
+
 def test_lower_case_and_place_do_not_matter(model):
     run = next(runs(pa.array(["The dog THE cat the"])))
     words = lang.Words.of(run)
