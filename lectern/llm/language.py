@@ -9,9 +9,11 @@ their text.  Forward-backward then gives every word of a whole text its
 probabilities; the text's language has the largest share of them, and that share is
 the score.  ``spans`` are the stretches of words of one most probable language.
 
-The model is fitted on a bounded sample: ``per_language`` texts of each of at most
-``MOST_LANGUAGES`` languages, each of ``fit_chars`` characters at most (longer texts
-are left out of the fit, never cut).  Prediction covers every text whole.
+The model is fitted on a bounded sample of every language: ``per_language`` texts of
+each, of ``fit_chars`` characters at most.  Longer texts are left out of the fit, unless
+the language has no others: then their first ``fit_chars`` are taken.  With over
+``FULL_LANGUAGES`` languages each has fewer texts, so that texts times languages stay
+the same, but one at least.  Prediction covers every text whole.
 
 Null texts, texts without letters, and all texts when nothing was learned, are
 ``und`` with score 0.  Ties go to the first language in alphabetical order.
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 from lectern.llm.text import LOWER, Run, hash_ranges, mix, runs
 
 SLOTS = 1 << 16
-MOST_LANGUAGES = 64
-RUN = 1 << 21
+FULL_LANGUAGES = 64
+RUN = 1 << 21  # bytes, with up to 16 languages; fewer with more, as the memory grows with both
 NONE = "und"
 
 
@@ -214,7 +216,8 @@ def _lexicon(words: Words, gold, text_label, width, least: int = 5, share: float
 
 def predict(model: Model | None, texts: pa.Array, with_spans: bool) -> pa.Array:
     names, scores, stretches, sizes = [], [], [], [np.zeros(1, np.int64)]
-    for run in runs(texts, RUN):
+    size = RUN * 16 // max(16, len(model.languages)) if model else RUN
+    for run in runs(texts, size):
         n = run.n
         words = None if model is None else Words.of(run)
         if words is None or not len(words.back):
@@ -262,14 +265,19 @@ def fit(
 ) -> Model | None:
     """Learn from a sample of the rows with text and label, chosen by a hash of the key."""
     usable = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
-    usable = usable.filter("label is not null and key is not null").filter(F.length("text").between(1, fit_chars))
-    named = usable.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES)
-    names = [r.label for r in named.collect()]
+    usable = usable.filter("label is not null and key is not null and length(text) > 0")
+    long = F.length("text") > fit_chars
+    named = usable.groupBy("label").agg(F.min(long).alias("long"))
+    every = named.agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("long"), F.col("label"))).alias("long")).first()
+    usable = usable.filter(~long | F.col("label").isin(every.long)) if every.long else usable.filter(~long)
+    usable = usable.withColumn("text", F.substring("text", 1, fit_chars))
+    each = max(1, min(per_language, per_language * FULL_LANGUAGES**2 // max(every.n, 1) ** 2))
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    ids = usable.filter(F.col("label").isin(names)).select("key", "label")
-    ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language).select("key").distinct()
-    # At most per_language * MOST_LANGUAGES keys: the bound of what is broadcast, and of the one task that learns.
-    sample = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(per_language * MOST_LANGUAGES)
+    ids = usable.select("key", "label")
+    ids = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("key").distinct()
+    # At most each * n keys: the bound of what is broadcast, and of the one task that learns.
+    sample = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text")
+    sample = sample.limit(max(per_language * FULL_LANGUAGES, each * every.n))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(text, name) for b in batches for text, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]

@@ -94,3 +94,24 @@ def test_empty_and_unlabelled_tables(spark):
     assert lang.fit(df.limit(0), "doc_id", "text", "lang") is None
     got = df.select(lang.language(None, df["text"]).alias("lang")).collect()
     assert [r.lang.lang for r in got] == ["und", "und"]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(70 * k + i, f"w{chr(97 + i // 10)}{chr(107 + i % 10)} " * 3, f"l{i:02}") for i in range(70) for k in range(2 if i else 3)]
+    rows += [(1000 + k, "zyx zyxa " * 20, "long") for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang.fit(df, "doc_id", "text", "lang", fit_chars=100)
+    assert model.languages == sorted({r[2] for r in rows})
+    got = lang.predict(model, pa.array([r[1] for r in rows]), False).to_pylist()
+    assert np.mean([g["lang"] == r[2] for g, r in zip(got, rows)]) > 0.95
+
+
+def test_runs_of_many_languages_give_the_same(monkeypatch):
+    names = [f"l{i:02}" for i in range(20)]
+    model = lang.learn([f"w{chr(97 + i)}x is" for i in range(20)], names, rounds=3)
+    texts = pa.array([f"w{chr(97 + i)}x is" for i in range(20)] + [None, "–"])
+    want = lang.predict(model, texts, True).to_pylist()
+    monkeypatch.setattr(lang, "RUN", 10)
+    got = lang.predict(model, texts, True).to_pylist()
+    assert [(g["lang"], g["spans"]) for g in got] == [(w["lang"], w["spans"]) for w in want]
+    assert np.allclose([g["score"] for g in got], [w["score"] for w in want])
