@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, pieces, quality, toxicity, warc
+from lectern.llm import chat, pieces, quality, toxicity, url_rules, warc
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -152,3 +152,33 @@ def op5_pieces(spark, folder):
         "log_prob", "perturbed", F.exp("log_inclusion").alias("inclusion"), "log_inclusion",
         (F.xxhash64(pieces.decode(F.col("ids"), model)) == F.col("own")).alias("decoded"),
     )
+
+
+# URL rules: hosts with paths decide first; the patterns are the method's verdict on all other URLs.
+HOST_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+URL_PATTERNS = ("||ads-", "||adult-", "||casino-", "||cheap-pills", "||free-bets", "||spam-")
+
+
+@query
+def op11_url_rules(spark, folder):
+    rules = [url_rules.host_rule(*r) for r in HOST_RULES] + [url_rules.pattern_rule(p) for p in URL_PATTERNS]
+    judged = url_rules.judge(table(spark, folder, "pages").select("page_id", "url"), "url", rules, "found")
+    return judged.select("page_id", "found.host", "found.path", "found.rule", "found.verdict", "found.pattern")
+
+
+CHECKS["op11_url_rules"] = r"""
+WITH a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM a),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p),
+m AS (SELECT *, CASE WHEN rule IS NULL THEN
+    regexp_extract(host, '(?i)(?:^|[.])(cheap-pills|free-bets)', 1) || regexp_extract(host, '(?i)(?:^|[.])((?:ads|adult|casino|spam)-)', 1)
+    END AS word FROM r)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN word <> '' THEN 'block' ELSE 'allow' END AS verdict, '||' || nullif(word, '') AS pattern
+FROM m
+"""
