@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, pieces, quality, toxicity, url_rules, warc
+from lectern.llm import chat, periodic, pieces, quality, toxicity, url_rules, warc
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -182,3 +182,30 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
     WHEN word <> '' THEN 'block' ELSE 'allow' END AS verdict, '||' || nullif(word, '') AS pattern
 FROM m
 """
+
+
+def with_planted_period(docs):
+    """(doc_id, text): in each tenth document by crc32, the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), "")
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("rest", F.col("n") - F.col("a"))
+    docs = docs.withColumn("p", 1 + F.floor(F.col("rest") / (3 + F.col("g") % 8)))
+    cycle = F.slice("words", F.col("a") + 1, F.col("p"))
+    cycles = F.flatten(F.array_repeat(cycle, F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycles, F.lit(1), F.col("rest")))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic(spark, folder):
+    docs = with_planted_period(table(spark, folder, "documents").select("doc_id", "text"))
+    found = docs.select("doc_id", periodic.periodic("text").alias("f")).select("doc_id", "f.runs", "f.collapsed")
+    found = found.withColumn("best", periodic.longest_exponent("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -146,6 +146,11 @@ def _power(kind: str, base: int, n: int) -> np.ndarray:
     return have
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base of ``hash_sequences`` and of its inverse."""
+    return _power("up", _BASE, n), _power("down", _INVERSE, n)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     x = x.astype(np.uint64, copy=True)
