@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, periodic, pieces, quality, toxicity, url_rules, warc
+from lectern.llm import chat, periodic, pieces, quality, spelling, toxicity, url_rules, warc
 from lectern.llm.embeddings import near_duplicates
 from lectern.llm.jaccard import jaccard_components
 from lectern.llm.language import fit, language
@@ -209,3 +209,25 @@ def op12_periodic(spark, folder):
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# Spelling: words of at least so many code points and occurrences.
+WORD_POINTS, WORD_COUNT = 5, 3
+
+
+def damaged_words(docs):
+    """(word, n): counts of all words; of one (document, word) in 97 by crc32, a code point is taken out."""
+    runs = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z\u00c0-\u00ff]+"), 0)
+    words = docs.select("doc_id", F.explode(runs).alias("run"))
+    words = words.select("doc_id", F.translate("run", url_rules.UPPER, url_rules.SMALL).alias("word"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("word")))
+    at = (h % F.length("word")).cast("int")
+    cut = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    words = words.select(F.when(h % 97 == 0, cut).otherwise(F.col("word")).alias("word"))
+    words = words.filter(F.length("word") >= WORD_POINTS).groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter(F.col("n") >= WORD_COUNT)
+
+
+@query
+def op13_spelling(spark, folder):
+    return spelling.forms(damaged_words(table(spark, folder, "documents").select("doc_id", "text")))
