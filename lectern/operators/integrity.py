@@ -1,13 +1,13 @@
 """Integrity rules as data-quality jobs.
 
 A rule is violated where its condition is false; an unknown condition passes.
-Row rules share one pass over the table, each relational rule is one grouped
-count or anti join.
+Row rules share one pass over the table; unique and foreign key rules of any number of
+tables share one pass over each of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scalar import is_json
 from lectern.operators.joins import exceeds
-from lectern.operators.skew import null_safe_join
+from lectern.session import stage
 
 
 class RowRule:
@@ -103,27 +103,16 @@ class Unique:
     name: str
     cols: Sequence[str]
 
-    def duplicate_keys(self, df: DataFrame) -> DataFrame:
-        counts = df.groupBy(*self.cols).agg(F.count("*").alias("Copias"))
-        return counts.filter(F.col("Copias") > 1)
-
-    def violations(self, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-        return null_safe_join(df, self.duplicate_keys(df), self.cols, "left_semi")
-
 
 @dataclass(frozen=True)
 class ForeignKey:
+    """``col`` is NULL or equals ``key`` of a row of ``parent``, both compared as text."""
+
     name: str
     col: str
     parent: str
     key: str
 
-    def violations(self, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-        parent = tables[self.parent].select(F.col(self.key).alias("_parent_key"))
-        return df.filter(F.col(self.col).isNotNull()).join(
-            parent, F.col(self.col) == F.col("_parent_key"), "left_anti"
-        )
-
 
 @dataclass(frozen=True)
 class CrossTable:
@@ -156,30 +145,103 @@ def row_violations(df: DataFrame, rules: Sequence[RowRule], key: str) -> DataFra
     return flagged.select("rule", "key", reason[F.col("rule")].alias("reason"))
 
 
+def _key_hash(cols: Sequence[Column]) -> list[Column]:
+    """128 bits of the values, two independent halves; NULL differs from every value."""
+    marked = [x for c in cols for x in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(seed), *marked).alias(f"h{seed}") for seed in (1, 2)]
+
+
+UNIQUE, CHILD, PARENT = 0, 1, 2  # kinds of entries
+
+
+def _entries(
+    df: DataFrame, key: str | None, rules: Sequence, ids: Mapping[str, int], parents: Mapping[tuple, int], held: Mapping[str, int]
+) -> DataFrame:
+    """(kind, rule, of, h1, h2, key): what the rows of a table say on all relational rules, from one read.
+
+    ``of`` is the set a value belongs to: the rule itself, or the key of a parent table; ``held`` are
+    the columns of this table that are such keys.
+    """
+
+    def entry(kind: int, rule: int, of: int, values: Sequence[Column], owner: Column) -> Column:
+        named = [F.lit(kind).alias("kind"), F.lit(rule).alias("rule"), F.lit(of).alias("of")]
+        return F.struct(*named, *_key_hash(values), owner.cast("string").alias("key"))
+
+    made = []
+    for rule in rules:
+        n = ids[rule.name]
+        if isinstance(rule, Unique):
+            made.append(entry(UNIQUE, n, n, [F.col(c) for c in rule.cols], F.col(key)))
+        else:
+            value = F.col(rule.col).cast("string")
+            made.append(F.when(value.isNotNull(), entry(CHILD, n, parents[rule.parent, rule.key], [value], F.col(key))))
+    for column, n in held.items():
+        made.append(entry(PARENT, -1, n, [F.col(column).cast("string")], F.lit(None)))
+    return df.select(F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*")
+
+
+def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence], keys: Mapping[str, str]) -> DataFrame:
+    """(rule, key, reason) of every row that breaks a unique or foreign key rule of its table.
+
+    A shared pass: each table that has rules, or is a parent, is read once, whatever the number of its rules.  Its rows
+    become entries with a 128-bit hash of the key, which are written once.  One grouping finds
+    the repeated keys of all unique rules, one anti join the values that no parent has.
+    """
+    named = [rule for own in rules.values() for rule in own]
+    ids = {rule.name: n for n, rule in enumerate(named)}
+    sets = dict.fromkeys((r.parent, r.key) for r in named if isinstance(r, ForeignKey))
+    parents = {of: n for n, of in enumerate(sets)}
+    made = []
+    for t in dict.fromkeys([*(t for t in rules if rules[t]), *(parent for parent, _ in parents)]):
+        held = {column: n for (parent, column), n in parents.items() if parent == t}
+        made.append(_entries(tables[t], keys.get(t), rules.get(t, ()), ids, parents, held))
+    entries = stage(reduce(DataFrame.unionByName, made), "keys")
+    value, found = ["of", "h1", "h2"], []
+    if any(isinstance(r, Unique) for r in named):
+        own = entries.filter(F.col("kind") == UNIQUE)
+        repeated = own.groupBy(*value).agg(F.count("*").alias("n")).filter("n > 1")
+        found.append(own.join(repeated, value, "left_semi"))
+    if parents:
+        known = entries.filter(F.col("kind") == PARENT).select(*value)
+        found.append(entries.filter(F.col("kind") == CHILD).join(known, value, "left_anti"))
+    bad = reduce(DataFrame.unionByName, found)
+    text = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(type(r).__name__).alias("reason")) for r in named])
+    return bad.select(F.get(text, F.col("rule")).alias("r"), "key").select("r.rule", "key", "r.reason")
+
+
+def violations(
+    df: DataFrame, rules: Sequence, key: str, tables: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """(rule, key, reason) of the rows of one table that break a rule."""
+    tables = dict(tables or {})
+    row_rules = [r for r in rules if isinstance(r, RowRule)]
+    relations = [r for r in rules if isinstance(r, Unique | ForeignKey)]
+    found = [row_violations(df, row_rules, key)] if row_rules else []
+    if relations:
+        found.append(relation_violations({**tables, OWN: df}, {OWN: relations}, {OWN: key}))
+    for rule in rules:
+        if isinstance(rule, CrossTable):
+            found.append(rule.violations(df, tables).select(
+                F.lit(rule.name).alias("rule"), F.col(key).cast("string").alias("key"),
+                F.lit(type(rule).__name__).alias("reason"),
+            ))
+    return reduce(DataFrame.unionByName, found)
+
+
+OWN = ""  # the name under which ``violations`` passes its table on
+
+
 def validate(
-    df: DataFrame, rules: Sequence, key: str, tables: dict[str, DataFrame] | None = None
+    df: DataFrame, rules: Sequence, key: str, tables: Mapping[str, DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(rows without violation, violations as (rule, key, reason))."""
-    tables = tables or {}
-    row_rules = [r for r in rules if isinstance(r, RowRule)]
-    relational = [r for r in rules if not isinstance(r, RowRule)]
-    found = []
+    found = violations(df, rules, key, tables)
     good = df
+    row_rules = [r for r in rules if isinstance(r, RowRule)]
     if row_rules:
-        found.append(row_violations(df, row_rules, key))
         good = df.filter(~reduce(lambda a, b: a | b, [r.violated() for r in row_rules]))
-    for rule in relational:
-        bad = rule.violations(df, tables)
-        found.append(
-            bad.select(
-                F.lit(rule.name).alias("rule"),
-                F.col(key).cast("string").alias("key"),
-                F.lit(type(rule).__name__).alias("reason"),
-            )
-        )
-    violations = reduce(DataFrame.unionByName, found)
-    if relational:
-        bad_keys = reduce(DataFrame.unionByName, found[1:] if row_rules else found).select("key").distinct()
-        bad_keys = bad_keys.withColumnRenamed("key", "_bad")
+    kinds = {type(r).__name__ for r in rules if not isinstance(r, RowRule)}
+    if kinds:
+        bad_keys = found.filter(F.col("reason").isin(*kinds)).select(F.col("key").alias("_bad")).distinct()
         good = good.join(bad_keys, F.col(key).cast("string").eqNullSafe(F.col("_bad")), "left_anti")
-    return good, violations
+    return good, found

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import null_safe_join, spread_position
+from lectern.operators.skew import null_safe_join
 from lectern.session import stage
 
 # Output names of the six measures.
 ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD = (
     "RowNumberTurma", "RankTurma", "DenseRankTurma", "Quartil", "NotaAnterior", "NotaSeguinte",
 )
+# Bounds of the prefix scan: slices of a table, and rows that are sampled to cut it.
+MOST_SLICES, SAMPLED = 1 << 16, 400_000
 ALL = (ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD)
 
 
+def first_classes(enrolments: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """The classes with the ``k`` smallest codes that have a graded enrolment: they hold the first k rows of a ranking by code."""
+    graded = enrolments.filter(F.col("NotaFinal").isNotNull()).select("TurmaID").distinct()
+    codes = classes.join(graded, "TurmaID", "left_semi").select("CodigoTurma").distinct()
+    return null_safe_join(classes, codes.orderBy("CodigoTurma").limit(k), ["CodigoTurma"], "left_semi")
+
+
 def windows_within(
     df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int = 4, want: Sequence[str] = ALL
 ) -> DataFrame:
@@ -45,48 +54,132 @@ def _tile(position: Column, total: Column, tiles: int) -> Column:
     return F.when(position <= in_long, long_tile).otherwise(short_tile).cast("long")
 
 
+def _place(key: str, value: str, ties: Sequence[str]) -> Column:
+    """A struct that compares as the rows are ordered: highest value first, then those without one."""
+    return F.struct(F.col(key).alias("key"), F.col(value).isNull().alias("none"), (-F.col(value)).alias("value"), *ties)
+
+
+def slice_cuts(rows: DataFrame, place: Column, slice_rows: int) -> DataFrame | None:
+    """One row with ``cuts``, places that cut the rows into slices of about ``slice_rows``; None for one slice.
+
+    They come from a sample, so slices differ in size; no result depends on them.  Both the
+    sample and the cuts are bounded, by ``SAMPLED`` and ``MOST_SLICES``.
+    """
+    n = rows.count()
+    slices = min(-(-n // slice_rows), MOST_SLICES)
+    if slices < 2:
+        return None
+    share = min(1.0, min(100 * slices, SAMPLED) / n)
+    sampled = rows.sample(share, seed=0).agg(F.sort_array(F.collect_list(place)).alias("all"))
+    every = F.sequence(F.lit(1), F.lit(slices - 1))
+    taken = F.transform(every, lambda k: F.get("all", F.floor(k * F.size("all") / slices).cast("int")))
+    return stage(sampled.select(F.array_compact(taken).alias("cuts")), "cuts")
+
+
+def slice_number(place: Column, cuts: Column, most: int) -> Column:
+    """How many of the ascending ``cuts`` (fewer than ``most``) are not after the place, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    fits = lambda at, step: F.get(cuts, at + step - 1) <= place  # noqa: E731  null beyond the last cut
+    return F.reduce(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))
+
+
+def _carries(rows: DataFrame, cuts: DataFrame, key: str, value: str) -> DataFrame:
+    """What a slice of a key needs to know of the key's other slices: one row per (slice, key) of keys that are cut.
+
+    Counts of equal values are combined before the shuffle; the windows see one row for each slice.
+    """
+    cut_keys = cuts.select(F.explode("cuts.key").alias(key)).distinct()
+    levels = null_safe_join(rows.select("_slice", key, value), cut_keys, [key], "left_semi")
+    levels = levels.groupBy("_slice", key, value).agg(F.count("*").alias("n"))
+    order = F.struct(F.col(value).isNotNull(), F.col(value))
+    runs = levels.groupBy("_slice", key).agg(
+        F.sum("n").alias("n"), F.count("*").alias("values"), F.max_by(value, order).alias("first"),
+        F.min_by(value, order).alias("last"), F.min_by("n", order).alias("n_last"),
+    )
+    by_slice = Window.partitionBy(key).orderBy("_slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumns({
+        "_before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        "_total": F.sum("n").over(Window.partitionBy(key)),
+        "_has_before": F.lag(F.lit(True), 1, False).over(by_slice),
+        "_value_before": F.lag("last").over(by_slice),
+        "_value_after": F.lead("first").over(by_slice),
+    }).withColumn("_goes_on", F.col("_has_before") & F.col("first").eqNullSafe(F.col("_value_before")))
+    # Rows ahead of the first row with the slice's last value, which may lie in an earlier slice.
+    same_last = Window.partitionBy(key, "last").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("ahead", F.min(F.col("_before") + F.col("n") - F.col("n_last")).over(same_last))
+    runs = runs.withColumns({
+        "_ahead": F.lag("ahead").over(by_slice),
+        "_values": F.coalesce(F.sum(F.col("values") - F.col("_goes_on").cast("int")).over(earlier), F.lit(0)),
+    })
+    return runs.select(
+        "_slice", key, "_before", "_total", "_has_before", "_value_before", "_value_after", "_goes_on", "_ahead", "_values"
+    )
+
+
 def rank_within(
-    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int = 4, want: Sequence[str] = ALL
+    df: DataFrame, key: str, value: str, ties: Sequence[str], tiles: int = 4, want: Sequence[str] = ALL,
+    slice_rows: int = 500_000,
 ) -> DataFrame:
-    """Add the wanted measures per ``key``, highest ``value`` first, ``ties`` making the order total.
+    """Add the wanted measures per ``key``, highest (numeric) ``value`` first, ``ties`` making the order total.
 
-    Groups of any size take the same way.  The rows are written once; the position comes from
-    range partitions, so a big group spans many tasks.  Everything else follows from it
-    and from one row per (key, value): how many rows are ahead, how many share
-    the value, its place among the distinct values, and its two neighbours there.
+    A prefix scan over slices.  The rows are written once and cut, in their full order, into slices of about
+    ``slice_rows``, so a group spans as many slices as it needs.  One shuffle brings the rows of each
+    (slice, key) together, where windows give the local measures.  For the few keys that are cut, each
+    slice gets one carry from the key's other slices: rows and distinct values before it,
+    the values at its edges.  Only what ``want`` names is computed.
     """
-    df = stage(df, "to-rank")
-    numbered = spread_position(df, [key], [F.col(value).desc(), *[F.col(t) for t in ties]], ROW_NUMBER)
-    levels = numbered.groupBy(key, value).agg(
-        F.count("*").alias("_n"), (F.min(ROW_NUMBER) - 1).alias("_ahead")
-    )
-    levels = stage(spread_position(levels, [key], [F.col(value).desc()], "_dense"), "levels")
-    higher = levels.select(key, (F.col("_dense") + 1).alias("_dense"), F.col(value).alias("_higher"))
-    lower = levels.select(key, (F.col("_dense") - 1).alias("_dense"), F.col(value).alias("_lower"))
-    hist = null_safe_join(levels, higher, [key, "_dense"], "left")
-    hist = null_safe_join(hist, lower, [key, "_dense"], "left")
-    hist = null_safe_join(hist, levels.groupBy(key).agg(F.sum("_n").alias("_total")), [key])
-    joined = null_safe_join(numbered, hist, [key, value])
-    place, ahead_of = F.col(ROW_NUMBER), F.col("_ahead")
+    rows = stage(df, "to-rank")
+    place = _place(key, value, ties)
+    cuts = slice_cuts(rows, place, slice_rows)
+    if cuts is None:
+        rows = rows.withColumn("_slice", F.lit(0))
+    else:
+        rows = rows.withColumn("_cuts", cuts.scalar())
+        rows = rows.withColumn("_slice", slice_number(place, F.col("_cuts"), MOST_SLICES)).drop("_cuts")
+    full = Window.partitionBy("_slice", key).orderBy(F.col(value).desc(), *ties)
+    plain = Window.partitionBy("_slice", key).orderBy(F.col(value).desc())
+    local = {
+        "_row": (F.row_number().over(full), {ROW_NUMBER, NTILE, LAG} & set(want)),
+        "_n": (F.count("*").over(Window.partitionBy("_slice", key)), {NTILE} & set(want)),
+        "_prior": (F.lag(value).over(full), {LAG} & set(want)),
+        "_next": (F.lead(value).over(full), {LEAD} & set(want)),
+        "_is_last": (F.lead(F.lit(False), 1, True).over(full), {LEAD} & set(want)),
+        "_rank": (F.rank().over(plain), {RANK} & set(want)),
+        "_dense": (F.dense_rank().over(plain), {DENSE_RANK} & set(want)),
+    }
+    ranked = rows.withColumns({name: column for name, (column, used) in local.items() if used})
+    if cuts is None:
+        before = ahead = values = F.lit(0)
+        total, goes_on = F.col("_n"), F.lit(False)
+        value_before = value_after = F.lit(None)
+    else:
+        # At most two rows a slice, so the broadcast is bounded by MOST_SLICES.
+        carries = F.broadcast(_carries(rows, cuts, key, value))
+        ranked = null_safe_join(ranked, carries, ["_slice", key], "left")
+        before, values = F.coalesce("_before", F.lit(0)), F.coalesce("_values", F.lit(0))
+        total, ahead = F.coalesce("_total", "_n"), F.col("_ahead")
+        goes_on = F.coalesce("_goes_on", F.lit(False)) & F.col(value).eqNullSafe(F.col("_value_before"))
+        value_before, value_after = F.col("_value_before"), F.col("_value_after")
     measures = {
-        ROW_NUMBER: place,
-        RANK: ahead_of + 1,
-        DENSE_RANK: F.col("_dense"),
-        NTILE: _tile(place, F.col("_total"), tiles),
-        LAG: F.when(place == ahead_of + 1, F.col("_higher")).otherwise(F.col(value)),
-        LEAD: F.when(place == ahead_of + F.col("_n"), F.col("_lower")).otherwise(F.col(value)),
+        ROW_NUMBER: lambda: before + F.col("_row"),
+        RANK: lambda: F.when(goes_on, ahead + 1).otherwise(before + F.col("_rank")),
+        DENSE_RANK: lambda: values + F.col("_dense") - (F.coalesce("_goes_on", F.lit(False)).cast("int") if cuts is not None else F.lit(0)),
+        NTILE: lambda: _tile(before + F.col("_row"), total, tiles),
+        LAG: lambda: F.when(F.col("_row") > 1, F.col("_prior")).otherwise(value_before),
+        LEAD: lambda: F.when(F.col("_is_last"), value_after).otherwise(F.col("_next")),
     }
-    return joined.select(*df.columns, *[measures[name].alias(name) for name in ALL if name in want])
+    kept = [measures[m]().cast("long" if m not in (LAG, LEAD) else df.schema[value].dataType).alias(m) for m in ALL if m in want]
+    return ranked.select(*df.columns, *kept)
 
 
 def class_ranking(
     enrolments: DataFrame, classes: DataFrame, students: DataFrame, people: DataFrame,
-    want: Sequence[str] = ALL, rank: Callable[..., DataFrame] = rank_within,
+    want: Sequence[str] = ALL,
 ) -> DataFrame:
     """Graded enrolments with their place in the class.
 
-    The name is the tie-break, so it is joined before the ranking.  ``rank`` is
-    ``rank_within``, or ``windows_within`` for a plan that is evaluated on every use.
+    The name is the tie-break, so it is joined before the ranking.
     """
     graded = enrolments.filter(F.col("NotaFinal").isNotNull()).select(
         "TurmaID", "MatriculaID", "AlunoID", "NotaFinal", "FrequenciaPercentual", "StatusMatricula"
@@ -95,7 +188,7 @@ def class_ranking(
         people.select("PessoaID", F.col("NomeExibicao").alias("NomeAluno")), "PessoaID"
     )
     rows = graded.join(names.drop("PessoaID"), "AlunoID").join(classes.select("TurmaID", "CodigoTurma"), "TurmaID")
-    ranked = rank(rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"], want=want)
+    ranked = rank_within(rows, "TurmaID", "NotaFinal", ["NomeAluno", "MatriculaID"], want=want)
     return ranked.select(
         "TurmaID", "CodigoTurma", "MatriculaID", "AlunoID", "RA", "NomeAluno", "NotaFinal",
         "FrequenciaPercentual", "StatusMatricula", *[m for m in ALL if m in want],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.functions.status import CONCLUDED, is_pending, trailing
 from lectern.operators.aggregates import balance_summary, count_if, weighted_mean
 from lectern.operators.joins import agg_per_key, chain
+from lectern.operators.ranking import NTILE, RANK, class_ranking, first_classes
 from lectern.operators.sets import topk
 from lectern.plans.warehouse import Tables, class_courses
 
@@ -177,6 +178,9 @@ def topk_course_panel(panel: DataFrame, k: int = 20) -> DataFrame:
     return topk(panel.select(*cols), [F.col("Inadimplencia").desc(), F.col("CursoNome"), F.col("CursoCodigo")], k)
 
 
-def topk_class_ranking(ranking: DataFrame, k: int = 20) -> DataFrame:
+def topk_class_ranking(t: Tables, k: int = 20) -> DataFrame:
+    """The first rows by class code and rank; only the classes that can hold them are ranked."""
+    classes = first_classes(t["Matricula"], t["Turma"], k)
+    ranking = class_ranking(t["Matricula"], classes, t["Aluno"], t["Pessoa"], want=[RANK, NTILE])
     cols = ["CodigoTurma", "NomeAluno", "NotaFinal", "RankTurma", "Quartil", "MatriculaID"]
     return topk(ranking.select(*cols), [F.col("CodigoTurma"), F.col("RankTurma"), F.col("MatriculaID")], k)

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lectern.functions.sql import register_balance, register_date_key
 from lectern.operators.aggregates import event_health
-from lectern.operators.ranking import class_ranking, windows_within
+from lectern.operators.ranking import class_ranking
 from lectern.plans import reports as rep
 from lectern.plans.warehouse import Tables
 
 
 def reporting_views(t: Tables, as_of: dt.date) -> dict[str, DataFrame]:
     views = {
-        "vw_RankingTurma": class_ranking(t["Matricula"], t["Turma"], t["Aluno"], t["Pessoa"], rank=windows_within),
+        "vw_RankingTurma": class_ranking(t["Matricula"], t["Turma"], t["Aluno"], t["Pessoa"]),
         "vw_VisaoUnica": rep.student_360(t, as_of),
         "vw_PainelExecutivo": rep.course_panel(t),
         "vw_EventHealth": event_health(t["EventStream"], t["EventType"]),
@@ -28,9 +28,8 @@ def reporting_views(t: Tables, as_of: dt.date) -> dict[str, DataFrame]:
 def register_views(spark: SparkSession, t: Tables, as_of: dt.date) -> list[str]:
     """Temporary views and functions; they read the tables anew on every use.
 
-    That rules out the written intermediate tables of ``rank_within``: vw_RankingTurma sorts
-    each class in one task.  Where a class is too large for that, write the result of
-    ``class_ranking`` as a table instead.
+    vw_RankingTurma is the exception: its rows are written when it is registered, so a class of any size
+    is ranked in as many tasks as it needs.  Register the views again after the tables are loaded.
     """
     views = reporting_views(t, as_of)
     for name, df in views.items():

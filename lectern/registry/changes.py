@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators import audit as au
-from lectern.operators.integrity import NotNull, row_violations, validate
+from lectern.operators.integrity import NotNull, relation_violations, row_violations, validate, violations
 from lectern.plans import bulk as b
 from lectern.registry.core import json_sql, query
 from lectern.operators.sets import union_all
@@ -279,12 +279,8 @@ def _every_row_rule(c, declared) -> DataFrame:
 
 
 def _every_relation(c, declared, kept=lambda rule: True) -> DataFrame:
-    found = []
-    for table in MAPPED:
-        rules = [r for r in declared(table) if kept(r) and _has(table, *_columns(r))]
-        if rules:
-            found.append(validate(getattr(c, table), rules, TABLES[table].key, c.tables(*MAPPED))[1])
-    return union_all(*found)
+    rules = {t: [r for r in declared(t) if kept(r) and _has(t, *_columns(r))] for t in MAPPED}
+    return relation_violations(c.tables(*MAPPED), rules, {t: TABLES[t].key for t in MAPPED})
 
 
 def _declared_sql(cases: list[tuple[str, str, str, str]]) -> str:
@@ -372,7 +368,7 @@ def _(c):
     SELECT 'Nota.NotaMaxima.limit' AS rule, NotaID AS key, 'CrossTable' AS reason
     FROM Nota n JOIN Avaliacao a ON a.AvaliacaoID = n.AvaliacaoID WHERE n.NotaObtida > a.NotaMaxima""")
 def _(c):
-    return validate(c.Nota, [k.grade_limit()], "NotaID", c.tables("Avaliacao"))[1]
+    return violations(c.Nota, [k.grade_limit()], "NotaID", c.tables("Avaliacao"))
 
 
 @query("rules_good_rows", f"""

@@ -373,4 +373,4 @@ def _(c):
     SELECT CodigoTurma, NomeAluno, NotaFinal, RankTurma, Quartil, MatriculaID FROM ({RANKING_SQL})
     ORDER BY CodigoTurma ASC NULLS FIRST, RankTurma ASC NULLS FIRST, MatriculaID LIMIT 20""")
 def _(c):
-    return rep.topk_class_ranking(class_ranking(c.Matricula, c.Turma, c.Aluno, c.Pessoa))
+    return rep.topk_class_ranking(c.tables("Matricula", "Turma", "Aluno", "Pessoa"))

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lectern.operators.ranking import ALL, rank_within, windows_within
+from lectern.operators.ranking import ALL, rank_within, slice_cuts, slice_number, windows_within
 from lectern.operators.skew import first_n_per_key, spread_position, surrogate_key
 
 
@@ -30,22 +30,49 @@ def test_spread_position(spark):
     assert same(spread_position(df, ["k"], order, "p"), want)
 
 
-def test_ranking_split_equals_window(spark):
+def test_ranking_slices_equal_windows(spark):
     df = skewed(spark)
     whole = windows_within(df, "k", "v", ["name", "id"])
-    assert same(rank_within(df, "k", "v", ["name", "id"]), whole)
-    few = rank_within(df, "k", "v", ["name", "id"], want=["Quartil"])
-    assert same(few, whole.drop(*[m for m in ALL if m != "Quartil"]))
+    for slice_rows in (40, 333, 500_000):
+        assert same(rank_within(df, "k", "v", ["name", "id"], slice_rows=slice_rows), whole)
+    for measure in ALL:
+        one = rank_within(df, "k", "v", ["name", "id"], want=[measure], slice_rows=150)
+        assert same(one, whole.drop(*[m for m in ALL if m != measure]))
 
 
-def test_ranking_split_with_many_distinct_and_null_values(spark):
+def test_ranking_with_one_value_many_values_and_nulls(spark):
     df = skewed(spark).withColumn("v", F.when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 1999).cast("int"))
-    assert same(rank_within(df, "k", "v", ["id"]), windows_within(df, "k", "v", ["id"]))
+    for rows in (df, df.withColumn("v", F.lit(7)), df.withColumn("v", F.lit(None).cast("int")), df.filter("k = 0"), df.limit(0)):
+        assert same(rank_within(rows, "k", "v", ["id"], slice_rows=100), windows_within(rows, "k", "v", ["id"]))
+
+
+def test_ranking_moves_the_rows_once(spark):
+    """The rows cross one exchange; a hot key lies in many slices; only the wanted windows are there."""
+    df = skewed(spark)
+    ranked = rank_within(df, "k", "v", ["name", "id"], want=["RowNumberTurma"], slice_rows=200)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1 and "rank(" not in plan.replace("dense_rank(", "rank(")
+    text = ranked._jdf.queryExecution().executedPlan().toString()
+    by_slice = [line for line in text.splitlines() if "Exchange hashpartitioning(_slice" in line and "id#" in line]
+    assert text.count("Window") >= 1 and text.count("SortMergeJoin") == 0
+    place = F.struct(F.col("k").alias("key"), F.col("v").isNull().alias("none"), (-F.col("v")).alias("value"), "name", "id")
+    cuts = slice_cuts(df, place, 200)
+    slices = df.withColumn("c", cuts.scalar()).withColumn("s", slice_number(place, F.col("c"), 1 << 16)).groupBy("k").agg(F.countDistinct("s").alias("n"))
+    assert slices.filter("k = 0").first()["n"] > 4
+    assert len(by_slice) <= 1
+
+
+def test_slice_numbers(spark):
+    cuts = spark.createDataFrame([([(2,), (2,), (5,)],)], "cuts array<struct<v: int>>")
+    rows = spark.range(8).select(F.col("id").cast("int").alias("v"))
+    got = rows.withColumn("c", cuts.scalar()).withColumn("s", slice_number(F.struct("v"), F.col("c"), 3)).orderBy("v").collect()
+    assert [r["s"] for r in got] == [0, 0, 2, 2, 2, 3, 3, 3]
 
 
 def test_tiles_with_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(1, 5, i) for i in range(3)] + [(2, 1, 9)], "k int, v int, id int")
-    assert same(rank_within(df, "k", "v", ["id"]), windows_within(df, "k", "v", ["id"]))
+    for slice_rows in (1, 500_000):
+        assert same(rank_within(df, "k", "v", ["id"], slice_rows=slice_rows), windows_within(df, "k", "v", ["id"]))
 
 
 def test_surrogate_keys_are_dense_and_stable(spark):

@@ -109,6 +109,42 @@ def test_rules_pass_on_null_and_split_rows(spark):
     assert i.validate(twins, [i.Unique("u", ("c",))], "id")[1].count() == 2
 
 
+def test_relations_of_many_tables_share_one_pass(spark, monkeypatch):
+    """Each table is read once, whatever the number of its rules; hot keys, NULLs and swapped columns included."""
+    path = work_path(spark, "test-relations")
+    parent = spark.createDataFrame([(1, "x"), (2, "x"), (3, None), (None, None)], "pid int, code string")
+    child = spark.range(300).select(
+        F.col("id").alias("cid"), F.when(F.col("id") % 3 > 0, F.col("id") % 4).alias("pid"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") == 7, F.lit("q")).alias("b"), F.when(F.col("id") == 8, F.lit("q")).alias("c"),
+    )
+    tables = {}
+    for name, df in {"parent": parent, "child": child}.items():
+        df.write.parquet(f"{path}/{name}")
+        tables[name] = spark.read.parquet(f"{path}/{name}")
+    rules = {
+        "parent": [i.Unique("p.code", ("code",)), i.Unique("p.pid", ("pid",))],
+        "child": [
+            i.Unique("c.a", ("a",)), i.Unique("c.bc", ("b", "c")), i.Unique("c.cid", ("cid",)),
+            i.ForeignKey("c.pid", "pid", "parent", "pid"), i.ForeignKey("c.self", "pid", "child", "cid"),
+        ],
+    }
+    plans = []
+    plain = i.stage
+    monkeypatch.setattr(i, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name))
+    found = i.relation_violations(tables, rules, {"parent": "pid", "child": "cid"}).collect()
+    assert [plan.count("FileScan") for plan in plans] == [2]
+    got = {}
+    for r in found:
+        got.setdefault((r["rule"], r["reason"]), []).append(r["key"])
+    rows = child.collect()
+    assert sorted(got["p.code", "Unique"], key=str) == ["1", "2", "3", None]
+    assert ("p.pid", "Unique") not in got and ("c.cid", "Unique") not in got and ("c.self", "ForeignKey") not in got
+    assert sorted(got["c.a", "Unique"]) == sorted(str(k) for k in range(0, 300, 3))
+    assert len(got["c.bc", "Unique"]) == 298
+    assert sorted(got["c.pid", "ForeignKey"]) == sorted(str(r["cid"]) for r in rows if r["pid"] == 0)
+
+
 def test_cross_table_reject_modes(spark):
     df = spark.createDataFrame([(1, 1, 9), (2, 1, 11)], "id int, k int, v int")
     limits = spark.createDataFrame([(1, 10)], "k int, top int")
