@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scalar import is_json
 from lectern.operators.joins import exceeds
+from lectern.operators.sets import union_all
 from lectern.session import stage
 
 
@@ -195,7 +196,7 @@ def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Seq
     for t in dict.fromkeys([*(t for t in rules if rules[t]), *(parent for parent, _ in parents)]):
         held = {column: n for (parent, column), n in parents.items() if parent == t}
         made.append(_entries(tables[t], keys.get(t), rules.get(t, ()), ids, parents, held))
-    entries = stage(reduce(DataFrame.unionByName, made), "keys")
+    entries = stage(union_all(*made), "keys")
     value, found = ["of", "h1", "h2"], []
     if any(isinstance(r, Unique) for r in named):
         own = entries.filter(F.col("kind") == UNIQUE)
@@ -204,7 +205,7 @@ def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Seq
     if parents:
         known = entries.filter(F.col("kind") == PARENT).select(*value)
         found.append(entries.filter(F.col("kind") == CHILD).join(known, value, "left_anti"))
-    bad = reduce(DataFrame.unionByName, found)
+    bad = union_all(*found)
     text = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(type(r).__name__).alias("reason")) for r in named])
     return bad.select(F.get(text, F.col("rule")).alias("r"), "key").select("r.rule", "key", "r.reason")
 
@@ -225,7 +226,7 @@ def violations(
                 F.lit(rule.name).alias("rule"), F.col(key).cast("string").alias("key"),
                 F.lit(type(rule).__name__).alias("reason"),
             ))
-    return reduce(DataFrame.unionByName, found)
+    return union_all(*found)
 
 
 OWN = ""  # the name under which ``violations`` passes its table on

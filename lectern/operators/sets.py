@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def union_all(*dfs: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)
+def union_all(*frames: DataFrame) -> DataFrame:
+    """Rows of all frames, by column name; joined pairwise, so that no plan is analysed once per frame."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return union_all(*frames[:half]).unionByName(union_all(*frames[half:]))
 
 
 def distinct_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
