@@ -39,7 +39,8 @@ from pyspark.sql import types as T
 from lectern.llm.text import Run, hash_ranges, hash_sequences, mix, runs
 from lectern.llm.token_counts import MARK, PieceMerges
 
-MOST_EDGES = 3_000_000
+# Edges that a worker keeps (25 bytes each); bytes of text that are sampled together; ids held before they are passed on.
+MOST_EDGES, RUN_BYTES, MOST_HELD = 1_500_000, 1 << 19, 250_000
 _FIRST, _SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 
 
@@ -50,7 +51,11 @@ def _uniform(seed: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 class Lattices:
-    """Nodes and edges of the lattices of all parts seen so far, in one table."""
+    """Nodes and edges of the lattices of the parts seen lately, in tables of a fixed size.
+
+    When new parts do not fit, the tables start anew with the parts of the present run.  Only
+    a run that needs more than ``MOST_EDGES`` by itself gets larger tables, until the next start.
+    """
 
     def __init__(self, path: str, alpha: float):
         from sentencepiece import SentencePieceProcessor
@@ -77,10 +82,14 @@ class Lattices:
         self.extra_at, self.extra_ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
         self._clear()
 
-    def _clear(self):
+    def _clear(self, room: int = 0):
         self.entry: dict[int, int] = {}
-        self.cum, self.logp, self.piece, self.step, self.end = (np.zeros(0, t) for t in "f8 f8 i4 i4 ?".split())
-        self.edges_at = np.zeros(1, np.int64)
+        self.n_edges = self.n_nodes = 0
+        room = max(room, MOST_EDGES)
+        if not hasattr(self, "cum") or len(self.cum) != room:
+            self.cum = self.logp = self.piece = self.step = self.end = self.edges_at = None  # not beside the new ones
+            self.cum, self.logp, self.piece, self.step, self.end = (np.empty(room, t) for t in "f8 f8 i4 i4 ?".split())
+            self.edges_at = np.zeros(room + 1, np.int64)  # a node has an edge at least
 
     def _extras(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and weights of characters that are no piece."""
@@ -98,17 +107,20 @@ class Lattices:
         """First node of each part of a run."""
         hashes = hash_ranges(run.data, starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.cum) > MOST_EDGES:
-            self._clear()
         names = distinct.tolist()
         new = [k for k, h in enumerate(names) if h not in self.entry]
-        if new:
-            raw = run.data.tobytes()
-            where = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._append([names[k] for k in new], [raw[a:b].decode().replace(" ", MARK) for a, b in where])
+        if new and not self._add(run, names, starts[first], ends[first], new):
+            self._clear()
+            self._add(run, names, starts[first], ends[first], range(len(names)), True)
         return np.fromiter(map(self.entry.__getitem__, names), np.int64, len(names))[back]
 
-    def _append(self, names: list, parts: list[str]) -> None:
+    def _add(self, run: Run, names: list, starts, ends, which, grow: bool = False) -> bool:
+        """Add the lattices of some parts of a run; False if they do not fit."""
+        raw = run.data
+        parts = [raw[starts[k] : ends[k]].tobytes().decode().replace(" ", MARK) for k in which]
+        return self._append([names[k] for k in which], parts, grow)
+
+    def _append(self, names: list, parts: list[str], grow: bool) -> bool:
         """Add the lattices of new parts: a node for each character, its edges in order of length."""
         code, starts, ends = _characters(parts)
         n = len(code)
@@ -131,6 +143,10 @@ class Lattices:
                 weight.append(penalty)
             length += [np.full(len(x), k) for x in node[len(length) :]]
         node, length, piece, weight = (np.concatenate(x) for x in (node, length, piece, weight))
+        if self.n_edges + len(node) > len(self.cum):
+            if not grow:
+                return False
+            self._clear(len(node))
         # Sums of weights to the end, nodes nearest to an end first.
         order = np.lexsort((length, node, left[node]))
         node, length, piece, weight = node[order], length[order], piece[order], weight[order]
@@ -153,14 +169,15 @@ class Lattices:
         share = np.exp(logp)
         running = np.cumsum(share)
         running -= (running - share)[edges_at[:-1]][node]
-        base = len(self.edges_at) - 1
+        base = self.n_nodes
         cum = base + node + np.minimum(running, 1.0)
         cum[edges_at[1:] - 1] = base + np.arange(n) + 1.0
         self.entry.update(zip(names, (base + starts).tolist()))
-        self.edges_at = np.concatenate([self.edges_at, self.edges_at[-1] + edges_at[1:]])
-        for name, new in (("cum", cum), ("logp", logp), ("piece", piece), ("step", length), ("end", length == left[node])):
-            have = getattr(self, name)
-            setattr(self, name, np.concatenate([have, new.astype(have.dtype)]))
+        self.edges_at[base : base + n + 1] = self.n_edges + edges_at
+        put = slice(self.n_edges, self.n_edges + len(node))
+        self.cum[put], self.logp[put], self.piece[put], self.step[put], self.end[put] = cum, logp, piece, length, length == left[node]
+        self.n_edges, self.n_nodes = put.stop, base + n
+        return True
 
     def walk(self, node: np.ndarray, seed: np.ndarray, place: np.ndarray):
         """Draw a path from each node to its part's end: (walker, edge, place) of all steps, by walker."""
@@ -182,7 +199,7 @@ class Lattices:
         return walker[order], edge[order], place[order]
 
     def nodes_of(self, edge: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.edges_at, edge, "right") - 1
+        return np.searchsorted(self.edges_at[: self.n_nodes + 1], edge, "right") - 1
 
     def ids(self, edge: np.ndarray) -> np.ndarray:
         """Model ids of the pieces of edges; a character without a piece gives those of its bytes."""
@@ -227,21 +244,30 @@ def _cut_gumbel(mass, bound: float, u):
 def sample(lattices: Lattices, texts: pa.Array, keys: np.ndarray, k: int) -> Iterator[tuple]:
     """(row, number, ids, log probability, perturbed value, log inclusion score) of up to k segmentations of each text."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    texts = pc.replace_substring(texts, MARK, " ")
-    texts = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(_FIRST, texts, _SPACE))
-    for run in runs(texts):
-        cut = np.zeros(len(run.data) + 1, bool)
-        if len(run.data):
-            cut[1:-1] = lattices.cut[run.data[:-1], run.data[1:]]
-        cut[run.bounds] = True
-        edges = np.flatnonzero(cut) if len(run.data) else np.zeros(1, np.int64)
-        starts, ends = edges[:-1], edges[1:]
-        nodes = lattices.entries(run, starts, ends) if len(starts) else np.zeros(0, np.int64)
-        bounds = run.per_text(starts)
-        owner = np.repeat(np.arange(run.n), np.diff(bounds))
-        place = starts - run.bounds[owner]
-        seeds = mix(keys[run.first : run.first + run.n])
-        yield from _sample_run(lattices, run, nodes, place, owner, bounds, seeds, k)
+    size = pc.binary_length(texts).to_numpy()
+    group = (np.cumsum(size) - size) // RUN_BYTES
+    bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for low, high in zip(bounds[:-1], bounds[1:]):  # the copies below are those of a few texts
+        some = pc.replace_substring(texts[low:high], MARK, " ")
+        some = pc.if_else(pc.equal(some, ""), some, pc.binary_join_element_wise(_FIRST, some, _SPACE))
+        for run in runs(some, RUN_BYTES):
+            run.first += low
+            yield from _sample(lattices, run, keys, k)
+
+
+def _sample(lattices: Lattices, run: Run, keys: np.ndarray, k: int) -> Iterator[tuple]:
+    cut = np.zeros(len(run.data) + 1, bool)
+    if len(run.data):
+        cut[1:-1] = lattices.cut[run.data[:-1], run.data[1:]]
+    cut[run.bounds] = True
+    edges = np.flatnonzero(cut) if len(run.data) else np.zeros(1, np.int64)
+    starts, ends = edges[:-1], edges[1:]
+    nodes = lattices.entries(run, starts, ends) if len(starts) else np.zeros(0, np.int64)
+    bounds = run.per_text(starts)
+    owner = np.repeat(np.arange(run.n), np.diff(bounds))
+    place = starts - run.bounds[owner]
+    seeds = mix(keys[run.first : run.first + run.n])
+    yield from _sample_run(lattices, run, nodes, place, owner, bounds, seeds, k)
 
 
 def _sample_run(lattices, run, nodes, place, owner, bounds, seeds, k):
@@ -318,6 +344,7 @@ def _sample_run(lattices, run, nodes, place, owner, bounds, seeds, k):
         kappa = -heaps[d][0][0] if heaps[d] and len(found[d]) == k else -math.inf
         for number, (edges, logp, value) in enumerate(found[d]):
             yield run.first + d, number, lattices.ids(edges), logp, float(value), _log_inclusion(logp - kappa)
+        found[d] = paths[d] = heaps[d] = None
 
 
 def _log_inclusion(x: float) -> float:
@@ -378,7 +405,7 @@ def sampled(
             for got in sample(table, batch.column("text"), batch.column("seed").to_numpy().view(np.uint64), k):
                 held.append(got)
                 size += len(got[2])
-                if size > 2_000_000:
+                if size > MOST_HELD:
                     yield packed(batch, held)
                     held, size = [], 0
             if held:

@@ -86,6 +86,21 @@ def test_batches_do_not_matter(table):
     assert [r[:3] for r in whole if r[0] in (1, 2)] == [(1, 0, []), (2, 0, [])]
 
 
+def test_full_tables_start_anew(table, monkeypatch):
+    """Small tables and runs, and a run that needs more than the tables hold, give the same samples."""
+    texts = pa.array(["some longer text, with words", "other words", "x" * 3000, None, "the end of it " * 40, "漢字 some longer", "x" * 3000])
+    keys = np.arange(7, dtype=np.uint64)
+    whole = [(*r[:2], r[2].tolist()) for r in pieces.sample(table, texts, keys, 3)]
+    monkeypatch.setattr(pieces, "MOST_EDGES", 300)
+    monkeypatch.setattr(pieces, "RUN_BYTES", 64)
+    small = pieces.Lattices(PATH, 1.0)
+    assert [(*r[:2], r[2].tolist()) for r in pieces.sample(small, texts, keys, 3)] == whole
+    assert small.n_edges > 300 and len(small.cum) == small.n_edges  # the last text needs more by itself
+    list(pieces.sample(small, pa.array(["a b", "c d"]), keys[:2], 3))
+    list(pieces.sample(small, pa.array(["other words, still more of them, and so on"] * 3), keys[:3], 3))
+    assert len(small.cum) == 300
+
+
 def test_query(spark):
     rows = QUERIES["op5_pieces"](spark, FOLDER).collect()
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
