@@ -378,15 +378,22 @@ def lattices(path: str, alpha: float) -> Lattices:
 
 
 def sampled(
-    df: DataFrame, key: str, text: str, path: str, k: int, alpha: float = 1.0, keep: Sequence[str] = ()
+    df: DataFrame, key: str, text: str, path: str, k: int, alpha: float = 1.0, keep: Sequence[str] = (),
+    decoded: str | None = None,
 ) -> DataFrame:
-    """(key, columns to keep, sample, ids, log_prob, perturbed, log_inclusion): up to k distinct segmentations of each text."""
+    """(key, columns to keep, sample, ids, log_prob, perturbed, log_inclusion): up to k distinct segmentations of each text.
+
+    ``decoded`` names one more column, the text that the ids give: for less memory than ``decode`` behind it, which
+    takes a worker of its own.
+    """
     kept = [key, *keep]
     rows = df.select(
         *[F.col(c).alias(f"keep{n}") for n, c in enumerate(kept)], F.xxhash64(key).alias("seed"), F.col(text).alias("text")
     )
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in kept]).add("sample", "long").add("ids", "binary")
     schema = schema.add("log_prob", "double").add("perturbed", "double").add("log_inclusion", "double")
+    if decoded:
+        schema = schema.add(decoded, "string")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -395,9 +402,10 @@ def sampled(
 
         def packed(batch, held):
             row, number, ids, *scores = zip(*held)
+            texts = [pa.array(map(decoder(path).text, ids), pa.string())] if decoded else []
             return pa.RecordBatch.from_arrays([
                 *[batch.column(n).take(pa.array(row)) for n in range(len(kept))], pa.array(number, pa.int64()),
-                pa.array([x.tobytes() for x in ids], pa.binary()), *[pa.array(s, pa.float64()) for s in scores],
+                pa.array([x.tobytes() for x in ids], pa.binary()), *[pa.array(s, pa.float64()) for s in scores], *texts,
             ], schema=arrow)
 
         for batch in batches:

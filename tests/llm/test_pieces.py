@@ -124,4 +124,6 @@ def test_decode_matches_library(spark):
     got = pieces.sampled(df, "doc_id", "text", PATH, 2)
     texts = got.select("doc_id", pieces.decode(got["ids"], PATH).alias("t")).collect()
     assert sorted({(str(r.doc_id), r.t) for r in texts}) == [("1", ""), ("2", "é漢 a"), ("None", "")]
+    both = pieces.sampled(df, "doc_id", "text", PATH, 2, decoded="own").collect()
+    assert sorted({(str(r.doc_id), r.own) for r in both}) == [("1", ""), ("2", "é漢 a"), ("None", "")]
     assert pieces.sampled(df.limit(0), "doc_id", "text", PATH, 2).count() == 0
