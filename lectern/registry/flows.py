@@ -10,7 +10,7 @@ from lectern.plans.bulk import apply_payments
 from lectern.registry.changes import EVENT_REQUESTS, PAID_SQL, sql_of
 from lectern.registry.core import half_up, json_sql, query, units
 from lectern.registry.grouped import MINUTE_SQL
-from lectern.session import work_path
+from lectern.session import stage, work_path
 from lectern.sources import scan, sinks
 from lectern.sources.sales_model import RAW_SCHEMAS, SalesCampus
 from lectern.streaming import jobs
@@ -168,17 +168,23 @@ STREAMED_GRADES = """
     FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
 
 
+GRADE_DAYS = ("1997-01-01", "1999-01-01", "2000-06-01")  # history before the first, then one batch up to each and one after
+
+
 @query("stream_grade_derive", f"""
-    WITH g AS ({sql_of(STREAMED_GRADES)}),
-    bad AS (SELECT DISTINCT g.MatriculaID, g.AvaliacaoID FROM g JOIN Avaliacao a ON a.AvaliacaoID = g.AvaliacaoID
-        WHERE g.NotaObtida > a.NotaMaxima),
+    WITH g AS (SELECT *, {' + '.join(f"CAST(LancadaEm >= TIMESTAMP '{d}' AS INTEGER)" for d in GRADE_DAYS)} AS batch
+        FROM ({sql_of(STREAMED_GRADES)})),
+    bad AS (SELECT DISTINCT g.batch, g.MatriculaID, g.AvaliacaoID FROM g JOIN Avaliacao a ON a.AvaliacaoID = g.AvaliacaoID
+        WHERE g.NotaObtida > a.NotaMaxima AND g.batch > 0),
+    good AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM bad b
+        WHERE b.batch = g.batch AND b.MatriculaID = g.MatriculaID AND b.AvaliacaoID = g.AvaliacaoID)),
     newest AS (SELECT *, row_number() OVER (PARTITION BY MatriculaID, AvaliacaoID
-        ORDER BY LancadaEm DESC NULLS LAST, NotaObtida DESC NULLS LAST) AS rn FROM g
-        WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.MatriculaID = g.MatriculaID AND b.AvaliacaoID = g.AvaliacaoID)),
+        ORDER BY LancadaEm DESC NULLS LAST, NotaObtida DESC NULLS LAST) AS rn FROM good),
     f AS (SELECT MatriculaID, {units(half_up('num', 'den', 0), 2, 'DECIMAL(5,2)')} AS final FROM (
         SELECT n.MatriculaID, CAST(sum(CAST(n.NotaObtida * 100 AS BIGINT) * CAST(a.Peso AS BIGINT)) AS BIGINT) AS num,
             CAST(sum(CAST(a.Peso AS BIGINT)) AS BIGINT) AS den
-        FROM newest n JOIN Avaliacao a ON a.AvaliacaoID = n.AvaliacaoID WHERE n.rn = 1 GROUP BY n.MatriculaID))
+        FROM newest n JOIN Avaliacao a ON a.AvaliacaoID = n.AvaliacaoID WHERE n.rn = 1 GROUP BY n.MatriculaID
+        HAVING n.MatriculaID IN (SELECT MatriculaID FROM good WHERE batch > 0)))
     SELECT m.MatriculaID, CASE WHEN f.MatriculaID IS NULL OR m.StatusMatricula IN ('CANCELADA','TRANCADA') THEN m.NotaFinal
             ELSE f.final END AS NotaFinal,
         CASE WHEN f.MatriculaID IS NULL OR m.StatusMatricula IN ('CANCELADA','TRANCADA') THEN m.StatusMatricula
@@ -186,9 +192,16 @@ STREAMED_GRADES = """
             WHEN m.FrequenciaPercentual < 75 OR f.final < 6 THEN 'REPROVADA' ELSE m.StatusMatricula END AS StatusMatricula
     FROM Matricula m LEFT JOIN f ON f.MatriculaID = m.MatriculaID""")
 def _(c):
+    """Old grades are the history, the others arrive in three batches by their time."""
     out, ckpt = _paths(c, "grades")
-    arriving = StreamCampus(c, "lineitem").sql(STREAMED_GRADES)
-    jobs.stream_grade_derive(arriving, None, c.Avaliacao, c.Matricula, out, ckpt).awaitTermination()
+    grades, day = stage(c.sql(STREAMED_GRADES), "grades"), F.col("LancadaEm")
+    arrivals = f"{out}-arrivals"
+    for low, high in zip(GRADE_DAYS, (*GRADE_DAYS[1:], "9999-01-01")):
+        part = grades.filter((day >= F.lit(low).cast("timestamp_ntz")) & (day < F.lit(high).cast("timestamp_ntz")))
+        part.coalesce(1).write.mode("append").parquet(arrivals)
+    history = grades.filter(day < F.lit(GRADE_DAYS[0]).cast("timestamp_ntz"))
+    arriving = c.spark.readStream.schema(grades.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    jobs.stream_grade_derive(arriving, history, c.Avaliacao, c.Matricula, out, ckpt).awaitTermination()
     return jobs.read_enrolments(c.spark, c.Matricula, out).select("MatriculaID", "NotaFinal", "StatusMatricula")
 
 

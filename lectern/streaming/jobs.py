@@ -9,18 +9,20 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.functions.status import BLOCKED, grade_status_derived
 from lectern.operators.aggregates import minute_counts, payments_rollup, weighted_mean
 from lectern.operators.integrity import CrossTable
-from lectern.operators.joins import having_key, update_from
+from lectern.operators.joins import having_key
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.session import stage
 from lectern.sources.scan import fill_defaults
+from lectern.streaming.grade_state import GradeState
 from lectern.sources.sinks import (
     committed_batches, current, ensure, full_reload, latest_version, merge_add, published, write_batch,
 )
@@ -150,10 +152,41 @@ def read_instalments(spark: SparkSession, instalments: DataFrame, out: str) -> D
 
 
 # ---- grades -----------------------------------------------------------------
-GRADE_BUCKETS = 64
 UPDATED = "UltimaAtualizacao"
 
 
+@dataclass
+class Chain:
+    """Streaming queries of which each follows what the one before has written."""
+
+    queries: list[StreamingQuery]
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
+def initial_grades(enrolments: DataFrame, history: DataFrame | None, assessments: DataFrame) -> DataFrame:
+    """One row per enrolment with its outcome and the newest earlier grade of each of its assessments."""
+    posted = F.col(UPDATED) if UPDATED in enrolments.columns else F.lit(None)
+    base = enrolments.select(
+        "MatriculaID", F.col("FrequenciaPercentual").cast("decimal(5,2)").alias("FrequenciaPercentual"),
+        F.col("NotaFinal").cast("decimal(5,2)").alias("NotaFinal"), "StatusMatricula", posted.cast("timestamp_ntz").alias("posted"),
+    )
+    if history is None:
+        grade = T.StructType([assessments.schema["AvaliacaoID"]]).add("LancadaEm", "timestamp_ntz")
+        grade = grade.add("NotaObtida", "decimal(5,2)").add("Peso", "decimal(5,2)")
+        return base.withColumn("grades", F.lit(None).cast(T.ArrayType(grade)))
+    history = with_weights(history, assessments)
+    newest = history.groupBy("MatriculaID", "AvaliacaoID").agg(F.max(F.struct("LancadaEm", "NotaObtida", "Peso")).alias("v"))
+    lists = newest.groupBy("MatriculaID").agg(F.collect_list(F.struct("AvaliacaoID", "v.*")).alias("grades"))
+    return base.join(lists, "MatriculaID", "left")
+
+
 def final_grades(grades: DataFrame, assessments: DataFrame) -> DataFrame:
     """Weighted mean per enrolment."""
     weighted = grades.select("MatriculaID", "AvaliacaoID", "NotaObtida").join(
@@ -162,64 +195,55 @@ def final_grades(grades: DataFrame, assessments: DataFrame) -> DataFrame:
     return weighted_mean(weighted, "MatriculaID", "NotaObtida", "Peso", "_final")
 
 
-def derive_grades(enrolments: DataFrame, finals: DataFrame) -> DataFrame:
-    """Enrolments with final grade and status from their weighted mean; blocked ones keep theirs."""
-    open_ = finals.join(
-        enrolments.filter(~F.col("StatusMatricula").isin(*BLOCKED)).select("MatriculaID"), "MatriculaID", "left_semi"
-    )
-    assigned = {
-        "NotaFinal": F.col("_final"),
-        "StatusMatricula": grade_status_derived("_final", "FrequenciaPercentual", "StatusMatricula"),
-    }
-    if "_posted" in finals.columns:
-        assigned[UPDATED] = F.col("_posted")
-    return update_from(enrolments, open_, "MatriculaID", assigned)
+def with_weights(grades: DataFrame, assessments: DataFrame) -> DataFrame:
+    """Grades with the weight of their assessment, NULL if it is unknown."""
+    weights = assessments.select("AvaliacaoID", F.col("Peso").cast("decimal(5,2)").alias("Peso"))
+    return grades.select(
+        "MatriculaID", "AvaliacaoID", F.col("NotaObtida").cast("decimal(5,2)").alias("NotaObtida"),
+        F.col("LancadaEm").cast("timestamp_ntz").alias("LancadaEm"),
+    ).join(weights, "AvaliacaoID", "left")
 
 
 def stream_grade_derive(
     src: DataFrame, history: DataFrame | None, assessments: DataFrame, enrolments: DataFrame, out: str, ckpt: str,
-    reject: str = "row", **trigger,
-) -> StreamingQuery:
+    reject: str = "row", max_files: int = 1000, **trigger,
+) -> Chain:
     """New and changed grades → touched enrolments recomputed from all their grades.
 
-    Accepted grades go to ``out/grades`` in hash buckets of the enrolment, the
-    changed enrolments to ``out/enrolments``.  Recomputing joins on the bucket as
-    well, so only buckets of touched enrolments are read.  A grade above the
-    assessment's maximum is left out, or its whole batch with ``reject="batch"``.
-    ``history`` is written into the same buckets once, as batch -1.  A recomputed
-    enrolment has the time of its newest grade as ``UltimaAtualizacao``.
+    Two queries.  The first checks each batch and writes its accepted grades with their weights to ``out/grades``;
+    a grade above the assessment's maximum is left out, or its whole batch with ``reject="batch"``.  The second follows
+    that log and keeps the newest grade of each assessment of an enrolment in keyed state
+    (``GradeState``), so a batch reads its own rows and the state of its own enrolments, whatever came before.
+    Changed enrolments go to ``out/enrolments``.  ``enrolments`` and ``history``, grades from before the stream, become
+    the initial state when the stream first starts; enrolments added later have no outcome until
+    it is started anew.  ``max_files`` bounds a batch of the second query.  A recomputed enrolment has the time of its newest grade as ``UltimaAtualizacao``.
     """
+    spark = enrolments.sparkSession
+    trigger = trigger or {"availableNow": True}
     limit = CrossTable("grade-limit", "limits", "AvaliacaoID", "NotaObtida", "NotaMaxima", reject)
-    bucket = F.pmod(F.xxhash64("MatriculaID"), F.lit(GRADE_BUCKETS)).cast("int")
-    cols = ["MatriculaID", "AvaliacaoID", "NotaObtida", "LancadaEm"]
-    grades_path, changed_path = f"{out}/grades", f"{out}/enrolments"
-    if UPDATED not in enrolments.columns:
-        enrolments = enrolments.withColumn(UPDATED, F.lit(None).cast("timestamp_ntz"))
-    if history is not None and -1 not in committed_batches(history.sparkSession, grades_path):
-        write_batch(history.select(*cols).withColumn("bucket", bucket), grades_path, -1, ["bucket"])
+    grades_path = f"{out}/grades"
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def accept(batch: DataFrame, batch_id: int) -> None:
         bad = limit.violations(batch, {"limits": assessments}).select("AvaliacaoID", "MatriculaID").distinct()
-        accepted = batch.join(bad, ["AvaliacaoID", "MatriculaID"], "left_anti").select(*cols)
-        accepted = accepted.withColumn("bucket", bucket)
-        write_batch(accepted, grades_path, batch_id, ["bucket"])
-
-        log = read_batches(accepted, grades_path).filter(F.col("batch_id") <= batch_id)
-        touched = log.filter(F.col("batch_id") == batch_id).select("bucket", "MatriculaID").distinct()
-        known = having_key(log.select(*cols, "bucket", "batch_id"), touched, ["bucket", "MatriculaID"])
-        newest = known.groupBy("MatriculaID", "AvaliacaoID").agg(
-            F.max(F.struct("batch_id", "LancadaEm", "NotaObtida")).alias("_v")
-        ).select("MatriculaID", "AvaliacaoID", "_v.NotaObtida", "_v.LancadaEm")
-
-        now = having_key(enrolments, touched, "MatriculaID")
-        result = ["MatriculaID", "NotaFinal", "StatusMatricula", UPDATED]
-        earlier = read_batches(enrolments.select(*result), changed_path).filter(F.col("batch_id") < batch_id)
-        now = latest_version(now, having_key(earlier, touched, "MatriculaID"), "MatriculaID", result[1:])
-        posted = newest.groupBy("MatriculaID").agg(F.max("LancadaEm").cast("timestamp_ntz").alias("_posted"))
-        changed = derive_grades(now, final_grades(newest, assessments).join(posted, "MatriculaID"))
-        write_batch(changed.select(*result), changed_path, batch_id)
-
-    return _run(src, step, ckpt, "append", trigger or {"availableNow": True})
+        good = batch.join(bad, ["AvaliacaoID", "MatriculaID"], "left_anti")
+        write_batch(with_weights(good, assessments), grades_path, batch_id)
+
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.withColumnRenamed("posted", UPDATED), f"{out}/enrolments", batch_id)
+
+    accepted = _run(src, accept, f"{ckpt}/accept", "append", trigger)
+    if "availableNow" in trigger:
+        accepted.awaitTermination()
+    kinds = with_weights(src, assessments).schema.add("batch_id", "long")
+    # Files of a batch that is accepted again are replaced by equal ones under other names.
+    log = spark.readStream.schema(kinds).option("ignoreMissingFiles", "true").option("maxFilesPerTrigger", max_files)
+    initial = initial_grades(enrolments, history, assessments)
+    outcome = T.StructType([initial.schema["MatriculaID"]]).add("NotaFinal", "decimal(5,2)")
+    outcome = outcome.add("StatusMatricula", "string").add("posted", "timestamp_ntz")
+    derived = log.parquet(grades_path).groupBy("MatriculaID").transformWithState(
+        GradeState(kinds["AvaliacaoID"]), outcome, "update", "none", initial.groupBy("MatriculaID")
+    )
+    return Chain([accepted, _run(derived, changed, f"{ckpt}/derive", "update", trigger)])
 
 
 def read_enrolments(spark: SparkSession, enrolments: DataFrame, out: str) -> DataFrame:

@@ -138,6 +138,44 @@ def test_grades_over_batches(spark, campus, paths):
     assert stamps[3] == day and stamps[1] == dt.datetime(2026, 1, 1)
 
 
+def test_grade_batches_read_their_own_rows(spark, campus, paths):
+    """Twenty batches on a history: every one reads its own rows, the state stays as it is, and a replay changes nothing."""
+    src, out, ckpt = paths
+    grades, enrol, limits = campus["Nota"], campus["Matricula"], campus["Avaliacao"]
+    cols = ["MatriculaID", "AvaliacaoID", "NotaObtida", "LancadaEm"]
+    like = grades.select(*cols)
+    day, rows = dt.datetime(2026, 7, 1), []
+    for n in range(20):
+        rows.append([(3, 1 + n % 2, D(n % 9) + D("0.25"), day + dt.timedelta(n)), (99, 1, D("5.00"), day)])
+        arrive(spark.createDataFrame(rows[-1], like.schema), src)
+    chain = jobs.stream_grade_derive(follow(spark, like, src), like, limits, enrol, out, ckpt, max_files=1)
+    chain.awaitTermination()
+    derived = chain.queries[1].recentProgress
+    moved = [p for p in derived if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in moved) == 40 and max(p["numInputRows"] for p in moved) <= 2
+    sizes = {p["stateOperators"][0]["numRowsTotal"] for p in moved[1:]}
+    assert len(sizes) == 1  # neither more grades nor more enrolments, whatever the number of batches
+    newest = like.filter("MatriculaID = 3 AND AvaliacaoID NOT IN (1, 2)").unionByName(
+        spark.createDataFrame([rows[18][0], rows[19][0]], like.schema))
+    want = jobs.final_grades(newest, limits).first()["_final"]
+    got = {r["MatriculaID"]: r for r in jobs.read_enrolments(spark, enrol, out).collect()}
+    assert got[3]["NotaFinal"] == want and 99 not in got
+    before = table(spark.read.parquet(f"{out}/enrolments"))
+    jobs.stream_grade_derive(follow(spark, like, src), like, limits, enrol, out, ckpt).awaitTermination()
+    assert table(spark.read.parquet(f"{out}/enrolments")) == before
+
+
+def test_grade_state_rules():
+    from lectern.streaming.grade_state import derived_status, weighted_mean
+
+    assert weighted_mean([(D("7.30"), D(40)), (D("3.00"), D(60))]) == D("4.72")
+    assert weighted_mean([(D("0.01"), D(1)), (D("0.00"), D(1))]) == D("0.01")  # half up
+    assert weighted_mean([(None, D(40)), (D("5.00"), D(60))]) == D("3.00")
+    assert weighted_mean([]) is None and weighted_mean([(D(5), D(0))]) is None and weighted_mean([(None, D(1))]) is None
+    assert derived_status(D(6), D(75), "ATIVA") == "APROVADA" and derived_status(D("5.99"), None, "ATIVA") == "REPROVADA"
+    assert derived_status(D(9), None, "ATIVA") == "ATIVA" and derived_status(None, D(74), "ATIVA") == "REPROVADA"
+
+
 def test_grade_batch_rejected_as_a_whole(spark, campus, paths):
     src, out, ckpt = paths
     cols = ["MatriculaID", "AvaliacaoID", "NotaObtida", "LancadaEm"]
