@@ -22,6 +22,7 @@ from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
 from lectern.schema.model import TABLES
 from lectern.sources.scan import with_defaults
+from lectern.sources import manifest
 from lectern.sources.sinks import counted_write, current, publish, replace_window
 
 Tables = dict[str, DataFrame]
@@ -338,7 +339,9 @@ def _declared(df: DataFrame, name: str, as_of: dt.date) -> DataFrame:
     return df.select(*[c.alias(n) for c, n in zip(kept, kinds)], *[c for c in df.columns if c not in kinds])
 
 
-def _save(tables: Tables, root: str, counts: dict[str, int], as_of: dt.date, day: str | None = None) -> Tables:
+def _save(
+    tables: Tables, out: str, run: str, counts: dict[str, int], schemas: dict, as_of: dt.date, day: str | None = None
+) -> Tables:
     """Write the tables as declared, side by side, note their row counts, and hand back the written files.
 
     The tables do not depend on each other; running their jobs together keeps
@@ -350,11 +353,12 @@ def _save(tables: Tables, root: str, counts: dict[str, int], as_of: dt.date, day
 
     @inheritable_thread_target(spark)
     def write(name: str) -> int:
-        return counted_write(tables[name], f"{root}/{name}", by, within)
+        return counted_write(tables[name], f"{out}/{name}/run={run}", by, within)
 
     with ThreadPoolExecutor(len(tables)) as pool:
         counts.update(zip(tables, pool.map(write, tables)))
-    return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in tables.items()}
+    schemas.update({name: df.schema for name, df in tables.items()})
+    return {name: spark.read.schema(df.schema).parquet(f"{out}/{name}/run={run}") for name, df in tables.items()}
 
 
 def rebuild_warehouse(
@@ -367,14 +371,14 @@ def rebuild_warehouse(
     rather than a recomputed lineage; KPIs read the written facts.
     """
     d0, d1 = window_defaults(src, d0, d1, as_of)
-    root, counts = f"{out}/run={run}", {}
+    counts, schemas, base = {}, {}, manifest.load(spark, out)
 
-    dims = _save(build_dims(spark, src, d0, d1, as_of), root, counts, as_of)
+    dims = _save(build_dims(spark, src, d0, d1, as_of), out, run, counts, schemas, as_of)
     facts = {name: _by_month(df) for name, df in build_facts(src, dims, d0, d1, as_of).items()}
-    facts = _save(facts, root, counts, as_of, "TempoKey")
+    facts = _save(facts, out, run, counts, schemas, as_of, "TempoKey")
     kpis = kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1)
-    _save({"KPI_Diario": kpis}, root, counts, as_of)
-    return publish(spark, out, run, counts)
+    _save({"KPI_Diario": kpis}, out, run, counts, schemas, as_of)
+    return publish(spark, out, run, counts, schemas, base=base)
 
 
 def refresh_window(
@@ -384,26 +388,27 @@ def refresh_window(
 
     Known dimension rows keep their surrogate keys and vanished ones stay, so older facts
     stay valid.  Of the facts, only the months that the window touches are read and written
-    anew.  Everything goes to a new run and is published by one commit at the end: a
-    failure before it leaves the previous warehouse whole.
+    anew.  Everything goes to a new run and is published by one manifest at the end: a
+    failure before it leaves the previous warehouse whole, and a refresh that began before another one
+    was published is refused.
     """
-    root, counts = f"{out}/run={run}", {}
-    old = {name: current(spark, out, name) for name in ("DimTempo", "DimCurso", "DimAluno", "DimTurma")}
-    dims = _save(build_dims(spark, src, d0, d1, as_of, old), root, counts, as_of)
+    counts, schemas, base = {}, {}, manifest.load(spark, out)
+    old = {name: current(spark, out, name, base) for name in ("DimTempo", "DimCurso", "DimAluno", "DimTurma")}
+    dims = _save(build_dims(spark, src, d0, d1, as_of, old), out, run, counts, schemas, as_of)
     low, high = (int(d.strftime("%Y%m%d")) for d in (d0, d1))
     months = [
         y * 100 + m for y in range(d0.year, d1.year + 1) for m in range(1, 13) if low // 100 <= y * 100 + m <= high // 100
     ]
     facts = {}
     for name, df in build_facts(src, dims, d0, d1, as_of).items():
-        before = current(spark, out, name).filter(F.col(MONTH).between(low // 100, high // 100))
+        before = current(spark, out, name, base).filter(F.col(MONTH).between(low // 100, high // 100))
         kept = before.filter(~F.col("TempoKey").between(low, high))
         facts[name] = kept.unionByName(_declared(_by_month(df), name, as_of).select(*kept.columns))
-    facts = _save(facts, root, counts, as_of, "TempoKey")
+    facts = _save(facts, out, run, counts, schemas, as_of, "TempoKey")
     kpis = _declared(kpi_daily(dims["DimTempo"], *[facts[f] for f in FACTS], d0, d1), "KPI_Diario", as_of)
-    kept = current(spark, out, "KPI_Diario").filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
-    _save({"KPI_Diario": kept.unionByName(kpis.select(*kept.columns))}, root, counts, as_of)
-    return publish(spark, out, run, counts, MONTH, dict.fromkeys(FACTS, months))
+    kept = current(spark, out, "KPI_Diario", base).filter(~F.col("DataRef").between(F.lit(d0), F.lit(d1)))
+    _save({"KPI_Diario": kept.unionByName(kpis.select(*kept.columns))}, out, run, counts, schemas, as_of)
+    return publish(spark, out, run, counts, schemas, dict.fromkeys(FACTS, months), base)
 
 
 def rebuild_minute_metric(

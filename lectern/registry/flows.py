@@ -74,7 +74,7 @@ def _(c):
     wrong = F.when(inside, F.col("NumericValue") * 2).otherwise(F.col("NumericValue")).cast("decimal(18,4)")
     sinks.append(rows.withColumn("NumericValue", wrong), path, ["DataRef"])
     sinks.replace_window(rows.filter(inside), path, "DataRef", "OccurredAt", t0, t1)
-    return c.spark.read.parquet(path).groupBy("DataRef", "SourceSystem").agg(
+    return sinks.stored(c.spark, path).groupBy("DataRef", "SourceSystem").agg(
         F.count("*").alias("Eventos"), F.sum("NumericValue").alias("Valor")
     )
 

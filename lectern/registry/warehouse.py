@@ -12,7 +12,7 @@ from lectern.registry.columns import WEEK_SQL
 from lectern.registry.core import half_up, mean2, query, units
 from lectern.registry.grouped import GPA_SQL, MINUTE_SQL, RANKING_SQL
 from lectern.session import work_path
-from lectern.sources.sinks import current
+from lectern.sources.sinks import current, stored
 
 AS_OF = dt.date(2001, 8, 2)
 D0, D1 = dt.date(1996, 1, 1), dt.date(2000, 12, 31)
@@ -257,7 +257,7 @@ def _(c):
     path, as_of = work_path(c.spark, "minutes"), dt.datetime(2024, 1, 31)
     w.rebuild_minute_metric(c.EventStream, c.EventType, path, as_of, dt.datetime(2024, 1, 1), as_of)
     w.rebuild_minute_metric(c.EventStream, c.EventType, path, as_of)
-    return c.spark.read.parquet(path).drop("DataRef")
+    return stored(c.spark, path).drop("DataRef")
 
 
 # ---- reports ----------------------------------------------------------------

@@ -3,25 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.operators.joins import update_from
-from lectern.session import stage
+from lectern.sources import manifest
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def ensure(like: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """The table at ``path``, created without rows if it is not there yet."""
-    append(like.limit(0), path, partition_by)
-    return like.sparkSession.read.schema(like.schema).parquet(path)
-
-
 def merge_add(target: DataFrame, delta: DataFrame, keys: Sequence[str], value: str, text_keys: Sequence[str] = ()) -> DataFrame:
     """Keyed upsert in which matched values add up.
 
@@ -44,19 +40,24 @@ def merge_add(target: DataFrame, delta: DataFrame, keys: Sequence[str], value: s
     return merged.select(*[text[k].alias(k) if k in text else F.col(k) for k in keys], value)
 
 
-def overwrite_parts(df: DataFrame, path: str, part: str, sort_by: Sequence[str] = ()) -> None:
-    """Overwrite only the partitions that occur in ``df``.
+def write_parts(df: DataFrame, path: str, part: str, sort_by: Sequence[str] = ()) -> None:
+    """Write a new folder by partition; ``rebalance`` splits big partitions over several writers and merges small ones."""
+    df.hint("rebalance", part).sortWithinPartitions(part, *sort_by).write.partitionBy(part).parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path`` as it was last replaced."""
+    return manifest.read(spark, path, "")
 
-    ``rebalance`` splits big partitions over several writers and merges small ones.
-    """
-    (
-        df.hint("rebalance", part)
-        .sortWithinPartitions(part, *sort_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
+
+def _adopted(df: DataFrame, path: str, part: str) -> manifest.Manifest:
+    """The manifest of the table at ``path``; without one, the partitions that are there now."""
+    spark = df.sparkSession
+    now = manifest.load(spark, path)
+    if not now.tables:
+        column, parts = manifest.parts_of(spark, path, "")
+        now.tables[""] = manifest.Table(df.schema.json(), part, parts if column == part else {})
+    return now
 
 
 def replace_where(
@@ -64,17 +65,23 @@ def replace_where(
 ) -> None:
     """Delete stored rows that meet ``goes``, insert ``df``.
 
-    Only the partitions selected by ``touched`` are read and rewritten, in place; the
-    folder of a partition left without rows is removed.
+    Only the partitions selected by ``touched`` are read.  Their new rows go to new files, and one manifest
+    publishes them all: readers (``stored``) see the table before or after, never between, and
+    a second writer from the same version gets ``manifest.Conflict``.
     """
-    old = ensure(df, path, [part]).filter(touched)
+    spark = df.sparkSession
+    now = _adopted(df, path, part)
+    entry = now.tables[""]
+    old = manifest.read(spark, path, "", now).filter(touched)
+    run = f"run={uuid.uuid4().hex}"
     kept = old.filter(~F.coalesce(goes, F.lit(False)))
-    merged = stage(kept.unionByName(df), "replace")
-    # Decided before the overwrite removes the files; at most one row per touched partition.
-    emptied = old.select(part).distinct().join(merged.select(part).distinct(), part, "left_anti").collect()
-    overwrite_parts(merged, path, part, sort_by)
-    for row in emptied:
-        remove(df.sparkSession, f"{path}/{part}={row[0]}")
+    write_parts(kept.unionByName(df.select(*kept.columns)), f"{path}/{run}", part, sort_by)
+    parts = {v: paths for v, paths in entry.parts.items() if v not in manifest.values_within(spark, entry, touched)}
+    column, new = manifest.parts_of(spark, path, run)
+    for value, paths in new.items() if column else ():
+        parts[value] = parts.get(value, []) + paths
+    now.tables[""] = manifest.Table(entry.schema, part, parts)
+    manifest.commit(spark, path, now)
 
 
 def replace_window(
@@ -109,56 +116,38 @@ def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by:
     counts = {}
     for name, df in tables.items():
         by = [partition_by[name]] if name in partition_by else []
-        counts[name] = counted_write(df, f"{out}/run={run}/{name}", by)
-    return publish(next(iter(tables.values())).sparkSession, out, run, counts)
-
-
-PUBLISHED = "seq long, run string, table string, rows long, part string, parts array<string>"
-
-
-def published(spark: SparkSession, out: str) -> DataFrame:
-    spark.createDataFrame([], PUBLISHED).write.mode("append").parquet(f"{out}/published")
-    return spark.read.schema(PUBLISHED).parquet(f"{out}/published")
+        counts[name] = counted_write(df, f"{out}/{name}/run={run}", by)
+    schemas = {name: df.schema for name, df in tables.items()}
+    return publish(next(iter(tables.values())).sparkSession, out, run, counts, schemas)
 
 
 def publish(
-    spark: SparkSession, out: str, run: str, counts: dict[str, int], part: str | None = None,
-    parts: dict[str, Sequence[object]] | None = None,
+    spark: SparkSession, out: str, run: str, counts: Mapping[str, int], schemas: Mapping[str, T.StructType],
+    parts: Mapping[str, Sequence[object]] | None = None, base: manifest.Manifest | None = None,
 ) -> DataFrame:
-    """Make the tables of a run the current ones, all with one commit; publications are numbered.
+    """Make the tables of a run the current ones, all by one manifest, which follows ``base`` (the newest, if not given).
 
-    A table named in ``parts`` replaces only these values of its partition column
-    ``part``; its other partitions stay those of earlier runs.
+    A table named in ``parts`` replaces only these values of its partition column; its
+    other partitions stay those of earlier runs.
     """
-    seq = (published(spark, out).agg(F.max("seq")).first()[0] or 0) + 1
-    parts = {name: [str(v) for v in values] for name, values in (parts or {}).items()}
-    rows = [(seq, run, name, n, part if name in parts else None, parts.get(name)) for name, n in counts.items()]
-    done = spark.createDataFrame(rows, PUBLISHED)
-    done.coalesce(1).write.mode("append").parquet(f"{out}/published")
-    return done.select("table", "rows")
-
-
-def current(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """The table as last published: its newest whole run, and what later runs replaced of it."""
-    runs = published(spark, out).filter(F.col("table") == table).orderBy(F.desc("seq")).collect()
-    replaced: dict[str, int] = {}  # partition to the newest run that holds it
-    kept = None
-    for r in runs:
-        if r.rows == 0 and r.part is not None:
-            by = r.part
-            replaced.update(dict.fromkeys(r.parts, r.seq))
-            continue
-        rows = spark.read.parquet(f"{out}/run={r.run}/{table}")
-        if r.part is not None or replaced:
-            part = F.col(r.part or by).cast("string")
-            own = [v for v in r.parts if v not in replaced] if r.parts is not None else None
-            rows = rows.filter(~part.isin(list(replaced)) if own is None else part.isin(own))
-        kept = rows if kept is None else kept.unionByName(rows)
-        if r.part is None:
-            return kept
-        by = r.part
-        replaced.update(dict.fromkeys(r.parts, r.seq))
-    raise ValueError(f"{table} has not been published whole")
+    now = base or manifest.load(spark, out)
+    for name in counts:
+        part, written = manifest.parts_of(spark, out, f"{name}/run={run}")
+        if parts and name in parts:
+            old = now.tables[name]
+            gone = {str(v) for v in parts[name]}
+            kept = {v: paths for v, paths in old.parts.items() if v not in gone}
+            now.tables[name] = manifest.Table(old.schema, old.part, kept | (written if part else {}))
+        else:
+            now.tables[name] = manifest.Table(schemas[name].json(), part, written)
+    now.run = run
+    manifest.commit(spark, out, now)
+    return spark.createDataFrame(list(counts.items()), "table string, rows long")
+
+
+def current(spark: SparkSession, out: str, table: str, now: manifest.Manifest | None = None) -> DataFrame:
+    """The table as last published: the partitions of its newest runs, by one scan."""
+    return manifest.read(spark, out, table, now)
 
 
 def remove(spark: SparkSession, path: str) -> None:

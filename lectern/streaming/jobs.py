@@ -21,10 +21,11 @@ from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.session import stage
+from lectern.sources import manifest
 from lectern.sources.scan import fill_defaults
 from lectern.streaming.grade_state import GradeState
 from lectern.sources.sinks import (
-    committed_batches, current, ensure, full_reload, latest_version, merge_add, published, write_batch,
+    committed_batches, current, full_reload, latest_version, merge_add, write_batch,
 )
 
 METRIC_KEYS = ("MetricName", "MetricMinute", "Dimension1", "Dimension2")
@@ -40,11 +41,6 @@ def _run(df: DataFrame, step: Callable[[DataFrame, int], None], ckpt: str, mode:
     )
 
 
-def read_batches(like: DataFrame, path: str) -> DataFrame:
-    """Rows of all micro-batch folders with their batch_id; no rows before the first one."""
-    return ensure(like.withColumn("batch_id", F.lit(0)), path, ["batch_id"])
-
-
 # ---- minute metric ----------------------------------------------------------
 def stream_minute_counts(src: DataFrame, types: DataFrame, out: str, ckpt: str, **trigger) -> StreamingQuery:
     """Per batch: events per minute, code and source, stored as increments.  Any lateness is accepted."""
@@ -82,7 +78,7 @@ def fold_minute_metric(spark: SparkSession, out: str, store: str) -> int:
 
 
 def folded_upto(spark: SparkSession, store: str) -> int:
-    last = published(spark, store).agg(F.max("run")).first()[0]
+    last = manifest.load(spark, store).run
     return -1 if last is None else int(last)
 
 

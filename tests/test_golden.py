@@ -16,6 +16,7 @@ from lectern.schema.constraints import rules_for
 from lectern.schema.model import TABLES
 from lectern.session import work_path
 from lectern.operators.integrity import validate
+from lectern.sources import manifest
 from lectern.sources.sinks import current
 from lectern.streaming.jobs import final_grades
 from tests.seed import AS_OF, ROWS
@@ -162,11 +163,11 @@ def test_refresh_window_keeps_keys_and_other_days(spark, campus):
     )
     out_rows = w.refresh_window(spark, src, out, "b", AS_OF, dt.date(2026, 3, 5), dt.date(2026, 3, 15))
     assert dict(rows(out_rows, "table", "rows"))["DimAluno"] == 6
-    from lectern.sources.scan import load
-
+    manifests = {"a": manifest.load(spark, out, 1), "b": manifest.load(spark, out)}
+    assert (manifests["b"].version, manifests["b"].run) == (2, "b")
     for run, tables in (("a", ["DimTempo", "DimCurso", "DimAluno", "DimTurma", *w.FACTS, "KPI_Diario"]), ("b", w.FACTS)):
         for name in tables:
-            stored = load(spark, f"{out}/run={run}", name)
+            stored = current(spark, out, name, manifests[run])
             assert stored.count() == stored.dropna(subset=[f.name for f in TABLES[name].struct.fields if not f.nullable]).count()
     now = dict(rows(current(spark, out, "DimAluno"), "AlunoID", "AlunoKey"))
     assert now.pop(0) == 6 and now == keys

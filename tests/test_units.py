@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import scalar as s
@@ -13,7 +14,7 @@ from lectern.operators import joins as j
 from lectern.operators.sets import date_series
 from lectern.plans import warehouse as w
 from lectern.session import work_path
-from lectern.sources import sinks
+from lectern.sources import manifest, sinks
 
 
 def one(spark, col):
@@ -76,16 +77,85 @@ def test_replace_window_empties_days_and_keeps_the_rest(spark):
     sinks.append(rows, path, ["day"])
     fresh = spark.createDataFrame([(9, dt.datetime(2026, 1, 2, 6))], "n int, ts timestamp_ntz").withColumn("day", F.to_date("ts"))
     sinks.replace_window(fresh, path, "day", "ts", dt.datetime(2026, 1, 2), dt.datetime(2026, 1, 3, 23))
-    assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == [0, 4, 9]
+    assert sorted(r["n"] for r in sinks.stored(spark, path).collect()) == [0, 4, 9]
     sinks.replace_window(fresh, path, "day", "ts", dt.datetime(2026, 1, 2), dt.datetime(2026, 1, 2, 12), F.col("n") == 1)
-    assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == [0, 4, 9, 9]
+    assert sorted(r["n"] for r in sinks.stored(spark, path).collect()) == [0, 4, 9, 9]
+
+
+def day_table(spark, name, days=3):
+    path = work_path(spark, name)
+    rows = spark.range(days * 4).select(
+        "id", (F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id") * 6)).alias("ts")
+    ).withColumn("day", F.to_date("ts"))
+    sinks.replace_window(rows, path, "day", "ts", dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 1 + days))
+    return path, rows
+
+
+def test_second_writer_is_refused(spark, monkeypatch):
+    """Two writers begin from one version: the first wins, the second changes nothing and can try again."""
+    path, rows = day_table(spark, "test-two-writers")
+    window = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 1, 23)
+    mine = rows.filter("id < 2").withColumn("id", F.col("id") + 100)
+    theirs = rows.filter("id < 1").withColumn("id", F.col("id") + 200)
+    plain, other = sinks.write_parts, []
+
+    def meanwhile(df, *args):
+        plain(df, *args)
+        if not other:
+            other.append(True)
+            sinks.replace_window(theirs, path, "day", "ts", *window)
+
+    monkeypatch.setattr(sinks, "write_parts", meanwhile)
+    with pytest.raises(manifest.Conflict):
+        sinks.replace_window(mine, path, "day", "ts", *window)
+    assert manifest.newest(spark, path) == 2
+    assert sorted(r["id"] for r in sinks.stored(spark, path).collect()) == [*range(4, 12), 200]
+    sinks.replace_window(mine, path, "day", "ts", *window)
+    assert sorted(r["id"] for r in sinks.stored(spark, path).collect()) == [*range(4, 12), 100, 101]
+
+
+def test_failure_before_publication_leaves_the_table_whole(spark):
+    path, rows = day_table(spark, "test-failed-writer")
+    bad = rows.filter("id < 6").withColumn("id", F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_window(bad, path, "day", "ts", dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2, 23))
+    assert manifest.newest(spark, path) == 1
+    assert sorted(r["id"] for r in sinks.stored(spark, path).collect()) == list(range(12))
+
+
+def test_readers_do_not_write(spark):
+    path = work_path(spark, "test-readers")
+    with pytest.raises(ValueError):
+        sinks.stored(spark, path)
+    assert manifest.load(spark, path).version == 0 and manifest.folders(spark, path) == []
+    path, _ = day_table(spark, "test-readers")
+    before = sorted(manifest.folders(spark, path))
+    assert sinks.stored(spark, path).count() == 12 and sorted(manifest.folders(spark, path)) == before
+
+
+def test_many_refreshes_are_one_scan(spark):
+    """However often partitions were replaced, a table is read by one scan of the folders that hold it now."""
+    out = work_path(spark, "test-refreshes")
+    rows = spark.range(12).select("id", (F.col("id") % 4).cast("int").alias("m"))
+    sinks.full_reload({"t": rows, "whole": rows.limit(1)}, out, "0", {"t": "m"})
+    for n in range(1, 6):
+        part = rows.filter(F.col("m") == n % 4).withColumn("id", F.col("id") + 100 * n)
+        counts = {"t": sinks.counted_write(part, f"{out}/t/run={n}", ["m"])}
+        sinks.publish(spark, out, str(n), counts, {"t": rows.schema}, {"t": [n % 4]})
+    now = sinks.current(spark, out, "t")
+    want = {0: 400, 1: 500, 2: 200, 3: 300}
+    assert sorted(r["id"] for r in now.collect()) == sorted(i + want[i % 4] for i in range(12))
+    assert now._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    sinks.publish(spark, out, "6", {"t": sinks.counted_write(rows.limit(0), f"{out}/t/run=6", ["m"])}, {}, {"t": [2]})
+    assert sinks.current(spark, out, "t").filter("m = 2").count() == 0 and sinks.current(spark, out, "t").count() == 9
+    assert sinks.current(spark, out, "whole").count() == 1
 
 
 def test_full_reload_shows_only_published_runs(spark):
     out = work_path(spark, "test-reload")
     df = spark.range(3).toDF("n")
     sinks.full_reload({"t": df}, out, "1")
-    sinks.counted_write(df.limit(1), f"{out}/run=2/t")      # a run that never finished
+    sinks.counted_write(df.limit(1), f"{out}/t/run=2")      # a run that never finished
     assert sinks.current(spark, out, "t").count() == 3
     sinks.full_reload({"t": df.limit(2)}, out, "3")
     assert sinks.current(spark, out, "t").count() == 2
