@@ -7,15 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import null_safe_join
+from lectern.operators.skew import null_safe_join, slice_cuts, sliced
 from lectern.session import stage
 
 # Output names of the six measures.
 ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD = (
     "RowNumberTurma", "RankTurma", "DenseRankTurma", "Quartil", "NotaAnterior", "NotaSeguinte",
 )
-# Bounds of the prefix scan: slices of a table, and rows that are sampled to cut it.
-MOST_SLICES, SAMPLED = 1 << 16, 400_000
 ALL = (ROW_NUMBER, RANK, DENSE_RANK, NTILE, LAG, LEAD)
 
 
@@ -59,30 +57,6 @@ def _place(key: str, value: str, ties: Sequence[str]) -> Column:
     return F.struct(F.col(key).alias("key"), F.col(value).isNull().alias("none"), (-F.col(value)).alias("value"), *ties)
 
 
-def slice_cuts(rows: DataFrame, place: Column, slice_rows: int) -> DataFrame | None:
-    """One row with ``cuts``, places that cut the rows into slices of about ``slice_rows``; None for one slice.
-
-    They come from a sample, so slices differ in size; no result depends on them.  Both the
-    sample and the cuts are bounded, by ``SAMPLED`` and ``MOST_SLICES``.
-    """
-    n = rows.count()
-    slices = min(-(-n // slice_rows), MOST_SLICES)
-    if slices < 2:
-        return None
-    share = min(1.0, min(100 * slices, SAMPLED) / n)
-    sampled = rows.sample(share, seed=0).agg(F.sort_array(F.collect_list(place)).alias("all"))
-    every = F.sequence(F.lit(1), F.lit(slices - 1))
-    taken = F.transform(every, lambda k: F.get("all", F.floor(k * F.size("all") / slices).cast("int")))
-    return stage(sampled.select(F.array_compact(taken).alias("cuts")), "cuts")
-
-
-def slice_number(place: Column, cuts: Column, most: int) -> Column:
-    """How many of the ascending ``cuts`` (fewer than ``most``) are not after the place, by binary search."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
-    fits = lambda at, step: F.get(cuts, at + step - 1) <= place  # noqa: E731  null beyond the last cut
-    return F.reduce(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))
-
-
 def _carries(rows: DataFrame, cuts: DataFrame, key: str, value: str) -> DataFrame:
     """What a slice of a key needs to know of the key's other slices: one row per (slice, key) of keys that are cut.
 
@@ -132,11 +106,7 @@ def rank_within(
     rows = stage(df, "to-rank")
     place = _place(key, value, ties)
     cuts = slice_cuts(rows, place, slice_rows)
-    if cuts is None:
-        rows = rows.withColumn("_slice", F.lit(0))
-    else:
-        rows = rows.withColumn("_cuts", cuts.scalar())
-        rows = rows.withColumn("_slice", slice_number(place, F.col("_cuts"), MOST_SLICES)).drop("_cuts")
+    rows = sliced(rows, place, cuts)
     full = Window.partitionBy("_slice", key).orderBy(F.col(value).desc(), *ties)
     plain = Window.partitionBy("_slice", key).orderBy(F.col(value).desc())
     local = {
@@ -154,7 +124,7 @@ def rank_within(
         total, goes_on = F.col("_n"), F.lit(False)
         value_before = value_after = F.lit(None)
     else:
-        # At most two rows a slice, so the broadcast is bounded by MOST_SLICES.
+        # At most two rows a slice, so the broadcast is bounded by skew.MOST_SLICES.
         carries = F.broadcast(_carries(rows, cuts, key, value))
         ranked = null_safe_join(ranked, carries, ["_slice", key], "left")
         before, values = F.coalesce("_before", F.lit(0)), F.coalesce("_values", F.lit(0))

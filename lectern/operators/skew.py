@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from lectern.session import stage
 
+# Bounds of slices: their number, and the rows that are sampled to cut a table into them.
+MOST_SLICES, SAMPLED = 1 << 16, 400_000
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join in which NULL keys meet each other; the right key columns are dropped."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -63,27 +67,60 @@ def surrogate_key(
     return old.select(*df.columns, F.col(out).cast("long").alias(out)).unionByName(fresh)
 
 
+def slice_cuts(rows: DataFrame, place: Column, slice_rows: int) -> DataFrame | None:
+    """One row with ``cuts``, places that cut the rows into slices of about ``slice_rows``; None for one slice.
+
+    They come from a sample, so slices differ in size; no result depends on them.  Both the
+    sample and the cuts are bounded, by ``SAMPLED`` and ``MOST_SLICES``.
+    """
+    n = rows.count()
+    slices = min(-(-n // slice_rows), MOST_SLICES)
+    if slices < 2:
+        return None
+    share = min(1.0, min(100 * slices, SAMPLED) / n)
+    sampled = rows.sample(share, seed=0).agg(F.sort_array(F.collect_list(place)).alias("all"))
+    every = F.sequence(F.lit(1), F.lit(slices - 1))
+    taken = F.transform(every, lambda k: F.get("all", F.floor(k * F.size("all") / slices).cast("int")))
+    return stage(sampled.select(F.array_compact(taken).alias("cuts")), "cuts")
+
+
+def slice_number(place: Column, cuts: Column, most: int) -> Column:
+    """How many of the ascending ``cuts`` (fewer than ``most``) are not after the place, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    fits = lambda at, step: F.get(cuts, at + step - 1) <= place  # noqa: E731  null beyond the last cut
+    return F.reduce(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))
+
+
+def sliced(rows: DataFrame, place: Column, cuts: DataFrame | None) -> DataFrame:
+    """``rows`` with ``_slice``, the number of the slice that the place lies in."""
+    if cuts is None:
+        return rows.withColumn("_slice", F.lit(0))
+    rows = rows.withColumn("_cuts", cuts.scalar())
+    return rows.withColumn("_slice", slice_number(place, F.col("_cuts"), MOST_SLICES)).drop("_cuts")
+
+
 def first_n_per_key(
-    df: DataFrame, key: str, order: Sequence[str], allowance: str, part_rows: int = 100_000
+    df: DataFrame, key: str, order: Sequence[str], allowance: str, slice_rows: int = 500_000
 ) -> DataFrame:
     """The first ``allowance`` rows of each key, where the allowance is a column of the row.
 
-    The rows of a key are counted first, and a hash of the order columns cuts it into
-    parts of about ``part_rows``.  A row that is not among the first n of its part cannot
-    be among the first n of its key, so only the leaders of each part meet in the
-    second step: at most the allowance times the number of parts.
+    Selection by thresholds.  The rows are cut, in the order (key, ``order``), into slices of about ``slice_rows``,
+    and the rows of each key are counted by slice.  A slice that begins beyond the allowance goes unread; in
+    the others a row's place is its place in the slice plus the rows of the key before it, so no task
+    ranks more than one slice.  ``df`` is read three times: pass a written table.
     """
-    parts = df.groupBy(key).agg(F.ceil(F.count("*") / part_rows).alias("_parts"))
-    local = Window.partitionBy(key, "_salt").orderBy(*order)
-    final = Window.partitionBy(key).orderBy(*order)
-    leaders = (
-        null_safe_join(df, parts, [key])
-        .withColumn("_salt", F.pmod(F.xxhash64(*order), F.col("_parts")))
-        .withColumn("_place", F.row_number().over(local))
-        .filter(F.col("_place") <= F.col(allowance))
-    )
-    return (
-        leaders.withColumn("_place", F.row_number().over(final))
-        .filter(F.col("_place") <= F.col(allowance))
-        .drop("_salt", "_place", "_parts")
-    )
+    place = F.struct(F.col(key).alias("key"), *order)
+    cuts = slice_cuts(df, place, slice_rows)
+    rows = sliced(df, place, cuts).withColumn("_before", F.lit(0))
+    if cuts is not None:
+        cut_keys = cuts.select(F.explode("cuts.key").alias(key)).distinct()
+        counts = null_safe_join(rows.select("_slice", key), cut_keys, [key], "left_semi")
+        counts = counts.groupBy("_slice", key).agg(F.count("*").alias("n"))
+        earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.select("_slice", key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_rows"))
+        # At most two rows a slice, so the broadcast is bounded by MOST_SLICES.
+        rows = null_safe_join(rows, F.broadcast(before), ["_slice", key], "left")
+        rows = rows.withColumn("_before", F.coalesce("_rows", F.lit(0))).filter(F.col("_before") < F.col(allowance))
+    local = F.row_number().over(Window.partitionBy("_slice", key).orderBy(*order))
+    rows = rows.withColumn("_place", F.col("_before") + local)
+    return rows.filter(F.col("_place") <= F.col(allowance)).select(*df.columns)

@@ -80,8 +80,8 @@ def bulk_enrol(
 
     Everything but the origin depends on the (student, class) pair alone, so the
     checks and the seat race run on pairs: a repeated request costs nothing but
-    its final lookup.  Seats go to the earliest pairs of a class; a class wanted
-    by very many is thinned in parts before the last ranking.
+    its final lookup.  Seats go to the earliest pairs of a class, which are selected slice by
+    slice: a class wanted by very many is spread over as many tasks as it needs.
     """
     pair = ["AlunoID", "TurmaID"]
     bad_origin = ~F.col("OrigemMatricula").isin(*ORIGINS)

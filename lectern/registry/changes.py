@@ -43,7 +43,7 @@ def sql_of(text: str) -> str:
     taken AS (SELECT TurmaID, count(*) AS n FROM there GROUP BY TurmaID),
     seats AS (SELECT t.TurmaID, t.Vagas - coalesce(k.n, 0) AS free FROM Turma t LEFT JOIN taken k ON k.TurmaID = t.TurmaID
         WHERE NOT t.Encerrada),
-    checked AS (SELECT r.*, CASE WHEN r.OrigemMatricula NOT IN ('PORTAL','SECRETARIA','API','BATCH') THEN 51000
+    checked AS MATERIALIZED (SELECT r.*, CASE WHEN r.OrigemMatricula NOT IN ('PORTAL','SECRETARIA','API','BATCH') THEN 51000
             WHEN a.AlunoID IS NULL THEN 51001 WHEN s.TurmaID IS NULL THEN 51002
             WHEN e.MatriculaID IS NOT NULL THEN 51003 END AS code, s.free
         FROM req r LEFT JOIN Aluno a ON a.AlunoID = r.AlunoID AND a.StatusAcademico = 'ATIVO'
@@ -51,11 +51,10 @@ def sql_of(text: str) -> str:
         LEFT JOIN there e ON e.AlunoID = r.AlunoID AND e.TurmaID = r.TurmaID),
     copies AS (SELECT *, row_number() OVER (PARTITION BY AlunoID, TurmaID ORDER BY RequestedAt, RequestID) AS copy
         FROM checked WHERE code IS NULL),
-    placed AS (SELECT *, row_number() OVER (PARTITION BY TurmaID ORDER BY RequestedAt, RequestID) AS place
-        FROM copies WHERE copy = 1)
-    SELECT c.RequestID, CAST(CASE WHEN c.code IS NOT NULL THEN c.code
-        WHEN p.place > p.free THEN 51004 WHEN p.RequestID <> c.RequestID THEN 51003 END AS INTEGER) AS Codigo
-    FROM checked c LEFT JOIN placed p ON p.AlunoID = c.AlunoID AND p.TurmaID = c.TurmaID""")
+    placed AS (SELECT *, row_number() OVER (PARTITION BY TurmaID, copy = 1 ORDER BY RequestedAt, RequestID) AS place FROM copies),
+    seated AS (SELECT *, max(CASE WHEN copy = 1 THEN place END) OVER (PARTITION BY AlunoID, TurmaID) AS seat FROM placed)
+    SELECT RequestID, CAST(code AS INTEGER) AS Codigo FROM checked WHERE code IS NOT NULL
+    UNION ALL SELECT RequestID, CAST(CASE WHEN seat > free THEN 51004 WHEN copy > 1 THEN 51003 END AS INTEGER) FROM seated""")
 def _(c):
     there = c.Matricula.filter("StatusMatricula = 'REPROVADA'")
     out = b.bulk_enrol(c.sql(ENROL_REQUESTS), c.Aluno, c.Turma, there, NOW)

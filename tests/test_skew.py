@@ -3,8 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lectern.operators.ranking import ALL, rank_within, slice_cuts, slice_number, windows_within
-from lectern.operators.skew import first_n_per_key, spread_position, surrogate_key
+from lectern.operators.ranking import ALL, rank_within, windows_within
+from lectern.operators.skew import first_n_per_key, slice_cuts, slice_number, sliced, spread_position, surrogate_key
+from lectern.session import stage
 
 
 def skewed(spark, n=4000):
@@ -85,10 +86,26 @@ def test_surrogate_keys_are_dense_and_stable(spark):
 
 
 def test_first_n_per_key(spark):
-    df = skewed(spark).filter("k IS NOT NULL").withColumn("free", (F.col("k") % 7).cast("int") * 5)
+    df = skewed(spark).withColumn("free", (F.coalesce("k", F.lit(1)) % 7).cast("int") * 5)
     w = Window.partitionBy("k").orderBy("name", "id")
-    want = df.withColumn("p", F.row_number().over(w)).filter("p <= free").drop("p")
-    assert same(first_n_per_key(df, "k", ["name", "id"], "free", part_rows=300), want)
+    for rows in (df, df.withColumn("free", F.lit(700)), df.withColumn("free", F.lit(None).cast("int")), df.limit(0)):
+        want = rows.withColumn("p", F.row_number().over(w)).filter("p <= free").drop("p")
+        for slice_rows in (100, 500_000):
+            assert same(first_n_per_key(rows, "k", ["name", "id"], "free", slice_rows=slice_rows), want)
+
+
+def test_selection_ranks_only_the_slices_it_needs(spark):
+    """One key with all rows: the slices beyond its allowance are not ranked, and none holds all rows."""
+    rows = spark.range(6000, numPartitions=5).select(F.lit(1).alias("k"), ((F.col("id") * 7919) % 6007).alias("t"), F.lit(250).alias("free"))
+    rows = stage(rows, "one-key")
+    first = first_n_per_key(rows, "k", ["t"], "free", slice_rows=400)
+    assert sorted(r["t"] for r in first.collect()) == sorted(r["t"] for r in rows.collect())[:250]
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("row_number()"):]
+    assert "<" in below[: below.index("Join")]  # the cut-off is tested before the ranking
+    place = F.struct(F.col("k").alias("key"), "t")
+    sizes = [r["n"] for r in sliced(rows, place, slice_cuts(rows, place, 400)).groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 10 and max(sizes) < 1500
 
 
 def test_skewed_joins_are_split(spark):
