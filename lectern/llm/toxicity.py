@@ -1,7 +1,8 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-Voters look at the words (runs of letters, A-Z lowered) of a whole text: one votes if
-the text has a word with a given beginning or a given whole word.  The fixed lexicon
+Voters look at the words (runs of Unicode letters, A-Z lowered) of a whole text: one votes if
+the text has a given whole word, a word with a given beginning, or two different words
+with it.  The fixed lexicon
 gives some; the labelled sample gives the others, taken greedily as long as each
 explains labelled texts that no earlier voter does.  Pattern voters look at the shape of the
 text (masked words, shouting, exclamation marks).
@@ -10,12 +11,15 @@ The label model takes each row's unknown true label and the given label as noisy
 expectation-maximisation it estimates how often each voter votes on toxic and on
 clean texts, and from the correlation of voters given the label how far their votes repeat each
 other; correlated voters share their weight.  Its posterior labels train a logistic
-regression on the same features, whose probability is the score.
+regression on the same features, whose probability is the score.  There a voter of the lexicon keeps at least the weight
+that it has by itself: how much likelier its vote is in toxic texts, where one that the sample does not hold is taken
+to be right.  So one insult counts although those of the sample come in dozens.
 
 The fit uses a bounded sample: up to ``per_class`` rows of each label of at most
 ``fit_chars`` characters (longer ones are left out, never cut), chosen by a hash of
-the key; the share of toxic rows comes from all labelled rows.  Scoring covers every
-text whole.  Null and empty texts get the score of a text without any
+the key; the share of toxic rows comes from all labelled rows.  A labelled row that repeats counts as
+often as it is there, rows of one key are taken together.  Scoring covers every text whole, a long one by itself; equal
+texts get equal scores, and ties need no order.  Null and empty texts get the score of a text without any
 vote.  Without labelled rows of both kinds there is only the fixed lexicon, with a
 fixed weight.
 """
@@ -29,17 +33,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.text import LETTER, LOWER, Run, hash_ranges, runs
+from lectern.llm.text import LETTER, LOWER, Run, hash_ranges, mix, runs
+from lectern.operators.skew import first_n_per_key
+from lectern.session import stage
 
 # Common English insults.
 LEXICON = ["idiot", "moron", "stupid", "dumb", "scum", "trash", "garbage", "worthless", "pathetic", "disgusting", "loser",
            "clown", "fool", "imbecile", "filth", "vermin", "bastard", "bitch", "fuck", "shit", "asshole", "cunt", "whore"]
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 PATTERNS = ["masked", "shouting", "exclaiming"]
-MOST_VOTERS = 1024
+LEAST_BIAS = math.log(0.005 / 0.995)  # labels are noisy: no text without votes is cleaner than that
+TWICE = np.uint64(0x100)  # marks a beginning of two words
 UPPER = np.zeros(256, bool)
 UPPER[0x41:0x5B] = True
 MARK = np.zeros(256, bool)
@@ -47,16 +54,27 @@ MARK[list(b"*#@$%")] = True
 
 
 def _features(run: Run) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) of all beginnings and whole words of the distinct words of each text; equal pairs may repeat."""
-    starts, ends = run.ranges(LETTER)
+    """(text, feature) of all beginnings and whole words of the distinct words of each text; equal pairs may repeat.
+
+    A beginning that two different words of a text share is one more feature.
+    """
+    starts, ends = run.words()
     owner = np.repeat(np.arange(run.n), np.diff(run.per_text(starts)))
+    salt = mix(np.arange(1, run.n + 1, dtype=np.uint64))
     whole = hash_ranges(run.data, starts, ends, LOWER)
-    texts, features = [owner], [whole]
+    _, once = np.unique(whole ^ salt[owner], return_index=True)
+    starts, ends, owner = starts[once], ends[once], owner[once]
+    texts, features = [owner], [whole[once]]
     for k in BEGINNINGS:
         longer = ends - starts > k
-        texts.append(owner[longer])
+        own = owner[longer]
         # A beginning is marked so that it differs from the same letters as a whole word.
-        features.append(hash_ranges(run.data, starts[longer], starts[longer] + k, LOWER) ^ np.uint64(k))
+        feature = hash_ranges(run.data, starts[longer], starts[longer] + k, LOWER) ^ np.uint64(k)
+        named = feature ^ salt[own]
+        order = np.argsort(named)
+        again = order[1:][named[order[1:]] == named[order[:-1]]]
+        texts += [own, own[again]]
+        features += [feature, feature[again] ^ TWICE]
     return np.concatenate(texts), np.concatenate(features)
 
 
@@ -151,8 +169,6 @@ def _find_voters(texts: pa.Array, toxic: np.ndarray, precision: float = 0.9) ->
         if (explained[own] == 0).sum() >= max(4, least // 4):
             chosen.append(names[k])
             explained[own] += 1
-            if len(chosen) == MOST_VOTERS:
-                break
     return np.array(chosen, np.uint64)
 
 
@@ -192,9 +208,18 @@ def label_model(voted: np.ndarray, given: np.ndarray, prior: float, rounds: int
     return p
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 1500, penalty: float = 1e-6):
-    """Weights and bias of a regularised logistic regression on soft labels (accelerated gradient steps)."""
-    w, b = np.zeros(x.shape[1]), 0.0
+def prior_weights(voted: np.ndarray, toxic: np.ndarray, most: float = 5.0) -> np.ndarray:
+    """Log of how much likelier each vote is in toxic texts; a voter without votes is taken to be right."""
+    bad, clean = voted[toxic].sum(axis=0), voted[~toxic].sum(axis=0)
+    ratio = np.log((bad + 1) / (toxic.sum() + 20)) - np.log((clean + 0.01) / ((~toxic).sum() + 20))
+    return np.clip(ratio, 0.0, most)
+
+
+def _logistic(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, least: np.ndarray, rounds: int = 1500, penalty: float = 1e-6
+):
+    """Weights, none below ``least``, and bias of a logistic regression on soft labels (accelerated, projected gradient steps)."""
+    w, b = np.maximum(least, 0.0), math.log(max((weight * y).sum(), 1e-9) / max((weight * (1 - y)).sum(), 1e-9))
     mw, vw = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     weight = weight / weight.sum()
     for t in range(1, rounds + 1):
@@ -204,7 +229,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 15
         mw = 0.9 * mw + 0.1 * g
         vw = 0.99 * vw + 0.01 * g * g
         step = 0.1 * (mw / (1 - 0.9**t)) / (np.sqrt(vw / (1 - 0.99**t)) + 1e-9)
-        w, b = w - step[:-1], b - step[-1]
+        w, b = np.maximum(w - step[:-1], least), max(b - step[-1], LEAST_BIAS)
     return w, b
 
 
@@ -224,7 +249,9 @@ def learn(texts: pa.Array, labels: np.ndarray, prior: float) -> Model:
     # The sample holds more toxic rows than the table; weights undo that.
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     weight = np.where(toxic, prior / toxic.mean(), (1 - prior) / (1 - toxic.mean()))
-    w, b = _logistic(voted.astype(float), p, weight)
+    is_fixed = np.append(np.isin(known, fixed), [False] * len(PATTERNS))
+    least = np.where(is_fixed, prior_weights(voted, toxic), -np.inf)
+    w, b = _logistic(voted.astype(float), p, weight, least)
     return Model(known, w[: len(known)], w[len(known) :], float(b))
 
 
@@ -237,9 +264,9 @@ def fit(
     usable = usable.filter(F.length("text").between(1, fit_chars))
     counts = {r.label: r.n for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(sum(counts.values()), 1)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    ids = usable.select("key", "label").withColumn("place", F.row_number().over(order))
-    ids = ids.filter(F.col("place") <= per_class).select("key").distinct()
+    # The first of each label by a hash of the key, selected slice by slice: no task gets all rows of a label.
+    keys = stage(usable.select("label", F.xxhash64("key").alias("h"), "key", F.lit(per_class).alias("most")), "labelled")
+    ids = first_n_per_key(keys, "label", ["h", "key"], "most").select("key").distinct()
     # At most 2 * per_class keys: the bound of what is broadcast, and of the one task that learns.
     rows = usable.join(F.broadcast(ids), "key", "left_semi").orderBy("key", "label", "text").limit(2 * per_class)
 

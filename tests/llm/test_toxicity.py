@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,21 +12,58 @@ FOLDER = "/root/testdata/sf0.1"
 
 
 def test_held_out(spark):
-    """Texts with a known insult are found, texts labelled clean are left alone."""
-    docs = {d.doc_id: d.text for d in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    """Of all held-out rows labelled toxic nine in ten are found, in each language; texts labelled clean are left alone."""
+    docs = {d.doc_id: d for d in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     rows = QUERIES["op3_toxicity"](spark, FOLDER).collect()
     assert len(rows) == len(docs)
-    wrong = hit = missed = 0
+    wrong, hit, toxic = 0, Counter(), Counter()
     for r in rows:
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         if r.held_out and label.get(r.doc_id) == 0:
             wrong += r.predicted
-        if r.held_out and label.get(r.doc_id) == 1 and any(w in docs[r.doc_id].lower().split() for w in tox.LEXICON):
-            hit, missed = hit + r.predicted, missed + 1 - r.predicted
+        if r.held_out and label.get(r.doc_id) == 1:
+            toxic[docs[r.doc_id].lang] += 1
+            hit[docs[r.doc_id].lang] += r.predicted
     clean = sum(1 for r in rows if r.held_out and label.get(r.doc_id) == 0)
-    assert wrong <= 0.01 * clean and hit > 50 and missed <= 0.02 * hit
+    assert wrong <= 0.01 * clean and sum(toxic.values()) > 100
+    assert all(hit[lang] >= 0.9 * n for lang, n in toxic.items() if n >= 10) and sum(hit.values()) >= 0.9 * sum(toxic.values())
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(docs[r.doc_id].text or "", r.score) == r.score
+
+
+def test_one_insult_counts():
+    """Also where the labelled texts hold dozens, and next to typographic quotes; unless clean texts hold it as well."""
+    rng = np.random.default_rng(4)
+    texts, labels = made(rng, 600)
+    texts = [" ".join([*tox.LEXICON[:12], t]) if y else t + (" clown" if k % 3 else "") for k, (t, y) in enumerate(zip(texts, labels))]
+    model = tox.learn(pa.array(texts), np.array(labels), 0.1)
+    run = next(runs(pa.array(["an idiot here", "an “idiot” here", "«vermin»—here", "a clown here", "nobody here"])))
+    score = model.score(run)
+    assert (score[:3] >= 0.3).all() and (score[3:] < 0.3).all()
+
+
+def test_two_words_with_one_beginning():
+    rng = np.random.default_rng(5)
+    word = lambda stem: stem + "".join(rng.choice(list("abcdefgh"), 5))
+    # Every text has one word with the beginning, the toxic ones have two.
+    texts = [" ".join([word("qu"), *[word("zorbl") for _ in range(1 + y)], word("qu")]) for y in [0, 0, 0, 1] * 100]
+    model = tox.learn(pa.array(texts), np.array([0, 0, 0, 1] * 100), 0.25)
+    score = model.score(next(runs(pa.array(["zorblixa quapp zorblonu", "zorblixa quapp zorblixa", "zorblixa quapp"]))))
+    assert score[0] > 0.5 and (score[1:] < 0.3).all()
+
+
+def test_long_text_equals_its_parts_and_repeated_rows(spark):
+    texts, labels = made(np.random.default_rng(1), 600)
+    df = spark.createDataFrame([(k % 590, t, y, "x") for k, (t, y) in enumerate(zip(texts, labels))], "doc_id long, text string, toxic int, score string")
+    model = tox.fit(df, "doc_id", "text", "toxic")
+    long_text = "plain words and more " * 70_000  # longer than a run
+    more = spark.createDataFrame([(1, long_text + "grumplixy"), (2, long_text), (2, long_text), (3, "plain words and more")], "doc_id long, text string")
+    got = {(r.doc_id, r.s) for r in more.select("doc_id", tox.toxicity(model, more["text"]).alias("s")).collect()}
+    score = dict(got)
+    assert len(got) == 3 and score[1] > 0.3 > score[2] == score[3]
 
 
 def made(rng, n):
