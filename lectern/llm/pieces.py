@@ -40,7 +40,7 @@ from lectern.llm.text import Run, hash_ranges, hash_sequences, mix, runs
 from lectern.llm.token_counts import MARK, PieceMerges
 
 # Edges that a worker keeps (25 bytes each); bytes of text that are sampled together; ids held before they are passed on.
-MOST_EDGES, RUN_BYTES, MOST_HELD = 4_000_000, 1 << 19, 250_000
+MOST_EDGES, RUN_BYTES, MOST_HELD = 12_000_000, 1 << 20, 250_000
 _FIRST, _SPACE = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 
 
