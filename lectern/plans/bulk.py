@@ -204,7 +204,7 @@ def bulk_pay(
     ).drop("_status")
     accepted, rejected = _split(stage(coded, "pay"))
     new = accepted.select(
-        "ParcelaID", "DataPagamento", "ValorPagamento", "MeioPagamento", F.lit("CONFIRMED").alias("GatewayStatus")
+        "RequestID", "ParcelaID", "DataPagamento", "ValorPagamento", "MeioPagamento", F.lit("CONFIRMED").alias("GatewayStatus")
     )
     # Only touched instalments are recomputed, from partial sums of old and new payments.
     fresh = payments_rollup(new)

@@ -23,7 +23,7 @@ from lectern.operators.skew import surrogate_key
 from lectern.schema.model import TABLES
 from lectern.sources.scan import with_defaults
 from lectern.sources import manifest
-from lectern.sources.sinks import counted_write, current, publish, replace_window
+from lectern.sources.sinks import current, observed_write, publish, replace_window
 
 Tables = dict[str, DataFrame]
 
@@ -340,9 +340,9 @@ def _declared(df: DataFrame, name: str, as_of: dt.date) -> DataFrame:
 
 
 def _save(
-    tables: Tables, out: str, run: str, counts: dict[str, int], schemas: dict, as_of: dt.date, day: str | None = None
+    tables: Tables, out: str, run: str, counts: dict[str, dict], schemas: dict, as_of: dt.date, day: str | None = None
 ) -> Tables:
-    """Write the tables as declared, side by side, note their row counts, and hand back the written files.
+    """Write the tables as declared, side by side, note their row counts and checksums, and hand back the written files.
 
     The tables do not depend on each other; running their jobs together keeps
     the cluster busy through the tail of each.
@@ -352,8 +352,8 @@ def _save(
     spark = next(iter(tables.values())).sparkSession
 
     @inheritable_thread_target(spark)
-    def write(name: str) -> int:
-        return counted_write(tables[name], f"{out}/{name}/run={run}", by, within)
+    def write(name: str) -> dict[str, object]:
+        return observed_write(tables[name], f"{out}/{name}/run={run}", by, within)
 
     with ThreadPoolExecutor(len(tables)) as pool:
         counts.update(zip(tables, pool.map(write, tables)))
@@ -365,7 +365,7 @@ def rebuild_warehouse(
     spark: SparkSession, src: Tables, out: str, run: str, as_of: dt.date,
     d0: dt.date | None = None, d1: dt.date | None = None,
 ) -> DataFrame:
-    """Full rebuild into a new run; returns (table, rows).
+    """Full rebuild into a new run; returns (table, rows, filled, total, chars), observed during the writes.
 
     Dimensions are written first and read back, so the three facts share files
     rather than a recomputed lineage; KPIs read the written facts.

@@ -132,10 +132,9 @@ def _(c):
     return b.bulk_pay(c.sql(PAY_REQUESTS), c.ParcelaFinanceira, c.Pagamento, TODAY).updated
 
 
-@query("bulk_pay_codes", PAY_CODED + " SELECT Codigo, count(*) AS Pedidos FROM coded WHERE Codigo IS NOT NULL GROUP BY Codigo")
+@query("bulk_pay_codes", PAY_CODED + " SELECT RequestID, Codigo FROM coded")
 def _(c):
-    out = b.bulk_pay(c.sql(PAY_REQUESTS), c.ParcelaFinanceira, c.Pagamento, TODAY)
-    return out.rejected.groupBy("Codigo").agg(F.count("*").alias("Pedidos"))
+    return verdicts(b.bulk_pay(c.sql(PAY_REQUESTS), c.ParcelaFinanceira, c.Pagamento, TODAY), "RequestID")
 
 
 SESSION_REQUESTS = """

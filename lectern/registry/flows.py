@@ -10,6 +10,7 @@ from lectern.plans.bulk import apply_payments
 from lectern.registry.changes import EVENT_REQUESTS, PAID_SQL, sql_of
 from lectern.registry.core import half_up, json_sql, query, units
 from lectern.registry.grouped import MINUTE_SQL
+from lectern.operators.sets import union_all
 from lectern.session import stage, work_path
 from lectern.sources import scan, sinks
 from lectern.sources.sales_model import RAW_SCHEMAS, SalesCampus
@@ -80,15 +81,20 @@ def _(c):
 
 
 @query("io_full_reload", """
-    SELECT 'Curso' AS "table", count(*) AS "rows" FROM Curso UNION ALL SELECT 'Turma', count(*) FROM Turma
-    UNION ALL SELECT 'ParcelaFinanceira', count(*) FROM ParcelaFinanceira""")
+    SELECT 'Curso' AS "table", CAST(CursoID AS BIGINT) AS id, Nome AS text FROM Curso UNION ALL SELECT 'Turma', TurmaID, CodigoTurma FROM Turma
+    UNION ALL SELECT 'ParcelaFinanceira', ParcelaID, StatusParcela FROM ParcelaFinanceira""")
 def _(c):
+    """A first load with other rows, replaced by a second one; a third is written but never published."""
     out = work_path(c.spark, "reload")
-    names = ("Curso", "Turma", "ParcelaFinanceira")
-    sinks.full_reload(c.tables(*names), out, "0001")
-    sinks.full_reload(c.tables(*names), out, "0002", {"ParcelaFinanceira": "StatusParcela"})
-    stored = [sinks.current(c.spark, out, n).select(F.lit(n).alias("table")) for n in names]
-    return stored[0].unionByName(stored[1]).unionByName(stored[2]).groupBy("table").agg(F.count("*").alias("rows"))
+    columns = {"Curso": ("CursoID", "Nome"), "Turma": ("TurmaID", "CodigoTurma"), "ParcelaFinanceira": ("ParcelaID", "StatusParcela")}
+    tables = c.tables(*columns)
+    sinks.full_reload({n: df.filter(F.col(columns[n][0]) % 2 == 0) for n, df in tables.items()}, out, "0001")
+    sinks.full_reload(tables, out, "0002", {"ParcelaFinanceira": "StatusParcela"})
+    sinks.counted_write(tables["Curso"].limit(1), f"{out}/Curso/run=0003")
+    return union_all(*[
+        sinks.current(c.spark, out, n).select(F.lit(n).alias("table"), F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+        for n, (key, text) in columns.items()
+    ])
 
 
 @query("io_merge_add", """

@@ -204,15 +204,41 @@ SOURCES = ("Matricula", "Curso", "Departamento", "Aluno", "Turma", "Disciplina",
            "ParcelaFinanceira", "EventStream")
 
 
-@query("rebuild_warehouse", facts_sql(A0, A1, A0, A1) + """
-    , d0 AS (SELECT CAST(min(DataMatricula) AS DATE) AS d FROM Matricula)
-    SELECT 'DimTempo' AS "table", CAST(date_diff('day', d, DATE '2024-01-31') + 1 AS BIGINT) AS "rows" FROM d0
-    UNION ALL SELECT 'DimCurso', count(*) FROM dc UNION ALL SELECT 'DimAluno', count(*) FROM da
-    UNION ALL SELECT 'DimTurma', count(*) FROM dt UNION ALL SELECT 'FatoAcademico', count(*) FROM academic
-    UNION ALL SELECT 'FatoFinanceiro', count(*) FROM finance WHERE TempoKey >= (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) FROM d0)
-    UNION ALL SELECT 'FatoTelemetria', count(*) FROM telemetry
-    UNION ALL SELECT 'KPI_Diario', CAST(4 * (date_diff('day', d, DATE '2024-01-31') + 1) AS BIGINT) FROM d0""")
+def checksum_sql(table: str, source: str, numbers: str, texts: str, others: str) -> str:
+    """Rows, filled values, sum of numbers and length of texts of a table; the columns as lists with blanks."""
+    numbers, texts, others = numbers.split(), texts.split(), others.split()
+    filled = " + ".join(f"count({c})" for c in [*numbers, *texts, *others])
+    total = " + ".join(f"coalesce(sum(CAST({c} AS DECIMAL(28,4))), 0)" for c in numbers)
+    chars = " + ".join(f"coalesce(sum(length({c})), 0)" for c in texts) or "0"
+    return f"""SELECT '{table}' AS "table", count(*) AS "rows", CAST({filled} AS BIGINT) AS filled,
+        CAST({total} AS DECIMAL(38,4)) AS total, CAST({chars} AS BIGINT) AS chars FROM {source}"""
+
+
+BUILT_SQL = " UNION ALL ".join(checksum_sql(*x) for x in [
+    ("DimTempo", "days", "TempoKey Ano Mes Dia Trimestre SemanaAno DiaSemana", "NomeDia NomeMes", "DataCompleta IsFimSemana"),
+    ("DimCurso", "dc", "CursoKey CursoID", "CodigoCurso NomeCurso DepartamentoSigla Nivel Modalidade",
+     "IsCurrent EffectiveStartDate EffectiveEndDate"),
+    ("DimAluno", "da", "AlunoKey AlunoID", "RA StatusAcademico FaixaBolsa", "Bolsista IsCurrent EffectiveStartDate EffectiveEndDate"),
+    ("DimTurma", "dt", "TurmaKey TurmaID Ano Periodo CursoID ProfessorID",
+     "CodigoTurma Turno DisciplinaCodigo DisciplinaNome ProfessorNome", "Encerrada"),
+    ("FatoAcademico", "academic", "TempoKey AlunoKey CursoKey TurmaKey FrequenciaPercentual NotaFinal CargaHoraria Creditos (TempoKey//100)",
+     "MatriculaID StatusMatricula", "Aprovado"),
+    ("FatoFinanceiro", "finance", "TempoKey AlunoKey CursoKey ParcelaID ValorLiquido ValorPago SaldoAberto AtrasoDias (TempoKey//100)",
+     "Competencia StatusParcela", ""),
+    ("FatoTelemetria", "telemetry", "TempoKey EventTypeID AlunoKey SessionID Eventos DuracaoMediaMs ValorNumericoSoma (TempoKey//100)", "", ""),
+    ("KPI_Diario", "kpi", "KPIValue MetaValor", "KPIName Unidade", "DataRef"),
+])
+
+
+@query("rebuild_warehouse", f"""
+    WITH {DIMS}, d0 AS (SELECT CAST(min(DataMatricula) AS DATE) AS d FROM Matricula),
+    days AS (SELECT * FROM ({days_sql(_day(A0), _day(A1))}) WHERE DataCompleta >= (SELECT d FROM d0)),
+    academic AS ({academic_sql(A0, A1)}),
+    finance AS (SELECT * FROM ({finance_sql(A0, A1, A1)}) WHERE TempoKey >= (SELECT {key_sql('d')} FROM d0)),
+    telemetry AS ({telemetry_sql(A0, A1)}),
+    kpi AS ({' UNION ALL '.join(kpi_sql(*v, A0, A1) for v in VALUES.values())}) {BUILT_SQL}""")
 def _(c):
+    """Row counts and checksums of all tables, observed while they were written."""
     return w.rebuild_warehouse(c.spark, c.tables(*SOURCES), work_path(c.spark, "warehouse"), "0001", A1)
 
 

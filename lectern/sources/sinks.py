@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,33 @@ def counted_write(
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+OBSERVED = "rows long, filled long, total decimal(38,4), chars long"
+
+
+def _observed(df: DataFrame) -> list[Column]:
+    """Rows, filled values, sum of all numbers and length of all texts of a table; time stamps are left out."""
+    named = [(f.name, f.dataType.typeName()) for f in df.schema.fields if not f.dataType.typeName().startswith("timestamp")]
+    zero = F.lit(0).cast("decimal(38,4)")
+    kinds = {"byte", "short", "integer", "long", "decimal"}
+    total = sum((F.coalesce(F.sum(F.col(c).cast("decimal(28,4)")), zero) for c, k in named if k in kinds), zero)
+    chars = sum((F.coalesce(F.sum(F.length(c)), F.lit(0)) for c, k in named if k == "string"), F.lit(0))
+    filled = sum((F.count(c) for c, _ in named), F.lit(0))
+    return [
+        F.count("*").alias("rows"), filled.cast("long").alias("filled"), total.cast("decimal(38,4)").alias("total"),
+        chars.cast("long").alias("chars"),
+    ]
+
+
+def observed_write(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> dict[str, object]:
+    """Write once and take row count and checksums on the way, in the tasks that write; nothing is read again."""
+    out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by) if partition_by else df
+    seen = Observation()
+    out.observe(seen, *_observed(df)).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return seen.get
+
+
 def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by: dict[str, str] | None = None) -> DataFrame:
     """Write every table under a new run folder, then publish the run.
 
@@ -122,13 +149,14 @@ def full_reload(tables: dict[str, DataFrame], out: str, run: str, partition_by:
 
 
 def publish(
-    spark: SparkSession, out: str, run: str, counts: Mapping[str, int], schemas: Mapping[str, T.StructType],
+    spark: SparkSession, out: str, run: str, counts: Mapping[str, int | dict], schemas: Mapping[str, T.StructType],
     parts: Mapping[str, Sequence[object]] | None = None, base: manifest.Manifest | None = None,
 ) -> DataFrame:
     """Make the tables of a run the current ones, all by one manifest, which follows ``base`` (the newest, if not given).
 
     A table named in ``parts`` replaces only these values of its partition column; its
-    other partitions stay those of earlier runs.
+    other partitions stay those of earlier runs.  ``counts`` are row counts or the results of
+    ``observed_write``, and come back as a table.
     """
     now = base or manifest.load(spark, out)
     for name in counts:
@@ -142,7 +170,10 @@ def publish(
             now.tables[name] = manifest.Table(schemas[name].json(), part, written)
     now.run = run
     manifest.commit(spark, out, now)
-    return spark.createDataFrame(list(counts.items()), "table string, rows long")
+    if all(isinstance(n, int) for n in counts.values()):
+        return spark.createDataFrame(list(counts.items()), "table string, rows long")
+    kinds = T.StructType.fromDDL(f"table string, {OBSERVED}")
+    return spark.createDataFrame([(name, *(seen[c] for c in kinds.names[1:])) for name, seen in counts.items()], kinds)
 
 
 def current(spark: SparkSession, out: str, table: str, now: manifest.Manifest | None = None) -> DataFrame:
