@@ -8,6 +8,7 @@ and no batch rewrites what earlier ones wrote.  Readers fold the folders.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lectern.operators.aggregates import minute_counts, payments_rollup, weighted_mean
 from lectern.operators.integrity import CrossTable
 from lectern.operators.joins import having_key
+from lectern.operators.sets import union_all
 from lectern.plans.bulk import apply_payments, code_events
 from lectern.session import stage
 from lectern.sources import manifest
@@ -142,11 +144,68 @@ def stream_payment_rollup(
     return _run(running, step, ckpt, "update", trigger or {"availableNow": True})
 
 
-def read_instalments(spark: SparkSession, instalments: DataFrame, out: str) -> DataFrame:
-    changes = spark.read.parquet(f"{out}/instalments")
+def read_instalments(spark: SparkSession, instalments: DataFrame, out: str, store: str | None = None) -> DataFrame:
+    """Instalments with their newest changes; ``store`` is where ``compact_changes`` has merged earlier ones."""
+    changes = read_changes(spark, f"{out}/instalments", store)
+    if changes is None:
+        return instalments
     return latest_version(instalments, changes, "ParcelaID", ["ValorPago", "DataPagamento", "StatusParcela"])
 
 
+# ---- compaction -------------------------------------------------------------
+CHANGES = "changes"
+
+
+def _batches(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in ids])
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def read_changes(spark: SparkSession, path: str, store: str | None = None) -> DataFrame | None:
+    """Rows of the merged pieces in ``store`` and of the later batch folders, with batch_id; None before the first."""
+    now = manifest.Manifest() if store is None else manifest.load(spark, store)
+    later = [n for n in committed_batches(spark, path) if n > int(now.run or -1)]
+    found = [manifest.read(spark, store, CHANGES, now)] if CHANGES in now.tables else []
+    found += [_batches(spark, path, later)] if later else []
+    return union_all(*found) if found else None
+
+
+def compact_changes(spark: SparkSession, path: str, store: str, key: str, fan: int = 4) -> int:
+    """Merge the committed batches so far into pieces of growing size; returns the last batch merged.
+
+    A log-structured merge: the new batches become one piece of level 0 with the newest version of each ``key``,
+    and ``fan`` pieces of a level become one of the next, so a row is rewritten once a level and after
+    n runs of this job there are fewer than fan * log(n) pieces to read.  All goes to
+    new folders and is published by one manifest: the stream and readers go on meanwhile, and of two compactions at
+    once the second is refused.
+    """
+    now = manifest.load(spark, store)
+    new = [n for n in committed_batches(spark, path) if n > int(now.run or -1)]
+    if not new:
+        return int(now.run or -1)
+    pieces = dict(now.tables[CHANGES].parts) if CHANGES in now.tables else {}
+
+    def merged(rows: DataFrame, level: int, low: int, high: int) -> None:
+        others = [c for c in rows.columns if c not in (key, "batch_id")]
+        newest = rows.groupBy(key).agg(F.max(F.struct("batch_id", *others)).alias("_v")).select(key, "_v.*")
+        folder = f"{CHANGES}/run={level}-{low}-{high}-{uuid.uuid4().hex}"
+        newest.select(*rows.columns).write.parquet(f"{store}/{folder}")
+        pieces[f"{level}:{low}:{high}"] = [folder]
+        now.tables[CHANGES] = manifest.Table(rows.schema.json(), None, pieces)
+
+    merged(_batches(spark, path, new), 0, new[0], new[-1])
+    level = 0
+    while len(full := [p for p in pieces if p.startswith(f"{level}:")]) >= fan:
+        bounds = [int(n) for p in full for n in p.split(":")[1:]]
+        part = manifest.Table(now.tables[CHANGES].schema, None, {p: pieces.pop(p) for p in full})
+        rows = manifest.read(spark, store, CHANGES, manifest.Manifest(0, None, {CHANGES: part}))
+        merged(rows, level + 1, min(bounds), max(bounds))
+        level += 1
+    now.run = str(new[-1])
+    manifest.commit(spark, store, now)
+    return new[-1]
+
+
 # ---- grades -----------------------------------------------------------------
 UPDATED = "UltimaAtualizacao"
 
@@ -242,8 +301,11 @@ def stream_grade_derive(
     return Chain([accepted, _run(derived, changed, f"{ckpt}/derive", "update", trigger)])
 
 
-def read_enrolments(spark: SparkSession, enrolments: DataFrame, out: str) -> DataFrame:
-    changes = spark.read.parquet(f"{out}/enrolments")
+def read_enrolments(spark: SparkSession, enrolments: DataFrame, out: str, store: str | None = None) -> DataFrame:
+    """Enrolments with their newest outcomes; ``store`` is where ``compact_changes`` has merged earlier ones."""
+    changes = read_changes(spark, f"{out}/enrolments", store)
+    if changes is None:
+        return enrolments
     updated = [UPDATED] if UPDATED in enrolments.columns else []
     return latest_version(enrolments, changes, "MatriculaID", ["NotaFinal", "StatusMatricula", *updated])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lectern.operators.aggregates import minute_counts, payments_rollup
 from lectern.plans.bulk import apply_payments
 from lectern.session import work_path
+from lectern.sources import manifest
 from lectern.sources.sinks import committed_batches, current, remove
 from lectern.streaming import jobs
 from tests.seed import AS_OF
@@ -114,6 +115,28 @@ def test_payments_over_batches(spark, campus, paths):
     assert state[3] == "PAGA" and state[6] == "ATRASADA"
 
 
+def test_changes_are_compacted_in_levels(spark, campus, paths):
+    """However many batches there were, readers open a bounded number of pieces and see the newest versions."""
+    _, out, store = paths
+    inst, like = campus["ParcelaFinanceira"], "ParcelaID int, ValorPago decimal(10,2), DataPagamento date, StatusParcela string"
+    assert table(jobs.read_instalments(spark, inst, out, store)) == table(inst)
+    for n in range(22):
+        rows = [(1 + n % 3, D(n), dt.date(2026, 3, 1), "PAGA"), (5, D(100 + n), None, "ABERTA")]
+        jobs.write_batch(spark.createDataFrame(rows, like).coalesce(1), f"{out}/instalments", n)
+        if n % 2:
+            assert jobs.compact_changes(spark, f"{out}/instalments", store, "ParcelaID", fan=3) == n
+    assert jobs.compact_changes(spark, f"{out}/instalments", store, "ParcelaID", fan=3) == 21
+    plain = jobs.read_instalments(spark, inst, out)
+    merged = jobs.read_instalments(spark, inst, out, store)
+    assert table(merged) == table(plain)
+    assert {r["ParcelaID"]: r["ValorPago"] for r in merged.collect()}[5] == D(121)
+    pieces = manifest.load(spark, store).tables["changes"].parts
+    assert set(pieces) == {"0:18:19", "0:20:21", "2:0:17"}  # 11 runs, in base 3
+    assert len(jobs.read_changes(spark, f"{out}/instalments", store).inputFiles()) <= 2 * len(pieces) < 22
+    jobs.write_batch(spark.createDataFrame([(5, D(7), None, "PAGA")], like), f"{out}/instalments", 22)
+    assert {r["ParcelaID"]: r["ValorPago"] for r in jobs.read_instalments(spark, inst, out, store).collect()}[5] == D(7)
+
+
 def test_grades_over_batches(spark, campus, paths):
     src, out, ckpt = paths
     grades, enrol, limits = campus["Nota"], campus["Matricula"], campus["Avaliacao"]
