@@ -7,8 +7,8 @@ keeps the lines above the limit; ``verdicts`` subtracts them and rejects documen
 which less than ``least_kept`` of the words remain.  ``without_lines`` gives the texts
 that remain.
 
-Null texts count as empty, a null host is a host of its own.  Every row counts as a
-document; rows with equal (or null) keys are judged together.  A document without
+Null texts count as empty, a null host is a host of its own.  Rows with equal keys are one
+document and are judged together, a row with a null key is a document of its own.  A document without
 words is not depleted (other rules reject it).  Only the named columns are read.
 """
 
@@ -105,17 +105,26 @@ def measured(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
 
 
 def frequent_lines(rows: DataFrame, limit: int) -> DataFrame:
-    """(host, line) found in more than ``limit`` documents of the host."""
-    lines = rows.select("host", F.explode("lines.line").alias("line"))
-    return lines.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > limit).drop("docs")
+    """(host, line) found in more than ``limit`` documents of the host; equal keys are one document, null keys one each."""
+    lines = rows.select("host", "key", F.explode("lines.line").alias("line"))
+    # (host, line, key) is combined first, so no task sees all documents of a line.
+    docs = F.count_distinct("key") + F.count(F.when(F.col("key").isNull(), 1))
+    return lines.groupBy("host", "line").agg(docs.alias("docs")).filter(F.col("docs") > limit).drop("docs")
+
+
+def with_identity(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``own``, which tells rows without a key apart by their lines; null for all others."""
+    return rows.withColumn("own", F.when(F.col("key").isNull(), F.xxhash64("host", "lines")))
 
 
 def verdicts(rows: DataFrame, frequent: DataFrame, least_kept: float) -> DataFrame:
-    """(key, lines_removed, words_removed, depleted) of each distinct key that has a line."""
-    lines = rows.select("key", "host", F.explode("lines").alias("l")).select("key", "host", "l.line", "l.words")
+    """(key, own, lines_removed, words_removed, depleted) of each document that has a line; ``rows`` have an identity."""
+    keyless = rows.filter("key is null").dropDuplicates(["own"])  # rows with the same lines get the same verdict
+    rows = rows.filter("key is not null").unionByName(keyless)
+    lines = rows.select("own", "key", "host", F.explode("lines").alias("l")).select("own", "key", "host", "l.line", "l.words")
     marked = null_safe_join(lines, frequent.withColumn("over", F.lit(1)), ["host", "line"], "left")
     removed = F.coalesce(F.sum(F.when(F.col("over") == 1, F.col("words"))), F.lit(0))
-    return marked.groupBy("key").agg(
+    return marked.groupBy("key", "own").agg(
         F.count("over").alias("lines_removed"),
         removed.alias("words_removed"),
         (F.sum("words") - removed < least_kept * F.sum("words")).alias("depleted"),

@@ -60,9 +60,9 @@ def op8_packing(spark, folder):
 @query
 def op7_quality(spark, folder):
     docs = table(spark, folder, "documents")
-    rows = stage(quality.measured(docs, "doc_id", "text", "source"), "lines")
+    rows = stage(quality.with_identity(quality.measured(docs, "doc_id", "text", "source")), "lines")
     depleted = quality.verdicts(rows, quality.frequent_lines(rows, LINE_LIMIT), LEAST_KEPT)
-    joined = null_safe_join(rows.drop("host", "lines"), depleted, ["key"], "left")
+    joined = null_safe_join(rows.drop("host", "lines"), depleted, ["key", "own"], "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return joined.select(
         F.col("key").alias("doc_id"), *quality.MEASURES, failed.alias("base_failed"),

@@ -68,7 +68,7 @@ ROWS = [
 @pytest.mark.parametrize("limit", [1, 2])
 def test_limits_and_odd_rows(spark, limit):
     df = spark.createDataFrame(ROWS, "doc_id long, source string, text string").withColumn("line", df_lit())
-    rows = quality.measured(df, "doc_id", "text", "source").cache()
+    rows = quality.with_identity(quality.measured(df, "doc_id", "text", "source")).cache()
     assert {r.key: tuple(r[2:7]) for r in rows.collect()} == {k: plain(t) for k, _, t in ROWS}
     frequent = quality.frequent_lines(rows, limit)
     got = {r.key: r.depleted for r in quality.verdicts(rows, frequent, 0.5).collect()}
@@ -84,7 +84,25 @@ def df_lit():
     return F.lit(1)
 
 
+def test_repeated_rows_are_one_document_and_keyless_rows_are_apart(spark):
+    """Five rows of one document do not make a line frequent; a row without a key does not decide for another."""
+    data = [(1, "a", "same line\nown words of the first")] * 5 + [(2, "a", "same line\nother text")]
+    data += [(None, "b", "menu")] * 2 + [(None, "b", "menu\na long line of its own with many words"), (3, "b", None)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    rows = quality.with_identity(quality.measured(df, "doc_id", "text", "source")).cache()
+    frequent = quality.frequent_lines(rows, 2)
+    assert {(r.host) for r in frequent.collect()} == {"b"} and frequent.count() == 1
+    got = sorted((str(r.key), r.lines_removed, r.words_removed, r.depleted) for r in quality.verdicts(rows, frequent, 0.5).collect())
+    assert got == [("1", 0, 0, False), ("2", 0, 0, False), ("None", 1, 1, False), ("None", 1, 1, True)]
+
+
+def test_text_longer_than_a_run(spark):
+    text = "one two three four\n" * 80_000 + "the end"
+    rows = [tuple(r[2:7]) for r in quality.measured(spark.createDataFrame([(1, text, "a")], "k int, t string, h string"), "k", "t", "h").collect()]
+    assert rows == [(320_002, 320_000 // 4 * 15 + 6, 0, 79_999, 320_000)]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
-    rows = quality.measured(df, "doc_id", "text", "source")
+    rows = quality.with_identity(quality.measured(df, "doc_id", "text", "source"))
     assert quality.verdicts(rows, quality.frequent_lines(rows, 1), 0.5).count() == 0
