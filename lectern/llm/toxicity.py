@@ -46,6 +46,7 @@ LEXICON = ["idiot", "moron", "stupid", "dumb", "scum", "trash", "garbage", "wort
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 PATTERNS = ["masked", "shouting", "exclaiming"]
 LEAST_BIAS = math.log(0.005 / 0.995)  # labels are noisy: no text without votes is cleaner than that
+PARTS = 8  # a power of two
 TWICE = np.uint64(0x100)  # marks a beginning of two words
 UPPER = np.zeros(256, bool)
 UPPER[0x41:0x5B] = True
@@ -143,28 +144,32 @@ def _find_voters(texts: pa.Array, toxic: np.ndarray, precision: float = 0.9) ->
     for _, feature in _distinct_pairs(bad):
         bucket += np.bincount((feature >> np.uint64(42)).astype(np.int64), minlength=len(bucket))
     least = max(4, math.ceil(math.log(100 * max(np.count_nonzero(bucket), 1)) / -math.log(toxic.mean())))
-    kept = [
-        (text[often], feature[often]) for text, feature in _distinct_pairs(bad)
-        for often in [bucket[(feature >> np.uint64(42)).astype(np.int64)] >= least]
-    ]
-    holders, features = (np.concatenate(x) for x in zip(*kept))
-    names, back, support = np.unique(features, return_inverse=True, return_counts=True)
-    if not len(names):
-        return names
-    clean = np.zeros(len(names), np.int64)
-    for _, feature in _distinct_pairs(texts.filter(pa.array(~toxic))):
-        at = np.minimum(np.searchsorted(names, feature), len(names) - 1)
-        clean += np.bincount(at[names[at] == feature], minlength=len(names))
-    good = (support >= least) & (support >= precision * (support + clean))
-    keep = good[back]
-    back, holders = back[keep], holders[keep]
+    names, support, clean, backs, owners = [], [], [], [], []
+    for part in range(PARTS):  # of the features, by their hash, so that a part of all pairs is held at a time
+        some = _of_part(bad, bucket >= least, part)
+        own, back, n = np.unique(some[1], return_inverse=True, return_counts=True)
+        in_clean = np.zeros(len(own) + 1, np.int64)
+        for _, feature in _distinct_pairs(texts.filter(pa.array(~toxic))):
+            at = np.minimum(np.searchsorted(own, feature), max(len(own) - 1, 0))
+            if len(own):
+                in_clean += np.bincount(at[own[at] == feature], minlength=len(own) + 1)
+        in_clean = in_clean[:-1]
+        good = (n >= least) & (n >= precision * (n + in_clean))
+        number = np.cumsum(good) - 1 + sum(map(len, names))
+        keep = good[back]
+        backs.append(number[back[keep]])
+        owners.append(some[0][keep])
+        names.append(own[good])
+        support.append(n[good])
+        clean.append(in_clean[good])
+    names, support, clean, back, holders = (np.concatenate(x) for x in (names, support, clean, backs, owners))
     order = np.argsort(back, kind="stable")
     back, holders = back[order], holders[order]
     edges = np.searchsorted(back, np.arange(len(names) + 1))
     explained = np.zeros(len(bad), np.int64)
     chosen = []
     # Wide support first; of equal support the one with fewer clean texts.
-    for k in sorted(np.flatnonzero(good).tolist(), key=lambda k: (-support[k], clean[k], int(names[k]))):
+    for k in sorted(range(len(names)), key=lambda k: (-support[k], clean[k], int(names[k]))):
         own = holders[edges[k] : edges[k + 1]]
         if (explained[own] == 0).sum() >= max(4, least // 4):
             chosen.append(names[k])
@@ -172,9 +177,19 @@ def _find_voters(texts: pa.Array, toxic: np.ndarray, precision: float = 0.9) ->
     return np.array(chosen, np.uint64)
 
 
+def _of_part(texts: pa.Array, often: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) pairs of one part of the features, without those of rare buckets."""
+    kept = [(np.zeros(0, np.int32), np.zeros(0, np.uint64))]
+    for text, feature in _distinct_pairs(texts):
+        use = (feature & np.uint64(PARTS - 1)) == part
+        use &= often[(feature >> np.uint64(42)).astype(np.int64)]
+        kept.append((text[use].astype(np.int32), feature[use]))
+    return tuple(np.concatenate(x) for x in zip(*kept))
+
+
 def _distinct_pairs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text, feature) without repeats, a run of texts at a time."""
-    for run in runs(texts):
+    for run in runs(texts, 1 << 18):
         text, feature = _features(run)
         order = np.lexsort((feature, text))
         text, feature = text[order], feature[order]
