@@ -1,4 +1,4 @@
-"""Keyed state of the grade stream: the newest grade of each assessment of an enrolment, and its present outcome."""
+"""Keyed state of the grade stream: the newest grade of each assessment of an enrolment, and its present outcome, by groups."""
 
 from __future__ import annotations
 
@@ -39,48 +39,73 @@ def _age(version: tuple) -> list[tuple]:
     return [(x is not None, x) if x is not None else (False,) for x in version[:3]]
 
 
-class GradeState(StatefulProcessor):
-    """Takes accepted grades (AvaliacaoID, batch_id, LancadaEm, NotaObtida, Peso) of an enrolment and gives its new outcome.
+# Fields of a member's grades and of a member, as in the state.
+VERSION = ("AvaliacaoID", "batch_id", "LancadaEm", "NotaObtida", "Peso")
+MEMBER = ("MatriculaID", "known", "FrequenciaPercentual", "NotaFinal", "StatusMatricula", "posted", "grades")
+
+
+def _plain(structs: list | None, names: tuple) -> list[tuple]:
+    """Structs inside arrays, which come as dicts or rows, as tuples; a member's grades too."""
+    out = []
+    for s in structs if structs is not None else ():
+        values = tuple(s[n] for n in names)
+        out.append((*values[:-1], _plain(values[-1], VERSION)) if names is MEMBER else values)
+    return out
 
-    A map holds the newest version of each assessment's grade, so an enrolment's state
-    is as large as its number of assessments, however often they are graded again.  The initial rows carry the
-    enrolment and its earlier grades.  An enrolment without an initial row is unknown: its grades are
-    kept, and no outcome is given.
+
+class GradeState(StatefulProcessor):
+    """Takes accepted grades (MatriculaID, AvaliacaoID, batch_id, LancadaEm, NotaObtida, Peso) of a group of enrolments
+    and gives the new outcome of each enrolment that has some.
+
+    A state call goes through a socket, so the state is held by groups: one value has the members of
+    a group with the newest version of each of their assessments' grades, and a batch
+    reads and writes it once, however many members it touches.  A member is as large as its number of
+    assessments, however often they are graded again.  The initial rows carry the members with their
+    earlier grades.  An enrolment that is in none of them is unknown: its grades are kept, and no outcome is given.
     """
 
-    def __init__(self, key: T.StructField):
-        self.key_type = T.StructType([T.StructField("AvaliacaoID", key.dataType)])
+    def __init__(self, enrolment: T.DataType, assessment: T.DataType):
+        grade = T.StructType().add("AvaliacaoID", assessment).add("batch_id", "long").add("LancadaEm", "timestamp_ntz")
+        grade = grade.add("NotaObtida", "decimal(5,2)").add("Peso", "decimal(5,2)")
+        member = T.StructType().add("MatriculaID", enrolment).add("known", "boolean").add("FrequenciaPercentual", "decimal(5,2)")
+        member = member.add("NotaFinal", "decimal(5,2)").add("StatusMatricula", "string").add("posted", "timestamp_ntz")
+        self.members_type = T.StructType().add("members", T.ArrayType(member.add("grades", T.ArrayType(grade))))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        version = "batch_id long, LancadaEm timestamp_ntz, NotaObtida decimal(5,2), Peso decimal(5,2)"
-        self.grades = handle.getMapState("grades", self.key_type, version)
-        outcome = "FrequenciaPercentual decimal(5,2), NotaFinal decimal(5,2), StatusMatricula string, posted timestamp_ntz"
-        self.outcome = handle.getValueState("outcome", outcome)
+        self.members = handle.getValueState("members", self.members_type)
 
     def handleInitialState(self, key: tuple, row: Row, timers) -> None:
-        self.outcome.update((row.FrequenciaPercentual, row.NotaFinal, row.StatusMatricula, row.posted))
-        for g in (row.grades if row.grades is not None else ()):  # structs inside arrays come as dicts or rows
-            self.grades.updateValue((g["AvaliacaoID"],), (-1, g["LancadaEm"], g["NotaObtida"], g["Peso"]))
+        self.members.update((_plain(row.members, MEMBER),))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timers) -> Iterator[Row]:
-        held = {k[0]: tuple(v) for k, v in self.grades.iterator()}
+        now = self.members.get()
+        held = {m[0]: m for m in _plain(now[0], MEMBER)} if now is not None else {}
+        grades, touched = {}, {}
         for r in rows:
+            owner = r.MatriculaID
+            if owner not in grades:
+                grades[owner] = {g[0]: g[1:] for g in held[owner][-1]} if owner in held else {}
+                touched[owner] = False
             version = (r.batch_id, r.LancadaEm, r.NotaObtida, r.Peso)
-            old = held.get(r.AvaliacaoID)
+            old = grades[owner].get(r.AvaliacaoID)
             if old is None or _age(version) > _age(old):
-                held[r.AvaliacaoID] = version
-                self.grades.updateValue((r.AvaliacaoID,), version)
-        now = self.outcome.get()
-        if now is None:
-            return
-        attendance, grade, status, posted = now
-        weighted = [v for v in held.values() if v[3] is not None]
-        if status is not None and status not in BLOCKED and weighted:
-            grade = weighted_mean([(v[2], v[3]) for v in weighted])
-            status = derived_status(grade, attendance, status)
-            posted = max((v[1] for v in held.values() if v[1] is not None), default=None)
-            self.outcome.update((attendance, grade, status, posted))
-        yield Row(MatriculaID=key[0], NotaFinal=grade, StatusMatricula=status, posted=posted)
+                grades[owner][r.AvaliacaoID] = version
+                touched[owner] = True
+        for owner, own in grades.items():
+            known, attendance, grade, status, posted = held[owner][1:-1] if owner in held else (False, None, None, None, None)
+            weighted = [v for v in own.values() if v[3] is not None]
+            if known and status is not None and status not in BLOCKED and weighted:
+                grade = weighted_mean([(v[2], v[3]) for v in weighted])
+                new = derived_status(grade, attendance, status)
+                latest = max((v[1] for v in own.values() if v[1] is not None), default=None)
+                touched[owner] = touched[owner] or (grade, new, latest) != (held[owner][3], status, posted)
+                status, posted = new, latest
+            if touched[owner]:
+                held[owner] = (owner, known, attendance, grade, status, posted, [(a, *v) for a, v in own.items()])
+            if known:
+                yield Row(MatriculaID=owner, NotaFinal=grade, StatusMatricula=status, posted=posted)
+        if any(touched.values()):
+            self.members.update((list(held.values()),))
 
     def close(self) -> None:
         pass

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -229,17 +229,34 @@ def initial_grades(enrolments: DataFrame, history: DataFrame | None, assessments
     """One row per enrolment with its outcome and the newest earlier grade of each of its assessments."""
     posted = F.col(UPDATED) if UPDATED in enrolments.columns else F.lit(None)
     base = enrolments.select(
-        "MatriculaID", F.col("FrequenciaPercentual").cast("decimal(5,2)").alias("FrequenciaPercentual"),
+        "MatriculaID", F.lit(True).alias("known"), F.col("FrequenciaPercentual").cast("decimal(5,2)").alias("FrequenciaPercentual"),
         F.col("NotaFinal").cast("decimal(5,2)").alias("NotaFinal"), "StatusMatricula", posted.cast("timestamp_ntz").alias("posted"),
     )
     if history is None:
-        grade = T.StructType([assessments.schema["AvaliacaoID"]]).add("LancadaEm", "timestamp_ntz")
+        grade = T.StructType([assessments.schema["AvaliacaoID"]]).add("batch_id", "long").add("LancadaEm", "timestamp_ntz")
         grade = grade.add("NotaObtida", "decimal(5,2)").add("Peso", "decimal(5,2)")
         return base.withColumn("grades", F.lit(None).cast(T.ArrayType(grade)))
     history = with_weights(history, assessments)
     newest = history.groupBy("MatriculaID", "AvaliacaoID").agg(F.max(F.struct("LancadaEm", "NotaObtida", "Peso")).alias("v"))
-    lists = newest.groupBy("MatriculaID").agg(F.collect_list(F.struct("AvaliacaoID", "v.*")).alias("grades"))
-    return base.join(lists, "MatriculaID", "left")
+    grade = F.struct("AvaliacaoID", F.lit(-1).cast("long").alias("batch_id"), "v.*")
+    return base.join(newest.groupBy("MatriculaID").agg(F.collect_list(grade).alias("grades")), "MatriculaID", "left")
+
+
+GROUP_ROWS = 64  # enrolments whose state is kept together, on average
+
+
+def state_groups(enrolments: DataFrame, ckpt: str) -> int:
+    """Number of groups of enrolments: taken at the first start and kept beside the state, whose keys depend on it."""
+    spark, path = enrolments.sparkSession, f"{ckpt}/groups"
+    if not committed_batches(spark, path):
+        groups = enrolments.agg(F.ceil(F.greatest(F.count("*"), F.lit(1)) / GROUP_ROWS).alias("groups"))
+        write_batch(groups, path, 0)
+    return spark.read.parquet(path).first()["groups"]
+
+
+def in_groups(df: DataFrame, groups: int) -> DataFrame:
+    """Rows with ``_group``, which does not depend on the kind of number that identifies an enrolment."""
+    return df.withColumn("_group", F.pmod(F.xxhash64(F.col("MatriculaID").cast("string")), F.lit(groups)))
 
 
 def final_grades(grades: DataFrame, assessments: DataFrame) -> DataFrame:
@@ -267,8 +284,8 @@ def stream_grade_derive(
 
     Two queries.  The first checks each batch and writes its accepted grades with their weights to ``out/grades``;
     a grade above the assessment's maximum is left out, or its whole batch with ``reject="batch"``.  The second follows
-    that log and keeps the newest grade of each assessment of an enrolment in keyed state
-    (``GradeState``), so a batch reads its own rows and the state of its own enrolments, whatever came before.
+    that log and keeps the newest grade of each assessment of an enrolment in keyed state (``GradeState``), in groups of
+    about ``GROUP_ROWS`` enrolments, so a batch reads its own rows and the state of their groups, whatever came before.
     Changed enrolments go to ``out/enrolments``.  ``enrolments`` and ``history``, grades from before the stream, become
     the initial state when the stream first starts; enrolments added later have no outcome until
     it is started anew.  ``max_files`` bounds a batch of the second query.  A recomputed enrolment has the time of its newest grade as ``UltimaAtualizacao``.
@@ -292,11 +309,13 @@ def stream_grade_derive(
     kinds = with_weights(src, assessments).schema.add("batch_id", "long")
     # Files of a batch that is accepted again are replaced by equal ones under other names.
     log = spark.readStream.schema(kinds).option("ignoreMissingFiles", "true").option("maxFilesPerTrigger", max_files)
+    groups = state_groups(enrolments, ckpt)
     initial = initial_grades(enrolments, history, assessments)
-    outcome = T.StructType([initial.schema["MatriculaID"]]).add("NotaFinal", "decimal(5,2)")
-    outcome = outcome.add("StatusMatricula", "string").add("posted", "timestamp_ntz")
-    derived = log.parquet(grades_path).groupBy("MatriculaID").transformWithState(
-        GradeState(kinds["AvaliacaoID"]), outcome, "update", "none", initial.groupBy("MatriculaID")
+    outcome = initial.select("MatriculaID", "NotaFinal", "StatusMatricula", "posted").schema
+    members = F.collect_list(F.struct(*initial.columns)).alias("members")
+    initial = in_groups(initial, groups).groupBy("_group").agg(members)
+    derived = in_groups(log.parquet(grades_path), groups).groupBy("_group").transformWithState(
+        GradeState(outcome["MatriculaID"].dataType, kinds["AvaliacaoID"].dataType), outcome, "update", "none", initial.groupBy("_group")
     )
     return Chain([accepted, _run(derived, changed, f"{ckpt}/derive", "update", trigger)])
 

@@ -188,6 +188,30 @@ def test_grade_batches_read_their_own_rows(spark, campus, paths):
     assert table(spark.read.parquet(f"{out}/enrolments")) == before
 
 
+def test_grade_state_is_kept_by_groups(spark, campus, paths):
+    """Enrolments share state values, whose number stays as it was at the first start; identities may be of another kind."""
+    src, out, ckpt = paths
+    limits, many = campus["Avaliacao"], 3 * jobs.GROUP_ROWS
+    enrol = spark.range(1, many + 1).selectExpr(
+        "CAST(id AS int) AS MatriculaID", "CAST(80 AS decimal(5,2)) AS FrequenciaPercentual",
+        "CAST(NULL AS decimal(5,2)) AS NotaFinal", "IF(id = 7, 'TRANCADA', 'ATIVA') AS StatusMatricula")
+    like = campus["Nota"].select("MatriculaID", "AvaliacaoID", "NotaObtida", "LancadaEm")
+    day = dt.datetime(2026, 7, 1)
+    grade = lambda n, value: spark.createDataFrame([(n, 1, D(value), day), (many + 1, 1, D("9.00"), day)], like.schema)
+    arrive(spark.createDataFrame([(n, 1, D("5.00"), day) for n in range(1, many, 2)], like.schema), src)
+    chain = jobs.stream_grade_derive(follow(spark, like, src), None, limits, enrol, out, ckpt)
+    chain.awaitTermination()
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in chain.queries[1].recentProgress if p["numInputRows"]]
+    assert 1 <= state[-1] <= 3
+    arrive(grade(9, "8.00"), src)
+    more = enrol.unionByName(enrol.withColumn("MatriculaID", (F.col("MatriculaID") + 1000).cast("int")))
+    jobs.stream_grade_derive(follow(spark, like, src), None, limits, more, out, ckpt).awaitTermination()
+    got = {r["MatriculaID"]: (r["NotaFinal"], r["StatusMatricula"]) for r in jobs.read_enrolments(spark, more, out).collect()}
+    assert len(got) == 2 * many and got[2] == (None, "ATIVA") and got[7] == (None, "TRANCADA")
+    assert got[9] == (D("8.00"), "APROVADA")  # graded again, in a later batch
+    assert sum(v[0] is not None for v in got.values()) == many // 2 - 1
+
+
 def test_grade_state_rules():
     from lectern.streaming.grade_state import derived_status, weighted_mean
 
