@@ -7,10 +7,12 @@ tables share one pass over each of them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,54 +162,65 @@ def _entries(
 ) -> DataFrame:
     """(kind, rule, of, h1, h2, key): what the rows of a table say on all relational rules, from one read.
 
-    ``of`` is the set a value belongs to: the rule itself, or the key of a parent table; ``held`` are
-    the columns of this table that are such keys.
+    ``of`` is the set a value belongs to: the rule itself, or the key of a parent table, which count downwards
+    from -1; ``held`` are the columns of this table that are such keys.  Without ``key`` the entries do not name their row.
     """
 
-    def entry(kind: int, rule: int, of: int, values: Sequence[Column], owner: Column) -> Column:
+    def entry(kind: int, rule: int, of: int, values: Sequence[Column]) -> Column:
         named = [F.lit(kind).alias("kind"), F.lit(rule).alias("rule"), F.lit(of).alias("of")]
-        return F.struct(*named, *_key_hash(values), owner.cast("string").alias("key"))
+        return F.struct(*named, *_key_hash(values))
 
     made = []
     for rule in rules:
         n = ids[rule.name]
         if isinstance(rule, Unique):
-            made.append(entry(UNIQUE, n, n, [F.col(c) for c in rule.cols], F.col(key)))
+            made.append(entry(UNIQUE, n, n, [F.col(c) for c in rule.cols]))
         else:
             value = F.col(rule.col).cast("string")
-            made.append(F.when(value.isNotNull(), entry(CHILD, n, parents[rule.parent, rule.key], [value], F.col(key))))
+            made.append(F.when(value.isNotNull(), entry(CHILD, n, parents[rule.parent, rule.key], [value])))
     for column, n in held.items():
-        made.append(entry(PARENT, -1, n, [F.col(column).cast("string")], F.lit(None)))
-    return df.select(F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*")
+        made.append(entry(PARENT, -1, n, [F.col(column).cast("string")]))
+    owner = [F.col(key).cast("string").alias("key")] if key else []
+    return df.select(*owner, F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*", *(["key"] if key else []))
+
+
+def _columns_read(rules: Sequence, key: str, held: Iterable[str]) -> list[str]:
+    used = [c for r in rules for c in (r.cols if isinstance(r, Unique) else [r.col])]
+    return list(dict.fromkeys([key, *used, *held]))
 
 
 def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence], keys: Mapping[str, str]) -> DataFrame:
     """(rule, key, reason) of every row that breaks a unique or foreign key rule of its table.
 
-    A shared pass: each table that has rules, or is a parent, is read once, whatever the number of its rules.  Its rows
-    become entries with a 128-bit hash of the key, which are written once.  One grouping finds
-    the repeated keys of all unique rules, one anti join the values that no parent has.
+    A shared pass: each table that has rules, or is a parent, is read once, whatever the number of its rules; of one with
+    rules the columns that they name are written.  Its rows become entries with a 128-bit hash of the
+    key.  One grouping, combined before its shuffle, gives the bad values: keys of a unique rule found
+    twice, values that no parent has.  These few are written, and the written rows are looked up in them, so no row
+    is shuffled with its own key unless the bad values are too many to be broadcast.
     """
     named = [rule for own in rules.values() for rule in own]
     ids = {rule.name: n for n, rule in enumerate(named)}
     sets = dict.fromkeys((r.parent, r.key) for r in named if isinstance(r, ForeignKey))
-    parents = {of: n for n, of in enumerate(sets)}
-    made = []
-    for t in dict.fromkeys([*(t for t in rules if rules[t]), *(parent for parent, _ in parents)]):
-        held = {column: n for (parent, column), n in parents.items() if parent == t}
-        made.append(_entries(tables[t], keys.get(t), rules.get(t, ()), ids, parents, held))
-    entries = stage(union_all(*made), "keys")
-    value, found = ["of", "h1", "h2"], []
-    if any(isinstance(r, Unique) for r in named):
-        own = entries.filter(F.col("kind") == UNIQUE)
-        repeated = own.groupBy(*value).agg(F.count("*").alias("n")).filter("n > 1")
-        found.append(own.join(repeated, value, "left_semi"))
-    if parents:
-        known = entries.filter(F.col("kind") == PARENT).select(*value)
-        found.append(entries.filter(F.col("kind") == CHILD).join(known, value, "left_anti"))
-    bad = union_all(*found)
+    parents = {of: -1 - n for n, of in enumerate(sets)}
+    ruled = [t for t in rules if rules[t]]
+    every = list(dict.fromkeys([*ruled, *(parent for parent, _ in parents)]))
+    held = {t: {column: n for (parent, column), n in parents.items() if parent == t} for t in every}
+    spark = tables[every[0]].sparkSession
+
+    @inheritable_thread_target(spark)
+    def written(t: str) -> DataFrame:
+        return stage(tables[t].select(*_columns_read(rules[t], keys[t], held[t])), "keys")
+
+    with ThreadPoolExecutor(4) as pool:
+        read = {**tables, **dict(zip(ruled, pool.map(written, ruled)))}
+    values = union_all(*[_entries(read[t], None, rules.get(t, ()), ids, parents, held[t]) for t in every])
+    value = ["of", "h1", "h2"]
+    found = values.groupBy(*value).agg(F.max("kind").alias("kind"), F.count("*").alias("n"))
+    # A value of a unique rule stands alone, one of a child has a parent.
+    bad = stage(found.filter((F.col("kind") == CHILD) | (F.col("kind") == UNIQUE) & (F.col("n") > 1)).select(*value), "bad-keys")
+    rows = union_all(*[_entries(read[t], keys[t], rules[t], ids, parents, {}) for t in ruled]).join(bad, value, "left_semi")
     text = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(type(r).__name__).alias("reason")) for r in named])
-    return bad.select(F.get(text, F.col("rule")).alias("r"), "key").select("r.rule", "key", "r.reason")
+    return rows.select(F.get(text, F.col("rule")).alias("r"), "key").select("r.rule", "key", "r.reason")
 
 
 def violations(
