@@ -184,9 +184,12 @@ def _entries(
     return df.select(*owner, F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*", *(["key"] if key else []))
 
 
-def _columns_read(rules: Sequence, key: str, held: Iterable[str]) -> list[str]:
-    used = [c for r in rules for c in (r.cols if isinstance(r, Unique) else [r.col])]
-    return list(dict.fromkeys([key, *used, *held]))
+def _narrowed(df: DataFrame, rules: Sequence, key: str, held: Iterable[str]) -> DataFrame:
+    """The columns that rules and key name, by any spelling and also of their fields; all, where a name is none of them."""
+    used = [key, *(c for r in rules for c in (r.cols if isinstance(r, Unique) else [r.col])), *held]
+    wanted = {c.split(".")[0].strip("`").lower() for c in used}
+    kept = [c for c in df.columns if c.lower() in wanted]
+    return df.select(*[F.col(f"`{c}`") for c in kept]) if {c.lower() for c in kept} == wanted else df
 
 
 def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence], keys: Mapping[str, str]) -> DataFrame:
@@ -209,7 +212,7 @@ def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Seq
 
     @inheritable_thread_target(spark)
     def written(t: str) -> DataFrame:
-        return stage(tables[t].select(*_columns_read(rules[t], keys[t], held[t])), "keys")
+        return stage(_narrowed(tables[t], rules[t], keys[t], held[t]), "keys")
 
     with ThreadPoolExecutor(4) as pool:
         read = {**tables, **dict(zip(ruled, pool.map(written, ruled)))}
