@@ -129,7 +129,8 @@ def observed_write(
     """Write once and take row count and checksums on the way, in the tasks that write; nothing is read again."""
     out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by) if partition_by else df
     seen = Observation()
-    out.observe(seen, *_observed(df)).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    writer = out.observe(seen, *_observed(df)).write.mode("overwrite").option("compression", "zstd")
+    writer.partitionBy(*partition_by).parquet(path)
     return seen.get
 
 
