@@ -1,7 +1,12 @@
 """What the jobs read, shuffle and write: derived inputs once, checked requests only where they are wanted."""
 
+import datetime as dt
 import os
+import re
 
+from pyspark.sql import functions as F
+
+from lectern.plans import bulk as b
 from lectern.plans import warehouse as w
 from lectern.registry import QUERIES
 
@@ -21,3 +26,57 @@ def test_warehouse_jobs_derive_the_enrolments_once(spark, monkeypatch):
     files = [sorted(df.inputFiles()) for df in seen]
     assert len(files) == 2 and files[0] == files[1]
     assert not [f for f in files[0] if f.endswith(("lineitem.parquet", "orders.parquet"))]
+
+
+def test_updated_grades_do_not_wait_for_the_checked_requests(spark, campus, monkeypatch):
+    """One meeting of enrolments and requests gives the updated rows; the checked requests are written when they are read."""
+    written = []
+    plain = b.stage
+    monkeypatch.setattr(b, "stage", lambda df, name: written.append(name) or plain(df, name))
+    held = campus["Matricula"].withColumn(
+        "StatusMatricula",
+        F.when(F.col("MatriculaID") == 6, "TRANCADA").when(F.col("MatriculaID") != 5, F.col("StatusMatricula")),
+    )
+    rows = [
+        (1, 1, 4, 9, 90), (2, 2, 4, 5, 90), (3, 3, 4, 11, 90), (4, 4, 4, 9, 101),  # the last valid one holds
+        (5, 1, 5, 9, 90), (6, 1, 6, 9, 90), (7, 1, 77, 9, 90), (8, 1, None, 9, 90),  # no status, blocked, unknown, none
+    ]
+    req = spark.createDataFrame(rows, "RequestID long, RequestedAt int, MatriculaID long, NotaFinal int, FrequenciaPercentual int")
+    out = b.bulk_post_grade(req, held, dt.datetime(2026, 3, 20))
+    after = {r["MatriculaID"]: (r["NotaFinal"], r["StatusMatricula"]) for r in out.updated.collect()}
+    before = {r["MatriculaID"]: (r["NotaFinal"], r["StatusMatricula"]) for r in held.collect()}
+    assert after == before | {4: (5, "REPROVADA")} and not written
+    assert {r["RequestID"]: r["Codigo"] for r in out.rejected.collect()} == {
+        3: 51010, 4: 51011, 5: 51012, 6: 51013, 7: 51012, 8: 51012,
+    }
+    assert {r["RequestID"] for r in out.accepted.collect()} == {1, 2} and written == ["grade"]
+
+
+def test_enrolments_meet_pairs_where_they_lie(spark, campus, monkeypatch):
+    """With sides too large to broadcast, pairs and enrolments cross one exchange by pair each, and no third follows."""
+    plans, plain = {}, b.stage
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(b, "stage", spy)
+    req = campus["Matricula"].select(
+        F.col("MatriculaID").alias("RequestID"), F.lit(1).alias("RequestedAt"), "AlunoID", "TurmaID",
+        F.lit("API").alias("OrigemMatricula"),
+    )
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        b.bulk_enrol(req, campus["Aluno"], campus["Turma"], campus["Matricula"], dt.datetime(2026, 3, 20))
+    finally:
+        spark.conf.set(name, before)
+    assert len(re.findall(r"Exchange hashpartitioning\(AlunoID#\d+L?, TurmaID#", plans["pairs"])) == 2
+
+
+def test_enrolment_job_gets_written_requests_and_enrolments(spark, monkeypatch):
+    seen, plain = [], b.bulk_enrol
+    monkeypatch.setattr(b, "bulk_enrol", lambda *given: seen.extend([given[0], given[3]]) or plain(*given))
+    QUERIES["bulk_enrol"](spark, FOLDER)
+    assert len(seen) == 2 and not [f for df in seen for f in df.inputFiles() if f.endswith("lineitem.parquet")]
