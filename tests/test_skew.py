@@ -138,3 +138,17 @@ def test_skewed_joins_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v in (None, "<undefined>") else spark.conf.set(k, v)
+
+
+def test_only_large_keys_are_cut(spark):
+    """Keys that fit a slice get no cuts, so a table of such keys is ranked without any; a large key keeps its own."""
+    place = F.struct(F.col("k").alias("key"), "id")
+    small = stage(spark.range(4000).select((F.col("id") % 400).alias("k"), "id"), "small-keys")
+    assert slice_cuts(small, place, 100) is None
+    mixed = stage(small.unionByName(spark.range(4000, 6000).select(F.lit(7).cast("long").alias("k"), "id")), "mixed-keys")
+    cuts = slice_cuts(mixed, place, 100)
+    assert {r["k"] for r in cuts.select(F.explode("cuts.key").alias("k")).collect()} == {7}
+    spread = sliced(mixed, place, cuts).groupBy("k").agg(F.countDistinct("_slice").alias("n"))
+    assert {r["k"] for r in spread.filter("n > 1").collect()} == {7} and spread.filter("k = 7").first()["n"] > 10
+    want = windows_within(mixed, "k", "id", [])
+    assert same(rank_within(mixed, "k", "id", [], slice_rows=100), want)
