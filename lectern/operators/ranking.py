@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.skew import null_safe_join, slice_cuts, sliced
+from lectern.operators.skew import null_safe_join, numbered, slice_cuts, sliced
 from lectern.session import stage
 
 # Output names of the six measures.
@@ -54,7 +54,7 @@ def _tile(position: Column, total: Column, tiles: int) -> Column:
 
 def _place(key: str, value: str, ties: Sequence[str]) -> Column:
     """A struct that compares as the rows are ordered: highest value first, then those without one."""
-    return F.struct(F.col(key).alias("key"), F.col(value).isNull().alias("none"), (-F.col(value)).alias("value"), *ties)
+    return F.struct(F.col(key).alias("key"), F.col(value).isNull().alias("none"), (-F.col(value)).alias("value"), *numbered(ties))
 
 
 def _carries(rows: DataFrame, cuts: DataFrame, key: str, value: str) -> DataFrame:

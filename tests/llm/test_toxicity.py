@@ -66,6 +66,18 @@ def test_long_text_equals_its_parts_and_repeated_rows(spark):
     assert len(got) == 3 and score[1] > 0.3 > score[2] == score[3]
 
 
+def test_fit_on_more_rows_than_a_slice(spark, monkeypatch):
+    """A label whose rows are selected slice by slice gives the model that one slice gives."""
+    texts, labels = made(np.random.default_rng(6), 600)
+    df = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(zip(texts, labels))], "doc_id long, text string, toxic int")
+    whole = tox.fit(df, "doc_id", "text", "toxic", per_class=150)
+    cuts, plain = [], tox.first_n_per_key
+    monkeypatch.setattr(tox, "first_n_per_key", lambda *given: cuts.append(1) or plain(*given, slice_rows=40))
+    sliced = tox.fit(df, "doc_id", "text", "toxic", per_class=150)
+    assert cuts and len(whole.features) and (sliced.features == whole.features).all()
+    assert (sliced.weights == whole.weights).all() and sliced.bias == whole.bias
+
+
 def made(rng, n):
     texts, labels = [], []
     for i in range(n):

@@ -94,6 +94,16 @@ def test_first_n_per_key(spark):
             assert same(first_n_per_key(rows, "k", ["name", "id"], "free", slice_rows=slice_rows), want)
 
 
+def test_orders_by_columns_named_as_the_parts_of_a_place(spark):
+    """Large keys are also cut where the order has a column called as the key or the value of a place."""
+    df = skewed(spark).select("k", "v", F.col("name").alias("value"), F.col("id").alias("key"), F.lit(300).alias("free"))
+    w = Window.partitionBy("k").orderBy("value", "key")
+    want = df.withColumn("p", F.row_number().over(w)).filter("p <= free").drop("p")
+    assert same(first_n_per_key(df, "k", ["value", "key"], "free", slice_rows=100), want)
+    whole = windows_within(df, "k", "v", ["value", "key"])
+    assert same(rank_within(df, "k", "v", ["value", "key"], slice_rows=100), whole)
+
+
 def test_selection_ranks_only_the_slices_it_needs(spark):
     """One key with all rows: the slices beyond its allowance are not ranked, and none holds all rows."""
     rows = spark.range(6000, numPartitions=5).select(F.lit(1).alias("k"), ((F.col("id") * 7919) % 6007).alias("t"), F.lit(250).alias("free"))
