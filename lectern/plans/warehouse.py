@@ -17,7 +17,7 @@ from lectern.functions.status import (
     CONCLUDED, approved_flag, days_overdue, in_window, open_balance, scholarship_band, with_net_amount,
 )
 from lectern.operators.aggregates import count_if, min_date, minute_counts, safe_ratio_pct
-from lectern.operators.joins import chain, latest_per_key, missing, with_key
+from lectern.operators.joins import chain, latest_per_key, missing, shuffled, with_key
 from lectern.operators.sets import date_series, union_all
 from lectern.operators.skew import surrogate_key
 from lectern.schema.model import TABLES
@@ -73,10 +73,10 @@ def _keyed(rows: DataFrame, natural: str, key: str, as_of: dt.date, existing: Da
         return surrogate_key(rows, natural, key)
     dated = "EffectiveStartDate" in rows.columns
     keyed = surrogate_key(rows, natural, key, existing)
-    gone = missing(existing.select(*keyed.columns), rows.select(natural), natural)
+    gone = missing(existing.select(*keyed.columns), shuffled(rows.select(natural)), natural)
     if dated:
         known = existing.select(natural, F.col("EffectiveStartDate").alias("_since"))
-        keyed = keyed.join(known, natural, "left").withColumn(
+        keyed = keyed.join(shuffled(known), natural, "left").withColumn(
             "EffectiveStartDate", F.coalesce("_since", "EffectiveStartDate")
         ).drop("_since")
         gone = gone.withColumns({
@@ -108,14 +108,14 @@ def dim_class(
         classes.select("TurmaID", "CodigoTurma", "Ano", "Periodo", "Turno", "Encerrada", "DisciplinaID", "ProfessorID"),
         [
             (
-                subjects.select(
+                shuffled(subjects).select(
                     "DisciplinaID", "CursoID", F.col("Codigo").alias("DisciplinaCodigo"),
                     F.col("Nome").alias("DisciplinaNome"),
                 ),
                 "DisciplinaID",
             ),
             (teachers.select("ProfessorID", "PessoaID"), "ProfessorID"),
-            (people.select("PessoaID", F.col("NomeExibicao").alias("ProfessorNome")), "PessoaID"),
+            (shuffled(people).select("PessoaID", F.col("NomeExibicao").alias("ProfessorNome")), "PessoaID"),
         ],
     ).select(
         "TurmaID", "CodigoTurma", "Ano", "Periodo", "Turno", "DisciplinaCodigo", "DisciplinaNome",
@@ -140,9 +140,10 @@ def fact_academic(
         "MatriculaID", "AlunoID", "TurmaID", "DataMatricula", "StatusMatricula", "FrequenciaPercentual", "NotaFinal"
     )
     # The small tables meet each other before the fact: one lookup per enrolment.
-    lookup = with_key(class_courses(classes, subjects, ["CargaHoraria", "Creditos"]), dims["DimCurso"], "CursoID", "CursoKey")
-    lookup = with_key(lookup, dims["DimTurma"], "TurmaID", "TurmaKey").drop("CursoID")
-    keyed = with_key(rows.join(lookup, "TurmaID"), dims["DimAluno"], "AlunoID", "AlunoKey")
+    courses = class_courses(classes, shuffled(subjects), ["CargaHoraria", "Creditos"])
+    lookup = with_key(courses, dims["DimCurso"], "CursoID", "CursoKey")
+    lookup = with_key(lookup, shuffled(dims["DimTurma"]), "TurmaID", "TurmaKey").drop("CursoID")
+    keyed = with_key(rows.join(shuffled(lookup), "TurmaID"), shuffled(dims["DimAluno"]), "AlunoID", "AlunoKey")
     return keyed.select(
         date_key(F.to_date("DataMatricula")).alias("TempoKey"),
         "AlunoKey", "CursoKey", "TurmaKey", "MatriculaID", "StatusMatricula", "FrequenciaPercentual", "NotaFinal",
@@ -159,14 +160,14 @@ def fact_finance(
     if "ValorLiquido" not in due.columns:
         due = with_net_amount(due)
     latest = latest_per_key(
-        dims["DimAluno"].filter("IsCurrent").select("AlunoID", "AlunoKey"),
+        shuffled(dims["DimAluno"]).filter("IsCurrent").select("AlunoID", "AlunoKey"),
         enrolments.select("AlunoID", "DataMatricula", "MatriculaID", "TurmaID"),
         "AlunoID", ["DataMatricula", "MatriculaID"], ["TurmaID"],
     )
-    courses = with_key(class_courses(classes, subjects), dims["DimCurso"], "CursoID", "CursoKey", "left")
-    student = latest.join(courses.drop("CursoID"), "TurmaID", "left").drop("TurmaID")
+    courses = with_key(class_courses(classes, shuffled(subjects)), dims["DimCurso"], "CursoID", "CursoKey", "left")
+    student = latest.join(shuffled(courses.drop("CursoID")), "TurmaID", "left").drop("TurmaID")
     paid = F.coalesce(F.col("ValorPago"), F.lit(0))
-    return due.join(student, "AlunoID").select(
+    return due.join(shuffled(student), "AlunoID").select(
         date_key("DataVencimento").alias("TempoKey"),
         "AlunoKey", "CursoKey", "ParcelaID", "Competencia", "StatusParcela",
         F.col("ValorLiquido").cast("decimal(12,2)").alias("ValorLiquido"),
@@ -190,7 +191,7 @@ def fact_telemetry(events: DataFrame, dim_student_: DataFrame, d0: dt.date, d1:
         F.sum(F.col("DurationMs").cast("decimal(18,2)")).alias("_ms"),
         F.sum(F.coalesce(F.col("NumericValue"), F.lit(0))).alias("_value"),
     )
-    keyed = with_key(part, dim_student_, "AlunoID", "AlunoKey", "left")
+    keyed = with_key(part, shuffled(dim_student_), "AlunoID", "AlunoKey", "left")
     mean = (F.sum("_ms") / F.nullif(F.sum("_timed"), F.lit(0))).cast("decimal(22,6)").cast("decimal(18,2)")
     return keyed.groupBy(date_key("_day").alias("TempoKey"), "EventTypeID", "AlunoKey", "SessionID").agg(
         F.sum("_n").alias("Eventos"),

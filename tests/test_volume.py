@@ -29,6 +29,19 @@ def test_warehouse_jobs_derive_the_enrolments_once(spark, monkeypatch):
     assert not [f for f in files[0] if f.endswith(("lineitem.parquet", "orders.parquet"))]
 
 
+def test_warehouse_jobs_broadcast_no_side_that_grows(spark, monkeypatch):
+    """Classes, subjects, students and people go by exchange, however small the files look that they lie in."""
+    plans, plain = [], w.observed_write
+    spy = lambda df, *rest: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, *rest)
+    monkeypatch.setattr(w, "observed_write", spy)
+    QUERIES["refresh_window"](spark, FOLDER)
+    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[(?:cast\()?(\w+)#", "\n".join(plans))
+    broadcast = {key for kind, key in joins if kind == "BroadcastHashJoin"}
+    merged = {key for kind, key in joins if kind == "SortMergeJoin"}
+    assert "CursoID" in broadcast and not broadcast & {"AlunoID", "TurmaID", "DisciplinaID", "PessoaID"}
+    assert {"AlunoID", "TurmaID", "DisciplinaID", "PessoaID"} <= merged
+
+
 def test_updated_grades_do_not_wait_for_the_checked_requests(spark, campus, monkeypatch):
     """One meeting of enrolments and requests gives the updated rows; the checked requests are written when they are read."""
     written = []
