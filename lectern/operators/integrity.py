@@ -152,32 +152,48 @@ def _key_hash(cols: Sequence[Column]) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *marked).alias(f"h{seed}") for seed in (1, 2)]
 
 
+HASHED = 32  # characters of a hashed text
+
+
+def _short(text: Column) -> Column:
+    """The text itself, or 128 bits of it as ``HASHED`` characters if it is not shorter than that; no two texts share one but by these bits."""
+    halves = [F.lpad(F.hex(h), HASHED // 2, "0") for h in _key_hash([text])]
+    return F.when(F.octet_length(text) < HASHED, text).otherwise(F.concat(*halves))
+
+
 UNIQUE, CHILD, PARENT = 0, 1, 2  # kinds of entries
 
 
 def _entries(
     df: DataFrame, key: str | None, rules: Sequence, ids: Mapping[str, int], parents: Mapping[tuple, int], held: Mapping[str, int]
 ) -> DataFrame:
-    """(kind, rule, of, h1, h2, key): what the rows of a table say on all relational rules, from one read.
+    """(kind, rule, of, h1, h2, text, key): what the rows of a table say on all relational rules, from one read.
 
     ``of`` is the set a value belongs to: the rule itself, or the key of a parent table; ``held`` are
-    the columns of this table that are such keys.
+    the columns of this table that are such keys.  A value of a unique rule is in ``h1`` and ``h2``, other ones in ``text``.
     """
 
-    def entry(kind: int, rule: int, of: int, values: Sequence[Column], owner: Column) -> Column:
+    def entry(kind: int, rule: int, of: int, value: Sequence[Column], owner: Column) -> Column:
         named = [F.lit(kind).alias("kind"), F.lit(rule).alias("rule"), F.lit(of).alias("of")]
-        return F.struct(*named, *_key_hash(values), owner.cast("string").alias("key"))
+        return F.struct(*named, *value, owner.cast("string").alias("key"))
+
+    def hashed(cols: Sequence[Column]) -> list[Column]:
+        return [*_key_hash(cols), F.lit(None).cast("string").alias("text")]
+
+    def plain(text: Column) -> list[Column]:
+        return [*[F.lit(None).cast("long").alias(h) for h in ("h1", "h2")], _short(text).alias("text")]
 
     made = []
     for rule in rules:
         n = ids[rule.name]
         if isinstance(rule, Unique):
-            made.append(entry(UNIQUE, n, n, [F.col(c) for c in rule.cols], F.col(key)))
+            made.append(entry(UNIQUE, n, n, hashed([F.col(c) for c in rule.cols]), F.col(key)))
         else:
             value = F.col(rule.col).cast("string")
-            made.append(F.when(value.isNotNull(), entry(CHILD, n, parents[rule.parent, rule.key], [value], F.col(key))))
+            made.append(F.when(value.isNotNull(), entry(CHILD, n, parents[rule.parent, rule.key], plain(value), F.col(key))))
     for column, n in held.items():
-        made.append(entry(PARENT, -1, n, [F.col(column).cast("string")], F.lit(None)))
+        value = F.col(column).cast("string")
+        made.append(F.when(value.isNotNull(), entry(PARENT, -1, n, plain(value), F.lit(None))))
     return df.select(F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*")
 
 
@@ -185,7 +201,8 @@ def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Seq
     """(rule, key, reason) of every row that breaks a unique or foreign key rule of its table.
 
     A shared pass: each table that has rules, or is a parent, is read once, whatever the number of its rules.  Its rows
-    become entries with a 128-bit hash of the key, which are written once.  One grouping finds
+    become entries, which are written once: with a 128-bit hash of the key for a unique rule, with the value as
+    text, which mostly takes less, for a foreign key.  One grouping finds
     the repeated keys of all unique rules, one anti join the values that no parent has.
     """
     named = [rule for own in rules.values() for rule in own]
@@ -197,15 +214,16 @@ def relation_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Seq
         held = {column: n for (parent, column), n in parents.items() if parent == t}
         made.append(_entries(tables[t], keys.get(t), rules.get(t, ()), ids, parents, held))
     entries = stage(union_all(*made), "keys")
-    value, found = ["of", "h1", "h2"], []
+    found = []
     if any(isinstance(r, Unique) for r in named):
         own = entries.filter(F.col("kind") == UNIQUE)
+        value = ["of", "h1", "h2"]
         repeated = own.groupBy(*value).agg(F.count("*").alias("n")).filter("n > 1")
         found.append(own.join(repeated, value, "left_semi"))
     if parents:
-        known = entries.filter(F.col("kind") == PARENT).select(*value)
-        found.append(entries.filter(F.col("kind") == CHILD).join(known, value, "left_anti"))
-    bad = union_all(*found)
+        known = entries.filter(F.col("kind") == PARENT).select("of", "text")
+        found.append(entries.filter(F.col("kind") == CHILD).join(known, ["of", "text"], "left_anti"))
+    bad = union_all(*[rows.select("rule", "key") for rows in found])
     text = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(type(r).__name__).alias("reason")) for r in named])
     return bad.select(F.get(text, F.col("rule")).alias("r"), "key").select("r.rule", "key", "r.reason")
 

@@ -1,6 +1,7 @@
 """Functions, sinks and rules on small literal inputs."""
 
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
@@ -234,3 +235,26 @@ def test_audit_images(spark):
     ops = {r["ChaveRegistro"]: (r["Operacao"], r["DadosAntes"]) for r in
            au.audit_upsert(before, after, "id", {"S": "s"}, "core", "T").collect()}
     assert ops["4"] == ("INSERT", None) and ops["3"] == ("UPDATE", "S=")
+
+
+def test_foreign_keys_of_any_length_take_their_own_text(spark, monkeypatch):
+    """Values are written as they are, unless they are long; none is taken for another one, and NULL has no parent to find."""
+    long = "ã" * 20
+    parent = spark.createDataFrame([("a",), (long + "x",), ("0" * 32,), (None,), ("b",), ("b",)], "k string")
+    child = spark.createDataFrame(
+        [(1, "a"), (2, long + "x"), (3, long + "y"), (4, None), (5, "0" * 32), (6, "0" * 31), (7, ""), (8, "b"), (9, "a ")],
+        "id int, p string",
+    )
+    rules = {"child": [i.ForeignKey("c.p", "p", "parent", "k")]}
+    out = i.relation_violations({"child": child, "parent": parent}, rules, {"child": "id"}).collect()
+    assert sorted(tuple(r) for r in out) == [("c.p", k, "ForeignKey") for k in "3679"]
+    # A hash as text is as long as the texts that are hashed, so it is no key of its own.
+    named = parent.limit(0).unionByName(parent.select(i._short(F.lit(long)).alias("k")).limit(1))
+    out = i.relation_violations({"child": child.filter("id = 3").withColumn("p", F.lit(long)), "parent": named}, rules, {"child": "id"})
+    assert [r["key"] for r in out.collect()] == ["3"]
+    written, plain = [], i.stage
+    monkeypatch.setattr(i, "stage", lambda df, name: written.append(plain(df, name)) or written[-1])
+    many = {"child": spark.range(40_000).selectExpr("id", "id AS p"), "parent": spark.range(1, 40_000).selectExpr("id AS k")}
+    assert [r["key"] for r in i.relation_violations(many, rules, {"child": "id"}).collect()] == ["0"]
+    size = sum(os.path.getsize(f.removeprefix("file://")) for f in written[0].inputFiles())
+    assert size < 10 * 79_999  # a hash alone takes 16 bytes
