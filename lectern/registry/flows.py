@@ -207,8 +207,11 @@ def _(c):
         part.coalesce(1).write.mode("append").parquet(arrivals)
     history = grades.filter(day < F.lit(GRADE_DAYS[0]).cast("timestamp_ntz"))
     arriving = c.spark.readStream.schema(grades.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
-    jobs.stream_grade_derive(arriving, history, c.Avaliacao, c.Matricula, out, ckpt).awaitTermination()
-    return jobs.read_enrolments(c.spark, c.Matricula, out).select("MatriculaID", "NotaFinal", "StatusMatricula")
+    # Derived from the order lines once: every batch reads the assessments, and the enrolments are read three times.
+    assessments = c.stored("Avaliacao", "AvaliacaoID", "NotaMaxima", "Peso")
+    enrolments = c.stored("Matricula", "MatriculaID", "FrequenciaPercentual", "NotaFinal", "StatusMatricula")
+    jobs.stream_grade_derive(arriving, history, assessments, enrolments, out, ckpt).awaitTermination()
+    return jobs.read_enrolments(c.spark, enrolments, out).select("MatriculaID", "NotaFinal", "StatusMatricula")
 
 
 @query("stream_event_ingest", f"""

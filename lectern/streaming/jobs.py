@@ -25,7 +25,7 @@ from lectern.plans.bulk import apply_payments, code_events
 from lectern.session import stage
 from lectern.sources import manifest
 from lectern.sources.scan import fill_defaults
-from lectern.streaming.grade_state import GradeState
+from lectern.streaming import grade_state
 from lectern.sources.sinks import (
     committed_batches, current, full_reload, latest_version, merge_add, write_batch,
 )
@@ -242,7 +242,7 @@ def initial_grades(enrolments: DataFrame, history: DataFrame | None, assessments
     return base.join(newest.groupBy("MatriculaID").agg(F.collect_list(grade).alias("grades")), "MatriculaID", "left")
 
 
-GROUP_ROWS = 64  # enrolments whose state is kept together, on average
+GROUP_ROWS = 256  # enrolments whose state is kept together, on average: to read and write them takes no longer than the calls
 
 
 def state_groups(enrolments: DataFrame, ckpt: str) -> int:
@@ -311,12 +311,14 @@ def stream_grade_derive(
     log = spark.readStream.schema(kinds).option("ignoreMissingFiles", "true").option("maxFilesPerTrigger", max_files)
     groups = state_groups(enrolments, ckpt)
     initial = initial_grades(enrolments, history, assessments)
-    outcome = initial.select("MatriculaID", "NotaFinal", "StatusMatricula", "posted").schema
-    members = F.collect_list(F.struct(*initial.columns)).alias("members")
+    members = F.to_json(F.collect_list(grade_state.member(F.col("grades")))).alias("members")
+    identity = initial.schema["MatriculaID"].dataType
     initial = in_groups(initial, groups).groupBy("_group").agg(members)
-    derived = in_groups(log.parquet(grades_path), groups).groupBy("_group").transformWithState(
-        GradeState(outcome["MatriculaID"].dataType, kinds["AvaliacaoID"].dataType), outcome, "update", "none", initial.groupBy("_group")
+    arriving = grade_state.arriving(in_groups(log.parquet(grades_path), groups))
+    derived = arriving.groupBy("_group").transformWithState(
+        grade_state.GradeState(), grade_state.OUTCOMES, "update", "none", initial.groupBy("_group")
     )
+    derived = grade_state.decoded(derived, identity)
     return Chain([accepted, _run(derived, changed, f"{ckpt}/derive", "update", trigger)])
 
 

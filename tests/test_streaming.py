@@ -212,6 +212,58 @@ def test_grade_state_is_kept_by_groups(spark, campus, paths):
     assert sum(v[0] is not None for v in got.values()) == many // 2 - 1
 
 
+def test_grade_state_moves_texts(spark):
+    """A group's state is one text, a grade comes as one, and the outcomes of a group leave as one row."""
+    from pyspark.sql import Row
+
+    from lectern.streaming import grade_state as g
+
+    day = dt.datetime(2026, 7, 1)
+    base = spark.createDataFrame(
+        [('7-"x"', True, D("80.00"), None, "ATIVA", None, [(1, -1, day, D("5.00"), D("40.00"))]),
+         ("8", True, None, D("9.00"), None, day, None), ("9", True, D("60.00"), D("9.00"), "CANCELADA", None, None)],
+        "MatriculaID string, known boolean, FrequenciaPercentual decimal(5,2), NotaFinal decimal(5,2), StatusMatricula string,"
+        " posted timestamp_ntz, grades array<struct<AvaliacaoID int, batch_id long, LancadaEm timestamp_ntz, NotaObtida decimal(5,2),"
+        " Peso decimal(5,2)>>")
+    held = base.agg(F.to_json(F.collect_list(g.member(F.col("grades")))).alias("m")).first()["m"]
+    rows = spark.createDataFrame(
+        [(0, '7-"x"', 2, 0, day + dt.timedelta(1), D("9.90"), D("60.00")), (0, '7-"x"', 2, 0, day, D("1.00"), D("60.00")),
+         (0, '7-"x"', 1, 0, None, None, D("40.00")), (0, "8", 1, 0, day, D("7.00"), None), (0, None, 1, 0, day, D("7.00"), D(1)),
+         (0, "9", 1, 0, day, D("2.00"), D("0.50")), (0, "77", 1, 0, day, D("2.00"), D(1))],
+        "_group int, MatriculaID string, AvaliacaoID int, batch_id long, LancadaEm timestamp_ntz, NotaObtida decimal(5,2), Peso decimal(5,2)")
+    arriving = g.arriving(rows)
+    assert arriving.columns == ["_group", "grade"]
+
+    class Value:
+        now = (held,)
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+    state = g.GradeState()
+    state.members = Value()
+    out = list(state.handleInputRows((0,), iter(arriving.collect()), None))
+    assert len(out) == 1 and isinstance(state.members.now[0], str)
+    got = g.decoded(spark.createDataFrame([Row(outcomes=out[0].outcomes)], g.OUTCOMES), base.schema["MatriculaID"].dataType)
+    assert {tuple(r) for r in got.collect()} == {  # an unknown grade still weighs: 9.90 of 60 of 100
+        ('7-"x"', D("5.94"), "REPROVADA", day + dt.timedelta(1)), ("8", D("9.00"), None, day), ("9", D("9.00"), "CANCELADA", None)}
+    again = state.members.now
+    assert [r.outcomes for r in state.handleInputRows((0,), iter(arriving.collect()), None)] == [out[0].outcomes]
+    assert state.members.now == again  # a replay changes nothing
+
+
+def test_grade_query_derives_its_inputs_once(spark, monkeypatch):
+    from lectern.registry import QUERIES
+
+    seen, plain = [], jobs.stream_grade_derive
+    monkeypatch.setattr(jobs, "stream_grade_derive", lambda *given: seen.extend(given[2:4]) or plain(*given))
+    QUERIES["stream_grade_derive"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 2 and not [f for df in seen for f in df.inputFiles() if f.endswith(("lineitem.parquet", "part.parquet"))]
+
+
 def test_grade_state_rules():
     from lectern.streaming.grade_state import derived_status, weighted_mean
 
